@@ -52,13 +52,17 @@ def replay(before: DataFrame, changes: DataFrame, keys: Sequence[str]) -> DataFr
     return before.join(gone, keys, "left_anti").unionByName(fresh)
 
 
+def newest_images(changes: DataFrame, keys: Sequence[str], commit_col: str = "_commit_timestamp") -> DataFrame:
+    """The latest committed new image per key, its commit time as `processed_timestamp`."""
+    latest = latest_per_key(changes, keys, commit_col, ties="one", where=F.col("_change_type").isin(*NEW_ROWS))
+    return latest.withColumnRenamed(commit_col, "processed_timestamp").drop("_change_type", "_commit_version")
+
+
 def cdf_upsert(
     target: DataFrame, changes: DataFrame, keys: Sequence[str], commit_col: str = "_commit_timestamp"
 ) -> DataFrame:
-    """Merge change rows: new images only, latest commit per key, replacing rows processed earlier."""
-    latest = latest_per_key(changes, keys, commit_col, ties="one", where=F.col("_change_type").isin(*NEW_ROWS))
-    rows = latest.withColumnRenamed(commit_col, "processed_timestamp").drop("_change_type", "_commit_version")
-    return merge_upsert(target, rows, keys, "processed_timestamp")
+    """Merge the newest images of a change feed, replacing rows processed earlier."""
+    return merge_upsert(target, newest_images(changes, keys, commit_col), keys, "processed_timestamp")
 
 
 def up_to_version(log: DataFrame, version_col: str, version: int) -> DataFrame:

@@ -41,10 +41,14 @@ def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], newe
     return kept.unionByName(absent_from(incoming, target, keys))
 
 
+def insert_absent(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Target rows untouched, plus the source rows whose key it lacks. `source` has one row per key."""
+    return target.unionByName(absent_from(source.select(*target.columns), target, keys))
+
+
 def merge_insert_only(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Target rows untouched, plus one source row for each key the target lacks."""
-    single = greatest_row(source.select(*target.columns), keys)
-    return target.unionByName(absent_from(single, target, keys))
+    """As `insert_absent`, for a source that may hold copies of a key: its greatest row counts."""
+    return insert_absent(target, greatest_row(source.select(*target.columns), keys), keys)
 
 
 def update_where(df: DataFrame, condition: Column, **values: Column) -> DataFrame:

@@ -4,22 +4,28 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # A key is hot above this many rows ...
 HOT_ROWS = 4_000_000
 # ... and above 1/HOT_KEYS of all rows, so fewer than HOT_KEYS keys can ever be hot: a fixed bound for broadcasts.
 HOT_KEYS = 4096
-# Ranges into which the rows of one hot key are cut.
-SLOTS = 256
+# Most ranges into which the rows of one hot key are cut; a power of two.
+SLOTS = 1024
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Keys with too many rows for one task. Counts are combined map-side and read the key columns only."""
+    """Keys with too many rows for one task and the number of `_slots` to cut each into.
+
+    Counts are combined map-side and read the key columns only. The slots of all keys add up to less than
+    2 * HOT_KEYS.
+    """
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
     share = sizes.agg((F.sum("_rows") / HOT_KEYS).alias("_share")).scalar()
-    return sizes.where((F.col("_rows") > hot_rows) & (F.col("_rows") > share)).select(*keys)
+    room = F.greatest(F.lit(hot_rows), share)
+    slots = F.least(F.ceil(F.col("_rows") / room), F.lit(SLOTS)).cast("int")
+    return sizes.where(F.col("_rows") > room).select(*keys, slots.alias("_slots"))
 
 
 def next_sequence(
@@ -34,7 +40,7 @@ def next_sequence(
     """
     hot = F.broadcast(hot_keys(df, keys, hot_rows))
     cold_rows = _lead_once(df.join(hot, list(keys), "left_anti"), keys, seq, name)
-    hot_rows_ = _lead_in_ranges(df.join(hot, list(keys), "left_semi"), keys, seq, name)
+    hot_rows_ = _lead_in_ranges(df.join(hot, list(keys)), keys, seq, name)
     return cold_rows.unionByName(hot_rows_)
 
 
@@ -47,13 +53,18 @@ def _lead_once(df: DataFrame, groups: Sequence[str], seq: str, name: str) -> Dat
 
 def _lead_in_ranges(df: DataFrame, keys: Sequence[str], seq: str, name: str) -> DataFrame:
     keys = list(keys)
-    single = greatest_row(df, [*keys, seq])
-    cuts = [i / SLOTS for i in range(1, SLOTS)]
-    # At most HOT_KEYS rows of SLOTS - 1 values each.
-    ranges = df.groupBy(*keys).agg(F.percentile_approx(seq, cuts, 10 * SLOTS).alias("_cuts"))
-    slot = F.size(F.filter("_cuts", lambda cut: cut < F.col(seq)))
-    placed = single.join(F.broadcast(ranges), keys).withColumn("_slot", slot).drop("_cuts")
-    # At most HOT_KEYS * SLOTS rows of one value each.
+    single = greatest_row(df.drop("_slots"), [*keys, seq])
+    # Every tier holds fewer than 2 * HOT_KEYS values in all: `_slots` - 1 cuts per key, then one start per slot.
+    shares = F.split(F.lit(",".join(str(i / SLOTS) for i in range(1, SLOTS))), ",").cast("array<double>")
+    ranges = df.groupBy(*keys).agg(
+        F.first("_slots").alias("_slots"), F.percentile_approx(seq, shares, 10 * SLOTS).alias("_cuts")
+    )
+
+    def opens_slot(_, i):
+        return F.floor((i + 1) * F.col("_slots") / SLOTS) > F.floor(i * F.col("_slots") / SLOTS)
+
+    cuts = ranges.select(*keys, F.filter("_cuts", opens_slot).alias("_cuts"))
+    placed = single.join(F.broadcast(cuts), keys).withColumn("_slot", _count_below("_cuts", seq)).drop("_cuts")
     starts = placed.groupBy(*keys, "_slot").agg(F.min(seq).alias("_start"))
     after = starts.select(
         *keys, "_slot", F.lead("_start").over(Window.partitionBy(*keys).orderBy("_slot")).alias("_after")
@@ -63,14 +74,26 @@ def _lead_in_ranges(df: DataFrame, keys: Sequence[str], seq: str, name: str) ->
     return closed.withColumn(name, F.coalesce(name, "_after")).drop("_slot", "_after")
 
 
+def _count_below(cuts: str, value: str) -> Column:
+    """How many of the ascending `cuts` are below `value`, by binary search."""
+    steps = F.array(*[F.lit(1 << e) for e in reversed(range(SLOTS.bit_length() - 1))])
+
+    def advance(at, step):
+        return F.when(F.get(cuts, at + step - 1) < F.col(value), at + step).otherwise(at)
+
+    return F.aggregate(steps, F.lit(0), advance)
+
+
 def greatest_row(df: DataFrame, groups: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
     """The one greatest row of each group, by `order` and then by all other columns.
 
     Spark keeps only the first row per group in each map task before the shuffle, so a hot group or a pile
     of copies shrinks to one row per task.
     """
-    rest = tie_columns(df, [*groups, *order])
-    best = Window.partitionBy(*groups).orderBy(*[F.col(c).desc() for c in [*order, *rest]])
+    ranking = [*order, *tie_columns(df, [*groups, *order])]
+    if not ranking:
+        return df.dropDuplicates(list(groups))
+    best = Window.partitionBy(*groups).orderBy(*[F.col(c).desc() for c in ranking])
     return df.withColumn("_place", F.row_number().over(best)).where("_place = 1").drop("_place")
 
 

@@ -9,7 +9,8 @@ from tierflow.operators import changes as cdc
 from tierflow.operators import merge, scd
 from tierflow.operators.reduce import latest_per_key as latest
 from tierflow.plans.catalog import query
-from tierflow.plans.inputs import LATE_LOAD_SQL, LATE_TYPE, LOAD_SQL, TOPICS, events, loads
+from tierflow.plans.inputs import LATE_LOAD_SQL, LATE_TYPE, TOPICS, events, loads
+from tierflow.session import new_area
 from tierflow.sources.tables import read_table
 
 USER = ["user_id"]
@@ -91,8 +92,9 @@ def scd2_open_end(spark: SparkSession, root: str) -> DataFrame:
 def scd2_apply_batch(spark: SparkSession, root: str) -> DataFrame:
     """The middle load comes last and the final one is delivered twice."""
     log = _loads(spark, root)
-    table = scd.scd2_build(_part(log, 0, 2), USER, "ts")
-    return scd.scd2_apply(table, _part(log, 1, 2), USER, "ts")
+    stored = new_area(spark, "scd2-apply")
+    scd.scd2_build(_part(log, 0, 2), USER, "ts").write.parquet(stored)
+    return scd.scd2_apply(spark.read.parquet(stored), _part(log, 1, 2), USER, "ts")
 
 
 @query(f"SELECT * FROM ({scd2_sql()}) WHERE is_active")

@@ -9,10 +9,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tierflow.operators.changes import cdf_upsert
-from tierflow.operators.merge import merge_insert_only
+from tierflow.operators.changes import newest_images
+from tierflow.operators.merge import insert_absent, merge_upsert
 from tierflow.operators.reduce import count_keys, count_rows, latest_per_key
-from tierflow.operators.scd import current_rows, scd1_apply, scd2_build
+from tierflow.operators.scd import current_rows, scd1_build, scd2_build
 from tierflow.operators.shape import lookup_join, order_lines
 from tierflow.operators.skew import greatest_row
 from tierflow.sources.feed import reject_reason, readable_rows
@@ -50,10 +50,11 @@ def scd1_stream_into(
 ) -> StreamingQuery:
     """Keep the latest row per key of a change stream."""
 
-    def change(old: DataFrame, batch: DataFrame) -> DataFrame:
-        return scd1_apply(old, batch, state.keys, sequence_by, include_ops, op_col)
+    def latest(batch: DataFrame) -> DataFrame:
+        return scd1_build(batch, state.keys, sequence_by, include_ops, op_col)
 
-    return foreach_batch_apply(changes, change, state, checkpoint)
+    change = partial(merge_upsert, keys=state.keys, newer_col=sequence_by)
+    return foreach_batch_apply(changes, latest, change, state, checkpoint)
 
 
 def scd2_stream_into(
@@ -77,10 +78,9 @@ def orders_stream_into(
 ) -> StreamingQuery:
     """Insert each order once: state drops near repeats, the merge drops the ones that come after its eviction."""
 
-    def change(old: DataFrame, batch: DataFrame) -> DataFrame:
-        return merge_insert_only(old, batch, state.keys)
-
-    return foreach_batch_apply(dedup_stream(orders, state.keys, ts, delay, salts), change, state, checkpoint)
+    single = dedup_stream(orders, state.keys, ts, delay, salts)
+    one_per_key = partial(greatest_row, groups=state.keys)
+    return foreach_batch_apply(single, one_per_key, partial(insert_absent, keys=state.keys), state, checkpoint)
 
 
 def orders_customers_into(
@@ -89,11 +89,9 @@ def orders_customers_into(
 ) -> StreamingQuery:
     """Orders joined with the change feed of customers, newest customer image per order."""
 
-    def change(old: DataFrame, batch: DataFrame) -> DataFrame:
-        return cdf_upsert(old, batch, state.keys)
-
     joined = stream_join(orders, customer_changes, [customer_key], salts=salts)
-    return foreach_batch_apply(joined, change, state, checkpoint)
+    change = partial(merge_upsert, keys=state.keys, newer_col="processed_timestamp")
+    return foreach_batch_apply(joined, partial(newest_images, keys=state.keys), change, state, checkpoint)
 
 
 def customers_with_country(customers: DataFrame, countries: DataFrame) -> DataFrame:

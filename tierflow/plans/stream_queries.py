@@ -34,7 +34,7 @@ def bronze_stream_events(spark: SparkSession, root: str) -> DataFrame:
 def scd1_stream(spark: SparkSession, root: str) -> DataFrame:
     area = new_area(spark, "scd1")
     log = zoned(loads(spark, root, late=True), "ts").select(*FIELDS, "load")
-    state = Snapshots(f"{area}/state", log.drop("load").schema, ("user_id",), buckets=16)
+    state = Snapshots(f"{area}/state", log.drop("load").schema, ("user_id",), buckets=8)
     for _ in arrivals(log, f"{area}/landing", range(4)):
         changes = spark.readStream.schema(log.schema).parquet(f"{area}/landing").drop("load")
         layers.scd1_stream_into(changes, state, "ts", f"{area}/marks", OPS, "event_type")
@@ -60,7 +60,7 @@ def orders_insert_only_stream(spark: SparkSession, root: str) -> DataFrame:
     old = orders.where(F.col("o_orderdate") < F.lit("1998-01-01").cast("timestamp_ntz"))
     new = orders.where(F.col("o_orderdate") >= F.lit("1997-01-01").cast("timestamp_ntz"))
     log = zoned(old.withColumn("load", F.lit(0)).unionByName(new.withColumn("load", F.lit(1))), "o_orderdate")
-    state = Snapshots(f"{area}/state", log.drop("load").schema, ("o_orderkey", "o_orderdate"), buckets=16)
+    state = Snapshots(f"{area}/state", log.drop("load").schema, ("o_orderkey", "o_orderdate"), buckets=8)
     for _ in arrivals(log, f"{area}/landing", range(2), copies=2):
         feed = spark.readStream.schema(log.schema).parquet(f"{area}/landing").drop("load")
         layers.orders_stream_into(feed, state, "o_orderdate", f"{area}/marks", salts=SALTS)

@@ -137,27 +137,38 @@ class Snapshots:
         version = self.newest(spark) if version is None else version
         return self._rows(spark, self.index(spark, version))
 
-    def apply(self, batch: DataFrame, number: int, change: Callable[[DataFrame, DataFrame], DataFrame]) -> None:
-        """Write version `number`: `change(rows of the touched buckets, batch)`."""
-        spark = batch.sparkSession
-        batch.persist(StorageLevel.MEMORY_AND_DISK)
+    def apply(self, rows: DataFrame, number: int, change: Callable[[DataFrame, DataFrame], DataFrame]) -> None:
+        """Write version `number`: `change(stored rows of the touched buckets, rows)`. No rows, no version."""
+        spark = rows.sparkSession
+        rows.persist(StorageLevel.MEMORY_AND_DISK)
         try:
+            # At most `buckets` numbers. The job also fills the cache, so the size of `rows` is known to the joins.
+            touched = {r[0] for r in rows.select(self.bucket).distinct().collect()}
+            if not touched:
+                return
             places = self.index(spark, self.newest(spark, below=number))
-            touched = {r[0] for r in batch.select(self.bucket).distinct().collect()}
             old = self._rows(spark, {b: v for b, v in places.items() if b in touched})
-            changed = change(old, batch).select(*self.schema.names).withColumn("bucket", self.bucket)
+            changed = change(old, rows).select(*self.schema.names).withColumn("bucket", self.bucket)
             data = f"{self.path}/data/version={number}"
             # Rebalancing gives each bucket few files and splits buckets that are too large for one task.
             changed.hint("rebalance", F.col("bucket")).write.mode("overwrite").partitionBy("bucket").parquet(data)
-            places.update({b: number for b in _folders(spark, data, "bucket=")})
+            places.update({b: number for b in touched})
             listed = spark.createDataFrame(sorted(places.items()), "bucket int, at int")
             listed.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/index/version={number}")
         finally:
-            batch.unpersist()
+            rows.unpersist()
 
 
 def foreach_batch_apply(
-    df: DataFrame, change: Callable[[DataFrame, DataFrame], DataFrame], state: Snapshots, checkpoint: str
+    df: DataFrame,
+    reduce_rows: Callable[[DataFrame], DataFrame],
+    change: Callable[[DataFrame, DataFrame], DataFrame],
+    state: Snapshots,
+    checkpoint: str,
 ) -> StreamingQuery:
-    """Fold each micro-batch into the snapshots: `change(old rows, batch)` gives the new rows."""
-    return each_batch(df, lambda batch, number: state.apply(batch, number, change), checkpoint)
+    """Fold a stream into snapshots, micro-batch by micro-batch.
+
+    `reduce_rows(batch)` leaves one row per key and is computed once; `change(old rows, reduced rows)` gives the
+    new rows and may not lose a key.
+    """
+    return each_batch(df, lambda batch, number: state.apply(reduce_rows(batch), number, change), checkpoint)
