@@ -7,12 +7,14 @@ import pytest
 from pyspark.sql import functions as F
 from test_feed import line
 
+from tierflow.operators.changes import late_rows
 from tierflow.operators.scd import current_rows
 from tierflow.plans import layers
 from tierflow.sources.feed import raw_feed
 from tierflow.sources.registry import RETAIL
+from tierflow.sources.tables import stream_batches
 from tierflow.streaming.operators import TimeBound, dedup_stream, stream_join, tumbling_stats
-from tierflow.streaming.sinks import Snapshots, run_stream
+from tierflow.streaming.sinks import Snapshots, append_batches, run_stream
 
 TIMED = "id bigint, ts timestamp, v bigint"
 
@@ -124,8 +126,7 @@ def test_layers_end_to_end(spark, area, shop):
     lookup = spark.createDataFrame([("FR", "France"), ("IN", "India")], "code string, country string")
 
     def stream(topic):
-        path = f"{out}/bronze/{topic}"
-        return spark.readStream.schema(spark.read.parquet(path).drop("batch_id").schema).parquet(path + "/batch_id=*")
+        return stream_batches(spark, f"{out}/bronze/{topic}")
 
     def run():
         feed = raw_feed(spark, landing, streaming=True, path_glob="feed_*.json")
@@ -200,3 +201,47 @@ def test_bronze_reads_each_message_once(spark, area, shop):
         layers.bronze(feed(), RETAIL, f"{area}/out", f"{area}/marks")
     assert spark.read.parquet(f"{area}/out/books").count() == 1
     assert json.loads(raw_feed(spark, f"{area}/landing").first().value)["book_id"] == "B1"
+
+
+def test_one_file_per_micro_batch_drops_what_the_trailing_watermark_says(spark, area):
+    """Consecutive micro-batches filter with the watermark of the batch before."""
+    loads = [[(1, "2024-01-01 00:10:00", 0), (2, "2024-01-01 00:01:00", 0)],
+             [(3, "2024-01-01 00:05:00", 1), (4, "2024-01-01 00:20:00", 1)],
+             [(5, "2024-01-01 00:05:00", 2), (6, "2024-01-01 00:09:30", 2), (7, "2024-01-01 00:09:31", 2)]]
+    for number, rows in enumerate(loads):
+        land(spark, f"{area}/in", rows)
+    files = sorted((f for f in os.listdir(f"{area}/in") if f.startswith("part")),
+                   key=lambda f: os.stat(f"{area}/in/{f}").st_mtime_ns)
+    for second, name in enumerate(files):
+        os.utime(f"{area}/in/{name}", (1_700_000_000 + second, 1_700_000_000 + second))
+    rows = spark.readStream.schema(TIMED).option("maxFilesPerTrigger", 1).parquet(f"{area}/in")
+    run_stream(dedup_stream(rows, ["id", "ts"], "ts", "30 seconds"), f"{area}/out", f"{area}/marks")
+    log = spark.read.parquet(f"{area}/in")
+    late = late_rows(log, "v", "ts", "30 seconds", lag=2)
+    assert [r[0] for r in rows_of(late)] == [5, 6]
+    assert rows_of(spark.read.parquet(f"{area}/out")) == rows_of(log.exceptAll(late))
+
+
+def test_feed_files_taken_one_per_batch(spark, area, shop):
+    for number in (1, 2, 3):
+        shop(number, [book(f"B{number}", 1.0, "2024-01-01T00:00:00Z")])
+    feed = raw_feed(spark, f"{area}/landing", streaming=True, files_per_batch=1)
+    append_batches(feed.select("key"), f"{area}/out", f"{area}/marks")
+    assert sorted(r[0] for r in spark.read.parquet(f"{area}/out").select("batch_id").collect()) == [0, 1, 2]
+
+
+def test_refreshed_intervals_equal_a_read_of_the_log(spark, area):
+    def run():
+        changes = spark.readStream.schema(TIMED).parquet(f"{area}/in")
+        layers.scd2_stream_into(changes, ["id"], "ts", f"{area}/log", f"{area}/marks")
+        return layers.refresh_scd2(spark, f"{area}/log", f"{area}/table", ["id"], "ts")
+
+    land(spark, f"{area}/in", [(1, "2024-01-01 00:10:00", 1), (2, "2024-01-01 00:10:00", 1)])
+    assert run().count() == 2
+    land(spark, f"{area}/in", [(1, "2024-01-01 00:05:00", 2), (1, "2024-01-01 00:10:00", 1), (3, "2024-01-01 00:01:00", 3)])
+    key = lambda df: sorted(map(repr, df.select("id", "v", "start_date", "end_date", "is_active").collect()))
+    table = run()
+    assert table.count() == 4
+    assert key(table) == key(layers.scd2_table(spark, f"{area}/log", ["id"], "ts"))
+    assert key(run()) == key(table)
+    assert sorted(f for f in os.listdir(f"{area}/table")) == ["version=0", "version=1"]

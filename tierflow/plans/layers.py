@@ -5,20 +5,19 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import partial
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tierflow.operators.changes import newest_images
 from tierflow.operators.merge import insert_absent, merge_upsert
-from tierflow.operators.reduce import count_keys, count_rows, latest_per_key
-from tierflow.operators.scd import current_rows, scd1_build, scd2_build
+from tierflow.operators.scd import current_rows, scd1_build, scd2_apply, scd2_build
 from tierflow.operators.shape import lookup_join, order_lines
 from tierflow.operators.skew import greatest_row
 from tierflow.sources.feed import reject_reason, readable_rows
 from tierflow.sources.registry import Topic
 from tierflow.streaming.operators import dedup_stream, stream_join, tumbling_stats
-from tierflow.streaming.sinks import Snapshots, append_batches, fan_out, foreach_batch_apply
+from tierflow.streaming.sinks import Snapshots, append_batches, completed, fan_out, foreach_batch_apply
 
 # Event-time limits of the order de-duplication and of the author statistics.
 ORDER_DELAY = "30 seconds"
@@ -73,6 +72,28 @@ def scd2_table(
     return scd2_build(spark.read.parquet(path).drop("batch_id"), keys, sequence_by, open_end)
 
 
+def refresh_scd2(
+    spark: SparkSession, log_path: str, table_path: str, keys: Sequence[str], sequence_by: str
+) -> DataFrame:
+    """A stored interval table brought up to the change log.
+
+    Each refresh applies the log's batches since the last one and writes a new `version=<batch>` folder, so
+    readers of `scd2_table` over a long log can read a stored table instead.
+    """
+    log = spark.read.parquet(log_path)
+    done = completed(spark, table_path, "version=")
+    last = log.agg(F.max("batch_id")).first()[0]
+    if done is None:
+        table = scd2_build(log.drop("batch_id"), keys, sequence_by)
+    elif last > done:
+        news = log.where(F.col("batch_id") > done).drop("batch_id")
+        table = scd2_apply(spark.read.parquet(f"{table_path}/version={done}"), news, keys, sequence_by)
+    else:
+        return spark.read.parquet(f"{table_path}/version={done}")
+    table.write.mode("overwrite").parquet(f"{table_path}/version={last}")
+    return spark.read.parquet(f"{table_path}/version={last}")
+
+
 def orders_stream_into(
     orders: DataFrame, state: Snapshots, ts: str, checkpoint: str, delay: str = ORDER_DELAY, salts: int = 1
 ) -> StreamingQuery:
@@ -116,8 +137,20 @@ def author_stats(
 def reconcile(
     feed_a: DataFrame, feed_b: DataFrame, keys: Sequence[str], order_by: str, label_col: str
 ) -> DataFrame:
-    """Per feed: rows, distinct keys, and rows that are the latest of their key over both feeds."""
+    """Per feed: rows, distinct keys, and rows that are the latest of their key over both feeds.
+
+    Counts only, so the feeds are read once and shrink at each step: to one row per (feed, key, order value),
+    then per (feed, key), of which each key has at most two to compare.
+    """
     both = feed_a.withColumn(label_col, F.lit("A")).unionByName(feed_b.withColumn(label_col, F.lit("B")))
-    latest = count_rows(latest_per_key(both, keys, order_by), label_col).withColumnRenamed("n_rows", "n_latest")
-    sizes = count_rows(both, label_col).join(count_keys(both, keys, label_col), label_col)
-    return sizes.join(latest, label_col, "left").fillna(0, ["n_latest"])
+    per_value = both.groupBy(label_col, *keys, order_by).agg(F.count(F.lit(1)).alias("_n"))
+    per_key = per_value.groupBy(label_col, *keys).agg(
+        F.sum("_n").alias("_n"), F.max(F.struct(F.col(order_by).alias("at"), F.col("_n").alias("n"))).alias("_top")
+    )
+    overall = per_key.withColumn("_newest", F.max("_top.at").over(Window.partitionBy(*keys)))
+    is_latest = F.col("_top.at").eqNullSafe(F.col("_newest"))
+    return overall.groupBy(label_col).agg(
+        F.sum("_n").alias("n_rows"),
+        F.count(F.lit(1)).alias("n_keys"),
+        F.sum(F.when(is_latest, F.col("_top.n")).otherwise(0)).alias("n_latest"),
+    )

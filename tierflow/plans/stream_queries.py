@@ -52,6 +52,19 @@ def scd2_stream(spark: SparkSession, root: str) -> DataFrame:
     return layers.scd2_table(spark, f"{area}/log", ["user_id"], "ts")
 
 
+@query(scd2_sql())
+def scd2_refresh(spark: SparkSession, root: str) -> DataFrame:
+    """The interval table kept stored, brought up to the log after each late load."""
+    area = new_area(spark, "scd2-refresh")
+    log = loads(spark, root, late=True).select(*FIELDS, "load")
+    table = None
+    for _ in arrivals(log, f"{area}/landing", range(4)):
+        changes = spark.readStream.schema(log.schema).parquet(f"{area}/landing").drop("load")
+        layers.scd2_stream_into(changes, ["user_id"], "ts", f"{area}/log", f"{area}/marks")
+        table = layers.refresh_scd2(spark, f"{area}/log", f"{area}/table", ["user_id"], "ts")
+    return table
+
+
 @query("SELECT o_orderkey, o_orderdate, o_custkey, o_totalprice FROM orders")
 def orders_insert_only_stream(spark: SparkSession, root: str) -> DataFrame:
     """Two loads that share a year of orders, each delivered twice."""

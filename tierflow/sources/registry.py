@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
+from typing import Any
 
 from pyspark.sql import types as T
 
@@ -35,6 +37,12 @@ class Topic:
         return T.StructType.fromDDL(self.schema)
 
 
+def registry(entries: Iterable[Mapping[str, Any]]) -> dict[str, Topic]:
+    """Topics from configuration entries whose fields are those of `Topic`."""
+    lists = ("keys", "required")
+    return {e["name"]: Topic(**{f: tuple(v) if f in lists else v for f, v in e.items()}) for e in entries}
+
+
 RETAIL = {
     t.name: t
     for t in (

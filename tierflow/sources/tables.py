@@ -21,6 +21,15 @@ def stream_table(spark: SparkSession, root: str, name: str, schema: T.StructType
     return spark.readStream.schema(schema).parquet(f"{root}/{name}.parque[t]")
 
 
+def stream_batches(spark: SparkSession, path: str) -> DataFrame:
+    """A table of numbered batches as a stream of its rows.
+
+    A batch that was replayed after a failure may appear twice; the merges and interval tables absorb that.
+    """
+    schema = spark.read.parquet(path).drop("batch_id").schema
+    return spark.readStream.schema(schema).parquet(f"{path}/batch_id=*")
+
+
 def zoned(df: DataFrame, *columns: str) -> DataFrame:
     """Plain timestamps as instants, which watermarks need."""
     for column in columns:

@@ -6,7 +6,8 @@ replaces whatever an interrupted attempt left there. Nothing that is being read
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -16,6 +17,26 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 
+@contextmanager
+def _state_partitions(spark: SparkSession) -> Iterator[None]:
+    """Shuffle partitions for a query about to start; its checkpoint keeps the number for good.
+
+    The session's own setting counts. Where none was made and the master is local, Spark's default of 200
+    would only mean 200 tiny states for a handful of threads.
+    """
+    name = "spark.sql.shuffle.partitions"
+    context = spark.sparkContext
+    before = spark.conf.get(name)
+    if context.getConf().contains(name) or before != "200" or not context.master.startswith("local"):
+        yield
+        return
+    spark.conf.set(name, str(context.defaultParallelism))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def run_stream(
     df: DataFrame, path: str, checkpoint: str, mode: str = "append", partition_by: Sequence[str] = ()
 ) -> StreamingQuery:
@@ -23,19 +44,17 @@ def run_stream(
     writer = df.writeStream.format("parquet").outputMode(mode).option("path", path)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    query = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    with _state_partitions(df.sparkSession):
+        query = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
     return query
 
 
 def each_batch(df: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
     """Give every micro-batch of the backlog to `write` and stop."""
-    query = (
-        df.writeStream.foreachBatch(write)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    writer = df.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    with _state_partitions(df.sparkSession):
+        query = writer.trigger(availableNow=True).start()
     query.awaitTermination()
     return query
 
@@ -94,6 +113,15 @@ def _committed(spark: SparkSession, path: str) -> bool:
     return marker.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(marker)
 
 
+def completed(spark: SparkSession, path: str, prefix: str, below: int | None = None) -> int | None:
+    """Greatest n (below a limit) whose folder `<prefix>n` was written to its end."""
+    found = [
+        n for n in _folders(spark, path, prefix)
+        if (below is None or n < below) and _committed(spark, f"{path}/{prefix}{n}")
+    ]
+    return max(found, default=None)
+
+
 @dataclass(frozen=True)
 class Snapshots:
     """A table with unique keys, kept as one folder per (version, bucket of the keys).
@@ -113,12 +141,7 @@ class Snapshots:
 
     def newest(self, spark: SparkSession, below: int | None = None) -> int | None:
         """Greatest complete version, or greatest one before `below`."""
-        found = [
-            v
-            for v in _folders(spark, f"{self.path}/index", "version=")
-            if (below is None or v < below) and _committed(spark, f"{self.path}/index/version={v}")
-        ]
-        return max(found, default=None)
+        return completed(spark, f"{self.path}/index", "version=", below)
 
     def index(self, spark: SparkSession, version: int | None) -> dict[int, int]:
         if version is None:
