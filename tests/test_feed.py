@@ -6,7 +6,9 @@ import pytest
 from tierflow.sources.feed import (
     land_feed, parse_all, parse_topic, raw_feed, reject_reason, route, scan_envelopes, slice_by_file,
 )
+from tierflow.plans.layers import customers_with_country
 from tierflow.sources.registry import RETAIL
+from tierflow.sources.tables import read_lookup
 
 BOOK = {"book_id": "B01", "title": "t", "author": "a", "price": 49.5, "updated": "2025-10-20T17:20:33.507+00:00"}
 ORDER = {"order_id": "000000003996", "order_timestamp": "2021-12-29 14:03:00", "customer_id": "C00159", "quantity": 2,
@@ -91,3 +93,12 @@ def test_topic_filter_reaches_the_scan(feed):
     plan = parse_topic(feed, RETAIL["books"])._jdf.queryExecution().executedPlan().toString()
     assert "EqualTo(topic,books)" in plan
     assert "partition:" not in plan and "offset:" not in plan
+
+
+def test_lookup_with_and_without_a_given_schema(spark, area):
+    with open(f"{area}/countries.json", "w") as f:
+        f.write('{"code": "FR", "country": "France"}\n{"code": "IN", "country": "India"}\n')
+    inferred, given = read_lookup(spark, area), read_lookup(spark, area, "code STRING, country STRING")
+    assert sorted(inferred.collect()) == sorted(given.collect())
+    people = spark.createDataFrame([("a", "FR"), ("b", "XX"), ("c", None)], "id string, country_code string")
+    assert [tuple(r) for r in customers_with_country(people, given).collect()] == [("a", "France")]

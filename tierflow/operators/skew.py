@@ -28,6 +28,14 @@ def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> Da
     return sizes.where(F.col("_rows") > room).select(*keys, slots.alias("_slots"))
 
 
+def broadcast_checked(df: DataFrame, most_rows: int = 100_000) -> DataFrame:
+    """Hint a broadcast after counting that `df`, a result with few narrow rows, really is small.
+
+    Spark's own estimate for an aggregate is the size of its input, so it would shuffle the other side first.
+    """
+    return F.broadcast(df) if df.limit(most_rows + 1).count() <= most_rows else df
+
+
 def next_sequence(
     df: DataFrame, keys: Sequence[str], seq: str, name: str, hot_rows: int = HOT_ROWS
 ) -> DataFrame:

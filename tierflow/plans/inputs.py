@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -56,6 +57,6 @@ def landed_feed(spark: SparkSession, root: str, label: str) -> str:
 def arrivals(df: DataFrame, path: str, numbers: Iterable[int], copies: int = 1) -> Iterable[int]:
     """Append the loads to `path` one after the other, yielding after each; `copies` repeats the delivery."""
     for number in numbers:
-        for _ in range(copies):
-            df.where(F.col("load") == number).write.mode("append").parquet(path)
+        rows = df.where(F.col("load") == number)
+        reduce(DataFrame.union, [rows] * copies).write.mode("append").parquet(path)
         yield number

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tierflow.operators.shape import lookup_join, union_widened
 from tierflow.plans import layers
@@ -15,7 +16,7 @@ from tierflow.plans.dimension_queries import FIELDS, OPS, late_sql, latest_sql,
 from tierflow.plans.inputs import EVENT_TOPICS, arrivals, events, landed_feed, loads
 from tierflow.session import new_area
 from tierflow.sources.feed import raw_feed
-from tierflow.sources.tables import read_table, stream_table, zoned
+from tierflow.sources.tables import read_table, stream_batches, stream_table, zoned
 from tierflow.streaming.operators import dedup_stream, stream_join, tumbling_stats
 from tierflow.streaming.sinks import Snapshots, append_batches, run_stream
 
@@ -139,6 +140,32 @@ def stream_stream_join(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.parquet(f"{area}/table")
 
 
+@query("""
+    SELECT o_orderkey, o_custkey, o_totalprice, c_name,
+           CASE WHEN c_acctbal > 0 THEN c_mktsegment ELSE 'UNKNOWN' END AS c_mktsegment
+    FROM orders JOIN customer ON o_custkey = c_custkey
+""")
+def orders_customers_stream(spark: SparkSession, root: str) -> DataFrame:
+    """Orders follow the change feed of the customers table: a second load of customers corrects the first."""
+    area = new_area(spark, "orders-customers")
+    known = read_table(spark, root, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_name", "c_mktsegment",
+                                                       "c_acctbal")
+    first = known.withColumn("c_mktsegment", F.lit("UNKNOWN")).withColumn("load", F.lit(0))
+    log = first.unionByName(known.where("c_acctbal > 0").withColumn("load", F.lit(1))).drop("c_acctbal")
+    customers = Snapshots(f"{area}/customers", log.schema, ("o_custkey",), buckets=8, track_changes=True)
+    orders = stream_table(spark, root, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    fields = "o_orderkey bigint, o_custkey bigint, o_totalprice double, c_name string, c_mktsegment string"
+    joined = Snapshots(
+        f"{area}/joined", StructType.fromDDL(f"{fields}, processed_timestamp timestamp"), ("o_orderkey", "o_custkey"), 8
+    )
+    for _ in arrivals(log, f"{area}/landing", range(2)):
+        loaded = spark.readStream.schema(log.schema).parquet(f"{area}/landing")
+        layers.scd1_stream_into(loaded, customers, "load", f"{area}/marks-customers")
+        changes = stream_batches(spark, customers.changes_path).drop("load")
+        layers.orders_customers_into(orders, changes, joined, "o_custkey", f"{area}/marks-joined", salts=SALTS)
+    return joined.read(spark).drop("processed_timestamp")
+
+
 @query("SELECT event_type AS topic, count(*) AS n_rows FROM events GROUP BY event_type")
 def feed_fanout(spark: SparkSession, root: str) -> DataFrame:
     """One partitioned write per micro-batch for all topics."""

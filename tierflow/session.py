@@ -19,6 +19,7 @@ def build_session(app: str = "tierflow", master: str | None = None, **conf: str)
             "spark.sql.streaming.stateStore.providerClass",
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
         )
+        .config("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
     )
     if master:
         builder = builder.master(master)

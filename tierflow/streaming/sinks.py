@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from tierflow.operators.changes import change_feed
+
 
 @contextmanager
 def _state_partitions(spark: SparkSession) -> Iterator[None]:
@@ -128,12 +130,18 @@ class Snapshots:
 
     A version rewrites the buckets its batch touches and points at older folders for the others. The list of
     (bucket, version) pairs, at most `buckets` rows, is written last and makes the version visible.
+    With `track_changes` each version also leaves its row changes in `changes_path`, as numbered batches.
     """
 
     path: str
     schema: T.StructType
     keys: tuple[str, ...]
     buckets: int = 64
+    track_changes: bool = False
+
+    @property
+    def changes_path(self) -> str:
+        return f"{self.path}/changes"
 
     @property
     def bucket(self) -> Column:
@@ -175,6 +183,9 @@ class Snapshots:
             data = f"{self.path}/data/version={number}"
             # Rebalancing gives each bucket few files and splits buckets that are too large for one task.
             changed.hint("rebalance", F.col("bucket")).write.mode("overwrite").partitionBy("bucket").parquet(data)
+            if self.track_changes:
+                new = self._rows(spark, {b: number for b in touched})
+                write_batch(change_feed(old, new, self.keys, number), self.changes_path, number)
             places.update({b: number for b in touched})
             listed = spark.createDataFrame(sorted(places.items()), "bucket int, at int")
             listed.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/index/version={number}")
