@@ -94,4 +94,4 @@ def late_rows(log: DataFrame, batch_col: str, ts_col: str, delay: str, lag: int
     # One row per load reaches this window.
     before = Window.orderBy(batch_col).rowsBetween(Window.unboundedPreceding, -lag)
     marks = peaks.select(batch_col, (F.max("_peak").over(before) - F.expr(f"INTERVAL {delay}")).alias("_mark"))
-    return log.join(broadcast_checked(marks), batch_col).where(F.col(ts_col) <= F.col("_mark")).drop("_mark")
+    return log.join(broadcast_checked(marks), batch_col).where(F.col(ts_col) <= F.col("_mark")).select(*log.columns)

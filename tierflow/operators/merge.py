@@ -68,9 +68,8 @@ def incremental_slice(source: DataFrame, target: DataFrame, ts_col: str, first:
 
 def start_marks(spark: SparkSession, topics: Sequence[str], ts_type: str = "timestamp") -> DataFrame:
     """One row per topic with no mark yet."""
-    return spark.createDataFrame([(t,) for t in topics], "topic string").withColumn(
-        "last_processed_ts", F.lit(None).cast(ts_type)
-    )
+    names = F.explode(F.array(*[F.lit(t) for t in topics])).alias("topic")
+    return spark.range(1).select(names, F.lit(None).cast(ts_type).alias("last_processed_ts"))
 
 
 def advance_marks(marks: DataFrame, source: DataFrame, topic_col: str, ts_col: str) -> DataFrame:

@@ -81,6 +81,22 @@ def change_log(scd2: DataFrame, sequence_by: str) -> DataFrame:
     return scd2.withColumnRenamed("start_date", sequence_by).drop("end_date", "is_active")
 
 
+def split_by_batch(
+    target: DataFrame, batch: DataFrame, keys: Sequence[str], sequence_by: str
+) -> tuple[DataFrame, DataFrame]:
+    """The versions a batch cannot touch, and the change rows from which the others are to be rebuilt.
+
+    A version can change only if it ends after the earliest new sequence of its key. All other versions, and all
+    keys absent from the batch, stay as they are and need no shuffle when the batch is small enough to broadcast.
+    """
+    batch = batch.where(_sequenced(keys, sequence_by))
+    earliest = batch.groupBy(*keys).agg(F.min(sequence_by).alias("_earliest"))
+    faced = target.join(earliest, list(keys), "left")
+    settled = F.col("_earliest").isNull() | (~F.col("is_active") & (F.col("end_date") <= F.col("_earliest")))
+    reopened = change_log(faced.where(~settled).drop("_earliest"), sequence_by)
+    return faced.where(settled).select(*target.columns), reopened.unionByName(batch.select(*reopened.columns))
+
+
 def scd2_apply(
     target: DataFrame,
     batch: DataFrame,
@@ -89,19 +105,9 @@ def scd2_apply(
     open_end: Column | None = None,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """Apply change rows to an interval table; equals one build over all changes ever applied.
-
-    Only versions that a batch row of the same key can touch are rebuilt: those ending after the key's earliest
-    new sequence. All other versions, and all keys absent from the batch, pass through without a shuffle when
-    the batch is small enough to broadcast.
-    """
-    batch = batch.where(_sequenced(keys, sequence_by))
-    earliest = batch.groupBy(*keys).agg(F.min(sequence_by).alias("_earliest"))
-    faced = target.join(earliest, list(keys), "left")
-    settled = F.col("_earliest").isNull() | (~F.col("is_active") & (F.col("end_date") <= F.col("_earliest")))
-    reopened = change_log(faced.where(~settled).drop("_earliest"), sequence_by)
-    rebuilt = scd2_build(reopened.unionByName(batch.select(*reopened.columns)), keys, sequence_by, open_end, hot_rows)
-    return faced.where(settled).select(*target.columns).unionByName(rebuilt.select(*target.columns))
+    """Apply change rows to an interval table; equals one build over all changes ever applied."""
+    settled, log = split_by_batch(target, batch, keys, sequence_by)
+    return settled.unionByName(scd2_build(log, keys, sequence_by, open_end, hot_rows))
 
 
 def current_rows(scd2: DataFrame) -> DataFrame:

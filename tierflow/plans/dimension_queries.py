@@ -9,7 +9,7 @@ from tierflow.operators import changes as cdc
 from tierflow.operators import merge, scd
 from tierflow.operators.reduce import latest_per_key as latest
 from tierflow.plans.catalog import query
-from tierflow.plans.inputs import LATE_LOAD_SQL, LATE_TYPE, TOPICS, events, loads
+from tierflow.plans.inputs import LATE_LOAD_SQL, LATE_TYPE, LATER_LOAD_SQL, LOAD_SQL, TOPICS, events, loads
 from tierflow.session import new_area
 from tierflow.sources.tables import read_table
 
@@ -39,8 +39,8 @@ def _log(spark: SparkSession, root: str) -> DataFrame:
     return events(spark, root).select(*FIELDS)
 
 
-def _loads(spark: SparkSession, root: str, late: bool = False) -> DataFrame:
-    return loads(spark, root, late).select(*FIELDS, "load")
+def _loads(spark: SparkSession, root: str, schedule: str = LOAD_SQL) -> DataFrame:
+    return loads(spark, root, schedule).select(*FIELDS, "load")
 
 
 def _part(log: DataFrame, *numbers: int) -> DataFrame:
@@ -115,7 +115,7 @@ def scd2_as_of(spark: SparkSession, root: str) -> DataFrame:
 
 @query(latest_sql("user_id", f"{LATE_LOAD_SQL} <= 1"))
 def state_as_of_version(spark: SparkSession, root: str) -> DataFrame:
-    log = cdc.up_to_version(_loads(spark, root, late=True), "load", 1)
+    log = cdc.up_to_version(_loads(spark, root, LATE_LOAD_SQL), "load", 1)
     return scd.scd1_build(log.drop("load"), USER, "ts")
 
 
@@ -124,12 +124,12 @@ def state_as_of_version(spark: SparkSession, root: str) -> DataFrame:
     FROM events GROUP BY 1
 """)
 def load_history(spark: SparkSession, root: str) -> DataFrame:
-    return cdc.load_history(_loads(spark, root, late=True), "load", "ts")
+    return cdc.load_history(_loads(spark, root, LATE_LOAD_SQL), "load", "ts")
 
 
-@query(f"SELECT user_id, event_type, event_id, ts, value FROM events WHERE {LATE_LOAD_SQL} = 3")
+@query(f"SELECT user_id, event_type, event_id, ts, value FROM events WHERE {LATE_LOAD_SQL} = 2")
 def latest_batch_only(spark: SparkSession, root: str) -> DataFrame:
-    return cdc.latest_load(_loads(spark, root, late=True), "load").drop("load")
+    return cdc.latest_load(_loads(spark, root, LATE_LOAD_SQL), "load").drop("load")
 
 
 # Three states of a table keyed by (user, type): rows up to a day, the later ones without one type.
@@ -238,9 +238,9 @@ def mark_update(spark: SparkSession, root: str) -> DataFrame:
     return merge.update_where(marks, F.col("topic") == "click", last_processed_ts=newest)
 
 
-def late_sql(delay: str, lag: int) -> str:
+def late_sql(delay: str, lag: int, schedule: str = LATE_LOAD_SQL) -> str:
     return f"""
-        WITH log AS (SELECT *, CAST({LATE_LOAD_SQL} AS BIGINT) AS load FROM events),
+        WITH log AS (SELECT *, CAST({schedule} AS BIGINT) AS load FROM events),
         peaks AS (SELECT load, max(ts) AS peak FROM log GROUP BY load),
         marks AS (
             SELECT load, max(peak) OVER (ORDER BY load ROWS BETWEEN UNBOUNDED PRECEDING AND {lag} PRECEDING)
@@ -253,9 +253,9 @@ def late_sql(delay: str, lag: int) -> str:
 
 @query(late_sql("30 SECOND", 1))
 def late_rows(spark: SparkSession, root: str) -> DataFrame:
-    return cdc.late_rows(_loads(spark, root, late=True), "load", "ts", "30 seconds")
+    return cdc.late_rows(_loads(spark, root, LATE_LOAD_SQL), "load", "ts", "30 seconds")
 
 
-@query(late_sql("10 MINUTE", 2))
+@query(late_sql("10 MINUTE", 2, LATER_LOAD_SQL))
 def late_rows_in_batches(spark: SparkSession, root: str) -> DataFrame:
-    return cdc.late_rows(_loads(spark, root, late=True), "load", "ts", "10 minutes", lag=2)
+    return cdc.late_rows(_loads(spark, root, LATER_LOAD_SQL), "load", "ts", "10 minutes", lag=2)

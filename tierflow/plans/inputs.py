@@ -18,22 +18,27 @@ PAYLOAD = "event_id BIGINT, ts TIMESTAMP, user_id BIGINT, value DOUBLE, props ST
 TOPICS = ("click", "error", "purchase", "signup", "view")
 EVENT_TOPICS = {t: Topic(t, PAYLOAD, ("user_id",), "ts", required=("event_id", "ts")) for t in TOPICS}
 
-# Three loads by event time; in the late schedule one event type comes in one load after its time.
+# Three loads by event time.
 LOAD_ENDS = ("2024-01-11", "2024-01-21")
-LATE_TYPE = "error"
 LOAD_SQL = (
     f"CASE WHEN ts < TIMESTAMP '{LOAD_ENDS[0]}' THEN 0 WHEN ts < TIMESTAMP '{LOAD_ENDS[1]}' THEN 1 ELSE 2 END"
 )
-LATE_LOAD_SQL = f"({LOAD_SQL} + CASE WHEN event_type = '{LATE_TYPE}' THEN 1 ELSE 0 END)"
+# In the late schedules there are two loads by event time, but one event type comes one or two loads later.
+LATE_TYPE = "error"
+HALF_SQL = "CASE WHEN ts < TIMESTAMP '2024-01-16' THEN 0 ELSE 1 END"
+LATE_LOAD_SQL, LATER_LOAD_SQL = (
+    f"({HALF_SQL} + CASE WHEN event_type = '{LATE_TYPE}' THEN {n} ELSE 0 END)" for n in (1, 2)
+)
+LATE_LOADS = range(3)
 
 
 def events(spark: SparkSession, root: str) -> DataFrame:
     return read_table(spark, root, "events")
 
 
-def loads(spark: SparkSession, root: str, late: bool = False) -> DataFrame:
+def loads(spark: SparkSession, root: str, schedule: str = LOAD_SQL) -> DataFrame:
     """Events with the number of the load that brings them."""
-    return events(spark, root).withColumn("load", F.expr(LATE_LOAD_SQL if late else LOAD_SQL).cast("bigint"))
+    return events(spark, root).withColumn("load", F.expr(schedule).cast("bigint"))
 
 
 def envelopes(rows: DataFrame, topic: Column | None = None, value: Column | None = None) -> DataFrame:

@@ -5,13 +5,14 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import partial
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tierflow.operators.changes import newest_images
 from tierflow.operators.merge import insert_absent, merge_upsert
-from tierflow.operators.scd import current_rows, scd1_build, scd2_apply, scd2_build
+from tierflow.operators.scd import current_rows, scd1_build, scd2_build, split_by_batch
 from tierflow.operators.shape import lookup_join, order_lines
 from tierflow.operators.skew import greatest_row
 from tierflow.sources.feed import reject_reason, readable_rows
@@ -78,19 +79,26 @@ def refresh_scd2(
     """A stored interval table brought up to the change log.
 
     Each refresh applies the log's batches since the last one and writes a new `version=<batch>` folder, so
-    readers of `scd2_table` over a long log can read a stored table instead.
+    readers of `scd2_table` over a long log can read a stored table instead. The rows to rebuild are kept while
+    they are counted, split and sorted.
     """
     log = spark.read.parquet(log_path)
     done = completed(spark, table_path, "version=")
     last = log.agg(F.max("batch_id")).first()[0]
+    if done == last:
+        return spark.read.parquet(f"{table_path}/version={done}")
     if done is None:
-        table = scd2_build(log.drop("batch_id"), keys, sequence_by)
-    elif last > done:
-        news = log.where(F.col("batch_id") > done).drop("batch_id")
-        table = scd2_apply(spark.read.parquet(f"{table_path}/version={done}"), news, keys, sequence_by)
+        settled, rows = None, log.drop("batch_id")
     else:
-        return spark.read.parquet(f"{table_path}/version={done}")
-    table.write.mode("overwrite").parquet(f"{table_path}/version={last}")
+        stored, news = spark.read.parquet(f"{table_path}/version={done}"), log.where(F.col("batch_id") > done)
+        settled, rows = split_by_batch(stored, news.drop("batch_id"), keys, sequence_by)
+        rows.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        built = scd2_build(rows, keys, sequence_by)
+        table = built if settled is None else settled.unionByName(built)
+        table.write.mode("overwrite").parquet(f"{table_path}/version={last}")
+    finally:
+        rows.unpersist()
     return spark.read.parquet(f"{table_path}/version={last}")
 
 

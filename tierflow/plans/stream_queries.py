@@ -13,7 +13,7 @@ from tierflow.operators.shape import lookup_join, union_widened
 from tierflow.plans import layers
 from tierflow.plans.catalog import query
 from tierflow.plans.dimension_queries import FIELDS, OPS, late_sql, latest_sql, scd2_sql
-from tierflow.plans.inputs import EVENT_TOPICS, arrivals, events, landed_feed, loads
+from tierflow.plans.inputs import EVENT_TOPICS, LATE_LOAD_SQL, LATE_LOADS, arrivals, events, landed_feed, loads
 from tierflow.session import new_area
 from tierflow.sources.feed import raw_feed
 from tierflow.sources.tables import read_table, stream_batches, stream_table, zoned
@@ -34,9 +34,9 @@ def bronze_stream_events(spark: SparkSession, root: str) -> DataFrame:
 @query(latest_sql("user_id", f"event_type IN {OPS}"))
 def scd1_stream(spark: SparkSession, root: str) -> DataFrame:
     area = new_area(spark, "scd1")
-    log = zoned(loads(spark, root, late=True), "ts").select(*FIELDS, "load")
+    log = zoned(loads(spark, root, LATE_LOAD_SQL), "ts").select(*FIELDS, "load")
     state = Snapshots(f"{area}/state", log.drop("load").schema, ("user_id",), buckets=8)
-    for _ in arrivals(log, f"{area}/landing", range(4)):
+    for _ in arrivals(log, f"{area}/landing", LATE_LOADS):
         changes = spark.readStream.schema(log.schema).parquet(f"{area}/landing").drop("load")
         layers.scd1_stream_into(changes, state, "ts", f"{area}/marks", OPS, "event_type")
     return state.read(spark)
@@ -46,8 +46,8 @@ def scd1_stream(spark: SparkSession, root: str) -> DataFrame:
 def scd2_stream(spark: SparkSession, root: str) -> DataFrame:
     """Loads with late rows, each delivered twice."""
     area = new_area(spark, "scd2")
-    log = loads(spark, root, late=True).select(*FIELDS, "load")
-    for _ in arrivals(log, f"{area}/landing", range(4), copies=2):
+    log = loads(spark, root, LATE_LOAD_SQL).select(*FIELDS, "load")
+    for _ in arrivals(log, f"{area}/landing", LATE_LOADS, copies=2):
         changes = spark.readStream.schema(log.schema).parquet(f"{area}/landing").drop("load")
         layers.scd2_stream_into(changes, ["user_id"], "ts", f"{area}/log", f"{area}/marks")
     return layers.scd2_table(spark, f"{area}/log", ["user_id"], "ts")
@@ -57,9 +57,9 @@ def scd2_stream(spark: SparkSession, root: str) -> DataFrame:
 def scd2_refresh(spark: SparkSession, root: str) -> DataFrame:
     """The interval table kept stored, brought up to the log after each late load."""
     area = new_area(spark, "scd2-refresh")
-    log = loads(spark, root, late=True).select(*FIELDS, "load")
+    log = loads(spark, root, LATE_LOAD_SQL).select(*FIELDS, "load")
     table = None
-    for _ in arrivals(log, f"{area}/landing", range(4)):
+    for _ in arrivals(log, f"{area}/landing", LATE_LOADS):
         changes = spark.readStream.schema(log.schema).parquet(f"{area}/landing").drop("load")
         layers.scd2_stream_into(changes, ["user_id"], "ts", f"{area}/log", f"{area}/marks")
         table = layers.refresh_scd2(spark, f"{area}/log", f"{area}/table", ["user_id"], "ts")
@@ -88,8 +88,8 @@ def orders_insert_only_stream(spark: SparkSession, root: str) -> DataFrame:
 def stream_dedup(spark: SparkSession, root: str) -> DataFrame:
     """Each load delivered twice; rows behind the watermark of the loads before are dropped."""
     area = new_area(spark, "dedup")
-    log = zoned(loads(spark, root, late=True), "ts").select(*FIELDS, "load")
-    for _ in arrivals(log, f"{area}/landing", range(4), copies=2):
+    log = zoned(loads(spark, root, LATE_LOAD_SQL), "ts").select(*FIELDS, "load")
+    for _ in arrivals(log, f"{area}/landing", LATE_LOADS, copies=2):
         rows = spark.readStream.schema(log.schema).parquet(f"{area}/landing").drop("load")
         single = dedup_stream(rows, ["event_id", "ts"], "ts", layers.ORDER_DELAY, salts=SALTS)
         run_stream(single, f"{area}/table", f"{area}/marks")

@@ -21,6 +21,11 @@ def stream_table(spark: SparkSession, root: str, name: str, schema: T.StructType
     return spark.readStream.schema(schema).parquet(f"{root}/{name}.parque[t]")
 
 
+def no_rows(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    """An empty table that the optimizer knows to be empty, so that joins with it vanish."""
+    return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
 def stream_batches(spark: SparkSession, path: str) -> DataFrame:
     """A table of numbered batches as a stream of its rows.
 

@@ -6,6 +6,7 @@ replaces whatever an interrupted attempt left there. Nothing that is being read
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterator, Mapping, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass
@@ -17,6 +18,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tierflow.operators.changes import change_feed
+from tierflow.sources.tables import no_rows
 
 
 @contextmanager
@@ -100,28 +102,21 @@ def fan_out(
     return each_batch(df, write, checkpoint)
 
 
-def _folders(spark: SparkSession, path: str, prefix: str) -> list[int]:
-    """Numbers n for which a sub-folder `<prefix>n` exists."""
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = hadoop.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
-    if not fs.exists(hadoop):
-        return []
-    names = [s.getPath().getName() for s in fs.listStatus(hadoop)]
-    return sorted(int(n.removeprefix(prefix)) for n in names if n.startswith(prefix))
+def _at(spark: SparkSession, path: str):
+    """The path and the file system that holds it."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
 
 
-def _committed(spark: SparkSession, path: str) -> bool:
-    marker = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
-    return marker.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(marker)
+def _names(spark: SparkSession, path: str) -> list[str]:
+    place, fs = _at(spark, path)
+    return [s.getPath().getName() for s in fs.listStatus(place)] if fs.exists(place) else []
 
 
-def completed(spark: SparkSession, path: str, prefix: str, below: int | None = None) -> int | None:
-    """Greatest n (below a limit) whose folder `<prefix>n` was written to its end."""
-    found = [
-        n for n in _folders(spark, path, prefix)
-        if (below is None or n < below) and _committed(spark, f"{path}/{prefix}{n}")
-    ]
-    return max(found, default=None)
+def completed(spark: SparkSession, path: str, prefix: str) -> int | None:
+    """Greatest n whose folder `<prefix>n` was written to its end."""
+    numbers = sorted((int(n.removeprefix(prefix)) for n in _names(spark, path) if n.startswith(prefix)), reverse=True)
+    return next((n for n in numbers if "_SUCCESS" in _names(spark, f"{path}/{prefix}{n}")), None)
 
 
 @dataclass(frozen=True)
@@ -129,7 +124,7 @@ class Snapshots:
     """A table with unique keys, kept as one folder per (version, bucket of the keys).
 
     A version rewrites the buckets its batch touches and points at older folders for the others. The list of
-    (bucket, version) pairs, at most `buckets` rows, is written last and makes the version visible.
+    (bucket, version) pairs, at most `buckets` of them, is written last and makes the version visible.
     With `track_changes` each version also leaves its row changes in `changes_path`, as numbered batches.
     """
 
@@ -148,18 +143,36 @@ class Snapshots:
         return F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
 
     def newest(self, spark: SparkSession, below: int | None = None) -> int | None:
-        """Greatest complete version, or greatest one before `below`."""
-        return completed(spark, f"{self.path}/index", "version=", below)
+        """Greatest version, or greatest one before `below`."""
+        found = [int(n.removesuffix(".json")) for n in _names(spark, f"{self.path}/index") if n[0].isdigit()]
+        return max((v for v in found if below is None or v < below), default=None)
 
     def index(self, spark: SparkSession, version: int | None) -> dict[int, int]:
+        """Bucket -> version whose folder holds it."""
         if version is None:
             return {}
-        rows = spark.read.schema("bucket int, at int").parquet(f"{self.path}/index/version={version}")
-        return {r.bucket: r.at for r in rows.collect()}
+        place, fs = _at(spark, f"{self.path}/index/{version}.json")
+        stream = fs.open(place)
+        try:
+            text = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+        return {int(b): v for b, v in json.loads(text).items()}
+
+    def _publish(self, spark: SparkSession, version: int, places: Mapping[int, int]) -> None:
+        """Make a version visible: its index appears whole, by renaming."""
+        draft, fs = _at(spark, f"{self.path}/index/_{version}.json")
+        final, _ = _at(spark, f"{self.path}/index/{version}.json")
+        out = fs.create(draft, True)
+        out.write(bytearray(json.dumps(places).encode()))
+        out.close()
+        fs.delete(final, False)
+        if not fs.rename(draft, final):
+            raise OSError(f"cannot publish {final}")
 
     def _rows(self, spark: SparkSession, places: Mapping[int, int]) -> DataFrame:
         if not places:
-            return spark.createDataFrame([], self.schema)
+            return no_rows(spark, self.schema)
         paths = [f"{self.path}/data/version={v}/bucket={b}" for b, v in sorted(places.items())]
         return spark.read.schema(self.schema).parquet(*paths)
 
@@ -187,8 +200,7 @@ class Snapshots:
                 new = self._rows(spark, {b: number for b in touched})
                 write_batch(change_feed(old, new, self.keys, number), self.changes_path, number)
             places.update({b: number for b in touched})
-            listed = spark.createDataFrame(sorted(places.items()), "bucket int, at int")
-            listed.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/index/version={number}")
+            self._publish(spark, number, places)
         finally:
             rows.unpersist()
 
