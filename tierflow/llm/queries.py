@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierflow.llm.exact_dedup import exact_duplicates
+from tierflow.llm.near_dups import near_duplicates
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -48,3 +49,10 @@ def op3_exact_dedup(spark: SparkSession, root: str) -> DataFrame:
     return exact_duplicates(docs, columns=["doc_id"]).select(
         F.col("row.doc_id").alias("doc_id"), "keep_id", "group_size", "kept", "text_sha256"
     )
+
+
+@query()
+def op1_ngram_jaccard_join(spark: SparkSession, root: str) -> DataFrame:
+    """Every document with the class of its near copies and the number of documents linked to it."""
+    docs = table(spark, root, "documents").select("doc_id", "text")
+    return near_duplicates(docs).select("doc_id", "class_id", "links", "kept")
