@@ -7,7 +7,8 @@ the number of rounds is the logarithm of the longest text that has a rival, and
 that are not yet told apart.
 
 Skew: a group is counted with a map-side combined aggregate, so a pile of copies costs one row per map task; documents
-find their group in a sort-merge join of two plain exchanges, which adaptive execution splits at hot keys. Every round
+find their group in a sort-merge join of two plain exchanges, which adaptive execution splits at hot keys; the groups
+have no size bound, so they are never broadcast. Every round
 ends in a table in the shared folder, so lineage stays short and a lost executor repeats one round at most.
 """
 
@@ -63,7 +64,7 @@ def exact_duplicates(
         "radix-groups",
     )
     sha = F.sha2(normalised(F.col("text")).cast("binary"), 256) if digest else F.lit(None).cast("string")
-    told = first.join(rivals, first["run"] == rivals["g_run"], "left").select(
+    told = first.join(rivals.hint("merge"), first["run"] == rivals["g_run"], "left").select(
         "row",
         "id",
         sha.alias("sha"),
@@ -98,7 +99,7 @@ def exact_duplicates(
             "radix-groups",
         )
         done = F.col("g_done")
-        told = active.join(groups, (active["gid"] == groups["g_gid"]) & (active["run"] == groups["g_run"])).select(
+        told = active.join(groups.hint("merge"), (active["gid"] == groups["g_gid"]) & (active["run"] == groups["g_run"])).select(
             "row",
             "id",
             "sha",
