@@ -6,18 +6,48 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tierflow.llm.decontaminate import drop_contaminated
 from tierflow.llm.exact_dedup import drop_exact_duplicates
+from tierflow.llm.mixing import training_order
+from tierflow.llm.near_dups import drop_near_duplicates
+from tierflow.llm.quality import keep_good
 from tierflow.llm.shared import stored
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality ranking accepts; all labels may teach, as nothing is held out here."""
+    return keep_good(docs, spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet"))
+
+
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts."""
     return drop_exact_duplicates(docs)
 
 
-STAGES: list[tuple[str, Stage]] = [("exact_dedup", exact_dedup)]
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near copies."""
+    return drop_near_duplicates(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a benchmark item."""
+    return drop_contaminated(docs, spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet"))
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Readings of the documents in training order."""
+    return training_order(docs)
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("quality", quality),
+    ("exact_dedup", exact_dedup),
+    ("near_dedup", near_dedup),
+    ("decontamination", decontamination),
+    ("mixing", mixing),
+]
 
 # Learned scores and near copies have no SQL form; tests compare the stages with brute force.
 ORACLE_SQL = None

@@ -7,8 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tierflow.llm import quality
+from tierflow.llm.decontaminate import contaminated
 from tierflow.llm.exact_dedup import exact_duplicates
+from tierflow.llm.mixing import curriculum
 from tierflow.llm.near_dups import near_duplicates
+from tierflow.llm.shared import remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -56,3 +60,65 @@ def op1_ngram_jaccard_join(spark: SparkSession, root: str) -> DataFrame:
     """Every document with the class of its near copies and the number of documents linked to it."""
     docs = table(spark, root, "documents").select("doc_id", "text")
     return near_duplicates(docs).select("doc_id", "class_id", "links", "kept")
+
+
+@query()
+def op2_quality_classifier(spark: SparkSession, root: str) -> DataFrame:
+    """Quality of every document, learned from the labels that are not held out."""
+    docs = table(spark, root, "documents").select("doc_id", "text")
+    labels = table(spark, root, "labels").where(remainder(F.col("doc_id"), 4) != 2)
+    return quality.scored(docs, quality.fit(docs, labels)).select(
+        "row.doc_id", (remainder(F.col("row.doc_id"), 4) == 2).alias("held_out"), "score", "predicted"
+    )
+
+
+@query()
+def op4_benchmark_decontamination(spark: SparkSession, root: str) -> DataFrame:
+    """Documents that hold a benchmark item, with the share of the item found."""
+    docs = table(spark, root, "documents").select("doc_id", "text")
+    return contaminated(docs, table(spark, root, "benchmark")).select(
+        "doc_id", "item_id", "coverage", F.size("tiles").alias("tiles")
+    )
+
+
+@query(r"""
+    WITH sized AS (
+        SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
+            md5(coalesce(doc_id::VARCHAR, '')) AS turn
+        FROM documents
+    ), sources AS (
+        SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) AS rank
+        FROM sized GROUP BY source
+    ), ranked AS (
+        SELECT *, [5, 2, 1][((rank - 1) % 3 + 1)::INT] AS weight, [-0.5, 0.0, 0.5][((rank - 1) % 3 + 1)::INT]::DOUBLE AS ramp
+        FROM sources
+    ), filling AS (
+        SELECT *, (sum(source_size) OVER () - coalesce(sum(source_size * 3) OVER (fills ROWS BETWEEN UNBOUNDED PRECEDING
+                AND 1 PRECEDING), 0))::DOUBLE
+            / (sum(weight) OVER (fills ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))::DOUBLE AS level
+        FROM ranked WINDOW fills AS (ORDER BY source_size::DOUBLE * 3 / weight, rank)
+    ), goals AS (
+        SELECT source, source_size, ramp, least((source_size * 3)::DOUBLE,
+            max(CASE WHEN level * weight <= source_size * 3 THEN level END) OVER () * weight) AS target
+        FROM filling
+    ), placed AS (
+        SELECT d.doc_id, d.size, g.source_size, g.target, g.ramp,
+            (sum(d.size) OVER (PARTITION BY d.source ORDER BY d.turn, d.doc_id, d.size ROWS UNBOUNDED PRECEDING)
+                - d.size)::BIGINT AS "begin",
+            floor(g.target / greatest(g.source_size, 1))::BIGINT AS whole
+        FROM sized d JOIN goals g ON d.source IS NOT DISTINCT FROM g.source
+    ), mixed AS (
+        SELECT *, CASE WHEN size > 0 THEN whole * size + least(greatest(floor(target)::BIGINT - whole * source_size
+            - "begin", 0), size) ELSE 0 END::BIGINT AS taken
+        FROM placed
+    )
+    SELECT doc_id, size::BIGINT AS size, source_size, target, taken, round(CASE WHEN taken > 0 THEN
+        CASE WHEN ramp = 0 THEN "begin" / target
+        ELSE (sqrt((1 - ramp) * (1 - ramp) + 4 * ramp * ("begin" / target)) - (1 - ramp)) / (2 * ramp) END END, 9) + 0.0 AS position
+    FROM mixed
+""")
+def op5_curriculum_mix(spark: SparkSession, root: str) -> DataFrame:
+    """Words that the mix takes from every document, and when it is first read."""
+    return curriculum(table(spark, root, "documents").select("doc_id", "text", "source")).select(
+        "doc_id", "size", "source_size", "target", "taken", F.round("position", 9).alias("position")
+    )
