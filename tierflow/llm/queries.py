@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierflow.llm import quality
+from tierflow.llm import quality, toxicity
 from tierflow.llm.decontaminate import contaminated
 from tierflow.llm.exact_dedup import exact_duplicates
 from tierflow.llm.mixing import curriculum
@@ -122,3 +122,13 @@ def op5_curriculum_mix(spark: SparkSession, root: str) -> DataFrame:
     return curriculum(table(spark, root, "documents").select("doc_id", "text", "source")).select(
         "doc_id", "size", "source_size", "target", "taken", F.round("position", 9).alias("position")
     )
+
+
+@query()
+def op8_toxicity(spark: SparkSession, root: str) -> DataFrame:
+    """Toxicity of every document, learned from the labels that are not held out."""
+    docs = table(spark, root, "documents").select("doc_id", "text")
+    labels = table(spark, root, "labels").where(remainder(F.col("doc_id"), 3) != 1)
+    return toxicity.scored(docs, toxicity.learn(docs, labels), columns=["doc_id"]).select(
+        "row.doc_id", (remainder(F.col("row.doc_id"), 3) == 1).alias("held_out"), "score", "predicted"
+    )
