@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierflow.llm import quality, toxicity
+from tierflow.llm.archives import archive
 from tierflow.llm.decontaminate import contaminated
 from tierflow.llm.exact_dedup import exact_duplicates
 from tierflow.llm.mixing import curriculum
@@ -132,3 +133,29 @@ def op8_toxicity(spark: SparkSession, root: str) -> DataFrame:
     return toxicity.scored(docs, toxicity.learn(docs, labels), columns=["doc_id"]).select(
         "row.doc_id", (remainder(F.col("row.doc_id"), 3) == 1).alias("held_out"), "score", "predicted"
     )
+
+
+@query(r"""
+    WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS body FROM pages),
+    f AS (SELECT *, min(page_id) OVER (PARTITION BY body) AS first, sha1(body) AS hex FROM p),
+    b AS (
+        SELECT *, array_to_string(list_transform(string_split_regex(hex, ''), lambda c: ['0000', '0001', '0010', '0011',
+            '0100', '0101', '0110', '0111', '1000', '1001', '1010', '1011', '1100', '1101', '1110', '1111'
+            ][strpos('0123456789abcdef', c)]), '') AS bits
+        FROM f
+    )
+    SELECT page_id, octet_length(body)::BIGINT AS payload_bytes,
+        array_to_string(list_transform(range(0, 32), lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + list_sum(
+            list_transform(range(0, 5), lambda j: CASE WHEN substr(bits, 1 + k * 5 + j, 1) = '1' THEN 1 << (4 - j) ELSE 0
+            END))::BIGINT, 1)), '') AS payload_digest,
+        CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+        CASE WHEN page_id <> first THEN first END AS refers_to
+    FROM b
+""")
+def op7_legacy_archive(spark: SparkSession, root: str) -> DataFrame:
+    """Every page through legacy and WARC archives: its payload, and whether it repeats an earlier page's."""
+    return archive(table(spark, root, "pages")).select(
+        F.col("page_id").cast("bigint").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+        F.col("refers_to").cast("bigint").alias("refers_to"),
+    )
+
