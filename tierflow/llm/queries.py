@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tierflow.llm import quality, toxicity
 from tierflow.llm.archives import archive
+from tierflow.llm.backoff import backoff_scores
 from tierflow.llm.decontaminate import contaminated
 from tierflow.llm.exact_dedup import exact_duplicates
 from tierflow.llm.mixing import curriculum
@@ -231,3 +232,9 @@ def op9_url_templates(spark: SparkSession, root: str) -> DataFrame:
     return judged(table(spark, root, "pages").select("page_id", "url"), RULES).select(
         "row.page_id", "host", "path", "rule", "template", "verdict"
     )
+
+
+@query()
+def op6_backoff_score(spark: SparkSession, root: str) -> DataFrame:
+    """Language model score of every document, with counts over all documents."""
+    return backoff_scores(table(spark, root, "documents").select("doc_id", "text"))
