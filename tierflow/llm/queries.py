@@ -15,6 +15,7 @@ from tierflow.llm.exact_dedup import exact_duplicates
 from tierflow.llm.mixing import curriculum
 from tierflow.llm.near_dups import near_duplicates
 from tierflow.llm.shared import remainder
+from tierflow.llm.substrings import passages
 from tierflow.llm.url_templates import ALIKE, LEVELS, MANY, PRIOR, PRIOR_SHARE, REJECT, SELDOM, Rule, judged
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -163,6 +164,26 @@ def op7_legacy_archive(spark: SparkSession, root: str) -> DataFrame:
 
 
 
+@query(r"""
+    WITH w AS (
+        SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+    ), g AS (
+        SELECT doc_id, i, array_to_string(words[i:i + 12], ' ') AS gram
+        FROM (SELECT doc_id, words, unnest(range(1, len(words) - 11)) AS i FROM w WHERE len(words) >= 13)
+    ), f AS (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY gram) AS first FROM g),
+    r AS (SELECT DISTINCT doc_id, i + k AS place FROM f, range(0, 13) t(k) WHERE first < doc_id),
+    gone AS (SELECT doc_id, list(place) AS places FROM r GROUP BY doc_id)
+    SELECT w.doc_id, len(words)::BIGINT AS n_words, coalesce(len(places), 0)::BIGINT AS n_removed,
+        sha256(array_to_string(list_filter(words, lambda x, i: NOT coalesce(list_contains(places, i), false)), ' ')) AS kept_sha256
+    FROM w LEFT JOIN gone ON w.doc_id = gone.doc_id
+""")
+def op10_substring_dedup(spark: SparkSession, root: str) -> DataFrame:
+    """Every document without the passages that an earlier document has."""
+    return passages(table(spark, root, "documents").select("doc_id", "text")).select(
+        "doc_id", "n_words", "n_removed", "kept_sha256"
+    )
+
+
 #: Host, path and verdict of the rules.
 RULES = [
     Rule("com", "/", "allow"),
