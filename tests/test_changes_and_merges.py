@@ -35,13 +35,30 @@ def test_change_feed_sees_a_value_turn_null(spark):
     ]
 
 
+CHANGES = "k string, v bigint, _change_type string, _commit_version bigint, _commit_timestamp bigint"
+
+
 def test_cdf_upsert_takes_the_latest_new_image(spark):
-    target = spark.createDataFrame([("a", 1, 10), ("b", 1, 30)], "k string, v bigint, processed_timestamp bigint")
+    target = spark.createDataFrame(
+        [("a", 1, 1, 10), ("b", 1, 3, 30)], "k string, v bigint, processed_version bigint, processed_timestamp bigint")
     feed = spark.createDataFrame(
-        [("a", 2, "update_postimage", 1, 20), ("a", 0, "update_preimage", 1, 25), ("a", 3, "insert", 1, 15),
-         ("b", 2, "update_postimage", 1, 20), ("c", 5, "insert", 1, 1), ("d", 5, "delete", 1, 99)],
-        "k string, v bigint, _change_type string, _commit_version bigint, _commit_timestamp bigint")
-    assert rows_of(cdc.cdf_upsert(target, feed, ["k"])) == [("a", 2, 20), ("b", 1, 30), ("c", 5, 1)]
+        [("a", 2, "update_postimage", 2, 20), ("a", 0, "update_preimage", 2, 25), ("a", 3, "insert", 1, 15),
+         ("b", 2, "update_postimage", 2, 20), ("c", 5, "insert", 1, 1), ("d", 5, "delete", 1, 99)], CHANGES)
+    assert rows_of(cdc.cdf_upsert(target, feed, ["k"])) == [("a", 2, 2, 20), ("b", 1, 3, 30), ("c", 5, 1, 1)]
+
+
+def test_images_go_by_version_not_by_the_clock(spark):
+    feed = spark.createDataFrame([("a", 9, "insert", 1, 50), ("a", 1, "update_postimage", 2, 50),
+                                  ("b", 9, "insert", 1, 50), ("b", 1, "update_postimage", 2, 40)], CHANGES)
+    assert [r.v for r in cdc.newest_images(feed, ["k"]).collect()] == [1, 1]
+    target = cdc.newest_images(feed.where("_commit_version = 1"), ["k"])
+    assert [r.v for r in cdc.cdf_upsert(target, feed, ["k"]).collect()] == [1, 1]
+
+
+def test_changes_of_a_range_of_versions(spark):
+    feed = spark.createDataFrame([("a", v, "insert", v, 0) for v in range(5)], CHANGES)
+    assert [r.v for r in cdc.between_versions(feed, 1, 3).orderBy("v").collect()] == [1, 2, 3]
+    assert cdc.between_versions(feed, 3).count() == 2
 
 
 def test_merge_upsert_without_order_replaces_every_match(spark):
@@ -75,17 +92,6 @@ def test_incremental_slice_on_a_filled_and_an_empty_target(spark):
     assert merge.incremental_slice(source, done.limit(0), "at", "2024-01-04").count() == 1
 
 
-def test_late_rows_on_and_beside_the_watermark(spark):
-    rows = [(0, "00:10:00"), (0, "00:01:00"), (1, "00:09:30"), (1, "00:09:31"), (1, "00:20:00"), (2, "00:19:30"),
-            (2, "00:09:31")]
-    log = spark.createDataFrame(rows, "n int, t string").select("n", F.to_timestamp("t", "HH:mm:ss").alias("at"))
-    show = F.date_format("at", "HH:mm:ss")
-    late = cdc.late_rows(log, "n", "at", "30 seconds").select("n", show)
-    assert rows_of(late) == [(1, "00:09:30"), (2, "00:09:31"), (2, "00:19:30")]
-    trailing = cdc.late_rows(log, "n", "at", "30 seconds", lag=2).select("n", show)
-    assert rows_of(trailing) == []
-
-
 def test_load_history_and_latest_load(spark):
     log = spark.createDataFrame([(0, 5), (0, 7), (2, 1)], "n int, at int")
     assert rows_of(cdc.load_history(log, "n", "at")) == [(0, 2, 5, 7), (2, 1, 1, 1)]
@@ -124,17 +130,17 @@ def test_given_order_puts_unknown_values_last(spark):
     assert [r.c for r in df.orderBy(in_given_order("c", ["b", "a"]), "c").collect()] == ["b", "a", None, "z"]
 
 
-def test_conform_splits_rows_that_break_not_null(spark):
+def test_conform_splits_rows_that_break_not_null_and_keeps_their_values(spark):
     df = spark.createDataFrame([("1", "2.5"), ("x", "1"), ("2", None)], "id string, v string")
     good, bad = conform(df, "id BIGINT NOT NULL, v DOUBLE", required=["v"])
     assert rows_of(good) == [(1, 2.5)]
-    assert rows_of(bad) == sorted([(None, 1.0, "id"), (2, None, "v")], key=repr)
+    assert rows_of(bad) == sorted([("x", "1", "id"), ("2", None, "v")], key=repr)
 
 
-def test_long_orders_nest_into_several_bounded_arrays(spark):
-    lines = spark.range(1, 26).select(F.lit("o").alias("o"), F.col("id").alias("n"), (F.col("id") * 2).alias("q"))
-    nested = nest_lines(lines, ["o"], ["q"], "n", "items", max_items=10)
-    assert sorted(len(r["items"]) for r in nested.collect()) == [5, 10, 10]
+def test_an_order_of_any_length_is_one_row(spark):
+    lines = spark.range(1, 10_002).select(F.lit("o").alias("o"), F.col("id").alias("n"), (F.col("id") * 2).alias("q"))
+    nested = nest_lines(lines, ["o"], ["q"], "n", "items")
+    assert [len(r["items"]) for r in nested.collect()] == [10_001]
     assert rows_of(nested.select("o", F.inline("items"))) == rows_of(lines)
 
 

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tierflow.operators import scd
-from tierflow.operators.skew import HOT_KEYS, hot_keys, next_sequence
+from tierflow.operators.skew import hot_keys, next_sequence
 
 LOG = "k string, seq bigint, a string, b bigint"
 
@@ -113,25 +113,45 @@ def test_scd1_apply_replaces_only_by_a_greater_sequence(spark):
     assert rows == {("a", 2, "x", 1), ("b", 2, "x", 1), ("c", 3, "y", 2), ("d", 1, "y", 2)}
 
 
-def test_hot_keys_are_few_and_their_slots_bounded(spark):
-    rows = spark.range(100_000).select(
-        F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id") % 20_000).alias("k"), F.col("id").alias("seq")
-    )
-    hot = hot_keys(rows, ["k"], hot_rows=1).collect()
-    assert len(hot) < HOT_KEYS
-    assert {r.k: r._slots for r in hot}[-1] == 1024
-    assert sum(r._slots for r in hot) < 2 * HOT_KEYS
-
-
-def test_a_hot_key_and_a_pile_of_copies_are_split_without_loss(spark):
-    rows = spark.range(30_000).select(
-        F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id") % 500).alias("k"), F.col("id").alias("seq")
-    )
-    copies = spark.range(15_000).select(F.lit(-1).alias("k"), F.lit(3).cast("bigint").alias("seq"))
-    log = rows.unionByName(copies.select(F.col("k").cast("bigint").alias("k"), "seq"))
-    got = {(r.k, r.seq): r.nxt for r in next_sequence(log, ["k"], "seq", "nxt", hot_rows=1000).collect()}
-    values = {}
-    for i in range(30_000):
-        values.setdefault(-1 if i % 3 == 0 else i % 500, []).append(i)
-    want = {(k, s): t for k, seqs in values.items() for s, t in zip(seqs, [*seqs[1:], None])}
-    assert got == want
+def test_hot_keys_are_those_above_the_limit_null_among_them(spark):
+    rows = spark.range(3000).select(F.when(F.col("id") % 3 > 0, F.col("id") % 20).alias("k"), F.col("id").alias("seq"))
+    assert {(r._key.k0, r._rows) for r in hot_keys(rows, ["k"], hot_rows=999).collect()} == {(None, 1000)}
+    assert hot_keys(rows, ["k"], hot_rows=1000).isEmpty()
+
+
+def plain_lead(rows):
+    """(row, next sequence) of each row, NULLs first, then by all columns."""
+    order = lambda v: (v is not None, v) if v is not None else (False,)
+    by_key = {}
+    for row in rows:
+        by_key.setdefault(row[0], []).append(row)
+    out = []
+    for own in by_key.values():
+        own.sort(key=lambda r: [order(v) for v in r[1:]])
+        out += [(*a, b[1]) for a, b in zip(own, [*own[1:], (None, None)])]
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("kind", ["bigint", "string"])
+@pytest.mark.parametrize("hot_rows", [1, 60, 10**9])
+def test_lead_keeps_every_row_whatever_the_size_of_a_key(spark, kind, hot_rows):
+    """Ties, copies, NULL sequences and NULL keys give the same rows in one window or in ranges."""
+    rng = random.Random(3)
+    rows = []
+    for _ in range(500):
+        key = rng.choice(["hot", "hot", None, *(f"k{i}" for i in range(8))])
+        seq = rng.choice([None, *range(30)])
+        rows.append((key, seq if kind == "bigint" or seq is None else f"s{seq:02d}", rng.choice("xyz")))
+    rows += [("hot", rows[0][1], "x")] * 150
+    got = next_sequence(spark.createDataFrame(rows, f"k string, seq {kind}, a string"), ["k"], "seq", "nxt", hot_rows)
+    assert sorted((tuple(r) for r in got.collect()), key=repr) == plain_lead(rows)
+
+
+def test_a_hot_key_and_a_pile_of_copies_are_cut_into_ranges(spark):
+    from tierflow.operators import skew
+
+    rows = spark.range(30_000).select(F.lit(-1).alias("k"), F.least("id", F.lit(9_000)).alias("seq"))
+    keyed = rows.withColumn("_key", skew.key_struct(["k"])).join(hot_keys(rows, ["k"], 1000), "_key")
+    got = skew._lead_in_ranges(keyed, ["k"], "seq", "nxt", 1000)
+    assert got.count() == 30_000 and got.where("nxt IS NULL").count() == 1
+    assert got.where("seq < 9000 AND nxt <> seq + 1").isEmpty() and got.where("nxt = 9000").count() == 21_000

@@ -4,7 +4,7 @@ import json
 import pytest
 
 from tierflow.sources.feed import (
-    land_feed, parse_all, parse_topic, raw_feed, reject_reason, route, scan_envelopes, slice_by_file,
+    land_feed, parse_all, parse_topic, raw_feed, route, scan_envelopes, slice_by_file, sort_out,
 )
 from tierflow.plans.layers import customers_with_country
 from tierflow.sources.registry import RETAIL
@@ -56,7 +56,7 @@ def test_every_message_is_routed_or_quarantined(feed):
     reasons = sorted(r.reason for r in quarantine.collect())
     assert reasons == ["no topic", "no topic", "unknown topic", "unreadable value", "unreadable value"]
     assert sum(df.count() for df in known.values()) + quarantine.count() == feed.count()
-    assert feed.where(reject_reason(RETAIL).isNull()).count() == 4
+    assert sort_out(feed, RETAIL).where("reason IS NULL").count() == 4
 
 
 def test_all_topics_in_one_pass(feed):
@@ -65,6 +65,12 @@ def test_all_topics_in_one_pass(feed):
     assert sum(r.books is not None for r in rows) == 4 and sum(r.orders is not None for r in rows) == 2
 
 
+def test_a_message_is_parsed_once(feed):
+    plan = sort_out(feed, RETAIL).where("reason IS NOT NULL").select("topic", "reason")
+    text = plan._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("from_json(") == len(RETAIL)
+
+
 def test_landed_feed_reads_back(spark, feed, area):
     envelopes = scan_envelopes(spark, area).where("topic IS NOT NULL")
     landed = land_feed(envelopes, f"{area}/again")

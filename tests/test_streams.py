@@ -7,14 +7,13 @@ import pytest
 from pyspark.sql import functions as F
 from test_feed import line
 
-from tierflow.operators.changes import late_rows
 from tierflow.operators.scd import current_rows
 from tierflow.plans import layers
 from tierflow.sources.feed import raw_feed
 from tierflow.sources.registry import RETAIL
-from tierflow.sources.tables import stream_batches
+from tierflow.sources.tables import read_batches, stream_batches
 from tierflow.streaming.operators import TimeBound, dedup_stream, stream_join, tumbling_stats
-from tierflow.streaming.sinks import Snapshots, append_batches, run_stream
+from tierflow.streaming.sinks import KeyedLog, append_batches, run_stream
 
 TIMED = "id bigint, ts timestamp, v bigint"
 
@@ -68,28 +67,69 @@ def test_bounded_stream_join_keeps_pairs_within_reach(spark, area, salts):
     assert rows_of(spark.read.parquet(f"{area}/out").select("id", "l_v", "r_v")) == [(1, 1, 7)]
 
 
-def test_snapshots_survive_a_replayed_batch_and_an_unfinished_one(spark, area):
-    rows = spark.createDataFrame([(i, i) for i in range(20)], "k bigint, v bigint")
-    state = Snapshots(area, rows.schema, ("k",), buckets=4)
+PAIR = "k bigint, v bigint"
+
+
+def size_of(folder):
+    return sum(os.path.getsize(f"{d}/{f}") for d, _, names in os.walk(folder) for f in names if f.endswith(".parquet"))
+
+
+@pytest.mark.parametrize("track", [False, True])
+def test_a_keyed_table_survives_new_checkpoints_other_streams_and_replays(spark, area, track):
+    table = KeyedLog(f"{area}/table", spark.createDataFrame([], PAIR).schema, ("k",), ("v",))
+
+    def run(name, mark):
+        rows = spark.readStream.schema(PAIR).parquet(f"{area}/{name}")
+        layers.scd1_stream_into(rows, table, f"{area}/marks-{mark}", track=track)
+
+    assert table.read(spark).isEmpty()
+    land(spark, f"{area}/a", [(1, 10), (2, 10)], PAIR)
+    run("a", "a")
+    land(spark, f"{area}/a", [(2, 30), (3, 30), (1, 5)], PAIR)
+    run("a", "a")
+    assert rows_of(table.read(spark)) == [(1, 10), (2, 30), (3, 30)]
+    run("a", "a-again")  # the same stream from a new checkpoint
+    land(spark, f"{area}/b", [(1, 40)], PAIR)
+    run("b", "b")
+    want = [(1, 40), (2, 30), (3, 30)]
+    assert rows_of(table.read(spark)) == want
+    table.compact(spark)
+    assert rows_of(table.read(spark)) == want
+    land(spark, f"{area}/b", [(4, 1)], PAIR)
+    run("b", "b")
+    assert rows_of(table.read(spark)) == [*want, (4, 1)]
+    if track:
+        changes = read_batches(spark, table.changes_path)
+        assert rows_of(changes.select("_commit_version", "k", "v", "_change_type")) == [
+            (0, 1, 10, "insert"), (0, 2, 10, "insert"), (1, 2, 10, "update_preimage"), (1, 2, 30, "update_postimage"),
+            (1, 3, 30, "insert"), (2, 1, 10, "update_preimage"), (2, 1, 40, "update_postimage"), (3, 4, 1, "insert")]
+
+
+def test_a_replayed_batch_replaces_itself_and_costs_its_own_rows(spark, area):
+    table = KeyedLog(f"{area}/table", spark.createDataFrame([], PAIR).schema, ("k",), ("v",))
+    table.append(spark.range(20_000).select(F.col("id").alias("k"), F.col("id").alias("v")), 0)
+    whole = size_of(f"{area}/table")
+    for _ in range(2):
+        table.append(spark.createDataFrame([(3, 99_999)], PAIR), 1)
+    assert size_of(f"{area}/table") - whole < whole / 20
+    assert table.read(spark).count() == 20_000 and table.read(spark).where("v = 99999").count() == 1
+
 
-    def change(old, new):
-        return old.join(new, "k", "left_anti").unionByName(new)
+def test_what_came_first_stays(spark, area):
+    table = KeyedLog(f"{area}/table", spark.createDataFrame([], PAIR).schema, ("k",), first=True)
+    for number, rows in enumerate([[(1, 5)], [(1, 9), (2, 9)], [(2, 1)]]):
+        table.append(spark.createDataFrame(rows, PAIR), number)
+        assert rows_of(table.read(spark)) == [(1, 5), (2, 9)][: number + 1]
+    table.compact(spark)
+    table.append(spark.createDataFrame([(1, 7), (3, 7)], PAIR), 3)
+    assert rows_of(table.read(spark)) == [(1, 5), (2, 9), (3, 7)]
 
-    assert state.read(spark).isEmpty()
-    state.apply(rows, 0, change)
-    one = spark.createDataFrame([(3, 99)], "k bigint, v bigint")
-    state.apply(one, 2, change)
-    state.apply(one.where("k < 0"), 3, change)
-    want = sorted([(i, i) for i in range(20) if i != 3] + [(3, 99)])
-    assert rows_of(state.read(spark)) == want
-    assert state.newest(spark) == 2 and len(state.index(spark, 2)) == 4
-    assert sorted(state.index(spark, 2).values()) == [0, 0, 0, 2]
-    # An attempt that stopped before its index was written leaves data only; the replay overwrites it.
-    spark.createDataFrame([(5, -1)], "k bigint, v bigint").write.parquet(f"{area}/data/version=4/bucket=0")
-    assert rows_of(state.read(spark)) == want
-    state.apply(one.withColumn("v", F.lit(100).cast("bigint")), 4, change)
-    assert (3, 100) in rows_of(state.read(spark)) and state.read(spark).count() == 20
-    assert rows_of(state.read(spark, version=0)) == [(i, i) for i in range(20)]
+
+def test_appended_batches_survive_a_second_checkpoint(spark, area):
+    for mark in "AB":
+        land(spark, f"{area}/in-{mark}", [(1 if mark == "A" else 2, 0)], PAIR)
+        append_batches(spark.readStream.schema(PAIR).parquet(f"{area}/in-{mark}"), f"{area}/out", f"{area}/marks-{mark}")
+    assert rows_of(read_batches(spark, f"{area}/out").select("k")) == [(1,), (2,)]
 
 
 @pytest.fixture
@@ -119,14 +159,14 @@ def order(ident, at, who, *lines):
 
 def test_layers_end_to_end(spark, area, shop):
     landing, out = f"{area}/landing", f"{area}/out"
-    customers = Snapshots(f"{out}/customers", spark.createDataFrame(
+    customers = KeyedLog(f"{out}/customers", spark.createDataFrame(
         [], "customer_id string, city string, country string, row_status string, row_time timestamp").schema,
-        ("customer_id",), buckets=4)
-    orders = Snapshots(f"{out}/orders", RETAIL["orders"].struct, RETAIL["orders"].keys, buckets=4)
+        ("customer_id",), ("row_time",))
+    orders = KeyedLog(f"{out}/orders", RETAIL["orders"].struct, RETAIL["orders"].keys, first=True)
     lookup = spark.createDataFrame([("FR", "France"), ("IN", "India")], "code string, country string")
 
     def stream(topic):
-        return stream_batches(spark, f"{out}/bronze/{topic}")
+        return layers.bronze_topic(spark, f"{out}/bronze", RETAIL[topic], streaming=True)
 
     def run():
         feed = raw_feed(spark, landing, streaming=True, path_glob="feed_*.json")
@@ -134,7 +174,7 @@ def test_layers_end_to_end(spark, area, shop):
         layers.scd2_stream_into(stream("books").drop("source_file", "insert_ts", "key", "create_ts"), ["book_id"],
                                 "updated", f"{out}/books", f"{out}/marks/books")
         layers.scd1_stream_into(layers.customers_with_country(stream("customers"), lookup).select(
-            *customers.schema.names), customers, "row_time", f"{out}/marks/customers", ("insert", "update"), "row_status")
+            *customers.schema.names), customers, f"{out}/marks/customers", ("insert", "update"), "row_status")
         layers.orders_stream_into(stream("orders"), orders, "order_timestamp", f"{out}/marks/orders", salts=2)
 
     shop(1, [book("B1", 49.0, "2024-01-01T00:00:00Z"), book("B2", 10.0, "2024-01-01T00:00:00Z", "Z"),
@@ -161,10 +201,11 @@ def test_layers_end_to_end(spark, area, shop):
         ("C1", "Paris", "France"), ("C2", "Pune", "India")]
     bought = orders.read(spark)
     assert rows_of(bought.select("order_id", F.size("books"))) == [("O1", 2), ("O2", 1), ("O3", 0)]
-    assert sorted(r.reason for r in spark.read.parquet(f"{out}/bronze/quarantine").collect()) == [
+    assert sorted(r.reason for r in layers.bronze_quarantine(spark, f"{out}/bronze").collect()) == [
         "unknown topic", "unreadable value"]
+    assert layers.bronze_feed(spark, f"{out}/bronze").count() == 17
 
-    lines = layers.orders_books(bought, books)
+    lines = layers.orders_books(bought, layers.keep_current(books, f"{out}/currentbooks"))
     assert rows_of(lines.select("order_id", "line_book_id", "line_quantity", "price")) == [
         ("O1", "B1", 2, 69.0), ("O1", "B2", 1, 10.0), ("O2", "B1", 4, 69.0)]
     stats = layers.author_stats(lines, "order_timestamp", "order_id", "line_quantity")
@@ -177,21 +218,25 @@ def test_orders_take_the_newest_customer_image(spark, area):
     feed = "customer_id string, city string, _change_type string, _commit_version bigint, _commit_timestamp bigint"
     changes = [("C1", "Lyon", "insert", 1, 10), ("C1", "Lyon", "update_preimage", 2, 20),
                ("C1", "Paris", "update_postimage", 2, 20), ("C2", "Pune", "insert", 1, 10)]
-    spark.createDataFrame(changes, feed).write.parquet(f"{area}/changes")
-    state = Snapshots(f"{area}/state", spark.createDataFrame(
-        [], "order_id string, customer_id string, city string, processed_timestamp bigint").schema,
-        ("order_id", "customer_id"), buckets=4)
+    spark.createDataFrame(changes, feed).write.parquet(f"{area}/changes/query=x/batch_id=0")
+    stored = KeyedLog(f"{area}/stored", spark.createDataFrame([], fields).schema, ("order_id",))
+    joined = KeyedLog(f"{area}/joined", spark.createDataFrame(
+        [], f"{fields}, city string, processed_version bigint, processed_timestamp bigint").schema,
+        ("order_id", "customer_id"), ("processed_version", "processed_timestamp"))
 
     def run():
         layers.orders_customers_into(
             spark.readStream.schema(fields).parquet(f"{area}/orders"),
-            spark.readStream.schema(feed).parquet(f"{area}/changes"), state, "customer_id", f"{area}/marks", salts=2)
+            spark.readStream.schema(feed).parquet(f"{area}/changes/query=x"), stored, joined, "customer_id",
+            f"{area}/marks", f"{area}/changes")
+        return rows_of(joined.read(spark))
 
-    run()
-    assert rows_of(state.read(spark)) == [("O1", "C1", "Paris", 20), ("O2", "C2", "Pune", 10)]
-    spark.createDataFrame([("C2", "Delhi", "update_postimage", 3, 30)], feed).write.mode("append").parquet(f"{area}/changes")
-    run()
-    assert rows_of(state.read(spark)) == [("O1", "C1", "Paris", 20), ("O2", "C2", "Delhi", 30)]
+    assert run() == [("O1", "C1", "Paris", 2, 20), ("O2", "C2", "Pune", 1, 10)]
+    late = [("C2", "Delhi", "update_postimage", 3, 5), ("C9", "Oslo", "insert", 3, 5)]
+    spark.createDataFrame(late, feed).write.mode("append").parquet(f"{area}/changes/query=x/batch_id=1")
+    spark.createDataFrame([("O4", "C1")], fields).write.mode("append").parquet(f"{area}/orders")
+    assert run() == run() == [("O1", "C1", "Paris", 2, 20), ("O2", "C2", "Delhi", 3, 5), ("O3", "C9", "Oslo", 3, 5),
+                              ("O4", "C1", "Paris", 2, 20)]
 
 
 def test_bronze_reads_each_message_once(spark, area, shop):
@@ -199,7 +244,7 @@ def test_bronze_reads_each_message_once(spark, area, shop):
     feed = lambda: raw_feed(spark, f"{area}/landing", streaming=True)
     for _ in range(2):
         layers.bronze(feed(), RETAIL, f"{area}/out", f"{area}/marks")
-    assert spark.read.parquet(f"{area}/out/books").count() == 1
+    assert layers.bronze_topic(spark, f"{area}/out", RETAIL["books"]).count() == 1
     assert json.loads(raw_feed(spark, f"{area}/landing").first().value)["book_id"] == "B1"
 
 
@@ -216,10 +261,7 @@ def test_one_file_per_micro_batch_drops_what_the_trailing_watermark_says(spark,
         os.utime(f"{area}/in/{name}", (1_700_000_000 + second, 1_700_000_000 + second))
     rows = spark.readStream.schema(TIMED).option("maxFilesPerTrigger", 1).parquet(f"{area}/in")
     run_stream(dedup_stream(rows, ["id", "ts"], "ts", "30 seconds"), f"{area}/out", f"{area}/marks")
-    log = spark.read.parquet(f"{area}/in")
-    late = late_rows(log, "v", "ts", "30 seconds", lag=2)
-    assert [r[0] for r in rows_of(late)] == [5, 6]
-    assert rows_of(spark.read.parquet(f"{area}/out")) == rows_of(log.exceptAll(late))
+    assert [r[0] for r in rows_of(spark.read.parquet(f"{area}/out"))] == [1, 2, 3, 4, 7]
 
 
 def test_feed_files_taken_one_per_batch(spark, area, shop):
@@ -227,7 +269,7 @@ def test_feed_files_taken_one_per_batch(spark, area, shop):
         shop(number, [book(f"B{number}", 1.0, "2024-01-01T00:00:00Z")])
     feed = raw_feed(spark, f"{area}/landing", streaming=True, files_per_batch=1)
     append_batches(feed.select("key"), f"{area}/out", f"{area}/marks")
-    assert sorted(r[0] for r in spark.read.parquet(f"{area}/out").select("batch_id").collect()) == [0, 1, 2]
+    assert sorted(r[0] for r in read_batches(spark, f"{area}/out").select("batch_id").collect()) == [0, 1, 2]
 
 
 def test_refreshed_intervals_equal_a_read_of_the_log(spark, area):
@@ -244,4 +286,20 @@ def test_refreshed_intervals_equal_a_read_of_the_log(spark, area):
     assert table.count() == 4
     assert key(table) == key(layers.scd2_table(spark, f"{area}/log", ["id"], "ts"))
     assert key(run()) == key(table)
-    assert sorted(f for f in os.listdir(f"{area}/table")) == ["version=0", "version=1"]
+    # Only what changed was written: two versions of key 1 that meet the late row, and the new key.
+    written = spark.read.parquet(f"{area}/table/log").where("refresh = 1")
+    assert rows_of(written.select("id", "v")) == [(1, 2), (3, 3)]
+
+
+def test_a_refresh_writes_the_versions_of_the_changed_key_only(spark, area):
+    def run():
+        changes = spark.readStream.schema(TIMED).parquet(f"{area}/in")
+        layers.scd2_stream_into(changes, ["id"], "ts", f"{area}/log", f"{area}/marks")
+        return layers.refresh_scd2(spark, f"{area}/log", f"{area}/table", ["id"], "ts")
+
+    land(spark, f"{area}/in", [(i, "2024-01-01 00:10:00", 1) for i in range(500)])
+    run()
+    land(spark, f"{area}/in", [(7, "2024-01-02 00:00:00", 2)])
+    table = run()
+    assert table.count() == 501 and table.where("is_active").count() == 500
+    assert spark.read.parquet(f"{area}/table/log/refresh=1").count() == 2

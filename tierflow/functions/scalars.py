@@ -15,6 +15,11 @@ def ingest_stamp(zone: str = "UTC") -> Column:
     return F.from_utc_timestamp(F.current_timestamp(), zone)
 
 
+def ingest_stamp_text(zone: str = "UTC", pattern: str = "yyyy-MM-dd HH:mm:ss") -> Column:
+    """The same moment as `ingest_stamp` in the same query, as text."""
+    return F.date_format(ingest_stamp(zone), pattern)
+
+
 def wall_clock(ts: Column, zone: str) -> Column:
     """UTC instant shown on the clock of `zone`."""
     return F.from_utc_timestamp(ts, zone)

@@ -1,15 +1,14 @@
-"""Change feeds between snapshots, version reads by load number, and load audits."""
+"""Change feeds between snapshots, version ranges, reads by load number, and load audits."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tierflow.operators.merge import merge_upsert
-from tierflow.operators.reduce import latest_per_key
-from tierflow.operators.skew import broadcast_checked
+from tierflow.operators.merge import absent_from
+from tierflow.operators.skew import greatest_row
 
 # The kinds of change and the ones that carry a new row.
 INSERT, BEFORE, AFTER, DELETE = "insert", "update_preimage", "update_postimage", "delete"
@@ -53,17 +52,38 @@ def replay(before: DataFrame, changes: DataFrame, keys: Sequence[str]) -> DataFr
     return before.join(gone, keys, "left_anti").unionByName(fresh)
 
 
-def newest_images(changes: DataFrame, keys: Sequence[str], commit_col: str = "_commit_timestamp") -> DataFrame:
-    """The latest committed new image per key, its commit time as `processed_timestamp`."""
-    latest = latest_per_key(changes, keys, commit_col, ties="one", where=F.col("_change_type").isin(*NEW_ROWS))
-    return latest.withColumnRenamed(commit_col, "processed_timestamp").drop("_change_type", "_commit_version")
+#: Commits are ordered by version; the time only tells when.
+COMMIT = ("_commit_version", "_commit_timestamp")
 
 
-def cdf_upsert(
-    target: DataFrame, changes: DataFrame, keys: Sequence[str], commit_col: str = "_commit_timestamp"
-) -> DataFrame:
-    """Merge the newest images of a change feed, replacing rows processed earlier."""
-    return merge_upsert(target, newest_images(changes, keys, commit_col), keys, "processed_timestamp")
+def between_versions(changes: DataFrame, first: int, last: int | None = None) -> DataFrame:
+    """The changes of versions `first` to `last`, both included; all from `first` on without `last`."""
+    wanted = F.col("_commit_version") >= first
+    return changes.where(wanted if last is None else wanted & (F.col("_commit_version") <= last))
+
+
+def newest_images(changes: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The last committed new image per key, with its commit as `processed_version` and `processed_timestamp`."""
+    images = changes.where(F.col("_change_type").isin(*NEW_ROWS)).drop("_change_type")
+    return greatest_row(images, keys, COMMIT).withColumnsRenamed(
+        {"_commit_version": "processed_version", "_commit_timestamp": "processed_timestamp"}
+    )
+
+
+def cdf_upsert(target: DataFrame, changes: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Merge the newest images of a change feed over rows that carry the commit they were processed at.
+
+    A stored row gives way to an image of a later version, or of the same version and a later time.
+    """
+    columns = target.columns
+    images = newest_images(changes, keys).select(*columns)
+    offered = images.select(*keys, F.struct(*columns).alias("_new"))
+    later = F.struct("_new.processed_version", "_new.processed_timestamp") > F.struct("processed_version", "processed_timestamp")
+    replace = F.coalesce(F.col("_new").isNotNull() & later, F.lit(False))
+    kept = target.join(offered, list(keys), "left").select(
+        *[F.when(replace, F.col(f"_new.{c}")).otherwise(F.col(c)).alias(c) for c in columns]
+    )
+    return kept.unionByName(absent_from(images, target, keys))
 
 
 def up_to_version(log: DataFrame, version_col: str, version: int) -> DataFrame:
@@ -81,17 +101,3 @@ def load_history(log: DataFrame, batch_col: str, ts_col: str) -> DataFrame:
 def latest_load(log: DataFrame, batch_col: str) -> DataFrame:
     """Rows of the newest load only."""
     return log.where(F.col(batch_col) == log.agg(F.max(batch_col).alias("_newest")).scalar())
-
-
-def late_rows(log: DataFrame, batch_col: str, ts_col: str, delay: str, lag: int = 1) -> DataFrame:
-    """Rows a watermark of `delay` drops when loads arrive in `batch_col` order.
-
-    Load n is filtered with the greatest `ts_col` of the loads before it (lag=1: each load is a run of its own,
-    which ends with the watermark moved; lag=2: loads are consecutive micro-batches, where the filter trails
-    one batch). A row on the watermark is late.
-    """
-    peaks = log.groupBy(batch_col).agg(F.max(ts_col).alias("_peak"))
-    # One row per load reaches this window.
-    before = Window.orderBy(batch_col).rowsBetween(Window.unboundedPreceding, -lag)
-    marks = peaks.select(batch_col, (F.max("_peak").over(before) - F.expr(f"INTERVAL {delay}")).alias("_mark"))
-    return log.join(broadcast_checked(marks), batch_col).where(F.col(ts_col) <= F.col("_mark")).select(*log.columns)

@@ -1,7 +1,7 @@
 """MERGE, UPDATE and incremental slices as joins over snapshots.
 
-A merge never shuffles a large target for a small batch: the batch is the build side of a left and of a semi
-join, which adaptive execution broadcasts when its measured size allows and sort-merges otherwise.
+An upsert never shuffles a large target for a small batch: the batch is the build side of a left join, which adaptive
+execution broadcasts when its measured size allows and sort-merges otherwise. New keys are found by one anti join.
 """
 
 from __future__ import annotations
@@ -19,9 +19,7 @@ FIRST_TS = "1900-01-01 00:00:00"
 
 def absent_from(source: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Source rows whose key the target lacks (a NULL key is never found)."""
-    keys = list(keys)
-    known = target.select(*keys).join(source.select(*keys), keys, "left_semi")
-    return source.join(known, keys, "left_anti")
+    return source.join(target.select(*keys), list(keys), "left_anti")
 
 
 def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], newer_col: str | None = None) -> DataFrame:

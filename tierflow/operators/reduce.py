@@ -6,10 +6,13 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tierflow.operators.skew import greatest_row
+from tierflow.operators.skew import greatest_row, tie_columns
+
+#: Parts of a key among which its tied rows are ranked.
+SALTS = 16
 
 
 def latest_per_key(
@@ -18,9 +21,9 @@ def latest_per_key(
     """Rows with the greatest `order_by` of their key.
 
     ties="one": a single row per key, ties broken by the remaining columns.
-    ties="all": every row that rank() = 1 would give. All rows of a key may tie, so instead of ranking them
-    in one task the maximum is aggregated (map-side combined) and joined back; adaptive execution
-    broadcasts the maxima when small and splits skewed keys otherwise.
+    ties="all": every row that rank() = 1 would give. All rows of a key may tie, so they are ranked within
+    `SALTS` parts of the key, where Spark drops all but the first rank in each map task before the shuffle;
+    what is left meets its key's maximum in a join whose skewed keys adaptive execution can split.
     """
     if where is not None:
         df = df.where(where)
@@ -28,9 +31,13 @@ def latest_per_key(
         return greatest_row(df, keys, [order_by])
     if ties != "all":
         raise ValueError(f"ties must be 'all' or 'one', not {ties!r}")
-    top = df.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(F.max(order_by).alias("_top"))
-    same_key = [df[k].eqNullSafe(top[f"_{k}"]) for k in keys]
-    return df.join(top, reduce(and_, [*same_key, df[order_by].eqNullSafe(top["_top"])]), "left_semi")
+    spread = tie_columns(df, [*keys, order_by]) or [order_by]
+    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(SALTS)))
+    within = Window.partitionBy(*keys, "_salt").orderBy(F.col(order_by).desc())
+    first = salted.withColumn("_rank", F.rank().over(within)).where("_rank = 1").drop("_rank", "_salt")
+    top = first.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(F.max(order_by).alias("_top"))
+    same_key = [first[k].eqNullSafe(top[f"_{k}"]) for k in keys]
+    return first.join(top, reduce(and_, [*same_key, first[order_by].eqNullSafe(top["_top"])]), "left_semi")
 
 
 def count_rows(df: DataFrame, *by: str) -> DataFrame:

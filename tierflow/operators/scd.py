@@ -63,9 +63,11 @@ def scd2_build(
 ) -> DataFrame:
     """One version per (keys, sequence) with half-open validity [start_date, end_date).
 
-    The open version's end is NULL, or `open_end` when given; `is_active` marks it either way.
+    Of rows with equal (keys, sequence) the greatest by the remaining columns counts. The open version's end is NULL,
+    or `open_end` when given; `is_active` marks it either way.
     """
-    versions = next_sequence(log.where(_sequenced(keys, sequence_by)), keys, sequence_by, "_next", hot_rows)
+    rows = next_sequence(log.where(_sequenced(keys, sequence_by)), keys, sequence_by, "_next", hot_rows)
+    versions = rows.where(F.col("_next").isNull() | (F.col("_next") > F.col(sequence_by)))
     end = F.col("_next") if open_end is None else F.coalesce("_next", open_end)
     attributes = [c for c in log.columns if c != sequence_by]
     return versions.select(

@@ -13,17 +13,18 @@ from pyspark.sql import types as T
 def conform(
     df: DataFrame, schema: T.StructType | str, required: Sequence[str] = ()
 ) -> tuple[DataFrame, DataFrame]:
-    """Columns cast to a declared schema; rows with NULL in a required column come second, with its name.
+    """Columns cast to a declared schema; rows with NULL in a required column come second, as they were.
 
-    Fields declared NOT NULL are required as well. A value that cannot be cast becomes NULL.
+    Fields declared NOT NULL are required as well. A value that cannot be cast counts as NULL. Rejected rows keep their
+    own values, so that they can be repaired; `missing` names the required columns they lack.
     """
     if isinstance(schema, str):
         schema = T.StructType.fromDDL(schema)
     needed = [f.name for f in schema.fields if f.name in required or not f.nullable]
-    cast = df.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields])
-    missing = F.concat_ws(",", *[F.when(F.col(c).isNull(), c) for c in needed])
-    checked = cast.withColumn("missing", missing)
-    return checked.where("missing = ''").drop("missing"), checked.where("missing <> ''")
+    cast = {f.name: F.col(f.name).try_cast(f.dataType) for f in schema.fields}
+    missing = F.concat_ws(",", *[F.when(cast[c].isNull(), c) for c in needed])
+    good = df.where(missing == "").select(*[c.alias(n) for n, c in cast.items()])
+    return good, df.withColumn("missing", missing).where("missing <> ''")
 
 
 def union_widened(*frames: DataFrame) -> DataFrame:
@@ -40,17 +41,13 @@ def lookup_join(df: DataFrame, dim: DataFrame, left_key: str, right_key: str) ->
     return df.join(dim, F.col(left_key) == F.col(right_key), "inner")
 
 
-def nest_lines(
-    lines: DataFrame, keys: Sequence[str], fields: Sequence[str], position: str, name: str, max_items: int = 10_000
-) -> DataFrame:
-    """Rows with an array of structs, ordered by `position` (1-based, unique per key).
+def nest_lines(lines: DataFrame, keys: Sequence[str], fields: Sequence[str], position: str, name: str) -> DataFrame:
+    """One row per key with an array of structs, ordered by `position`.
 
-    A key with more than `max_items` lines gives several rows, one per run of positions, so no array and no
-    task grows without bound.
+    A nested row is one row by definition, so a key's lines must fit in one.
     """
     item = F.struct(F.col(position), *[F.col(f) for f in fields if f != position])
-    run = F.floor((F.col(position) - 1) / max_items).alias("run")
-    return lines.groupBy(*keys, run).agg(F.array_sort(F.collect_list(item)).alias(name))
+    return lines.groupBy(*keys).agg(F.array_sort(F.collect_list(item)).alias(name))
 
 
 def order_lines(orders: DataFrame, items: DataFrame, array_col: str, item_key: str, right_key: str) -> DataFrame:

@@ -7,84 +7,91 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# A key is hot above this many rows ...
+from tierflow.session import new_area
+
+#: A key with more rows than one task should sort is cut into ranges of about this many rows.
 HOT_ROWS = 4_000_000
-# ... and above 1/HOT_KEYS of all rows, so fewer than HOT_KEYS keys can ever be hot: a fixed bound for broadcasts.
-HOT_KEYS = 4096
-# Most ranges into which the rows of one hot key are cut; a power of two.
-SLOTS = 1024
+#: Rows sampled per range to find where to cut.
+SAMPLED = 16
+#: Ranges of one key at most, as a power of two: far more than a key of any table can need.
+RANGE_BITS = 24
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Keys with too many rows for one task and the number of `_slots` to cut each into.
+    """Keys (NULL is one) with more than `hot_rows` rows, as `_key` (struct) and `_rows`.
 
-    Counts are combined map-side and read the key columns only. The slots of all keys add up to less than
-    2 * HOT_KEYS.
+    Counts are combined map-side and read the key columns only.
     """
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    share = sizes.agg((F.sum("_rows") / HOT_KEYS).alias("_share")).scalar()
-    room = F.greatest(F.lit(hot_rows), share)
-    slots = F.least(F.ceil(F.col("_rows") / room), F.lit(SLOTS)).cast("int")
-    return sizes.where(F.col("_rows") > room).select(*keys, slots.alias("_slots"))
-
+    sizes = df.groupBy(key_struct(keys).alias("_key")).agg(F.count(F.lit(1)).alias("_rows"))
+    return sizes.where(F.col("_rows") > hot_rows)
 
-def broadcast_checked(df: DataFrame, most_rows: int = 100_000) -> DataFrame:
-    """Hint a broadcast after counting that `df`, a result with few narrow rows, really is small.
 
-    Spark's own estimate for an aggregate is the size of its input, so it would shuffle the other side first.
-    """
-    return F.broadcast(df) if df.limit(most_rows + 1).count() <= most_rows else df
+def key_struct(keys: Sequence[str]) -> Column:
+    """The key as one value that is never NULL, so that NULL keys join and group like any other."""
+    return F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)])
 
 
 def next_sequence(
     df: DataFrame, keys: Sequence[str], seq: str, name: str, hot_rows: int = HOT_ROWS
 ) -> DataFrame:
-    """One row per (keys, seq), each with the next greater `seq` of its key in column `name` (NULL on the last).
+    """Every row with the `seq` of the row after it in column `name`, NULL on a key's last row.
 
-    Among rows with equal (keys, seq) the greatest by the remaining columns stays. Ordinary keys take one
-    shuffle and one sort. Rows of hot keys first lose their copies, then are cut into ranges of `seq`, so that
-    no task holds a whole hot key; the next range's first value closes each range. `seq` must be a number,
-    date or timestamp for that. Without hot keys adaptive execution drops that branch.
+    Rows of a key stand in the order of `seq` (NULL first), then of all other columns; NULL keys are one key. The result
+    does not depend on `hot_rows`: rows of ordinary keys take one shuffle and one sort; those of keys above the limit
+    are cut into ranges of that same order, whatever its types, and each range is closed by the start of the next one.
+    The few keys above the limit, if any, are found in a first pass over the key columns and kept as a small stored
+    table, which Spark broadcasts or shuffles by its size.
     """
-    hot = F.broadcast(hot_keys(df, keys, hot_rows))
-    cold_rows = _lead_once(df.join(hot, list(keys), "left_anti"), keys, seq, name)
-    hot_rows_ = _lead_in_ranges(df.join(hot, list(keys)), keys, seq, name)
-    return cold_rows.unionByName(hot_rows_)
-
-
-def _lead_once(df: DataFrame, groups: Sequence[str], seq: str, name: str) -> DataFrame:
-    rest = tie_columns(df, [*groups, seq])
-    ordered = Window.partitionBy(*groups).orderBy(seq, *[F.col(c).asc() for c in rest])
-    following = df.withColumn(name, F.lead(seq).over(ordered))
-    return following.where(F.col(name).isNull() | (F.col(name) > F.col(seq)))
-
-
-def _lead_in_ranges(df: DataFrame, keys: Sequence[str], seq: str, name: str) -> DataFrame:
-    keys = list(keys)
-    single = greatest_row(df.drop("_slots"), [*keys, seq])
-    # Every tier holds fewer than 2 * HOT_KEYS values in all: `_slots` - 1 cuts per key, then one start per slot.
-    shares = F.split(F.lit(",".join(str(i / SLOTS) for i in range(1, SLOTS))), ",").cast("array<double>")
-    ranges = df.groupBy(*keys).agg(
-        F.first("_slots").alias("_slots"), F.percentile_approx(seq, shares, 10 * SLOTS).alias("_cuts")
-    )
-
-    def opens_slot(_, i):
-        return F.floor((i + 1) * F.col("_slots") / SLOTS) > F.floor(i * F.col("_slots") / SLOTS)
-
-    cuts = ranges.select(*keys, F.filter("_cuts", opens_slot).alias("_cuts"))
-    placed = single.join(F.broadcast(cuts), keys).withColumn("_slot", _count_below("_cuts", seq)).drop("_cuts")
-    starts = placed.groupBy(*keys, "_slot").agg(F.min(seq).alias("_start"))
-    after = starts.select(
-        *keys, "_slot", F.lead("_start").over(Window.partitionBy(*keys).orderBy("_slot")).alias("_after")
+    spark = df.sparkSession
+    place = new_area(spark, "hot-keys")
+    hot_keys(df, keys, hot_rows).write.parquet(place)
+    hot = spark.read.parquet(place)
+    ordered = Window.partitionBy(*keys).orderBy(*_order(df, keys, seq))
+    if hot.isEmpty():
+        return df.withColumn(name, F.lead(seq).over(ordered))
+    keyed = df.withColumn("_key", key_struct(keys))
+    cold = keyed.join(hot, "_key", "left_anti").drop("_key").withColumn(name, F.lead(seq).over(ordered))
+    return cold.unionByName(_lead_in_ranges(keyed.join(hot, "_key"), keys, seq, name, hot_rows))
+
+
+def _order(df: DataFrame, keys: Sequence[str], seq: str) -> list[Column]:
+    return [F.col(c).asc() for c in (seq, *tie_columns(df, [*keys, seq, "_key", "_rows"]))]
+
+
+def _lead_in_ranges(df: DataFrame, keys: Sequence[str], seq: str, name: str, hot_rows: int) -> DataFrame:
+    """As `next_sequence`, for rows that all belong to hot keys and know their key's number of `_rows`."""
+    spark = df.sparkSession
+    ties = tie_columns(df, [*keys, seq, "_key", "_rows"])
+    # A number of its own makes even equal rows differ, so that a pile of copies is cut as well.
+    at = F.struct(F.col(seq).alias("seq"), *[F.col(c) for c in ties], F.monotonically_increasing_id().alias("_nr"))
+    place = new_area(spark, "hot-rows")
+    df.withColumn("_at", at).write.parquet(place)
+    rows = spark.read.parquet(place)
+    chance = F.least(F.lit(1.0), F.lit(float(SAMPLED)) / hot_rows)
+    drawn = F.pmod(F.xxhash64("_at"), F.lit(1 << 30)) < chance * (1 << 30)
+    every = F.row_number().over(Window.partitionBy("_key").orderBy("_at"))
+    cuts = (
+        rows.where(drawn).select("_key", "_at", every.alias("_n")).where(F.col("_n") % SAMPLED == 0)
+        .groupBy("_key").agg(F.array_sort(F.collect_list("_at")).alias("_cuts"))
     )
-    inside = placed.withColumn(name, F.lead(seq).over(Window.partitionBy(*keys, "_slot").orderBy(seq)))
-    closed = inside.join(F.broadcast(after), [*keys, "_slot"])
-    return closed.withColumn(name, F.coalesce(name, "_after")).drop("_slot", "_after")
+    slotted = rows.join(cuts, "_key", "left").withColumn(
+        "_slot", F.when(F.col("_cuts").isNull(), 0).otherwise(_count_below("_cuts", "_at"))
+    ).drop("_cuts")
+    # One row per range from here on.
+    starts = slotted.groupBy("_key", "_slot").agg(F.min("_at").alias("_start"))
+    following = F.lead("_start").over(Window.partitionBy("_key").orderBy("_slot"))
+    after = starts.select(F.col("_key").alias("_s_key"), F.col("_slot").alias("_s_slot"), following.alias("_after"))
+    in_range = Window.partitionBy("_key", "_slot").orderBy("_at")
+    inside = slotted.select("*", F.lead(F.struct(seq)).over(in_range).alias("_inside"))
+    closed = inside.join(after, (F.col("_key") == F.col("_s_key")) & (F.col("_slot") == F.col("_s_slot")))
+    value = F.when(F.col("_inside").isNotNull(), F.col(f"_inside.{seq}")).otherwise(F.col("_after.seq"))
+    kept = [c for c in df.columns if c not in ("_key", "_rows")]
+    return closed.select(*kept, value.alias(name))
 
 
 def _count_below(cuts: str, value: str) -> Column:
     """How many of the ascending `cuts` are below `value`, by binary search."""
-    steps = F.array(*[F.lit(1 << e) for e in reversed(range(SLOTS.bit_length() - 1))])
+    steps = F.array(*[F.lit(1 << e) for e in reversed(range(RANGE_BITS))])
 
     def advance(at, step):
         return F.when(F.get(cuts, at + step - 1) < F.col(value), at + step).otherwise(at)

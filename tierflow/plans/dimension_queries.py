@@ -9,9 +9,10 @@ from tierflow.operators import changes as cdc
 from tierflow.operators import merge, scd
 from tierflow.operators.reduce import latest_per_key as latest
 from tierflow.plans.catalog import query
-from tierflow.plans.inputs import LATE_LOAD_SQL, LATE_TYPE, LATER_LOAD_SQL, LOAD_SQL, TOPICS, events, loads
+from tierflow.plans.inputs import LATE_LOAD_SQL, LATE_TYPE, LOAD_SQL, TOPICS, events, loads
 from tierflow.session import new_area
-from tierflow.sources.tables import read_table
+from tierflow.sources.tables import read_batches, read_table
+from tierflow.streaming.sinks import write_batch
 
 USER = ["user_id"]
 PAIR = ["user_id", "event_type"]
@@ -132,20 +133,22 @@ def latest_batch_only(spark: SparkSession, root: str) -> DataFrame:
     return cdc.latest_load(_loads(spark, root, LATE_LOAD_SQL), "load").drop("load")
 
 
-# Three states of a table keyed by (user, type): rows up to a day, the later ones without one type.
-DAYS = ("2024-01-03", "2024-01-10", "2024-01-20")
-T0, T1, T2 = (f"{d} 06:00:00" for d in DAYS)
+# Three states of a table keyed by (user, type): rows up to a day, the last one with all rows.
+DAYS = ("2024-01-03", "2024-01-10", None)
+T0, T1, T2 = (f"2024-02-0{n} 06:00:00" for n in (1, 2, 3))
 
 
-def _state_sql(day: str, drop_type: bool = False) -> str:
+def _state_sql(day: str | None, drop_type: bool = False) -> str:
     return latest_sql(
         "user_id, event_type",
-        f"ts < TIMESTAMP '{day}'" + (f" AND event_type <> '{LATE_TYPE}'" if drop_type else ""),
+        (f"ts < TIMESTAMP '{day}'" if day else "true") + (f" AND event_type <> '{LATE_TYPE}'" if drop_type else ""),
     )
 
 
-def _state(spark: SparkSession, root: str, day: str, drop_type: bool = False) -> DataFrame:
-    rows = _log(spark, root).where(F.col("ts") < F.lit(day).cast("timestamp_ntz"))
+def _state(spark: SparkSession, root: str, day: str | None, drop_type: bool = False) -> DataFrame:
+    rows = _log(spark, root)
+    if day:
+        rows = rows.where(F.col("ts") < F.lit(day).cast("timestamp_ntz"))
     if drop_type:
         rows = rows.where(F.col("event_type") != LATE_TYPE)
     return scd.scd1_build(rows, PAIR, "ts")
@@ -156,7 +159,7 @@ def _at(moment: str):
 
 
 @query(f"""
-    WITH a AS ({_state_sql(DAYS[0])}), b AS ({_state_sql(DAYS[1], True)}), tagged AS (
+    WITH a AS ({_state_sql(DAYS[0])}), b AS ({_state_sql(DAYS[2], True)}), tagged AS (
         SELECT b.*, 'insert' AS _change_type FROM b LEFT JOIN a USING (user_id, event_type) WHERE a.event_id IS NULL
         UNION ALL
         SELECT a.*, 'delete' FROM a LEFT JOIN b USING (user_id, event_type) WHERE b.event_id IS NULL
@@ -168,22 +171,44 @@ def _at(moment: str):
     SELECT *, CAST(1 AS BIGINT) AS _commit_version, TIMESTAMP '{T1}' AS _commit_timestamp FROM tagged
 """)
 def change_feed_between(spark: SparkSession, root: str) -> DataFrame:
-    before, after = _state(spark, root, DAYS[0]), _state(spark, root, DAYS[1], drop_type=True)
+    before, after = _state(spark, root, DAYS[0]), _state(spark, root, DAYS[2], drop_type=True)
     return cdc.change_feed(before, after, PAIR, 1, _at(T1))
 
 
 @query(f"""
     WITH a AS ({_state_sql(DAYS[0])}), b AS ({_state_sql(DAYS[1])}), c AS ({_state_sql(DAYS[2])})
-    SELECT c.*, CASE WHEN b.event_id IS DISTINCT FROM c.event_id THEN TIMESTAMP '{T2}'
-                     WHEN a.event_id IS DISTINCT FROM b.event_id THEN TIMESTAMP '{T1}'
-                     ELSE TIMESTAMP '{T0}' END AS processed_timestamp
+    SELECT c.*, CASE WHEN b.event_id IS DISTINCT FROM c.event_id THEN 2
+                     WHEN a.event_id IS DISTINCT FROM b.event_id THEN 1 ELSE 0 END::BIGINT AS processed_version,
+           CASE WHEN b.event_id IS DISTINCT FROM c.event_id THEN TIMESTAMP '{T1}'
+                WHEN a.event_id IS DISTINCT FROM b.event_id THEN TIMESTAMP '{T2}' ELSE TIMESTAMP '{T0}'
+           END AS processed_timestamp
     FROM c LEFT JOIN b USING (user_id, event_type) LEFT JOIN a USING (user_id, event_type)
 """)
 def cdf_upsert(spark: SparkSession, root: str) -> DataFrame:
-    """The changes of two versions merged over the rows of an earlier one."""
+    """The changes of two versions merged over the rows of an earlier one; the second was committed by a slow clock."""
     a, b, c = (_state(spark, root, day) for day in DAYS)
-    feed = cdc.change_feed(a, b, PAIR, 1, _at(T1)).unionByName(cdc.change_feed(b, c, PAIR, 2, _at(T2)))
-    return cdc.cdf_upsert(a.withColumn("processed_timestamp", _at(T0)), feed, PAIR)
+    feed = cdc.change_feed(a, b, PAIR, 1, _at(T2)).unionByName(cdc.change_feed(b, c, PAIR, 2, _at(T1)))
+    stored = a.withColumn("processed_version", F.lit(0).cast("bigint")).withColumn("processed_timestamp", _at(T0))
+    return cdc.cdf_upsert(stored, feed, PAIR)
+
+
+@query(f"""
+    WITH b AS ({_state_sql(DAYS[1])}), c AS ({_state_sql(DAYS[2])})
+    SELECT c.*, 'insert' AS _change_type, CAST(2 AS BIGINT) AS _commit_version
+    FROM c LEFT JOIN b USING (user_id, event_type) WHERE b.event_id IS NULL
+    UNION ALL
+    SELECT b.*, 'update_preimage', 2 FROM b JOIN c USING (user_id, event_type) WHERE b.event_id <> c.event_id
+    UNION ALL
+    SELECT c.*, 'update_postimage', 2 FROM b JOIN c USING (user_id, event_type) WHERE b.event_id <> c.event_id
+""")
+def change_feed_versions(spark: SparkSession, root: str) -> DataFrame:
+    """A stored change feed read from a version on."""
+    area = new_area(spark, "versions")
+    states = [_state(spark, root, day) for day in DAYS]
+    for version, (before, after) in enumerate(zip(states, states[1:]), 1):
+        write_batch(cdc.change_feed(before, after, PAIR, version, _at(T1)), area, version)
+    changes = read_batches(spark, area).drop("batch_id")
+    return cdc.between_versions(changes, 2, 2).drop("_commit_timestamp")
 
 
 @query(latest_sql("user_id"))
@@ -249,13 +274,3 @@ def late_sql(delay: str, lag: int, schedule: str = LATE_LOAD_SQL) -> str:
         )
         SELECT user_id, event_type, event_id, ts, value, load FROM log JOIN marks USING (load) WHERE ts <= mark
     """
-
-
-@query(late_sql("30 SECOND", 1))
-def late_rows(spark: SparkSession, root: str) -> DataFrame:
-    return cdc.late_rows(_loads(spark, root, LATE_LOAD_SQL), "load", "ts", "30 seconds")
-
-
-@query(late_sql("10 MINUTE", 2, LATER_LOAD_SQL))
-def late_rows_in_batches(spark: SparkSession, root: str) -> DataFrame:
-    return cdc.late_rows(_loads(spark, root, LATER_LOAD_SQL), "load", "ts", "10 minutes", lag=2)

@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Iterable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierflow.functions.scalars import ingest_stamp as stamp
+from tierflow.functions.scalars import ingest_stamp_text as stamp_text
 from tierflow.functions.scalars import from_millis, parse_ts, show_ts, text, to_millis, wall_clock
 from tierflow.operators.shape import conform, union_widened
 from tierflow.plans.catalog import query
 from tierflow.plans.inputs import (
     EVENT_TOPICS,
     LOAD_SQL,
-    PAYLOAD,
     envelopes,
     events,
     landed_feed,
@@ -25,12 +27,12 @@ from tierflow.sources.feed import (
     parse_all,
     parse_topic,
     raw_feed,
-    route,
+    rejected_rows,
     scan_envelopes,
     slice_by_file,
+    sort_out,
 )
-from tierflow.sources.registry import Topic
-from tierflow.sources.tables import read_table
+from tierflow.sources.tables import read_batches, read_table
 from tierflow.streaming.sinks import append_batches, run_stream, write_batch
 
 ENVELOPE_SQL = """
@@ -72,7 +74,20 @@ def feed_incremental_files(spark: SparkSession, root: str) -> DataFrame:
         land_feed(envelopes(rows.where(F.col("load") == number)), f"{area}/landing")
         feed = scan_envelopes(spark, f"{area}/landing", streaming=True)
         append_batches(feed.select("topic", F.col("offset").alias("event_id")), f"{area}/table", f"{area}/marks")
-    table = spark.read.parquet(f"{area}/table")
+    table = read_batches(spark, f"{area}/table")
+    return table.select(F.col("batch_id").cast("bigint").alias("batch_id"), "topic", "event_id")
+
+
+@query(f"SELECT CAST({LOAD_SQL} AS BIGINT) AS batch_id, event_type AS topic, event_id FROM events")
+def feed_file_replay(spark: SparkSession, root: str) -> DataFrame:
+    """Files that all wait already, taken in one per micro-batch in the order in which they came."""
+    area = new_area(spark, "replay")
+    rows = loads(spark, root)
+    for number in range(3):
+        land_feed(envelopes(rows.where(F.col("load") == number)).coalesce(1), f"{area}/landing")
+    feed = scan_envelopes(spark, f"{area}/landing", streaming=True, files_per_batch=1)
+    append_batches(feed.select("topic", F.col("offset").alias("event_id")), f"{area}/table", f"{area}/marks")
+    table = read_batches(spark, f"{area}/table")
     return table.select(F.col("batch_id").cast("bigint").alias("batch_id"), "topic", "event_id")
 
 
@@ -120,11 +135,15 @@ def topic_parse(spark: SparkSession, root: str) -> DataFrame:
     return parsed.select("event_id", "v.*")
 
 
+def _payload(*fields: str, topics: Iterable[str] = EVENT_TOPICS) -> list[Column]:
+    """Fields of whichever topic a row belongs to."""
+    return [F.coalesce(*[F.col(f"{t}.{f}") for t in topics]).alias(f) for f in fields]
+
+
 @query("SELECT event_type AS topic, event_id, user_id, value FROM events")
 def all_topics(spark: SparkSession, root: str) -> DataFrame:
     feed = parse_all(raw_feed(spark, landed_feed(spark, root, "all-topics")), EVENT_TOPICS)
-    fields = ("event_id", "user_id", "value")
-    return feed.select("topic", *[F.coalesce(*[F.col(f"{t}.{f}") for t in EVENT_TOPICS]).alias(f) for f in fields])
+    return feed.select("topic", *_payload("event_id", "user_id", "value"))
 
 
 KNOWN_TOPICS = {t: EVENT_TOPICS[t] for t in ("click", "purchase", "view")}
@@ -143,9 +162,9 @@ def _troubled_feed(spark: SparkSession, root: str, label: str) -> DataFrame:
     WHERE event_type IN ('click', 'purchase') OR (event_type = 'view' AND value <= 100)
 """)
 def route_known(spark: SparkSession, root: str) -> DataFrame:
-    known, _ = route(_troubled_feed(spark, root, "route"), KNOWN_TOPICS)
-    tables = [df.select(F.lit(t).alias("topic"), "event_id", "user_id", "value") for t, df in known.items()]
-    return union_widened(*tables)
+    """The good rows of all topics in one pass."""
+    rows = sort_out(_troubled_feed(spark, root, "route"), KNOWN_TOPICS).where(F.col("reason").isNull())
+    return rows.select("topic", *_payload("event_id", "user_id", "value", topics=KNOWN_TOPICS))
 
 
 @query("""
@@ -157,7 +176,7 @@ def route_known(spark: SparkSession, root: str) -> DataFrame:
     WHERE event_type IN ('error', 'signup') OR (event_type = 'view' AND value > 100)
 """)
 def quarantine(spark: SparkSession, root: str) -> DataFrame:
-    _, rejected = route(_troubled_feed(spark, root, "quarantine"), KNOWN_TOPICS)
+    rejected = rejected_rows(sort_out(_troubled_feed(spark, root, "quarantine"), KNOWN_TOPICS))
     return rejected.select("topic", "key", "create_ts", "reason")
 
 
@@ -171,7 +190,7 @@ def schema_evolution_union(spark: SparkSession, root: str) -> DataFrame:
     rows = loads(spark, root).select("event_id", "ts", "props", "load")
     write_batch(rows.where("load = 0").drop("props"), area, 0)
     write_batch(rows.where("load > 0"), area, 1)
-    table = spark.read.option("mergeSchema", True).parquet(area)
+    table = spark.read.option("mergeSchema", True).option("basePath", area).parquet(f"{area}/query=*")
     return table.select("event_id", "ts", "props", "load")
 
 
@@ -182,7 +201,7 @@ def append_idempotent(spark: SparkSession, root: str) -> DataFrame:
     rows = loads(spark, root)
     for number in (0, 1, 2, 1):
         write_batch(rows.where(F.col("load") == number).select("event_id", "value"), area, number)
-    return spark.read.parquet(area).select(F.col("batch_id").cast("bigint").alias("batch_id"), "event_id", "value")
+    return read_batches(spark, area).select(F.col("batch_id").cast("bigint").alias("batch_id"), "event_id", "value")
 
 
 @query("SELECT event_id, user_id, value, event_type FROM events")
@@ -213,12 +232,18 @@ def ts_format(spark: SparkSession, root: str) -> DataFrame:
     return shown.withColumn("parsed", parse_ts(F.col("shown"), pattern))
 
 
-@query("SELECT event_type, count(*) AS n_rows, CAST(1 AS BIGINT) AS n_stamps FROM events GROUP BY event_type")
+@query("SELECT event_id, true AS same_for_all, true AS text_agrees, true AS ahead_of_utc FROM events")
 def ingest_stamp(spark: SparkSession, root: str) -> DataFrame:
-    """All rows of one run carry the same insertion time."""
-    stamped = events(spark, root).withColumn("insert_ts", stamp("Asia/Kolkata"))
-    return stamped.groupBy("event_type").agg(
-        F.count(F.lit(1)).alias("n_rows"), F.count_distinct("insert_ts").alias("n_stamps")
+    """All rows of one run carry one insertion time, as a timestamp and as text, on the clock of the given zone."""
+    stamped = events(spark, root).select(
+        "event_id", stamp("Asia/Kolkata").alias("at"), stamp_text("Asia/Kolkata").alias("shown"), stamp().alias("utc")
+    )
+    first = stamped.agg(F.min("at")).scalar()
+    return stamped.select(
+        "event_id",
+        (F.col("at") == first).alias("same_for_all"),
+        (F.date_format("at", "yyyy-MM-dd HH:mm:ss") == F.col("shown")).alias("text_agrees"),
+        (F.col("at") == F.col("utc") + F.expr("INTERVAL 330 MINUTES")).alias("ahead_of_utc"),
     )
 
 
@@ -242,12 +267,13 @@ def conform_schema(spark: SparkSession, root: str) -> DataFrame:
 
 
 @query("""
-    SELECT event_id, CAST(NULL AS DOUBLE) AS amount, event_type AS kind, ts AS at_ts, 'amount' AS missing
+    SELECT CAST(event_id AS VARCHAR) AS event_id, 'n/a' AS amount, event_type AS kind, 'amount' AS missing
     FROM events WHERE event_type = 'error'
 """)
 def conform_rejects(spark: SparkSession, root: str) -> DataFrame:
+    """Rejected rows keep the values that could not be used."""
     _, rejected = conform(_loose_rows(spark, root), DECLARED)
-    return rejected
+    return rejected.drop("at_ts")
 
 
 INLINE_PARTS = [(0, "blue bolt", 59), (1, "red widget", 69), (900_000_001, "new part", 11)]
@@ -268,8 +294,6 @@ def inline_updates(spark: SparkSession, root: str) -> DataFrame:
 
 @query("SELECT event_type AS topic, event_id, ts, user_id, value, props FROM events")
 def topic_payloads(spark: SparkSession, root: str) -> DataFrame:
-    """Every topic parsed on its own, then stacked."""
-    feed = raw_feed(spark, landed_feed(spark, root, "payloads"))
-    fields = Topic("", PAYLOAD, (), "").struct.names
-    tables = [parse_topic(feed, t).select(F.lit(name).alias("topic"), *fields) for name, t in EVENT_TOPICS.items()]
-    return union_widened(*tables)
+    """Every topic parsed in one pass over the feed."""
+    feed = parse_all(raw_feed(spark, landed_feed(spark, root, "payloads")), EVENT_TOPICS)
+    return feed.select("topic", *_payload("event_id", "ts", "user_id", "value", "props"))

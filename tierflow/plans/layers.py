@@ -3,58 +3,78 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import partial
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tierflow.operators.changes import newest_images
-from tierflow.operators.merge import insert_absent, merge_upsert
 from tierflow.operators.scd import current_rows, scd1_build, scd2_build, split_by_batch
 from tierflow.operators.shape import lookup_join, order_lines
 from tierflow.operators.skew import greatest_row
-from tierflow.sources.feed import reject_reason, readable_rows
+from tierflow.session import new_area
+from tierflow.sources.feed import rejected_rows, sort_out, topic_rows
 from tierflow.sources.registry import Topic
-from tierflow.streaming.operators import dedup_stream, stream_join, tumbling_stats
-from tierflow.streaming.sinks import Snapshots, append_batches, completed, fan_out, foreach_batch_apply
+from tierflow.sources.tables import read_batches
+from tierflow.streaming.operators import dedup_stream, tumbling_stats
+from tierflow.streaming.sinks import KeyedLog, append_batches, each_batch, found, log_stream
 
 # Event-time limits of the order de-duplication and of the author statistics.
 ORDER_DELAY = "30 seconds"
 STATS_DELAY, STATS_WIDTH = "10 minutes", "5 minutes"
+#: Partition of the bronze table for rows that no topic takes.
+QUARANTINE = "quarantine"
 
 
-def bronze(
-    feed: DataFrame, registry: Mapping[str, Topic], path: str, checkpoint: str, zone: str = "UTC"
-) -> StreamingQuery:
-    """Feed stream to one table per topic plus `quarantine`, reading each message once."""
+def bronze(feed: DataFrame, registry: Mapping[str, Topic], path: str, checkpoint: str) -> StreamingQuery:
+    """Feed stream to one bronze table, each message read, parsed and written once.
+
+    A row keeps the message as it came, with a struct for its topic; rows are partitioned by the table they belong to,
+    so `bronze_topic` and `bronze_quarantine` read only theirs, and `bronze_feed` gives all messages back. Bound a run's
+    micro-batches with `files_per_batch` on the feed.
+    """
 
-    def rejected(batch: DataFrame) -> DataFrame:
-        return batch.withColumn("reason", reject_reason(registry)).where(F.col("reason").isNotNull())
+    def shape(batch: DataFrame) -> DataFrame:
+        home = F.when(F.col("reason").isNull(), F.col("topic")).otherwise(QUARANTINE)
+        return sort_out(batch, registry).withColumn("table", home)
 
-    tables = {
-        name: partial(readable_rows, topic=topic, zone=zone, lineage=("key", "create_ts"))
-        for name, topic in registry.items()
-    }
-    return fan_out(feed, {**tables, "quarantine": rejected}, path, checkpoint)
+    return append_batches(feed, path, checkpoint, partition_by=["table"], prepare=shape)
+
+
+def bronze_feed(spark: SparkSession, path: str) -> DataFrame:
+    """All messages as they came."""
+    return read_batches(spark, path).select("topic", "key", "value", "create_ts", "source_file", "insert_ts")
+
+
+def bronze_topic(spark: SparkSession, path: str, topic: Topic, streaming: bool = False) -> DataFrame:
+    """Rows of one topic's table, bounded or as a stream."""
+    rows = read_batches(spark, path)
+    if streaming:
+        schema = rows.drop("batch_id", "table").schema
+        rows = spark.readStream.schema(schema).parquet(f"{path}/query=*/batch_id=*/table={topic.name}")
+    else:
+        rows = rows.where(F.col("table") == topic.name)
+    return topic_rows(rows, topic.name, ("key", "create_ts"))
+
+
+def bronze_quarantine(spark: SparkSession, path: str) -> DataFrame:
+    return rejected_rows(read_batches(spark, path).where(F.col("table") == QUARANTINE))
 
 
 def scd1_stream_into(
     changes: DataFrame,
-    state: Snapshots,
-    sequence_by: str,
+    table: KeyedLog,
     checkpoint: str,
     include_ops: Sequence[str] | None = None,
     op_col: str | None = None,
+    track: bool = False,
 ) -> StreamingQuery:
-    """Keep the latest row per key of a change stream."""
+    """Keep the latest row per key of a change stream; with `track` its change feed as well."""
 
     def latest(batch: DataFrame) -> DataFrame:
-        return scd1_build(batch, state.keys, sequence_by, include_ops, op_col)
+        return scd1_build(batch, table.keys, table.order_by[0], include_ops, op_col)
 
-    change = partial(merge_upsert, keys=state.keys, newer_col=sequence_by)
-    return foreach_batch_apply(changes, latest, change, state, checkpoint)
+    return log_stream(changes, table, checkpoint, track, latest)
 
 
 def scd2_stream_into(
@@ -70,7 +90,7 @@ def scd2_stream_into(
 def scd2_table(
     spark: SparkSession, path: str, keys: Sequence[str], sequence_by: str, open_end: Column | None = None
 ) -> DataFrame:
-    return scd2_build(spark.read.parquet(path).drop("batch_id"), keys, sequence_by, open_end)
+    return scd2_build(read_batches(spark, path).drop("batch_id"), keys, sequence_by, open_end)
 
 
 def refresh_scd2(
@@ -78,49 +98,88 @@ def refresh_scd2(
 ) -> DataFrame:
     """A stored interval table brought up to the change log.
 
-    Each refresh applies the log's batches since the last one and writes a new `version=<batch>` folder, so
-    readers of `scd2_table` over a long log can read a stored table instead. The rows to rebuild are kept while
-    they are counted, split and sorted.
+    Versions are rows keyed by (keys, start_date) in an append-only log: a refresh applies the log's batches since the
+    last one and appends the versions that are new or got another end, nothing else. The list of batches it applied is
+    written last; a refresh that stopped before is done again, to the same folder. An empty log gives an empty table.
     """
-    log = spark.read.parquet(log_path)
-    done = completed(spark, table_path, "version=")
-    last = log.agg(F.max("batch_id")).first()[0]
-    if done == last:
-        return spark.read.parquet(f"{table_path}/version={done}")
-    if done is None:
-        settled, rows = None, log.drop("batch_id")
-    else:
-        stored, news = spark.read.parquet(f"{table_path}/version={done}"), log.where(F.col("batch_id") > done)
-        settled, rows = split_by_batch(stored, news.drop("batch_id"), keys, sequence_by)
-        rows.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        built = scd2_build(rows, keys, sequence_by)
-        table = built if settled is None else settled.unionByName(built)
-        table.write.mode("overwrite").parquet(f"{table_path}/version={last}")
-    finally:
-        rows.unpersist()
-    return spark.read.parquet(f"{table_path}/version={last}")
+    log = found(lambda: read_batches(spark, log_path, keep_query=True))
+    if log is None:
+        raise ValueError(f"there is no change log at {log_path}")
+    done = found(lambda: spark.read.parquet(f"{table_path}/applied"))
+    number, news = 0, log
+    if done is not None:
+        number = done.agg(F.max("refresh")).first()[0] + 1
+        news = log.join(F.broadcast(done.select("query", "batch_id")), ["query", "batch_id"], "left_anti")  # a row per batch
+    applied = news.select("query", "batch_id").distinct()
+    rows = news.drop("query", "batch_id")
+    if not rows.isEmpty():
+        if number:
+            place = new_area(spark, "reopened")
+            stored = versions(spark, table_path, keys)
+            split_by_batch(stored, rows, keys, sequence_by)[1].write.parquet(place)
+            rebuilt = scd2_build(spark.read.parquet(place), keys, sequence_by)
+            same = [rebuilt[c].eqNullSafe(stored[c]) for c in rebuilt.columns]
+            rebuilt = rebuilt.join(stored, same, "left_anti")
+        else:
+            rebuilt = scd2_build(rows, keys, sequence_by)
+        rebuilt.write.mode("overwrite").parquet(f"{table_path}/log/refresh={number}")
+        applied.coalesce(1).write.mode("overwrite").parquet(f"{table_path}/applied/refresh={number}")
+    return versions(spark, table_path, keys)
+
+
+def versions(spark: SparkSession, table_path: str, keys: Sequence[str]) -> DataFrame:
+    """The interval table that refreshes keep: of each version the row that the last finished one wrote."""
+    done = spark.read.parquet(f"{table_path}/applied").agg(F.max("refresh")).first()[0]
+    rows = spark.read.parquet(f"{table_path}/log").where(F.col("refresh") <= done)
+    return greatest_row(rows, [*keys, "start_date"], ["refresh"]).drop("refresh")
 
 
 def orders_stream_into(
-    orders: DataFrame, state: Snapshots, ts: str, checkpoint: str, delay: str = ORDER_DELAY, salts: int = 1
+    orders: DataFrame, table: KeyedLog, ts: str, checkpoint: str, delay: str = ORDER_DELAY, salts: int = 1
 ) -> StreamingQuery:
-    """Insert each order once: state drops near repeats, the merge drops the ones that come after its eviction."""
-
-    single = dedup_stream(orders, state.keys, ts, delay, salts)
-    one_per_key = partial(greatest_row, groups=state.keys)
-    return foreach_batch_apply(single, one_per_key, partial(insert_absent, keys=state.keys), state, checkpoint)
+    """Insert each order once: state drops near repeats, the table (`first`) ignores those that come after its eviction."""
+    return log_stream(dedup_stream(orders, table.keys, ts, delay, salts), table, checkpoint)
 
 
 def orders_customers_into(
-    orders: DataFrame, customer_changes: DataFrame, state: Snapshots, customer_key: str, checkpoint: str,
-    salts: int = 1,
-) -> StreamingQuery:
-    """Orders joined with the change feed of customers, newest customer image per order."""
+    orders: DataFrame, customer_changes: DataFrame, known_orders: KeyedLog, joined: KeyedLog, customer_key: str,
+    checkpoint: str, changes_path: str,
+) -> None:
+    """Orders joined with the newest image of their customer, as two streams without any join state.
+
+    New orders meet the newest images so far; then new changes meet the stored orders of the customers they touch.
+    Either side may come first. Rows of `joined` are ordered by the commit of the customer's image.
+    """
+
+    def meet(orders: DataFrame, images: DataFrame) -> DataFrame:
+        return orders.join(newest_images(images, [customer_key]), customer_key)
+
+    def new_orders(batch: DataFrame, number: int) -> None:
+        known_orders.append(batch, number)
+        images = found(lambda: read_batches(batch.sparkSession, changes_path).drop("batch_id"))
+        if images is not None:
+            joined.append(meet(batch, images.join(batch.select(customer_key).distinct(), customer_key, "left_semi")), number)
+
+    def new_images(batch: DataFrame, number: int) -> None:
+        joined.append(meet(known_orders.read(batch.sparkSession), batch), number)
+
+    each_batch(orders, new_orders, f"{checkpoint}/orders")
+    each_batch(customer_changes, new_images, f"{checkpoint}/customers")
+
+
+def keep_current(scd2: DataFrame, path: str) -> DataFrame:
+    """Replace the stored current rows of an interval table: a new version folder, listed when it is whole."""
+    spark = scd2.sparkSession
+    done = found(lambda: spark.read.parquet(f"{path}/versions"))
+    version = 0 if done is None else done.agg(F.max("version")).first()[0] + 1
+    current_rows(scd2).write.mode("overwrite").parquet(f"{path}/rows/version={version}")
+    spark.range(1).select(F.lit(version).alias("version")).coalesce(1).write.mode("append").parquet(f"{path}/versions")
+    return kept_current(spark, path)
+
 
-    joined = stream_join(orders, customer_changes, [customer_key], salts=salts)
-    change = partial(merge_upsert, keys=state.keys, newer_col="processed_timestamp")
-    return foreach_batch_apply(joined, partial(newest_images, keys=state.keys), change, state, checkpoint)
+def kept_current(spark: SparkSession, path: str) -> DataFrame:
+    version = spark.read.parquet(f"{path}/versions").agg(F.max("version")).first()[0]
+    return spark.read.parquet(f"{path}/rows/version={version}")
 
 
 def customers_with_country(customers: DataFrame, countries: DataFrame) -> DataFrame:
@@ -128,9 +187,9 @@ def customers_with_country(customers: DataFrame, countries: DataFrame) -> DataFr
     return joined.drop("country_code", "code")
 
 
-def orders_books(orders: DataFrame, books_scd2: DataFrame) -> DataFrame:
-    """Order lines with the current version of their book."""
-    books = current_rows(books_scd2).select("book_id", "title", "author", "price")
+def orders_books(orders: DataFrame, current_books: DataFrame) -> DataFrame:
+    """Order lines, bounded or a stream, with the current version of their book."""
+    books = current_books.select("book_id", "title", "author", "price")
     return order_lines(orders, books, "books", "book_id", "book_id")
 
 

@@ -9,16 +9,25 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tierflow.operators.shape import lookup_join, union_widened
+from tierflow.operators.scd import scd2_build
+from tierflow.operators.shape import lookup_join, nest_lines, union_widened
 from tierflow.plans import layers
 from tierflow.plans.catalog import query
 from tierflow.plans.dimension_queries import FIELDS, OPS, late_sql, latest_sql, scd2_sql
-from tierflow.plans.inputs import EVENT_TOPICS, LATE_LOAD_SQL, LATE_LOADS, arrivals, events, landed_feed, loads
+from tierflow.plans.inputs import (
+    EVENT_TOPICS,
+    LATE_LOAD_SQL,
+    LATE_LOADS,
+    LATER_LOAD_SQL,
+    arrivals,
+    landed_feed,
+    loads,
+)
 from tierflow.session import new_area
 from tierflow.sources.feed import raw_feed
-from tierflow.sources.tables import read_table, stream_batches, stream_table, zoned
-from tierflow.streaming.operators import dedup_stream, stream_join, tumbling_stats
-from tierflow.streaming.sinks import Snapshots, append_batches, run_stream
+from tierflow.sources.tables import read_batches, read_lookup, read_table, stream_batches, stream_table, zoned
+from tierflow.streaming.operators import TimeBound, dedup_stream, stream_join, tumbling_stats
+from tierflow.streaming.sinks import KeyedLog, append_batches, run_stream
 
 # Partitions among which the copies of one key are spread.
 SALTS = 4
@@ -35,11 +44,13 @@ def bronze_stream_events(spark: SparkSession, root: str) -> DataFrame:
 def scd1_stream(spark: SparkSession, root: str) -> DataFrame:
     area = new_area(spark, "scd1")
     log = zoned(loads(spark, root, LATE_LOAD_SQL), "ts").select(*FIELDS, "load")
-    state = Snapshots(f"{area}/state", log.drop("load").schema, ("user_id",), buckets=8)
-    for _ in arrivals(log, f"{area}/landing", LATE_LOADS):
+    table = KeyedLog(f"{area}/table", log.drop("load").schema, ("user_id",), ("ts",))
+    for load in arrivals(log, f"{area}/landing", LATE_LOADS):
         changes = spark.readStream.schema(log.schema).parquet(f"{area}/landing").drop("load")
-        layers.scd1_stream_into(changes, state, "ts", f"{area}/marks", OPS, "event_type")
-    return state.read(spark)
+        layers.scd1_stream_into(changes, table, f"{area}/marks", OPS, "event_type")
+        if load == 1:
+            table.compact(spark)
+    return table.read(spark)
 
 
 @query(scd2_sql())
@@ -74,11 +85,11 @@ def orders_insert_only_stream(spark: SparkSession, root: str) -> DataFrame:
     old = orders.where(F.col("o_orderdate") < F.lit("1998-01-01").cast("timestamp_ntz"))
     new = orders.where(F.col("o_orderdate") >= F.lit("1997-01-01").cast("timestamp_ntz"))
     log = zoned(old.withColumn("load", F.lit(0)).unionByName(new.withColumn("load", F.lit(1))), "o_orderdate")
-    state = Snapshots(f"{area}/state", log.drop("load").schema, ("o_orderkey", "o_orderdate"), buckets=8)
+    table = KeyedLog(f"{area}/table", log.drop("load").schema, ("o_orderkey", "o_orderdate"), first=True)
     for _ in arrivals(log, f"{area}/landing", range(2), copies=2):
         feed = spark.readStream.schema(log.schema).parquet(f"{area}/landing").drop("load")
-        layers.orders_stream_into(feed, state, "o_orderdate", f"{area}/marks", salts=SALTS)
-    return state.read(spark)
+        layers.orders_stream_into(feed, table, "o_orderdate", f"{area}/marks", salts=SALTS)
+    return table.read(spark)
 
 
 @query(f"""
@@ -117,6 +128,32 @@ def tumbling_stats_stream(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.parquet(f"{area}/table").withColumn("avg_value", F.round("avg_value", 6))
 
 
+def _late(spark: SparkSession, root: str, label: str, schedule: str, delay: str, at_once: bool) -> DataFrame:
+    """The rows that a stream's own watermark drops, found by what its output lacks."""
+    area = new_area(spark, label)
+    log = zoned(loads(spark, root, schedule), "ts").select(*FIELDS, "load")
+    for load in arrivals(log.coalesce(1) if at_once else log, f"{area}/landing", LATE_LOADS):
+        if at_once and load < max(LATE_LOADS):
+            continue
+        source = spark.readStream.schema(log.schema)
+        source = source.option("maxFilesPerTrigger", 1) if at_once else source
+        kept = dedup_stream(source.parquet(f"{area}/landing"), ["event_id", "ts"], "ts", delay)
+        run_stream(kept, f"{area}/table", f"{area}/marks")
+    return log.join(spark.read.parquet(f"{area}/table").select("event_id"), "event_id", "left_anti").select(*FIELDS, "load")
+
+
+@query(late_sql("30 SECOND", 1))
+def late_rows(spark: SparkSession, root: str) -> DataFrame:
+    """Each load is a run of its own, filtered with the watermark that the runs before left."""
+    return _late(spark, root, "late", LATE_LOAD_SQL, layers.ORDER_DELAY, at_once=False)
+
+
+@query(late_sql("10 MINUTE", 2, LATER_LOAD_SQL))
+def late_rows_in_batches(spark: SparkSession, root: str) -> DataFrame:
+    """The loads are consecutive micro-batches of one run, where the filter trails one batch."""
+    return _late(spark, root, "late-batches", LATER_LOAD_SQL, "10 minutes", at_once=True)
+
+
 @query("SELECT c_custkey, c_name, n_name AS country FROM customer JOIN nation ON c_nationkey = n_nationkey")
 def stream_static_lookup(spark: SparkSession, root: str) -> DataFrame:
     area = new_area(spark, "lookup")
@@ -126,17 +163,33 @@ def stream_static_lookup(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.parquet(f"{area}/table")
 
 
+@query("SELECT c_custkey, c_name, n_name AS country FROM customer JOIN nation ON c_nationkey = n_nationkey")
+def stream_json_lookup(spark: SparkSession, root: str) -> DataFrame:
+    """Customers with the country that a JSON lookup names for their code."""
+    area = new_area(spark, "json-lookup")
+    nations = read_table(spark, root, "nation")
+    nations.select(F.col("n_nationkey").alias("code"), F.col("n_name").alias("country")).write.json(f"{area}/countries")
+    countries = read_lookup(spark, f"{area}/countries", "code BIGINT, country STRING")
+    customers = stream_table(spark, root, "customer").select("c_custkey", "c_name", F.col("c_nationkey").alias("country_code"))
+    run_stream(layers.customers_with_country(customers, countries), f"{area}/table", f"{area}/marks")
+    return spark.read.parquet(f"{area}/table")
+
+
 @query("""
-    SELECT o_orderkey, o_custkey, o_totalprice, c_name, c_mktsegment
-    FROM orders JOIN customer ON o_custkey = c_custkey
+    SELECT a.event_id, a.user_id, a.ts, b.event_id AS other_id, b.ts AS other_ts
+    FROM events a JOIN events b ON a.user_id = b.user_id AND a.event_type = 'purchase' AND b.event_type = 'click'
+        AND b.ts BETWEEN a.ts - INTERVAL 1 HOUR AND a.ts + INTERVAL 1 HOUR
 """)
 def stream_stream_join(spark: SparkSession, root: str) -> DataFrame:
+    """Purchases with the user's clicks within an hour; state expires a month behind."""
     area = new_area(spark, "stream-join")
-    orders = stream_table(spark, root, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
-    customers = stream_table(spark, root, "customer").select(
-        F.col("c_custkey").alias("o_custkey"), "c_name", "c_mktsegment"
+    rows = zoned(stream_table(spark, root, "events"), "ts")
+    purchases = rows.where("event_type = 'purchase'").select("event_id", "user_id", "ts")
+    clicks = rows.where("event_type = 'click'").select(
+        F.col("event_id").alias("other_id"), "user_id", F.col("ts").alias("other_ts")
     )
-    run_stream(stream_join(orders, customers, ["o_custkey"], salts=SALTS), f"{area}/table", f"{area}/marks")
+    bound = TimeBound("ts", "other_ts", delay="31 days", within="1 hour")
+    run_stream(stream_join(purchases, clicks, ["user_id"], bound, salts=SALTS), f"{area}/table", f"{area}/marks")
     return spark.read.parquet(f"{area}/table")
 
 
@@ -152,39 +205,136 @@ def orders_customers_stream(spark: SparkSession, root: str) -> DataFrame:
                                                        "c_acctbal")
     first = known.withColumn("c_mktsegment", F.lit("UNKNOWN")).withColumn("load", F.lit(0))
     log = first.unionByName(known.where("c_acctbal > 0").withColumn("load", F.lit(1))).drop("c_acctbal")
-    customers = Snapshots(f"{area}/customers", log.schema, ("o_custkey",), buckets=8, track_changes=True)
+    customers = KeyedLog(f"{area}/customers", log.schema, ("o_custkey",), ("load",))
     orders = stream_table(spark, root, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
-    fields = "o_orderkey bigint, o_custkey bigint, o_totalprice double, c_name string, c_mktsegment string"
-    joined = Snapshots(
-        f"{area}/joined", StructType.fromDDL(f"{fields}, processed_timestamp timestamp"), ("o_orderkey", "o_custkey"), 8
+    fields = "o_orderkey bigint, o_custkey bigint, o_totalprice double"
+    stored = KeyedLog(f"{area}/orders", StructType.fromDDL(fields), ("o_orderkey",))
+    joined = KeyedLog(
+        f"{area}/joined",
+        StructType.fromDDL(
+            f"{fields}, c_name string, c_mktsegment string, processed_version bigint, processed_timestamp timestamp"
+        ),
+        ("o_orderkey", "o_custkey"),
+        ("processed_version", "processed_timestamp"),
     )
     for _ in arrivals(log, f"{area}/landing", range(2)):
         loaded = spark.readStream.schema(log.schema).parquet(f"{area}/landing")
-        layers.scd1_stream_into(loaded, customers, "load", f"{area}/marks-customers")
+        layers.scd1_stream_into(loaded, customers, f"{area}/marks-customers", track=True)
         changes = stream_batches(spark, customers.changes_path).drop("load")
-        layers.orders_customers_into(orders, changes, joined, "o_custkey", f"{area}/marks-joined", salts=SALTS)
-    return joined.read(spark).drop("processed_timestamp")
+        layers.orders_customers_into(
+            orders, changes, stored, joined, "o_custkey", f"{area}/marks-joined", customers.changes_path
+        )
+    return joined.read(spark).drop("processed_version", "processed_timestamp")
 
 
-@query("SELECT event_type AS topic, count(*) AS n_rows FROM events GROUP BY event_type")
+@query("SELECT event_type AS topic, event_id, user_id, value FROM events")
 def feed_fanout(spark: SparkSession, root: str) -> DataFrame:
     """One partitioned write per micro-batch for all topics."""
     area = new_area(spark, "fanout")
     feed = raw_feed(spark, landed_feed(spark, root, "fanout"), streaming=True)
     append_batches(feed, f"{area}/table", f"{area}/marks", partition_by=["topic"])
-    return spark.read.parquet(f"{area}/table").groupBy("topic").agg(F.count(F.lit(1)).alias("n_rows"))
+    payload = F.from_json("value", "event_id BIGINT, user_id BIGINT, value DOUBLE").alias("v")
+    return read_batches(spark, f"{area}/table").select("topic", payload).select("topic", "v.*")
+
 
+def _bronze(spark: SparkSession, root: str, label: str) -> str:
+    """A bronze table of the feed, a few files per micro-batch."""
+    area = new_area(spark, label)
+    feed = raw_feed(spark, landed_feed(spark, root, label), streaming=True, files_per_batch=4)
+    topics = {name: topic for name, topic in EVENT_TOPICS.items() if name != "error"}
+    layers.bronze(feed, topics, f"{area}/bronze", f"{area}/marks")
+    return f"{area}/bronze"
 
-@query("SELECT event_type AS topic, event_id, ts, user_id, value FROM events")
+
+@query("SELECT event_type AS topic, event_id, ts, user_id, value FROM events WHERE event_type <> 'error'")
 def bronze_topics(spark: SparkSession, root: str) -> DataFrame:
     """Feed to topic tables, each message read once."""
-    area = new_area(spark, "bronze")
-    feed = raw_feed(spark, landed_feed(spark, root, "bronze"), streaming=True)
-    layers.bronze(feed, EVENT_TOPICS, f"{area}/tables", f"{area}/marks")
+    path = _bronze(spark, root, "bronze")
     tables = [
-        spark.read.parquet(f"{area}/tables/{name}").select(
-            F.lit(name).alias("topic"), "event_id", "ts", "user_id", "value"
-        )
-        for name in EVENT_TOPICS
+        layers.bronze_topic(spark, path, topic).select(F.lit(name).alias("topic"), "event_id", "ts", "user_id", "value")
+        for name, topic in EVENT_TOPICS.items() if name != "error"
     ]
     return union_widened(*tables)
+
+
+@query("""
+    SELECT 'feed' AS kind, event_type AS topic, CAST(user_id AS VARCHAR) AS key, event_id FROM events
+    UNION ALL SELECT 'topic', event_type, CAST(user_id AS VARCHAR), event_id FROM events WHERE event_type <> 'error'
+    UNION ALL SELECT 'quarantine: unknown topic', event_type, CAST(user_id AS VARCHAR), event_id FROM events
+    WHERE event_type = 'error'
+""")
+def pipeline_bronze(spark: SparkSession, root: str) -> DataFrame:
+    """All messages as they came, the topics' rows and the quarantine, from one table."""
+    path = _bronze(spark, root, "pipeline-bronze")
+    event_id = F.get_json_object("value", "$.event_id").cast("bigint").alias("event_id")
+    topics = [
+        layers.bronze_topic(spark, path, topic).select(F.lit("topic").alias("kind"), F.lit(name).alias("topic"), "key", "event_id")
+        for name, topic in EVENT_TOPICS.items() if name != "error"
+    ]
+    return union_widened(
+        layers.bronze_feed(spark, path).select(F.lit("feed").alias("kind"), "topic", "key", event_id),
+        *topics,
+        layers.bronze_quarantine(spark, path).select(
+            F.concat(F.lit("quarantine: "), "reason").alias("kind"), "topic", "key", event_id
+        ),
+    )
+
+
+def _order_messages(spark: SparkSession, root: str) -> DataFrame:
+    """Orders with nested lines, as order messages carry them."""
+    lines = read_table(spark, root, "lineitem").select(
+        "l_orderkey", F.col("l_linenumber").alias("number"), F.col("l_partkey").alias("book_id"),
+        F.col("l_quantity").alias("quantity"), F.col("l_extendedprice").alias("subtotal"),
+    )
+    books = nest_lines(lines, ["l_orderkey"], ["book_id", "quantity", "subtotal"], "number", "books")
+    orders = read_table(spark, root, "orders").select("o_orderkey", "o_orderdate")
+    return zoned(orders.join(books, F.col("o_orderkey") == F.col("l_orderkey")).drop("l_orderkey"), "o_orderdate")
+
+
+def _current_books(spark: SparkSession, root: str, path: str) -> DataFrame:
+    """Parts as books whose price changed once, kept as a stored table of current versions that is replaced once."""
+    parts = read_table(spark, root, "part").select(
+        F.col("p_partkey").alias("book_id"), F.col("p_name").alias("title"), F.col("p_brand").alias("author"),
+        F.col("p_retailprice").alias("price"),
+    )
+    old = parts.withColumn("price", F.lit(0.0)).withColumn("updated", F.lit("2024-01-01").cast("timestamp_ntz"))
+    new = parts.withColumn("updated", F.lit("2024-02-01").cast("timestamp_ntz"))
+    layers.keep_current(scd2_build(old, ["book_id"], "updated"), path)
+    return layers.keep_current(scd2_build(old.unionByName(new), ["book_id"], "updated"), path)
+
+
+@query("""
+    SELECT o_orderkey, l_linenumber AS line_number, l_partkey AS line_book_id, l_quantity AS line_quantity,
+           l_extendedprice AS line_subtotal, p_name AS title, p_brand AS author, p_retailprice AS price
+    FROM orders JOIN lineitem ON o_orderkey = l_orderkey JOIN part ON l_partkey = p_partkey
+""")
+def order_lines_stream(spark: SparkSession, root: str) -> DataFrame:
+    """A stream of orders, its lines joined with the stored current books."""
+    area = new_area(spark, "order-lines")
+    messages = _order_messages(spark, root)
+    messages.write.parquet(f"{area}/landing")
+    books = _current_books(spark, root, f"{area}/books")
+    orders = spark.readStream.schema(messages.schema).parquet(f"{area}/landing")
+    run_stream(layers.orders_books(orders, books).drop("o_orderdate", "book_id"), f"{area}/table", f"{area}/marks")
+    return spark.read.parquet(f"{area}/table")
+
+
+@query("""
+    SELECT * FROM (
+        SELECT time_bucket(INTERVAL 5 MINUTE, o_orderdate, TIMESTAMP '1970-01-01') AS window_start,
+               time_bucket(INTERVAL 5 MINUTE, o_orderdate, TIMESTAMP '1970-01-01') + INTERVAL 5 MINUTE AS window_end,
+               p_brand AS author, count(*) AS orders_count, round(avg(l_quantity), 6) AS avg_quantity
+        FROM orders JOIN lineitem ON o_orderkey = l_orderkey JOIN part ON l_partkey = p_partkey
+        GROUP BY ALL
+    ) WHERE window_end <= (SELECT max(o_orderdate) - INTERVAL 10 MINUTE FROM orders)
+""")
+def author_stats_stream(spark: SparkSession, root: str) -> DataFrame:
+    """Statistics per author and closed window over a stream of order lines."""
+    area = new_area(spark, "author-stats")
+    messages = _order_messages(spark, root)
+    messages.write.parquet(f"{area}/landing")
+    orders = spark.readStream.schema(messages.schema).parquet(f"{area}/landing")
+    lines = layers.orders_books(orders, _current_books(spark, root, f"{area}/books"))
+    stats = layers.author_stats(lines, "o_orderdate", "o_orderkey", "line_quantity", layers.STATS_DELAY)
+    run_stream(stats, f"{area}/table", f"{area}/marks")
+    return spark.read.parquet(f"{area}/table").withColumn("avg_quantity", F.round("avg_quantity", 6))

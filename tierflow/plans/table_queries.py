@@ -16,8 +16,8 @@ from tierflow.plans.layers import author_stats, reconcile
 from tierflow.sources.tables import read_table, zoned
 from tierflow.streaming.operators import tumbling_stats
 
-# The two feeds to reconcile: events before the first and from the second day on.
-FEED_A_END, FEED_B_START = "2024-01-03", "2024-01-28"
+# The two feeds to reconcile: events before the first and from the second day on; they share ten days.
+FEED_A_END, FEED_B_START = "2024-01-20", "2024-01-10"
 
 
 def _feeds(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
@@ -140,12 +140,12 @@ def concat_path(spark: SparkSession, root: str) -> DataFrame:
                        FROM events WHERE {LOAD_SQL} = 0) WHERE place = 1
     )
     SELECT b.event_id, b.user_id, b.ts AS new_ts, a.ts AS old_ts, a.event_type AS old_type
-    FROM (SELECT * FROM events WHERE {LOAD_SQL} = 1) b JOIN active a ON a.user_id = b.user_id AND a.ts <> b.ts
+    FROM (SELECT * FROM events WHERE {LOAD_SQL} >= 1) b JOIN active a ON a.user_id = b.user_id AND a.ts <> b.ts
 """)
 def join_equi_theta(spark: SparkSession, root: str) -> DataFrame:
     """Batch rows against the one active row of their key, if its time differs."""
     rows = loads(spark, root)
-    batch = rows.where("load = 1").alias("b")
+    batch = rows.where("load >= 1").alias("b")
     active = scd1_build(rows.where("load = 0"), ["user_id"], "ts").alias("a")
     matched = batch.join(active, (F.col("a.user_id") == F.col("b.user_id")) & (F.col("a.ts") != F.col("b.ts")))
     return matched.select(
@@ -175,7 +175,7 @@ def _order_rows(spark: SparkSession, root: str) -> DataFrame:
         F.col("l_quantity").alias("quantity"),
         F.col("l_extendedprice").alias("subtotal"),
     )
-    nested = nest_lines(lines, ["o_orderkey"], ["partkey", "quantity", "subtotal"], "number", "lines").drop("run")
+    nested = nest_lines(lines, ["o_orderkey"], ["partkey", "quantity", "subtotal"], "number", "lines")
     return read_table(spark, root, "orders").join(nested, "o_orderkey")
 
 
@@ -287,15 +287,29 @@ def rank_latest(spark: SparkSession, root: str) -> DataFrame:
     return latest.select("o_custkey", "o_orderkey", "o_orderdate", "o_totalprice")
 
 
-@query("""
-    SELECT event_id, user_id, ts, coalesce(lead(ts) OVER (PARTITION BY user_id ORDER BY ts),
-           TIMESTAMP '9999-12-31 23:59:59') AS next_ts
-    FROM events
-""")
+LEAD_SQL = """
+    SELECT o_orderkey, o_custkey, o_orderdate, coalesce(lead(o_orderdate) OVER (PARTITION BY o_custkey
+           ORDER BY o_orderdate, o_orderkey), TIMESTAMP '9999-12-31 23:59:59') AS next_date
+    FROM orders
+"""
+
+
+def _leads(spark: SparkSession, root: str, **limit: int) -> DataFrame:
+    orders = read_table(spark, root, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    rows = next_sequence(orders, ["o_custkey"], "o_orderdate", "next_date", **limit)
+    return rows.withColumn("next_date", F.coalesce("next_date", F.lit("9999-12-31 23:59:59").cast("timestamp_ntz")))
+
+
+@query(LEAD_SQL)
 def lead_interval(spark: SparkSession, root: str) -> DataFrame:
-    rows = next_sequence(events(spark, root).select("event_id", "user_id", "ts"), ["user_id"], "ts", "next_ts")
-    last = F.lit("9999-12-31 23:59:59").cast("timestamp_ntz")
-    return rows.withColumn("next_ts", F.coalesce("next_ts", last))
+    """Day of the customer's next order; several orders on one day all stay."""
+    return _leads(spark, root)
+
+
+@query(LEAD_SQL)
+def lead_interval_split(spark: SparkSession, root: str) -> DataFrame:
+    """The same rows with a low limit for rows per task."""
+    return _leads(spark, root, hot_rows=12)
 
 
 @query("SELECT user_id, ts, event_id, event_type FROM events ORDER BY user_id ASC, ts DESC, event_id")

@@ -63,41 +63,45 @@ def parse_topic(feed: DataFrame, topic: Topic, zone: str = "UTC", lineage: tuple
     )
 
 
-def readable_rows(feed: DataFrame, topic: Topic, zone: str = "UTC", lineage: tuple[str, ...] = ()) -> DataFrame:
-    """As `parse_topic`, without the rows whose value gave no field at all.
+def parse_all(feed: DataFrame, registry: Mapping[str, Topic]) -> DataFrame:
+    """All topics in one pass: next to the feed columns, one struct per topic, NULL on other topics' rows.
 
-    `inline` keeps the field test above the parse: pushed below it, the document would be parsed twice.
+    `inline` keeps what is asked of the structs above the parse: pushed below it, a document would be parsed again.
     """
-    fields = F.inline(F.array(F.from_json("value", topic.schema)))
-    rows = feed.where(F.col("topic") == topic.name).select(*lineage, fields, "source_file")
-    some_field = F.coalesce(*[F.col(f.name).cast("string") for f in topic.struct.fields]).isNotNull()
-    return rows.where(some_field).withColumn("insert_ts", ingest_stamp(zone))
+    payloads = [
+        F.when(F.col("topic") == name, F.from_json("value", topic.schema)).alias(name) for name, topic in registry.items()
+    ]
+    return feed.select(*feed.columns, F.inline(F.array(F.struct(*payloads))))
 
 
-def parse_all(feed: DataFrame, registry: Mapping[str, Topic]) -> DataFrame:
-    """All topics in one pass: next to the feed columns, one struct per topic, NULL on other topics' rows."""
-    payloads = {
-        name: F.when(F.col("topic") == name, F.from_json("value", topic.schema)) for name, topic in registry.items()
-    }
-    return feed.withColumns(payloads)
+def sort_out(feed: DataFrame, registry: Mapping[str, Topic]) -> DataFrame:
+    """As `parse_all`, with the `reason` why a row cannot become a topic row; NULL for good rows."""
+    reason = F.when(F.col("topic").isNull(), "no topic").when(~F.col("topic").isin(*registry), "unknown topic")
+    for name, topic in registry.items():
+        empty = F.col(name).isNull() | all_null(F.col(name), topic.struct)
+        reason = reason.when((F.col("topic") == name) & empty, "unreadable value")
+    return parse_all(feed, registry).withColumn("reason", reason)
 
 
-def reject_reason(registry: Mapping[str, Topic]) -> Column:
-    """Why a feed row cannot become a topic row; NULL for good rows."""
-    reason = F.when(F.col("topic").isNull(), "no topic").when(~F.col("topic").isin(*registry), "unknown topic")
-    for topic in registry.values():
-        parsed = F.from_json("value", topic.schema)
-        reason = reason.when((F.col("topic") == topic.name) & all_null(parsed, topic.struct), "unreadable value")
-    return reason
+def topic_rows(sorted_out: DataFrame, topic: str, lineage: tuple[str, ...] = ()) -> DataFrame:
+    """Payload columns of a topic's good rows among rows sorted out, and further `lineage` columns."""
+    good = sorted_out.where((F.col("topic") == topic) & F.col("reason").isNull())
+    return good.select(*lineage, f"{topic}.*", "source_file", "insert_ts")
+
+
+def rejected_rows(sorted_out: DataFrame) -> DataFrame:
+    return sorted_out.where(F.col("reason").isNotNull()).select(
+        "topic", "key", "value", "create_ts", "source_file", "insert_ts", "reason"
+    )
 
 
 def route(feed: DataFrame, registry: Mapping[str, Topic]) -> tuple[dict[str, DataFrame], DataFrame]:
-    """Readable rows per known topic, and every other row with its reason."""
-    known = {
-        name: readable_rows(feed, topic, lineage=("key", "create_ts")) for name, topic in registry.items()
-    }
-    quarantine = feed.withColumn("reason", reject_reason(registry)).where(F.col("reason").isNotNull())
-    return known, quarantine
+    """Readable rows per known topic, and every other row with its reason.
+
+    To write all of them, write `sort_out` once, partitioned, as `plans.layers.bronze` does.
+    """
+    rows = sort_out(feed, registry)
+    return {name: topic_rows(rows, name, ("key", "create_ts")) for name in registry}, rejected_rows(rows)
 
 
 def file_label(path: Column) -> Column:

@@ -1,44 +1,28 @@
 """Run-to-completion streams and their sinks on plain Parquet.
 
-Every sink is idempotent under a replayed micro-batch: what batch N writes goes to a folder named after N and
-replaces whatever an interrupted attempt left there. Nothing that is being read is ever overwritten.
+What a micro-batch writes goes to a folder named after its streaming query and its number, and replaces whatever an
+interrupted attempt left there. A query keeps its id as long as its checkpoint lives, so a replayed batch finds its own
+folder, while another stream, or the same one on a new checkpoint, never touches it. Nothing that is read is overwritten.
 """
 
 from __future__ import annotations
 
-import json
-from collections.abc import Callable, Iterator, Mapping, Sequence
-from contextlib import contextmanager
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tierflow.operators.changes import change_feed
-from tierflow.sources.tables import no_rows
+from tierflow.operators.skew import greatest_row
+from tierflow.session import new_area
+from tierflow.sources.tables import no_rows, read_batches
 
-
-@contextmanager
-def _state_partitions(spark: SparkSession) -> Iterator[None]:
-    """Shuffle partitions for a query about to start; its checkpoint keeps the number for good.
-
-    The session's own setting counts. Where none was made and the master is local, Spark's default of 200
-    would only mean 200 tiny states for a handful of threads.
-    """
-    name = "spark.sql.shuffle.partitions"
-    context = spark.sparkContext
-    before = spark.conf.get(name)
-    if context.getConf().contains(name) or before != "200" or not context.master.startswith("local"):
-        yield
-        return
-    spark.conf.set(name, str(context.defaultParallelism))
-    try:
-        yield
-    finally:
-        spark.conf.set(name, before)
+#: Folder of batches that no stream writes.
+BY_HAND = "batch"
 
 
 def run_stream(
@@ -48,8 +32,7 @@ def run_stream(
     writer = df.writeStream.format("parquet").outputMode(mode).option("path", path)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    with _state_partitions(df.sparkSession):
-        query = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
     return query
 
@@ -57,18 +40,22 @@ def run_stream(
 def each_batch(df: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
     """Give every micro-batch of the backlog to `write` and stop."""
     writer = df.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
-    with _state_partitions(df.sparkSession):
-        query = writer.trigger(availableNow=True).start()
+    query = writer.trigger(availableNow=True).start()
     query.awaitTermination()
     return query
 
 
+def writer_id(batch: DataFrame) -> str:
+    """The id of the streaming query whose micro-batch this is; it outlives restarts from the same checkpoint."""
+    return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or BY_HAND
+
+
 def write_batch(batch: DataFrame, path: str, number: int, partition_by: Sequence[str] = ()) -> None:
-    """Append one numbered batch; writing the same number again replaces it."""
+    """Append one numbered batch of the stream (or hand) that runs; writing the same number again replaces it."""
     writer = batch.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.parquet(f"{path}/batch_id={number}")
+    writer.parquet(f"{path}/query={writer_id(batch)}/batch_id={number}")
 
 
 def append_batches(
@@ -78,7 +65,7 @@ def append_batches(
     partition_by: Sequence[str] = (),
     prepare: Callable[[DataFrame], DataFrame] | None = None,
 ) -> StreamingQuery:
-    """Append each micro-batch, after `prepare`, to a table whose `batch_id` column tells the batch."""
+    """Append each micro-batch, after `prepare`, to a table that `read_batches` reads."""
 
     def write(batch: DataFrame, number: int) -> None:
         write_batch(prepare(batch) if prepare else batch, path, number, partition_by)
@@ -86,135 +73,109 @@ def append_batches(
     return each_batch(df, write, checkpoint)
 
 
-def fan_out(
-    df: DataFrame, tables: Mapping[str, Callable[[DataFrame], DataFrame]], path: str, checkpoint: str
-) -> StreamingQuery:
-    """One read of the stream, several tables: each micro-batch is kept while all of them are written."""
-
-    def write(batch: DataFrame, number: int) -> None:
-        batch.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            for name, shape in tables.items():
-                write_batch(shape(batch), f"{path}/{name}", number)
-        finally:
-            batch.unpersist()
-
-    return each_batch(df, write, checkpoint)
-
-
-def _at(spark: SparkSession, path: str):
-    """The path and the file system that holds it."""
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return place, place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
-
-
-def _names(spark: SparkSession, path: str) -> list[str]:
-    place, fs = _at(spark, path)
-    return [s.getPath().getName() for s in fs.listStatus(place)] if fs.exists(place) else []
-
-
-def completed(spark: SparkSession, path: str, prefix: str) -> int | None:
-    """Greatest n whose folder `<prefix>n` was written to its end."""
-    numbers = sorted((int(n.removeprefix(prefix)) for n in _names(spark, path) if n.startswith(prefix)), reverse=True)
-    return next((n for n in numbers if "_SUCCESS" in _names(spark, f"{path}/{prefix}{n}")), None)
+def found(read: Callable[[], DataFrame]) -> DataFrame | None:
+    """A table, or None while nothing has been written to its place."""
+    try:
+        return read()
+    except AnalysisException as error:
+        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return None
 
 
 @dataclass(frozen=True)
-class Snapshots:
-    """A table with unique keys, kept as one folder per (version, bucket of the keys).
+class KeyedLog:
+    """A table with unique keys, kept as an append-only log of reduced batches; the greatest row of a key counts.
 
-    A version rewrites the buckets its batch touches and points at older folders for the others. The list of
-    (bucket, version) pairs, at most `buckets` of them, is written last and makes the version visible.
-    With `track_changes` each version also leaves its row changes in `changes_path`, as numbered batches.
+    Rows are compared by `order_by`, then by all other columns; with `first` the least one counts instead, by the number
+    of the batch that brought it, so that what came first stays. A batch costs its own rows, however large the table is.
+    `compact` stores the reduced table, which readers then start from; batches it holds are not read again.
     """
 
     path: str
     schema: T.StructType
     keys: tuple[str, ...]
-    buckets: int = 64
-    track_changes: bool = False
+    order_by: tuple[str, ...] = ()
+    first: bool = False
+
+    @property
+    def log_path(self) -> str:
+        return f"{self.path}/log"
 
     @property
     def changes_path(self) -> str:
         return f"{self.path}/changes"
 
-    @property
-    def bucket(self) -> Column:
-        return F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
-
-    def newest(self, spark: SparkSession, below: int | None = None) -> int | None:
-        """Greatest version, or greatest one before `below`."""
-        found = [int(n.removesuffix(".json")) for n in _names(spark, f"{self.path}/index") if n[0].isdigit()]
-        return max((v for v in found if below is None or v < below), default=None)
-
-    def index(self, spark: SparkSession, version: int | None) -> dict[int, int]:
-        """Bucket -> version whose folder holds it."""
-        if version is None:
-            return {}
-        place, fs = _at(spark, f"{self.path}/index/{version}.json")
-        stream = fs.open(place)
-        try:
-            text = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-        finally:
-            stream.close()
-        return {int(b): v for b, v in json.loads(text).items()}
-
-    def _publish(self, spark: SparkSession, version: int, places: Mapping[int, int]) -> None:
-        """Make a version visible: its index appears whole, by renaming."""
-        draft, fs = _at(spark, f"{self.path}/index/_{version}.json")
-        final, _ = _at(spark, f"{self.path}/index/{version}.json")
-        out = fs.create(draft, True)
-        out.write(bytearray(json.dumps(places).encode()))
-        out.close()
-        fs.delete(final, False)
-        if not fs.rename(draft, final):
-            raise OSError(f"cannot publish {final}")
-
-    def _rows(self, spark: SparkSession, places: Mapping[int, int]) -> DataFrame:
-        if not places:
-            return no_rows(spark, self.schema)
-        paths = [f"{self.path}/data/version={v}/bucket={b}" for b, v in sorted(places.items())]
-        return spark.read.schema(self.schema).parquet(*paths)
-
-    def read(self, spark: SparkSession, version: int | None = None) -> DataFrame:
-        """The table as of a version, the newest by default."""
-        version = self.newest(spark) if version is None else version
-        return self._rows(spark, self.index(spark, version))
-
-    def apply(self, rows: DataFrame, number: int, change: Callable[[DataFrame, DataFrame], DataFrame]) -> None:
-        """Write version `number`: `change(stored rows of the touched buckets, rows)`. No rows, no version."""
-        spark = rows.sparkSession
-        rows.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            # At most `buckets` numbers. The job also fills the cache, so the size of `rows` is known to the joins.
-            touched = {r[0] for r in rows.select(self.bucket).distinct().collect()}
-            if not touched:
-                return
-            places = self.index(spark, self.newest(spark, below=number))
-            old = self._rows(spark, {b: v for b, v in places.items() if b in touched})
-            changed = change(old, rows).select(*self.schema.names).withColumn("bucket", self.bucket)
-            data = f"{self.path}/data/version={number}"
-            # Rebalancing gives each bucket few files and splits buckets that are too large for one task.
-            changed.hint("rebalance", F.col("bucket")).write.mode("overwrite").partitionBy("bucket").parquet(data)
-            if self.track_changes:
-                new = self._rows(spark, {b: number for b in touched})
-                write_batch(change_feed(old, new, self.keys, number), self.changes_path, number)
-            places.update({b: number for b in touched})
-            self._publish(spark, number, places)
-        finally:
-            rows.unpersist()
-
-
-def foreach_batch_apply(
-    df: DataFrame,
-    reduce_rows: Callable[[DataFrame], DataFrame],
-    change: Callable[[DataFrame, DataFrame], DataFrame],
-    state: Snapshots,
-    checkpoint: str,
-) -> StreamingQuery:
-    """Fold a stream into snapshots, micro-batch by micro-batch.
+    def append(self, batch: DataFrame, number: int) -> None:
+        """Add one micro-batch, one row per key."""
+        write_batch(self.reduced(batch.select(*self.schema.names)), self.log_path, number)
+
+    def reduced(self, rows: DataFrame) -> DataFrame:
+        if not self.first:
+            return greatest_row(rows, self.keys, self.order_by).select(*self.schema.names)
+        arrival = -F.col("batch_id") if "batch_id" in rows.columns else F.lit(0)
+        return greatest_row(rows.withColumn("_first", arrival), self.keys, ["_first"]).select(*self.schema.names)
+
+    def read(self, spark: SparkSession) -> DataFrame:
+        rows = self._rows(spark)
+        return no_rows(spark, self.schema) if rows is None else self.reduced(rows)
+
+    def _rows(self, spark: SparkSession) -> DataFrame | None:
+        """The compacted rows and the batches that came since; they may hold several rows of a key."""
+        batches = found(lambda: read_batches(spark, self.log_path, keep_query=True))
+        done = found(lambda: spark.read.parquet(f"{self.path}/compacted"))
+        if done is None:
+            return batches
+        newest = done.agg(F.max("version")).first()[0]
+        held = done.where(F.col("version") == newest).select("query", "batch_id")
+        base = spark.read.parquet(f"{self.path}/base/version={newest}").withColumn("batch_id", F.lit(-1))
+        since = batches.join(F.broadcast(held), ["query", "batch_id"], "left_anti")  # a row per batch
+        return base.unionByName(since.drop("query"))
+
+    def compact(self, spark: SparkSession) -> None:
+        """Store the table as it is. Readers see it once the list of its batches is written, which comes last."""
+        batches, rows = found(lambda: read_batches(spark, self.log_path, keep_query=True)), self._rows(spark)
+        if batches is None:
+            return
+        # Listed before the rows: a batch that comes in between is in the base and, harmlessly, read once more.
+        held = batches.select("query", "batch_id").distinct()
+        done = found(lambda: spark.read.parquet(f"{self.path}/compacted"))
+        version = 0 if done is None else done.agg(F.max("version")).first()[0] + 1
+        self.reduced(rows).write.mode("overwrite").parquet(f"{self.path}/base/version={version}")
+        held.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/compacted/version={version}")
+
+    def track(self, batch: DataFrame, number: int) -> None:
+        """Append a batch and leave the changes it makes in `changes_path`.
+
+        Only rows of the batch's keys are compared. Versions go on from those of other queries, so that a new checkpoint
+        continues them, and a replayed batch gives its own again.
+        """
+        spark = batch.sparkSession
+        mine, place = writer_id(batch), new_area(spark, "tracked")
+        # The batch is computed once, into a table of its own.
+        self.reduced(batch.select(*self.schema.names)).write.parquet(f"{place}/new")
+        new = spark.read.schema(self.schema).parquet(f"{place}/new")
+        earlier = found(lambda: read_batches(spark, self.log_path, keep_query=True))
+        known = no_rows(spark, self.schema)
+        if earlier is not None:
+            before = ~((F.col("query") == mine) & (F.col("batch_id") >= number))
+            touched = new.select(*self.keys).distinct()
+            rows = self.reduced(earlier.where(before).join(touched, list(self.keys), "left_semi"))
+            rows.write.parquet(f"{place}/known")
+            known = spark.read.schema(self.schema).parquet(f"{place}/known")
+        changes = found(lambda: read_batches(spark, self.changes_path, keep_query=True))
+        others = None if changes is None else changes.where(F.col("query") != mine).agg(F.max("_commit_version")).first()[0]
+        version = (0 if others is None else others + 1) + number
+        after = self.reduced(known.unionByName(new))
+        write_batch(change_feed(known, after, self.keys, version), self.changes_path, number)
+        write_batch(new, self.log_path, number)
+
+
+def log_stream(df: DataFrame, table: KeyedLog, checkpoint: str, changes: bool = False,
+               prepare: Callable[[DataFrame], DataFrame] | None = None) -> StreamingQuery:
+    """Fold a stream into a keyed table, micro-batch by micro-batch; with `changes` its change feed is kept too."""
 
-    `reduce_rows(batch)` leaves one row per key and is computed once; `change(old rows, reduced rows)` gives the
-    new rows and may not lose a key.
-    """
-    return each_batch(df, lambda batch, number: state.apply(reduce_rows(batch), number, change), checkpoint)
+    def write(batch: DataFrame, number: int) -> None:
+        (table.track if changes else table.append)(prepare(batch) if prepare else batch, number)
+
+    return each_batch(df, write, checkpoint)
