@@ -47,3 +47,15 @@ def test_repeated_rows_null_ids_and_other_columns(spark):
 
 def test_empty_table(spark):
     assert exact_duplicates(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+def test_a_sieve_lets_every_key_through_and_little_else(spark):
+    from pyspark.sql import functions as F
+
+    from tierflow.llm.shared import sieve, sifted
+
+    keys, others = spark.range(5000).selectExpr("CAST(id AS STRING) AS k"), spark.range(5000, 25000).selectExpr("CAST(id AS STRING) AS k")
+    bits = sieve(keys, F.col("k"))
+    assert sifted(keys, F.col("k"), bits, "hit").where("NOT hit").isEmpty()
+    assert sifted(others, F.col("k"), bits, "hit").where("hit").count() < 50
+    assert sifted(others, F.col("k"), bits.limit(0), "hit").where("hit").isEmpty()

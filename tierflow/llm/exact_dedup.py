@@ -6,6 +6,9 @@ ended. Equality is decided by the bytes themselves; no digest takes part. Runs g
 the number of rounds is the logarithm of the longest text that has a rival, and each round handles only the documents
 that are not yet told apart.
 
+Documents whose first bytes are nobody else's stay where they are; a bitmap of fixed size spots them before the first
+shuffle. It decides no equality: a document that it lets through meets its rivals byte by byte.
+
 Skew: a group is counted with a map-side combined aggregate, so a pile of copies costs one row per map task; documents
 find their group in a sort-merge join of two plain exchanges, which adaptive execution splits at hot keys; the groups
 have no size bound, so they are never broadcast. Every round
@@ -19,7 +22,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tierflow.llm.shared import BLANK, quoted, row_of, stored
+from tierflow.llm.shared import BLANK, quoted, row_of, sieve, sifted, stored
 from tierflow.session import new_area
 
 FIRST_RUN, GROWTH = 32, 4
@@ -64,6 +67,13 @@ def exact_duplicates(
         "radix-groups",
     )
     sha = F.sha2(normalised(F.col("text")).cast("binary"), 256) if digest else F.lit(None).cast("string")
+    # Most documents differ from all others in their first bytes and need not move: a bitmap tells which surely do.
+    marked = sifted(first, F.col("run"), stored(sieve(rivals, F.col("g_run")), "radix-sieve"), "rival")
+    alone = marked.where("NOT rival").select(
+        "row", F.col("id").alias("keep_id"), F.lit(1).cast("bigint").alias("group_size"), F.lit(True).alias("kept"),
+        sha.alias("text_sha256"),
+    )
+    first = marked.where("rival").drop("rival")
     told = first.join(rivals.hint("merge"), first["run"] == rivals["g_run"], "left").select(
         "row",
         "id",
@@ -113,15 +123,11 @@ def exact_duplicates(
         )
         rounds.append(split_table(told, new_area(spark, "radix-round")))
         offset, size = offset + size, size * GROWTH
-    return reduce(
-        DataFrame.unionAll,
-        [
-            r.where("done").select(
-                "row", "keep_id", F.col("n").alias("group_size"), "kept", F.col("sha").alias("text_sha256")
-            )
-            for r in rounds
-        ],
+    told_apart = (
+        r.where("done").select("row", "keep_id", F.col("n").alias("group_size"), "kept", F.col("sha").alias("text_sha256"))
+        for r in rounds
     )
+    return reduce(DataFrame.unionAll, told_apart, alone)
 
 
 def split_table(df: DataFrame, path: str) -> DataFrame:

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tierflow.llm.components import components
-from tierflow.llm.shared import quoted, row_of, stored
+from tierflow.llm.shared import quoted, row_of, sieve, sifted, stored
 from tierflow.llm.words import Words, mixed, portions, run_hashes, words_of
 
 TREES, DEPTH, STEP_UP = 16, 10, 3
@@ -176,8 +176,9 @@ def verify(rows: DataFrame, nodes: DataFrame, label: DataFrame, shingle: int, th
     sizes = label.groupBy("grp").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
     members = label.join(sizes, "grp").join(nodes, "node").select("key", "id", "node", "copies", "grp", "members")
     # One row of each text: the copies have the same node, and the one with the node's id stands for them.
+    wanted = stored(sieve(members, F.struct("key", "id")), "near-sieve")
     texts = stored(
-        rows.join(
+        sifted(rows, F.struct("key", "id"), wanted, "member").where("member").join(
             members.withColumnRenamed("key", "m_key").withColumnRenamed("id", "m_id").hint("merge"),
             (F.col("key") == F.col("m_key")) & F.col("id").eqNullSafe(F.col("m_id")),
         )
@@ -288,16 +289,22 @@ def similar_pairs(texts: pa.Array, shingle: int, threshold: float, strip: int =
 
 def drop_near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", **how: float) -> DataFrame:
     """The row with the smallest id of each class, with the columns of `docs`; of equal rows with that id, one."""
-    kept = near_duplicates(docs, text, doc_id, **how).where("kept").select(
+    found = near_duplicates(docs, text, doc_id, **how).groupBy(
         F.col("key").alias("k_key"), F.col("doc_id").alias("k_id")
-    ).distinct()
-    return (
-        docs.select(
-            row_of(docs).alias("row"),
-            F.md5(F.coalesce(F.col(quoted(text)), F.lit("")).cast("binary")).alias("key"),
-            F.col(quoted(doc_id)).alias("id"),
-        )
-        .join(kept.hint("merge"), (F.col("key") == F.col("k_key")) & F.col("id").eqNullSafe(F.col("k_id")), "left_semi")
+    ).agg(F.bool_or("kept").alias("kept"), F.count(F.lit(1)).alias("n"))
+    found = stored(found, "near-found")
+    # Rows that stay and are the only ones of their text and id need not move.
+    moved = stored(sieve(found.where("NOT kept OR n > 1"), F.struct("k_key", "k_id")), "near-sieve")
+    rows = docs.select(
+        row_of(docs).alias("row"),
+        F.md5(F.coalesce(F.col(quoted(text)), F.lit("")).cast("binary")).alias("key"),
+        F.col(quoted(doc_id)).alias("id"),
+    )
+    marked = sifted(rows, F.struct("key", "id"), moved, "moves")
+    kept = found.where("kept").hint("merge")
+    judged = (
+        marked.where("moves")
+        .join(kept, (F.col("key") == F.col("k_key")) & F.col("id").eqNullSafe(F.col("k_id")), "left_semi")
         .dropDuplicates(["key", "id"])
-        .select("row.*")
     )
+    return marked.where("NOT moves").select("row.*").unionAll(judged.select("row.*"))
