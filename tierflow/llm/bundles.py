@@ -22,7 +22,8 @@ from pyspark.sql import functions as F
 from tierflow.llm.shared import parallelism, quoted, stored
 from tierflow.llm.words import portions, words_of
 
-BUNDLE_BYTES = 16 << 20
+BUNDLE_BYTES = 8 << 20
+PORTION_BYTES = 2 << 20
 KEY_BYTES = 6
 ANSWERS = "unit bigint, kind int, bucket int, answer binary, amount bigint"
 
@@ -61,20 +62,34 @@ def buckets_for(df: DataFrame) -> int:
 
 @dataclass
 class Hashed:
-    """Word hashes of a bundle's documents; document i has words [first[i], first[i + 1])."""
+    """Word hashes of a bundle's documents; document i has words [first[i], first[i + 1]).
+
+    With `spans` also the bytes of all texts, and where in them each word begins and ends.
+    """
 
     hashes: np.ndarray
     first: np.ndarray
+    data: np.ndarray | None = None
+    start: np.ndarray | None = None
+    end: np.ndarray | None = None
 
     @classmethod
-    def of(cls, table: pa.Table) -> Hashed:
+    def of(cls, table: pa.Table, spans: bool = False) -> Hashed:
         hashes, counts = [np.zeros(0, dtype=np.uint64)], [np.zeros(1, dtype=np.int64)]
+        none = np.zeros(0, dtype=np.int64)
+        data, start, end, size = [none.astype(np.uint8)], [none], [none], 0
         for batch in table.to_batches():
-            for part in portions(batch, "text"):
+            for part in portions(batch, "text", PORTION_BYTES):
                 words = words_of(part.column("text"))
                 hashes.append(words.hashes)
                 counts.append(words.counts)
-        return cls(np.concatenate(hashes), np.cumsum(np.concatenate(counts)))
+                if spans:
+                    data.append(words.data)
+                    start.append(words.start + size)
+                    end.append(words.end + size)
+                    size += len(words.data)
+        found = np.concatenate(hashes), np.cumsum(np.concatenate(counts))
+        return cls(*found, *map(np.concatenate, (data, start, end))) if spans else cls(*found)
 
     def starts(self, n: int) -> np.ndarray:
         """Words at which a run of `n` words inside one document begins."""
