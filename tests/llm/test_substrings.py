@@ -9,7 +9,7 @@ import pytest
 
 from tierflow.llm import bundles
 from tierflow.llm.fm_index import FMIndex
-from tierflow.llm.substrings import passages
+from tierflow.llm.substrings import earliest_ids, passages
 
 SCHEMA = "doc_id bigint, text string, unit bigint, removed int"
 
@@ -64,15 +64,37 @@ def test_empty_table(spark):
     assert passages(spark.createDataFrame([], SCHEMA)).collect() == []
 
 
-def test_backward_search_counts_occurrences():
+def test_backward_search_finds_the_interval_of_every_pattern():
     draw = np.random.default_rng(2)
     pieces = [draw.integers(1, 5, draw.integers(1, 40)) for _ in range(30)]
     text = np.concatenate([np.append(p, 0) for p in pieces])
     index = FMIndex(text, 5)
-    for length in (1, 2, 5):
-        starts = np.array([i for i in range(len(text) - length + 1) if (text[i : i + length] > 0).all()])
-        low, high = index.intervals(starts, text, length)
-        runs = [tuple(text[i : i + length]) for i in starts]
-        for k, (a, b) in enumerate(zip(low, high)):
-            assert {tuple(text[i : i + length]) for i in index.suffixes[a:b]} == {runs[k]} and b - a == runs.count(runs[k])
     assert sorted(index.suffixes) == list(range(len(text)))
+    ends = np.append(index.block_start, len(text))
+    for start in [i for i in range(len(text) - 7) if (text[i : i + 7] > 0).all()]:
+        low = np.array([0])
+        for length in range(1, 8):
+            low = index.extend(text[[start + 7 - length]], low)
+            run = tuple(text[start + 7 - length : start + 7])[:5]
+            rows = [k for k, i in enumerate(index.suffixes) if tuple(text[i : i + len(run)]) == run]
+            if length <= 5:
+                assert low[0] == rows[0]
+            else:  # cut back to the block of its first five symbols
+                block = index.block[low[0]]
+                low = index.block_start[[block]]
+                assert rows == list(range(low[0], ends[block + 1]))
+
+
+def test_windows_of_segments_have_their_smallest_id():
+    draw = np.random.default_rng(4)
+    lengths = draw.integers(3, 300, 80)
+    lengths[:20] = lengths[0]
+    words = draw.integers(1, 3, lengths.sum()).astype(np.uint64) << np.uint64(60)
+    words[: 20 * lengths[0]] = np.tile(words[: lengths[0]], 20)
+    ids = draw.permutation(80)
+    ends = np.cumsum(lengths)
+    first = {}
+    runs = [(k, tuple(words[i : i + 3])) for k, (n, e) in enumerate(zip(lengths, ends)) for i in range(e - n, e - 2)]
+    for k, run in runs:
+        first[run] = min(first.get(run, 99), ids[k])
+    assert earliest_ids(words, lengths, ids, 3).tolist() == [first[run] for _, run in runs]

@@ -1,7 +1,7 @@
 """A compressed full-text index over integer symbols: Burrows-Wheeler transform in a wavelet matrix, backward search.
 
 Bits of the wavelet matrix are packed 64 to a word with a running count per word. Searches are vectorised: many patterns
-are extended by one symbol at a time, all together.
+are extended to the left by one symbol at a time, all together.
 """
 
 from __future__ import annotations
@@ -32,32 +32,34 @@ class Bits:
 class FMIndex:
     """Occurrences of patterns of at most `depth` symbols in a text of symbols 1, 2, ...; 0 separates, and ends, pieces.
 
-    Suffixes are sorted by their first `depth` symbols or more, by doubling, which is all that such patterns can tell apart.
+    Suffixes are sorted by their first `depth` symbols, by doubling. Those that agree in all of them form a block, which is
+    the suffix interval of that pattern of `depth` symbols.
     """
 
     def __init__(self, text: np.ndarray, depth: int):
         n = len(text)
+        self.size = n
         rank, length = text.astype(np.int64), 1
-        order = np.argsort(rank, kind="stable")
-        while length < depth + 1:
+        while length < depth:
+            step = min(length, depth - length)
             following = np.full(n, -1, dtype=np.int64)
-            following[: max(0, n - length)] = rank[length:]
-            pair = rank * (n + 2) + following + 1
-            order = np.argsort(pair, kind="stable")
-            sorted_pair = pair[order]
-            rank = np.empty(n, dtype=np.int64)
-            rank[order] = np.concatenate([[0], np.cumsum(sorted_pair[1:] != sorted_pair[:-1])]) if n else []
-            length *= 2
+            following[: max(0, n - step)] = rank[step:]
+            rank = dense_rank(rank * (n + 2) + following + 1)
+            length += step
+        order = np.argsort(rank, kind="stable")
         self.suffixes = order
-        self.size = n
+        opens = np.ones(n, dtype=bool)
+        opens[1:] = rank[order][1:] != rank[order][:-1]
+        #: First entries of the blocks, and the block of each suffix entry.
+        self.block_start = np.flatnonzero(opens)
+        self.block = np.cumsum(opens) - 1
         top = int(text.max(initial=0))
         self.below = np.concatenate([[0], np.cumsum(np.bincount(text, minlength=top + 1))])
         last = text[order - 1].astype(np.int64)  # position -1 wraps to the final separator
         self.levels: list[tuple[int, Bits, int]] = []
         for bit in reversed(range(max(1, top.bit_length()))):
             bits = (last >> bit) & 1
-            zeros = int(n - bits.sum())
-            self.levels.append((bit, Bits(bits), zeros))
+            self.levels.append((bit, Bits(bits), int(n - bits.sum())))
             last = np.concatenate([last[bits == 0], last[bits == 1]])
 
     def rank(self, symbol: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -70,15 +72,18 @@ class FMIndex:
             high = np.where(one, zeros + ones_high, high - ones_high)
         return high - low
 
-    def extend(self, symbol: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The suffix intervals of the patterns with `symbol` put before them."""
-        base = self.below[symbol]
-        return base + self.rank(symbol, low), base + self.rank(symbol, high)
-
-    def intervals(self, patterns_at: np.ndarray, text: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-        """Suffix intervals of the patterns text[at : at + length], by backward search from their last symbols."""
-        low = np.zeros(len(patterns_at), dtype=np.int64)
-        high = np.full(len(patterns_at), self.size, dtype=np.int64)
-        for j in reversed(range(length)):
-            low, high = self.extend(text[patterns_at + j].astype(np.int64), low, high)
-        return low, high
+    def extend(self, symbol: np.ndarray, low: np.ndarray) -> np.ndarray:
+        """Begin of the suffix intervals of the patterns with `symbol` put before them, from those of the patterns.
+
+        The extended patterns must occur. If they have more than `depth` symbols, the entry found is one of the block that
+        their first `depth` symbols have.
+        """
+        return self.below[symbol] + self.rank(symbol, low)
+
+
+def dense_rank(values: np.ndarray) -> np.ndarray:
+    order = np.argsort(values, kind="stable")
+    rank = np.empty(len(values), dtype=np.int64)
+    ordered = values[order]
+    rank[order] = np.concatenate([[0], np.cumsum(ordered[1:] != ordered[:-1])]) if len(values) else []
+    return rank

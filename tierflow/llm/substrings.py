@@ -7,13 +7,13 @@ minimizer form a segment.
 
 1. Bundles of documents ask which of their minimizers occur in documents with different ids.
 2. They send the distinct segments around those, with the smallest id that has them, to the shard of the minimizer. A shard
-   builds a compressed FM-index of its distinct segments, streams the segments through it by backward search, so that a
-   window's matching statistic reaches WINDOW exactly on the suffix interval of its occurrences, and answers with the
-   smallest id in that interval.
+   builds a compressed FM-index of its distinct segments and streams them through it from right to left by backward search,
+   a match being cut back to WINDOW words (the block of suffixes that agree in so many) after each step. A window's
+   matching statistic thus reaches WINDOW on the suffix interval of its occurrences, and the answer is the smallest id there.
 3. Where the answer is smaller than a document's own id, the words of the window are removed.
 
-A passage in a third of all documents costs one segment per bundle, not per document. Word comparison in a shard is by
-64-bit word hash, as is that of segments.
+A passage in a third of all documents costs one segment per bundle, not per document. Segments travel as text; words, and
+whole segments, are told apart by 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -48,8 +48,8 @@ SHARED, EARLIEST = 0, 1
 class Windows:
     """Windows of a bundle's documents: start word, document and minimizer."""
 
-    def __init__(self, table: pa.Table, window: int):
-        self.words = words = Hashed.of(table)
+    def __init__(self, table: pa.Table, window: int, spans: bool = False):
+        self.words = words = Hashed.of(table, spans)
         self.window = window
         self.start = words.starts(window)
         run = max(1, window // 2)
@@ -160,16 +160,16 @@ def passages(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", window
         return np.concatenate([np.zeros(0, dtype=np.uint8), *parts]).astype(bool)
 
     def send(table: pa.Table, of) -> pa.Table:
-        w = Windows(table, window)
+        w = Windows(table, window, spans=True)
         s = w.segments(flags(w, of(SHARED)))
         edges = bucket_edges(s.minimizer, buckets)
-        begin, end = s.begin[s.first], s.begin[s.first] + s.length
+        begin, end = w.words.start[s.begin[s.first]], w.words.end[s.begin[s.first] + s.length - 1]
         full = np.flatnonzero(np.diff(edges))
+        data = w.words.data.tobytes()
         words = []
         for b in full:
-            part = slice(edges[b], edges[b + 1])
-            runs = [w.words.hashes[x:y] for x, y in zip(begin[part], end[part])]
-            words.append(packed_words(np.concatenate(runs)))
+            low, high = edges[b], edges[b + 1]
+            words.append(squeezed(b" ".join([data[x:y] for x, y in zip(begin[low:high].tolist(), end[low:high].tolist())])))
         return pa.table(
             {
                 "bucket": pa.array(full.astype(np.int32)),
@@ -182,7 +182,7 @@ def passages(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", window
     def answer_earliest(group: pa.Table) -> list[tuple[bytes, int]]:
         lengths = [np.frombuffer(c.as_buffer(), dtype=np.int64) for c in group.column("lengths")]
         ids = np.concatenate([np.frombuffer(c.as_buffer(), dtype=np.int64) for c in group.column("ids")])
-        words = np.concatenate([unpacked_words(c.as_buffer()) for c in group.column("words")])
+        words = np.concatenate([hashes_of(c.as_buffer()) for c in group.column("words")])
         found = earliest_ids(words, np.concatenate(lengths), ids, window)
         sizes = [int((n - window + 1).sum()) for n in lengths]
         return [(part.tobytes(), len(part)) for part in np.split(found, np.cumsum(sizes)[:-1])]
@@ -211,44 +211,77 @@ def passages(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", window
     return met(bundles, shared.unionAll(earliest), remove, schema)
 
 
-def packed_words(hashes: np.ndarray) -> bytes:
-    """Word hashes as a dictionary of distinct ones and places in it, compressed."""
-    distinct, place = np.unique(hashes, return_inverse=True)
-    head = np.array([len(distinct)], dtype=np.int64).tobytes()
-    return pa.compress(head + distinct.tobytes() + place.astype(np.uint32).tobytes(), codec="zstd", asbytes=True) + np.array(
-        [8 + 8 * len(distinct) + 4 * len(place)], dtype=np.int64
-    ).tobytes()
+def squeezed(text: bytes) -> bytes:
+    return len(text).to_bytes(8, "little") + pa.compress(text, codec="zstd", asbytes=True)
 
 
-def unpacked_words(blob: pa.Buffer) -> np.ndarray:
-    size = int(np.frombuffer(blob[len(blob) - 8 :], dtype=np.int64)[0])
-    data = pa.decompress(blob[: len(blob) - 8], decompressed_size=size, codec="zstd", asbytes=True)
-    count = int(np.frombuffer(data[:8], dtype=np.int64)[0])
-    distinct = np.frombuffer(data[8 : 8 + 8 * count], dtype=np.uint64)
-    return distinct[np.frombuffer(data[8 + 8 * count :], dtype=np.uint32)]
+def hashes_of(blob: pa.Buffer) -> np.ndarray:
+    """Word hashes of a squeezed text."""
+    data = blob.to_pybytes()
+    text = pa.decompress(data[8:], decompressed_size=int.from_bytes(data[:8], "little"), codec="zstd", asbytes=True)
+    return words_of(pa.array([text], pa.binary())).hashes
 
 
 def earliest_ids(words: np.ndarray, lengths: np.ndarray, ids: np.ndarray, window: int) -> np.ndarray:
     """For every window of every segment, in order: the smallest id of the segments in which it occurs."""
-    _, symbol = np.unique(words, return_inverse=True)
     ends = np.cumsum(lengths)
-    owner = np.repeat(np.arange(len(lengths)), lengths)
+    begins = ends - lengths
+    # Equal segments of several bundles are indexed once, with their smallest id, and answered alike.
+    number = np.arange(len(words)) - np.repeat(begins, lengths)
+    with np.errstate(over="ignore"):
+        power = np.cumprod(np.full(int(lengths.max(initial=1)), 0x9FB21C651E98DF25, dtype=np.uint64))
+        mark = np.add.reduceat(words * power[number], begins) + lengths.astype(np.uint64)
+    _, one, same = np.unique(mark, return_index=True, return_inverse=True)
+    earliest = np.full(len(one), NO_ID)
+    np.minimum.at(earliest, same, ids)
+    chosen = lengths[one]
+    own = np.repeat(begins[one] - (np.cumsum(chosen) - chosen), chosen) + np.arange(chosen.sum())
+    found = streamed(words[own], chosen, earliest, window)
+    # Answers of the distinct segments, handed to each segment.
+    count = lengths - window + 1
+    base = (np.cumsum(count[one]) - count[one])[same]
+    return found[np.repeat(base - (np.cumsum(count) - count), count) + np.arange(count.sum())]
+
+
+#: Windows of a long segment are streamed in pieces of so many, all pieces together.
+PIECE = 64
+
+
+def streamed(words: np.ndarray, lengths: np.ndarray, ids: np.ndarray, window: int) -> np.ndarray:
+    """As `earliest_ids`, for distinct segments: index them, then stream them from right to left."""
+    _, symbol = np.unique(words, return_inverse=True)
+    piece = np.repeat(np.arange(len(lengths)), lengths)
     text = np.zeros(len(words) + len(lengths), dtype=np.int64)
-    spots = np.arange(len(words)) + owner  # a separator follows each segment
-    text[spots] = symbol + 1
+    text[np.arange(len(words)) + piece] = symbol + 1  # a separator follows each segment
     index = FMIndex(text, window)
-    piece = np.repeat(np.arange(len(lengths)), lengths + 1)
-    left = np.repeat(ends, lengths) - np.arange(len(words))
-    starts = spots[left >= window]
-    low, high = index.intervals(starts, text, window)
-    # Intervals of different windows are disjoint: the least id of each block of the suffix order.
-    firsts, which = np.unique(low, return_inverse=True)
-    last = np.zeros(len(firsts), dtype=np.int64)
-    last[which] = high
-    sorted_ids = np.append(ids[piece[index.suffixes]], NO_ID)
-    bounds = np.column_stack([firsts, last]).ravel()
-    least = np.minimum.reduceat(sorted_ids, bounds)[::2] if len(bounds) else firsts
-    return least[which]
+    owner = np.repeat(np.arange(len(lengths)), lengths + 1)
+    # The smallest id in each block of suffixes that agree in `window` words.
+    least = np.minimum.reduceat(ids[owner[index.suffixes]], index.block_start)
+
+    count = lengths - window + 1
+    pieces = -(-count // PIECE)
+    part = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+    of = np.repeat(np.arange(len(lengths)), pieces)
+    first = part * PIECE  # first window of each piece, and how many it has
+    many = np.minimum(PIECE, count[of] - first)
+    begin = (np.cumsum(lengths + 1) - lengths - 1)[of]
+    answer = (np.cumsum(count) - count)[of] + first
+    out = np.empty(count.sum(), dtype=np.int64)
+    at = begin + first + many - 1 + window  # just behind the last window
+    low = np.zeros(len(of), dtype=np.int64)
+    for _ in range(window):
+        at = at - 1
+        low = index.extend(text[at], low)
+    live = np.arange(len(of))
+    for step in range(PIECE):
+        block = index.block[low]
+        out[(answer + many)[live] - 1 - step] = least[block]
+        going = many[live] > step + 1
+        live, at, block = live[going], at[going] - 1, block[going]
+        if not len(live):
+            break
+        low = index.extend(text[at], index.block_start[block])
+    return out
 
 
 def with_unit(bundles: DataFrame, shared: DataFrame, send) -> DataFrame:
