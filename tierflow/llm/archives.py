@@ -5,8 +5,9 @@ that line, as many bytes as it declares, and a line end. The converter reads bot
 record the identifier, timestamp, type and digests that WARC wants, and writes WARC records: the first of equal payloads
 as a response, the others as revisits that name it.
 
-Archives are written by Spark's text writer, one file per task, with the record end as the line separator, and read whole,
-a file at a time, so a file is kept near `FILE_BYTES` (or one record). Equal payloads are found by a map-side combined
+Archives are written by Spark's text writer where the pages are, with the record end as the line separator, and read whole,
+a file at a time. A file holds a fixed number of records, of `FILE_BYTES` on average; every one begins with its own version
+block. Equal payloads are found by a map-side combined
 aggregate on digest and length, and joined by plain exchanges, so a pile of copies of one page is no hot task.
 """
 
@@ -51,10 +52,10 @@ def safe_url(url: str | None) -> str:
     return re.sub(r"[\x00-\x20\x7f]", lambda m: "%%%02X" % ord(m[0]), url or "") or "-"
 
 
-def spread(rows: DataFrame, size: Column) -> DataFrame:
-    """`rows` dealt evenly to so many tasks that each writes a file of about `FILE_BYTES`."""
-    total = rows.agg(F.sum(size)).first()[0] or 0
-    return rows.repartition(int(max(1, -(-total // FILE_BYTES))))
+def records_per_file(sizes: DataFrame, size: Column) -> int:
+    """How many records of average size make about `FILE_BYTES`; two at least."""
+    total, count = sizes.agg(F.sum(size), F.count(F.lit(1))).first()
+    return max(2, FILE_BYTES * count // total) if total else 1000
 
 
 # --- ARC -------------------------------------------------------------------------------------------------------------
@@ -76,29 +77,34 @@ def arc_version_block(version: int, date: str) -> bytes:
     return " ".join([*fields, str(len(block))]).encode() + b"\n" + block
 
 
-def write_arc(pages: DataFrame, path: str, page_id: str = "page_id", url: str = "url", body: str = "html") -> None:
-    """ARC files of `pages`, half of them in either version. A null body is empty."""
+def write_arc(pages: DataFrame, path: str, page_id: str = "page_id", url: str = "url", body: str = "html") -> int:
+    """ARC files of `pages`, half of them in either version; gives the number of records in each. A null body is empty."""
     rows = pages.select(
         F.col(quoted(page_id)).cast("string").alias("id"), F.col(quoted(url)).alias("url"), F.col(quoted(body)).alias("body")
     )
 
+    per_file = records_per_file(rows, F.octet_length(F.coalesce("body", F.lit(""))))
+
     def records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         version = 1 + TaskContext.get().partitionId() % 2
-        begun = False
+        written = 0
         for batch in batches:
             for at in range(0, batch.num_rows, 64):
-                out = [] if begun else [arc_version_block(version, NO_DATE)]
-                begun = True
-                part = batch.slice(at, 64)
-                columns = [part.column(c).to_pylist() for c in ("id", "url", "body")]
-                out += [arc_record(version, u, (b or "").encode(), NO_DATE, 200, i) for i, u, b in zip(*columns)]
+                part, out = batch.slice(at, 64), []
+                for i, u, b in zip(*(part.column(c).to_pylist() for c in ("id", "url", "body"))):
+                    if written % per_file == 0:  # the writer is about to begin a file
+                        out.append(arc_version_block(version, NO_DATE))
+                        written += 1
+                    out.append(arc_record(version, u, (b or "").encode(), NO_DATE, 200, i))
+                    written += 1
                 yield pa.RecordBatch.from_arrays([pa.array([r.decode() for r in out], pa.string())], ["value"])
 
-    spread(rows, F.octet_length(F.coalesce("body", F.lit("")))).mapInArrow(records, "value string").write.option(
-        "lineSep", ARC_END
-    ).option("compression", "gzip").text(path)
+    rows.mapInArrow(records, "value string").write.option("lineSep", ARC_END).option("compression", "gzip").option(
+        "maxRecordsPerFile", per_file
+    ).text(path)
+    return per_file
 
 
 @dataclass(frozen=True)
@@ -248,8 +254,8 @@ def read_arc(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame
     return read_files(spark, path, parse, CAPTURES)
 
 
-def convert(spark: SparkSession, arc: str, warc: str, least: int = 0) -> None:
-    """WARC files for the ARC files below `arc`.
+def convert(spark: SparkSession, arc: str, warc: str, least: int = 0, per_file: int = 4000) -> None:
+    """WARC files of `per_file` records at most for the ARC files below `arc`.
 
     Of captures with equal payloads of at least `least` bytes, the one with the smallest page number is a response and
     the others are revisits of it; smaller ones are all responses. A capture without a number comes after all numbers.
@@ -278,7 +284,9 @@ def convert(spark: SparkSession, arc: str, warc: str, least: int = 0) -> None:
                 out = [warc_record(*r) for r in zip(*(part.column(n).to_pylist() for n in names))]
                 yield pa.RecordBatch.from_arrays([pa.array(out, pa.string())], ["value"])
 
-    rows.mapInArrow(records, "value string").write.option("lineSep", WARC_END).option("compression", "gzip").text(warc)
+    rows.mapInArrow(records, "value string").write.option("lineSep", WARC_END).option("compression", "gzip").option(
+        "maxRecordsPerFile", per_file
+    ).text(warc)
 
 
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
@@ -303,6 +311,5 @@ def archive(pages: DataFrame, page_id: str = "page_id", url: str = "url", body:
     """`pages` written as ARC, converted to WARC and read back; all archives stay in the shared folder."""
     spark = pages.sparkSession
     arc, warc = new_area(spark, "arc"), new_area(spark, "warc")
-    write_arc(pages, arc, page_id, url, body)
-    convert(spark, arc, warc, least)
+    convert(spark, arc, warc, least, write_arc(pages, arc, page_id, url, body))
     return read_warc(spark, warc)
