@@ -211,6 +211,27 @@ def change_feed_versions(spark: SparkSession, root: str) -> DataFrame:
     return cdc.between_versions(changes, 2, 2).drop("_commit_timestamp")
 
 
+@query(_state_sql(DAYS[2], True))
+def replay_changes(spark: SparkSession, root: str) -> DataFrame:
+    """A snapshot and the changes after it give the later snapshot."""
+    before, after = _state(spark, root, DAYS[0]), _state(spark, root, DAYS[2], drop_type=True)
+    return cdc.replay(before, cdc.change_feed(before, after, PAIR, 1, _at(T1)), PAIR)
+
+
+@query(f"""
+    SELECT event_type, event_id, value, CASE WHEN event_type <> 'view' THEN user_id END AS user_id,
+           CASE WHEN event_type <> '{LATE_TYPE}' THEN ts END AS ts
+    FROM events WHERE event_type IN ('view', '{LATE_TYPE}')
+""")
+def unsequenced_rows(spark: SparkSession, root: str) -> DataFrame:
+    """Changes that lack their key or their sequence are set apart, not lost."""
+    log = _log(spark, root).withColumns({
+        "user_id": F.when(F.col("event_type") != "view", F.col("user_id")),
+        "ts": F.when(F.col("event_type") != LATE_TYPE, F.col("ts")),
+    })
+    return scd.unsequenced(log, USER, "ts")
+
+
 @query(latest_sql("user_id"))
 def merge_upsert_newer(spark: SparkSession, root: str) -> DataFrame:
     log = _loads(spark, root)
