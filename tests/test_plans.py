@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from tierflow import session
 from tierflow.operators.merge import incremental_slice, merge_insert_only, merge_upsert
 from tierflow.operators.reduce import latest_per_key
-from tierflow.operators.scd import scd2_build
+from tierflow.operators.scd import scd2_apply, scd2_build
 from tierflow.plans import QUERIES, layers
 from tierflow.sources.registry import RETAIL, registry
 from tierflow.sources.tables import read_table
@@ -58,6 +58,12 @@ def test_insert_only_merge_evaluates_the_source_once(spark, area):
     assert text.count("FileScan") == 3 and text.count("LeftAnti") == 1
 
 
+def test_applying_a_batch_reads_the_stored_versions_once(spark, log, area):
+    scd2_build(log, ["user_id"], "ts").write.parquet(f"{area}/stored")
+    text = plan(scd2_apply(spark.read.parquet(f"{area}/stored"), log.where("user_id = 3"), ["user_id"], "ts"))
+    assert text.count(f"{area}/stored") == 1
+
+
 def test_bronze_and_routing_read_the_feed_once(spark):
     for name in ("route_known", "quarantine", "topic_payloads"):
         assert plan(QUERIES[name](spark, ROOT)).count("FileScan json") == 1

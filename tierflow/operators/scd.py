@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from tierflow.operators.merge import merge_upsert
 from tierflow.operators.reduce import latest_per_key
 from tierflow.operators.skew import HOT_ROWS, next_sequence
+from tierflow.session import new_area
 
 INTERVAL = ("start_date", "end_date", "is_active")
 
@@ -107,8 +108,15 @@ def scd2_apply(
     open_end: Column | None = None,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """Apply change rows to an interval table; equals one build over all changes ever applied."""
+    """Apply change rows to an interval table; equals one build over all changes ever applied.
+
+    The rows to rebuild, those of the batch and the versions it can touch, are written first and read from there, so the
+    target is read once for them and once for the versions that stay.
+    """
     settled, log = split_by_batch(target, batch, keys, sequence_by)
+    place = new_area(target.sparkSession, "reopened")
+    log.write.parquet(place)
+    log = target.sparkSession.read.schema(log.schema).parquet(place)
     return settled.unionByName(scd2_build(log, keys, sequence_by, open_end, hot_rows))
 
 
