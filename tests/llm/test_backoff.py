@@ -9,6 +9,8 @@ import pytest
 
 from tierflow.llm import bundles
 from tierflow.llm.backoff import DISCOUNT, backoff_scores
+from tierflow.llm.queries import op6_backoff_score
+from tierflow.llm.shared import stored
 
 SCHEMA = "doc_id bigint, text string, unit int, blob string"
 
@@ -51,3 +53,20 @@ def test_scores_equal_brute_force(spark, monkeypatch, order):
 
 def test_empty_table(spark):
     assert backoff_scores(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+def test_the_registered_query_counts_trigrams_and_what_was_seen_once(spark, area):
+    rows = [(i, t) for i, t in enumerate(texts()[:-1])]
+    spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(f"{area}/documents.parquet")
+    got = {r.doc_id: (r.n_words, r.log_score) for r in op6_backoff_score(spark, area).collect()}
+    want = brute([t for _, t in rows], 3, 1)
+    assert [got[i][0] for i, _ in rows] == [n for n, _ in want]
+    assert [got[i][1] for i, _ in rows] == pytest.approx([s for _, s in want], rel=1e-9, abs=1e-9)
+
+
+def test_what_was_shuffled_for_a_stored_table_is_removed(spark, area):
+    local = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    files = lambda: {str(f) for f in local.getAllFiles().mkString("\n").split("\n") if "shuffle" in f}
+    before = files()
+    stored(spark.range(1000).repartition(7, "id"), "release")
+    assert files() <= before

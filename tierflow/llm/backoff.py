@@ -2,14 +2,15 @@
 
 S(w | h) = c(hw) / c(h) where the run hw was seen `least` times or more, else `DISCOUNT` times the score of w after the
 shorter history; at the end c(w) / N. Count tables are partitioned by hash of the run. Every bundle of documents asks for
-the counts of its distinct runs; a bucket adds up what all bundles say they have and answers with the totals, and scores
-are summed per document where the answers come back (see `bundles`). All counts are over all documents, and what is
-gathered grows with the text.
+the counts of its distinct runs, of one length after the other so that only one length's questions are on disk at a time;
+a bucket adds up what all bundles say they have and answers with the totals, and scores are summed per document where the
+answers come back (see `bundles`). All counts are over all documents, and what is gathered grows with the text.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -19,15 +20,14 @@ from pyspark.sql import functions as F
 from tierflow.llm.bundles import Hashed, answered, asked, bucket_edges, buckets_for, bundled, long, met, short
 from tierflow.llm.words import mixed, run_hashes
 
-ORDER, LEAST, DISCOUNT = 2, 2, 0.4
+ORDER, LEAST, DISCOUNT = 3, 2, 0.4
 
 
-def runs_of(words: Hashed, order: int) -> tuple[list[np.ndarray], np.ndarray]:
-    """Starts of the runs of 1, 2, ... `order` words, and the hashes of all of them in that sequence."""
-    starts = [words.starts(n) for n in range(1, order + 1)]
+def runs_of(words: Hashed, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Starts of the runs of `n` words, and their hashes."""
+    at = words.starts(n)
     with np.errstate(over="ignore"):
-        keys = [mixed(run_hashes(words.hashes, at, n) + np.uint64(n)) for n, at in enumerate(starts, 1)]
-    return starts, np.concatenate(keys)
+        return at, mixed(run_hashes(words.hashes, at, n) + np.uint64(n))
 
 
 def backoff_scores(
@@ -42,16 +42,6 @@ def backoff_scores(
     buckets = buckets_for(docs)
     id_type = docs.select(doc_id).schema[0].dataType.simpleString()
 
-    def ask(table: pa.Table) -> Iterator[tuple]:
-        words = Hashed.of(table)
-        keys, counts = np.unique(runs_of(words, order)[1], return_counts=True)
-        edges = bucket_edges(keys, buckets)
-        for b in range(buckets):
-            low, high = edges[b], edges[b + 1]
-            yield b, short(keys[low:high], buckets), counts[low:high].astype(np.uint32).tobytes(), 0 if b else len(words.hashes)
-
-    questions = asked(bundles, ask, {"keys": "binary", "counts": "binary", "words": "bigint"})
-
     def answer(group: pa.Table) -> list[tuple[bytes, int]]:
         each = [long(k.as_buffer()) for k in group.column("keys")]
         counts = np.concatenate([np.frombuffer(c.as_buffer(), dtype=np.uint32) for c in group.column("counts")])
@@ -60,27 +50,38 @@ def backoff_scores(
         cuts = np.cumsum([len(k) for k in each])[:-1]
         return list(zip((t.tobytes() for t in np.split(total, cuts)), group.column("words").to_pylist()))
 
-    answers = answered(questions, answer, 0)
+    def counted(n: int) -> DataFrame:
+        def ask(table: pa.Table) -> Iterator[tuple]:
+            words = Hashed.of(table)
+            keys, counts = np.unique(runs_of(words, n)[1], return_counts=True)
+            edges = bucket_edges(keys, buckets)
+            for b in range(buckets):
+                low, high = edges[b], edges[b + 1]
+                said = len(words.hashes) if n == 1 and b == 0 else 0
+                yield b, short(keys[low:high], buckets), counts[low:high].astype(np.uint32).tobytes(), said
+
+        questions = asked(bundles, ask, {"keys": "binary", "counts": "binary", "words": "bigint"})
+        return answered(questions, answer, n)
+
+    answers = reduce(DataFrame.union, [counted(n) for n in range(1, order + 1)])
     total = answers.agg(F.sum("amount")).first()[0] or 0
 
     def use(table: pa.Table, of) -> pa.Table:
         words = Hashed.of(table)
-        starts, keys = runs_of(words, order)
-        _, place = np.unique(keys, return_inverse=True)
-        seen = np.concatenate([np.frombuffer(a, dtype=np.uint32) for a in of(0)])[place].astype(float)
-        ends = np.cumsum([len(s) for s in starts])
-        counts = [seen[e - len(s) : e] for s, e in zip(starts, ends)]
-        score = np.log(np.maximum(counts[0], 1) / max(total, 1))
-        for n in range(2, order + 1):
+        score, history = np.zeros(len(words.hashes)), np.zeros(len(words.hashes))
+        for n in range(1, order + 1):
+            at, keys = runs_of(words, n)
+            _, place = np.unique(keys, return_inverse=True)
+            counts = np.concatenate([np.frombuffer(a, dtype=np.uint32) for a in of(n)])[place].astype(float)
             # Of the word that a run of n words ends with: its score by the shorter histories, discounted, or by this one.
-            last = starts[n - 1] + n - 1
-            history = np.zeros(len(words.hashes))
-            history[starts[n - 2]] = counts[n - 2]
+            last = at + n - 1
             score[last] = np.where(
-                counts[n - 1] >= least,
-                np.log(np.maximum(counts[n - 1], 1) / np.maximum(history[starts[n - 1]], 1)),
+                (counts >= least) | (n == 1),
+                np.log(np.maximum(counts, 1) / np.maximum(total if n == 1 else history[at], 1)),
                 np.log(DISCOUNT) + score[last],
             )
+            history = np.zeros(len(words.hashes))
+            history[at] = counts
         size = np.diff(words.first)
         full = size > 0
         # Summed from each document's own start, so that a score does not depend on its neighbours.

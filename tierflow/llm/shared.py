@@ -11,11 +11,23 @@ from tierflow.session import new_area
 BLANK = r"[\x20\x09-\x0D]"
 
 
+#: Removes what a query has shuffled as soon as the query ends, instead of when the driver collects garbage.
+RELEASE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
-    """The rows of `df` from a table in the shared folder: cuts lineage and survives lost executors."""
-    path = new_area(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """The rows of `df` from a table in the shared folder: cuts lineage and survives lost executors.
+
+    What was shuffled for them is removed once they are written.
+    """
+    spark, path = df.sparkSession, new_area(df.sparkSession, label)
+    before = spark.conf.get(RELEASE, None)
+    spark.conf.set(RELEASE, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(RELEASE) if before is None else spark.conf.set(RELEASE, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def row_of(df: DataFrame) -> Column:
