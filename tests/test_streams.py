@@ -3,12 +3,14 @@
 import json
 import os
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 from test_feed import line
 
+from compare import differences
 from tierflow.operators.scd import current_rows
-from tierflow.plans import layers
+from tierflow.plans import QUERIES, SQL, layers
 from tierflow.sources.feed import raw_feed
 from tierflow.sources.registry import RETAIL
 from tierflow.sources.tables import read_batches
@@ -303,3 +305,21 @@ def test_a_refresh_writes_the_versions_of_the_changed_key_only(spark, area):
     table = run()
     assert table.count() == 501 and table.where("is_active").count() == 500
     assert spark.read.parquet(f"{area}/table/log/refresh=1").count() == 2
+
+
+@pytest.mark.parametrize("name", ["late_rows", "late_rows_in_batches"])
+def test_rows_of_the_last_load_are_judged_by_the_stream(spark, area, name):
+    """'error' rows come last; those of the last ten minutes are not late, those before are."""
+    days = [("view", "2024-01-02 00:00:00"), ("view", "2024-01-15 12:00:00"), ("error", "2024-01-15 11:55:00"),
+            ("error", "2024-01-03 00:00:00"), ("view", "2024-01-20 00:00:00"), ("error", "2024-01-18 00:00:00"),
+            ("error", "2024-01-30 23:40:00"), ("view", "2024-01-30 23:59:00"), ("error", "2024-01-30 23:52:00"),
+            ("error", "2024-01-30 23:59:30")]
+    rows = [(i, t, 1, kind, 1.0) for i, (kind, t) in enumerate(days)]
+    spark.createDataFrame(rows, "event_id bigint, ts string, user_id bigint, event_type string, value double").withColumn(
+        "ts", F.col("ts").cast("timestamp_ntz")).write.parquet(f"{area}/events.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW events AS SELECT * FROM read_parquet('{area}/events.parquet/*.parquet')")
+    found = QUERIES[name](spark, area)
+    assert differences(found, SQL[name], con) == []
+    if name == "late_rows_in_batches":
+        assert rows_of(found.select("event_id")) == [(3,), (5,), (6,)]

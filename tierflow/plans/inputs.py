@@ -41,6 +41,11 @@ def loads(spark: SparkSession, root: str, schedule: str = LOAD_SQL) -> DataFrame
     return events(spark, root).withColumn("load", F.expr(schedule).cast("bigint"))
 
 
+def load_numbers(log: DataFrame) -> list[int]:
+    """The loads that bring any of the rows, first to last; a schedule has a handful of them."""
+    return [r.load for r in log.select("load").distinct().sort("load").collect()]
+
+
 def envelopes(rows: DataFrame, topic: Column | None = None, value: Column | None = None) -> DataFrame:
     """Events as feed envelopes; `topic` and `value` replace the regular ones."""
     payload = F.to_json(F.struct("event_id", F.col("ts").cast("string").alias("ts"), "user_id", "value", "props"))

@@ -21,6 +21,7 @@ from tierflow.plans.inputs import (
     LATER_LOAD_SQL,
     arrivals,
     landed_feed,
+    load_numbers,
     loads,
 )
 from tierflow.session import new_area
@@ -132,14 +133,18 @@ def _late(spark: SparkSession, root: str, label: str, schedule: str, delay: str,
     """The rows that a stream's own watermark drops, found by what its output lacks."""
     area = new_area(spark, label)
     log = zoned(loads(spark, root, schedule), "ts").select(*FIELDS, "load")
-    for load in arrivals(log.coalesce(1) if at_once else log, f"{area}/landing", LATE_LOADS):
-        if at_once and load < max(LATE_LOADS):
+    numbers = load_numbers(log)
+    for load in arrivals(log.coalesce(1) if at_once else log, f"{area}/landing", numbers):
+        if at_once and load < numbers[-1]:
             continue
         source = spark.readStream.schema(log.schema)
         source = source.option("maxFilesPerTrigger", 1) if at_once else source
         kept = dedup_stream(source.parquet(f"{area}/landing"), ["event_id", "ts"], "ts", delay)
         run_stream(kept, f"{area}/table", f"{area}/marks")
-    return log.join(spark.read.parquet(f"{area}/table").select("event_id"), "event_id", "left_anti").select(*FIELDS, "load")
+    if not numbers:
+        return log
+    landed = spark.read.schema(log.schema).parquet(f"{area}/landing")
+    return landed.join(spark.read.parquet(f"{area}/table").select("event_id"), "event_id", "left_anti").select(*FIELDS, "load")
 
 
 @query(late_sql("30 SECOND", 1))
