@@ -117,3 +117,20 @@ def test_words_are_runs_between_ascii_blanks(kind):
     found = [[words.text(k).decode() for k in range(words.first[i], words.first[i + 1])] for i in range(len(texts))]
     assert found == [["a", "b c"], [], [], [], ["x"], ["yy", "zz\x1c"], ["éé", "a"]]
     assert words.hashes[0] == words.hashes[-1] and len(set(words.hashes.tolist())) == 6
+
+
+def test_pairs_just_above_the_threshold_are_linked(spark):
+    pairs = 400
+    rows = []
+    for i in range(pairs):
+        base = [f"p{i}w{j}" for j in range(104)]
+        rows += [(2 * i, " ".join(base)), (2 * i + 1, " ".join(base[:93] + [f"q{i}w{j}" for j in range(11)]))]
+    assert len(shingled(rows[0][1]) & shingled(rows[1][1])) / len(shingled(rows[0][1]) | shingled(rows[1][1])) < 0.803
+    got = result(near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string")))
+    assert got == {i: (i // 2 * 2, 1) for i in range(2 * pairs)}
+
+
+def test_no_link_between_different_texts_is_lost(spark):
+    rows = corpus(seed=5)
+    got = result(near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string")))
+    assert got == brute(rows)
