@@ -7,11 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierflow.llm import quality, toxicity
+from tierflow.llm import prefix_trie, quality, toxicity, turn_repair
 from tierflow.llm.archives import archive
 from tierflow.llm.backoff import backoff_scores
 from tierflow.llm.decontaminate import contaminated
 from tierflow.llm.exact_dedup import exact_duplicates
+from tierflow.llm.host_rules import BASE_RULES, HOST_RULES, LEAST_CORRELATION, LIMIT, MEASURES, judged_by_host
 from tierflow.llm.mixing import curriculum
 from tierflow.llm.near_dups import near_duplicates
 from tierflow.llm.shared import remainder
@@ -259,3 +260,168 @@ def op9_url_templates(spark: SparkSession, root: str) -> DataFrame:
 def op6_backoff_score(spark: SparkSession, root: str) -> DataFrame:
     """Language model score of every document by trigrams, with every count over all documents."""
     return backoff_scores(table(spark, root, "documents").select("doc_id", "text"), order=3, least=1)
+
+
+def host_rules_sql() -> str:
+    rules = ", ".join(f"({rule})::INT AS {name}" for name, rule in HOST_RULES.items())
+    sums = ", ".join(f"sum({c}) AS {c}" for c in HOST_RULES)
+    moments = ", ".join(
+        f"(sum({c}) + 0.5::DOUBLE) / (sum(n) + 1) AS mean_{c}, sum({c}) AS x_{c}, sum({c}::DOUBLE * {c} / n) AS xx_{c}" for c in HOST_RULES
+    )
+    means = ", ".join(
+        f"""least(greatest(CASE WHEN mean_{c} * (1 - mean_{c}) * (n - nn / n - (hosts - 1)) > 0
+            THEN (xx_{c} - 2 * mean_{c} * x_{c} + mean_{c} * mean_{c} * n - mean_{c} * (1 - mean_{c}) * (hosts - 1))
+                 / (mean_{c} * (1 - mean_{c}) * (n - nn / n - (hosts - 1))) ELSE 0 END, {LEAST_CORRELATION}::DOUBLE),
+            1 - {LEAST_CORRELATION}::DOUBLE) AS corr_{c}, mean_{c}""" for c in HOST_RULES
+    )
+    refused = " OR ".join(
+        f"(h.{c} + mean_{c} * (1 / corr_{c} - 1)) / (h.n + (1 / corr_{c} - 1)) >= {LIMIT}::DOUBLE" for c in HOST_RULES
+    )
+    base = " OR ".join(f"({rule})" for rule in BASE_RULES.values())
+    return rf"""
+    WITH d AS (
+        SELECT row_number() OVER () AS rid, doc_id, nullif(lower(trim(source)), '') AS host, coalesce(text, '') AS t,
+            regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+    ), l AS (
+        SELECT rid, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM d
+    ), g AS (
+        SELECT rid, i, word || ' ' || lead(word) OVER v || ' ' || lead(word, 2) OVER v AS gram
+        FROM (SELECT rid, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM d) WINDOW v AS (PARTITION BY rid ORDER BY i)
+    ), often AS (
+        SELECT rid, i FROM (SELECT rid, i, count(*) OVER (PARTITION BY rid, gram) AS n FROM g WHERE gram IS NOT NULL) WHERE n > 1
+    ), covered AS (
+        SELECT rid, count(DISTINCT i + s) AS n_repeat_words FROM often, range(3) AS steps(s) GROUP BY rid
+    ), m AS (
+        SELECT doc_id, host, len(w) AS n_words, length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g')) AS word_chars,
+            length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols, len(lines) AS n_lines,
+            len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words
+        FROM d JOIN l USING (rid) LEFT JOIN covered USING (rid)
+    ), f AS (SELECT *, {rules} FROM m),
+    h AS (SELECT host, count(*) AS n, {sums} FROM f WHERE host IS NOT NULL GROUP BY host),
+    s AS (SELECT count(*) AS hosts, sum(n) AS n, sum(n::DOUBLE * n) AS nn, {moments} FROM h),
+    p AS (SELECT {means} FROM s),
+    v AS (SELECT host, {refused} AS refused FROM h, p)
+    SELECT doc_id, {", ".join(f"{c}::BIGINT AS {c}" for c in MEASURES)}, ({base}) AS base_failed,
+        NOT ({base}) AND NOT coalesce(refused, false) AS kept
+    FROM f LEFT JOIN v USING (host)
+    """
+
+
+@query(host_rules_sql())
+def op11_host_rules(spark: SparkSession, root: str) -> DataFrame:
+    """Measures of every document, and whether it stays by its own rules and by its source's failure rates."""
+    return judged_by_host(table(spark, root, "documents"), columns=["doc_id"]).select(
+        "row.doc_id", *MEASURES, "base_failed", "kept"
+    )
+
+
+def crc32_sql(text: str) -> str:
+    """The unsigned CRC-32 of ASCII text, bit by bit."""
+    steps = f"flatten(list_transform(string_split({text}, ''), lambda ch: [ascii(ch), -1, -1, -1, -1, -1, -1, -1, -1]))"
+    fold = "CASE WHEN x >= 0 THEN xor(c, x) ELSE xor(c >> 1, (c & 1) * 3988292384) END"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform({steps}, lambda x: x::BIGINT)), lambda c, x: {fold}), 4294967295::BIGINT)"
+
+
+TRIE_SQL = f"""
+    WITH o AS (
+        SELECT conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS t FROM conversations WHERE conv_id IS NOT NULL
+    ), k AS (SELECT *, md5(length(r) || ':' || r || t) AS digest FROM o),
+    c AS (
+        SELECT conv_id, list({{'k': digest, 'n': length(t)}} ORDER BY turn NULLS FIRST, r, digest) AS own,
+            {crc32_sql("conv_id::VARCHAR")} % {prefix_trie.HEADS} AS h FROM k GROUP BY conv_id
+    ), p AS (
+        SELECT c.conv_id, list_concat(CASE WHEN b.own IS NULL OR c.h = 0 THEN [] ELSE b.own[:c.h] END, c.own[c.h + 1:]) AS turns
+        FROM c LEFT JOIN c b ON b.conv_id = c.conv_id - c.conv_id % {prefix_trie.FAMILY}
+    ), q AS (SELECT conv_id, len(turns) AS size, turns, array_to_string(list_transform(turns, lambda x: x.k), '') AS path FROM p),
+    n AS (
+        SELECT conv_id, size, depth, path[:32 * depth] AS node, CASE WHEN depth > 0 THEN turns[depth].n ELSE 0 END AS chars
+        FROM (SELECT *, unnest(range(0, size + 1)) AS depth FROM q)
+    ), nodes AS (
+        SELECT depth, node, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(chars) AS chars,
+            sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (size = depth), '')) AS ends_sha256
+        FROM n GROUP BY depth, node
+    ), kids AS (SELECT depth - 1 AS depth, node[:32 * (depth - 1)] AS node, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY ALL),
+    full_nodes AS (SELECT nodes.*, coalesce(kids.n, 0) AS n_children FROM nodes LEFT JOIN kids USING (depth, node)),
+    below AS (
+        SELECT up AS depth, node[:32 * up] AS node, sum((n_convs - 1) * chars) AS saved, sum((n_children = 0)::INT) AS leaves
+        FROM (SELECT *, unnest(range(0, depth + 1)) AS up FROM full_nodes) GROUP BY ALL
+    )
+    SELECT a.conv_id, a.depth, b.conv_id AS parent_conv_id, a.n_convs, a.n_children, leaves::BIGINT AS n_leaves,
+        saved::BIGINT AS saved_tokens, a.ends_sha256
+    FROM full_nodes a JOIN below USING (depth, node)
+    LEFT JOIN nodes b ON b.depth = a.depth - 1 AND b.node = a.node[:32 * (a.depth - 1)]
+"""
+
+
+@query(TRIE_SQL)
+def op12_conversation_trie(spark: SparkSession, root: str) -> DataFrame:
+    """Every node of the prefix trie of all rebuilt conversations."""
+    return prefix_trie.conversation_trie(table(spark, root, "conversations"))
+
+
+def repair_sql() -> str:
+    def way(label: str, cost: int | str, audit: str, line: str | None = None) -> str:
+        body = f"{audit}.body" if line is None else f"list_prepend({line}, {audit}.body)"
+        return f"{{'cost': {audit}.cost + {cost}, 'audit': '{label}' || {audit}.audit, 'body': {body}}}"
+
+    def least(*ways: str) -> str:
+        return f"list_sort(list_filter([{', '.join(ways)}], lambda z: z IS NOT NULL))[1]"
+
+    after, name = {0: 2, 1: 2, 2: 3, 3: 2}, {2: "user", 3: "assistant"}
+    kept = {0: {"s": 1, "u": 2}, 1: {"u": 2}, 2: {"a": 3}, 3: {"u": 2}}
+    moves = []
+    for s in range(4):
+        keeps = " ".join(f"WHEN '{c}' THEN {way('K', 'f.extra', f'b{t}', 'f.line')}" for c, t in kept[s].items())
+        role = name[after[s]]
+        rerole = way("R", "1 + f.extra", f"b{after[s]}", f"'{role}:' || f.t")
+        moves.append(least(
+            way("D", 2, f"b{s}"), f"CASE WHEN f.must_go THEN NULL ELSE CASE left(f.r, 1) {keeps} END END",
+            f"CASE WHEN f.must_go THEN NULL ELSE {rerole} END",
+        ) + f" AS x{s}")
+    user, assistant = least("x2", way("I", 5, "x3", "'assistant:'")), least("x3", way("I", 5, "x2", "'user:'"))
+    inserts = f"""
+        SELECT conv_id, i, {least("x0", way("I", 5, "y2", "'user:'"))} AS b0, {least("x1", way("I", 5, "y2", "'user:'"))} AS b1,
+            y2 AS b2, y3 AS b3 FROM (SELECT *, {user} AS y2, {assistant} AS y3 FROM"""
+    kind = "STRUCT(cost BIGINT, audit VARCHAR, body VARCHAR[])"
+    end, none = f"{{'cost': 0, 'audit': '', 'body': []}}::{kind}", f"NULL::{kind}"
+    return rf"""
+    WITH RECURSIVE o AS (
+        SELECT conv_id, turn, coalesce(role, ' ') AS r, coalesce(text, ' ') AS t,
+            {crc32_sql("(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '))")} % 20 AS fate FROM conversations
+    ), damaged AS (
+        SELECT conv_id, turn, CASE WHEN fate = 4 THEN 'user' ELSE r END AS r,
+            CASE fate WHEN 1 THEN '' WHEN 2 THEN translate(t, '.!?', '') ELSE t END AS t
+        FROM o, range(2) AS copies(n) WHERE fate <> 0 AND (n = 0 OR fate = 3)
+    ), placed AS (
+        SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, r, md5(length(r) || ':' || r || t)) AS i
+        FROM damaged
+    ), faults AS (
+        SELECT *, NOT regexp_matches(t, '[^ 	-
+]') AS blank,
+            row_number() OVER (PARTITION BY conv_id, r, t ORDER BY i) > 1 AS seen,
+            NOT regexp_matches(t, '[.!?][\x20\x09-\x0D]*\z') AS cut FROM placed
+    ), f AS (
+        SELECT *, blank OR seen AS must_go, CASE WHEN cut AND NOT blank AND NOT seen THEN 5 ELSE 0 END AS extra,
+            r || ':' || t AS line, lag(left(r, 1)) OVER (PARTITION BY conv_id ORDER BY i) || left(r, 1) AS pair FROM faults
+    ), counts AS (
+        SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (blank) AS blank,
+            count(*) FILTER (seen AND NOT blank) AS duplicate, count(*) FILTER (extra > 0) AS truncated,
+            count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal, count(*) AS size FROM f GROUP BY conv_id
+    ), best AS (
+        {inserts} (SELECT conv_id, size + 1 AS i, {end} AS x0, {none} AS x1, {none} AS x2, {end} AS x3 FROM counts))
+        UNION ALL
+        {inserts} (SELECT f.conv_id, f.i, {", ".join(moves)} FROM best JOIN f ON f.i = best.i - 1 AND f.conv_id IS NOT DISTINCT FROM best.conv_id))
+    )
+    SELECT a.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+        coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(b0.cost, 0)::BIGINT AS cost,
+        coalesce(b0.audit, '') AS audit, sha256(coalesce(array_to_string(b0.body, chr(10)), '')) AS repaired_sha256
+    FROM (SELECT DISTINCT conv_id FROM conversations) a
+    LEFT JOIN counts ON counts.conv_id IS NOT DISTINCT FROM a.conv_id
+    LEFT JOIN best ON best.conv_id IS NOT DISTINCT FROM a.conv_id AND best.i = 1
+    """
+
+
+@query(repair_sql())
+def op13_turn_repair(spark: SparkSession, root: str) -> DataFrame:
+    """Faults, cheapest edits and repaired form of every conversation after damage."""
+    return turn_repair.repaired_conversations(turn_repair.damaged(table(spark, root, "conversations")))
