@@ -2,6 +2,9 @@
 
 import json
 import os
+import random
+import shutil
+from datetime import datetime
 
 import duckdb
 import pytest
@@ -9,13 +12,14 @@ from pyspark.sql import functions as F
 from test_feed import line
 
 from compare import differences
-from tierflow.operators.scd import current_rows
+from tierflow.operators.scd import as_of, current_rows, scd2_build
 from tierflow.plans import QUERIES, SQL, layers
 from tierflow.sources.feed import raw_feed
 from tierflow.sources.registry import RETAIL
 from tierflow.sources.tables import read_batches
 from tierflow.streaming.operators import TimeBound, dedup_stream, stream_join, tumbling_stats
-from tierflow.streaming.sinks import KeyedLog, append_batches, run_stream
+from tierflow.streaming.intervals import IntervalTable
+from tierflow.streaming.sinks import KeyedLog, append_batches, run_stream, touched_buckets, write_batch
 
 TIMED = "id bigint, ts timestamp, v bigint"
 
@@ -220,22 +224,25 @@ def test_orders_take_the_newest_customer_image(spark, area):
     feed = "customer_id string, city string, _change_type string, _commit_version bigint, _commit_timestamp bigint"
     changes = [("C1", "Lyon", "insert", 1, 10), ("C1", "Lyon", "update_preimage", 2, 20),
                ("C1", "Paris", "update_postimage", 2, 20), ("C2", "Pune", "insert", 1, 10)]
-    spark.createDataFrame(changes, feed).write.parquet(f"{area}/changes/query=x/batch_id=0")
-    stored = KeyedLog(f"{area}/stored", spark.createDataFrame([], fields).schema, ("order_id",))
+    customers = KeyedLog(f"{area}/customers", spark.createDataFrame([], "customer_id string, city string").schema,
+                         ("customer_id",), ("city",))
+    timed = lambda rows: spark.createDataFrame(rows, feed).withColumn("_commit_timestamp", F.timestamp_seconds("_commit_timestamp"))
+    customers.put(timed(changes), customers.changes_path, 0)
+    stored = KeyedLog(f"{area}/stored", spark.createDataFrame([], fields).schema, ("order_id", "customer_id"),
+                      bucket_by=("customer_id",))
     joined = KeyedLog(f"{area}/joined", spark.createDataFrame(
-        [], f"{fields}, city string, processed_version bigint, processed_timestamp bigint").schema,
+        [], f"{fields}, city string, processed_version bigint, processed_timestamp timestamp").schema,
         ("order_id", "customer_id"), ("processed_version", "processed_timestamp"))
 
     def run():
         layers.orders_customers_into(
-            spark.readStream.schema(fields).parquet(f"{area}/orders"),
-            spark.readStream.schema(feed).parquet(f"{area}/changes/query=x"), stored, joined, "customer_id",
-            f"{area}/marks", f"{area}/changes")
-        return rows_of(joined.read(spark))
+            spark.readStream.schema(fields).parquet(f"{area}/orders"), customers.stream_changes(spark), customers, stored,
+            joined, "customer_id", f"{area}/marks")
+        return rows_of(joined.read(spark).withColumn("processed_timestamp", F.unix_seconds("processed_timestamp")))
 
     assert run() == [("O1", "C1", "Paris", 2, 20), ("O2", "C2", "Pune", 1, 10)]
     late = [("C2", "Delhi", "update_postimage", 3, 5), ("C9", "Oslo", "insert", 3, 5)]
-    spark.createDataFrame(late, feed).write.mode("append").parquet(f"{area}/changes/query=x/batch_id=1")
+    customers.put(timed(late), customers.changes_path, 1)
     spark.createDataFrame([("O4", "C1")], fields).write.mode("append").parquet(f"{area}/orders")
     assert run() == run() == [("O1", "C1", "Paris", 2, 20), ("O2", "C2", "Delhi", 3, 5), ("O3", "C9", "Oslo", 3, 5),
                               ("O4", "C1", "Paris", 2, 20)]
@@ -288,23 +295,113 @@ def test_refreshed_intervals_equal_a_read_of_the_log(spark, area):
     assert table.count() == 4
     assert key(table) == key(layers.scd2_table(spark, f"{area}/log", ["id"], "ts"))
     assert key(run()) == key(table)
-    # Only what changed was written: two versions of key 1 that meet the late row, and the new key.
-    written = spark.read.parquet(f"{area}/table/log").where("refresh = 1")
-    assert rows_of(written.select("id", "v")) == [(1, 2), (3, 3)]
-
-
-def test_a_refresh_writes_the_versions_of_the_changed_key_only(spark, area):
-    def run():
-        changes = spark.readStream.schema(TIMED).parquet(f"{area}/in")
-        layers.scd2_stream_into(changes, ["id"], "ts", f"{area}/log", f"{area}/marks")
-        return layers.refresh_scd2(spark, f"{area}/log", f"{area}/table", ["id"], "ts")
-
-    land(spark, f"{area}/in", [(i, "2024-01-01 00:10:00", 1) for i in range(500)])
-    run()
-    land(spark, f"{area}/in", [(7, "2024-01-02 00:00:00", 2)])
-    table = run()
-    assert table.count() == 501 and table.where("is_active").count() == 500
-    assert spark.read.parquet(f"{area}/table/log/refresh=1").count() == 2
+    again = IntervalTable(f"{area}/table", ("id",), "ts")
+    assert key(again.current(spark)) == key(table.where("is_active"))
+    at = F.lit("2024-01-01 00:07:00").cast("timestamp")
+    assert key(again.as_of(spark, at)) == key(as_of(table, at))
+
+
+def spoil(paths):
+    """Overwrite files with what no reader accepts."""
+    for path in paths:
+        path = path.removeprefix("file://").removeprefix("file:")
+        with open(path, "wb") as f:
+            f.write(b"no parquet at all")
+        crc = os.path.join(os.path.dirname(path), f".{os.path.basename(path)}.crc")
+        if os.path.exists(crc):
+            os.remove(crc)
+
+
+def interval_table(spark, area, rows, file_rows=5):
+    """A table of three refreshes, its log folder, and what brings in more rows."""
+    table = IntervalTable(f"{area}/table", ("id",), "ts", buckets=4, file_rows=file_rows)
+
+    def bring(number, more):
+        df = spark.createDataFrame(more, "id bigint, t string, v bigint")
+        write_batch(df.select("id", F.col("t").cast("timestamp").alias("ts"), "v"), f"{area}/log", number)
+        return table.refresh(spark, f"{area}/log")
+
+    for number, part in enumerate(rows):
+        bring(number, part)
+    return table, bring
+
+
+def test_a_refresh_opens_only_files_that_the_batch_can_touch(spark, area):
+    """Files of other buckets, and closed files that end before the batch begins, may be broken: none is read."""
+    days = [[(i, f"2024-01-{d:02d} 00:00:00", d) for i in range(40)] for d in range(1, 7)]
+    table, bring = interval_table(spark, area, days)
+    before = table.files(spark)
+    key = spark.createDataFrame([(7,)], "id bigint")
+    bucket = touched_buckets(key, ["id"], 4)[0]
+    closed = [f for f in before if f.state == "closed" and f.key_bucket == bucket]
+    early = [f for f in closed if f.last_end <= datetime(2024, 1, 4)]
+    assert 0 < len(early) < len(closed)
+    elsewhere = [f for f in before if f.key_bucket != bucket]
+    spoil([f.file for f in early + elsewhere])
+    bring(6, [(7, "2024-01-05 12:00:00", 99), (7, "2024-01-09 00:00:00", 100), (None, "2024-01-01 00:00:00", 0)])
+    after = {f.file for f in table.files(spark)}
+    assert {f.file for f in early + elsewhere} <= after and not {f.file for f in closed} <= after
+    new = [f.file for f in table.files(spark) if f.file not in {b.file for b in before}]
+    mine = spark.read.parquet(*new).where("id = 7 AND start_date >= '2024-01-05'")
+    assert rows_of(mine.select("v", F.date_format("start_date", "dd HH"), "is_active")) == [
+        (5, "05 00", False), (6, "06 00", False), (99, "05 12", False), (100, "09 00", True)]
+
+
+def test_intervals_from_any_split_into_batches_equal_one_build(spark, area):
+    rng = random.Random(5)
+    rows = [(rng.randrange(12) if rng.random() < 0.95 else None, f"2024-01-01 00:{rng.randrange(60):02d}:00", n % 3) for n in range(180)]
+    parts = [rows[a : a + 60] for a in range(0, 180, 60)]
+    table, bring = interval_table(spark, area, [*parts, parts[1]], file_rows=3)
+    whole = spark.createDataFrame(rows, "id bigint, t string, v bigint").select("id", F.col("t").cast("timestamp").alias("ts"), "v")
+    text = lambda df: sorted(map(repr, df.select("id", "v", "start_date", "end_date", "is_active").collect()))
+    want = scd2_build(whole, ["id"], "ts")
+    assert text(table.read(spark)) == text(want) and text(table.current(spark)) == text(current_rows(want))
+    for minute in (17, 59):
+        at = F.lit(f"2024-01-01 00:{minute:02d}:30").cast("timestamp")
+        assert text(table.as_of(spark, at)) == text(as_of(want, at))
+    assert max(f.n_rows for f in table.files(spark)) <= 3
+
+
+def test_a_refresh_that_stopped_before_its_manifest_is_done_again(spark, area):
+    table, bring = interval_table(spark, area, [[(1, "2024-01-01 00:00:00", 1)], [(1, "2024-01-02 00:00:00", 2)]])
+    shutil.rmtree(f"{area}/table/manifest/refresh=1")
+    again = table.refresh(spark, f"{area}/log")
+    assert rows_of(again.select("v", "is_active")) == [(1, False), (2, True)]
+    assert rows_of(table.refresh(spark, f"{area}/log").select("v", "is_active")) == [(1, False), (2, True)]
+
+
+@pytest.mark.parametrize("compacted", [False, True])
+def test_a_keyed_lookup_opens_only_the_buckets_of_its_keys(spark, area, compacted):
+    """Every file of the other buckets is broken; lookup, tracked batch and change lookup go through."""
+    table = KeyedLog(f"{area}/table", spark.createDataFrame([], PAIR).schema, ("k",), ("v",), buckets=4)
+    for number in range(3):
+        table.track(spark.range(200).select(F.col("id").alias("k"), (F.col("id") + number).alias("v")), number)
+    if compacted:
+        table.compact(spark)
+        table.track(spark.createDataFrame([(11, 1000)], PAIR), 3)
+    some = spark.createDataFrame([(11, 2_000)], PAIR)
+    mine = touched_buckets(some, ["k"], 4)[0]
+    spoil([f"{d}/{f}" for d, _, names in os.walk(f"{area}/table") for f in names
+           if f.endswith(".parquet") and "key_bucket=" in d and f"key_bucket={mine}" not in d])
+    last = 1000 if compacted else 13
+    assert rows_of(table.read_for(some)) == [(11, last)]
+    assert table.changes_for(some).where("_change_type <> 'update_preimage'").count() == (4 if compacted else 3)
+    table.track(some, 4)
+    fresh = read_batches(spark, table.changes_path, schema=table.feed_schema).where(f"key_bucket = {mine} AND batch_id = 4")
+    assert rows_of(fresh.select("_change_type", "k", "v")) == [("update_postimage", 11, 2000), ("update_preimage", 11, last)]
+    with pytest.raises(Exception, match="(?i)parquet"):
+        table.read(spark).collect()
+
+
+def test_a_replay_after_compaction_gives_its_changes_again(spark, area):
+    table = KeyedLog(f"{area}/table", spark.createDataFrame([], PAIR).schema, ("k",), ("v",))
+    for number, rows in enumerate([[(1, 1), (2, 2)], [(1, 5), (3, 3)]]):
+        table.track(spark.createDataFrame(rows, PAIR), number)
+    before = rows_of(read_batches(spark, table.changes_path).drop("_commit_timestamp", "key_bucket"))
+    table.compact(spark)
+    table.track(spark.createDataFrame([(1, 5), (3, 3)], PAIR), 1)
+    assert rows_of(read_batches(spark, table.changes_path).drop("_commit_timestamp", "key_bucket")) == before
+    assert rows_of(table.read(spark)) == [(1, 5), (2, 2), (3, 3)]
 
 
 @pytest.mark.parametrize("name", ["late_rows", "late_rows_in_batches"])

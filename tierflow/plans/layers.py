@@ -9,13 +9,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tierflow.operators.changes import newest_images
-from tierflow.operators.scd import current_rows, scd1_build, scd2_build, split_by_batch
+from tierflow.operators.scd import current_rows, scd1_build, scd2_build
 from tierflow.operators.shape import lookup_join, order_lines
 from tierflow.operators.skew import greatest_row
-from tierflow.session import new_area
 from tierflow.sources.feed import rejected_rows, sort_out, topic_rows
 from tierflow.sources.registry import Topic
 from tierflow.sources.tables import read_batches
+from tierflow.streaming.intervals import IntervalTable
 from tierflow.streaming.operators import dedup_stream, tumbling_stats
 from tierflow.streaming.sinks import KeyedLog, append_batches, each_batch, found, log_stream
 
@@ -96,42 +96,8 @@ def scd2_table(
 def refresh_scd2(
     spark: SparkSession, log_path: str, table_path: str, keys: Sequence[str], sequence_by: str
 ) -> DataFrame:
-    """A stored interval table brought up to the change log.
-
-    Versions are rows keyed by (keys, start_date) in an append-only log: a refresh applies the log's batches since the
-    last one and appends the versions that are new or got another end, nothing else. The list of batches it applied is
-    written last; a refresh that stopped before is done again, to the same folder. An empty log gives an empty table.
-    """
-    log = found(lambda: read_batches(spark, log_path, keep_query=True))
-    if log is None:
-        raise ValueError(f"there is no change log at {log_path}")
-    done = found(lambda: spark.read.parquet(f"{table_path}/applied"))
-    number, news = 0, log
-    if done is not None:
-        number = done.agg(F.max("refresh")).first()[0] + 1
-        news = log.join(F.broadcast(done.select("query", "batch_id")), ["query", "batch_id"], "left_anti")  # a row per batch
-    applied = news.select("query", "batch_id").distinct()
-    rows = news.drop("query", "batch_id")
-    if not rows.isEmpty():
-        if number:
-            place = new_area(spark, "reopened")
-            stored = versions(spark, table_path, keys)
-            split_by_batch(stored, rows, keys, sequence_by)[1].write.parquet(place)
-            rebuilt = scd2_build(spark.read.parquet(place), keys, sequence_by)
-            same = [rebuilt[c].eqNullSafe(stored[c]) for c in rebuilt.columns]
-            rebuilt = rebuilt.join(stored, same, "left_anti")
-        else:
-            rebuilt = scd2_build(rows, keys, sequence_by)
-        rebuilt.write.mode("overwrite").parquet(f"{table_path}/log/refresh={number}")
-        applied.coalesce(1).write.mode("overwrite").parquet(f"{table_path}/applied/refresh={number}")
-    return versions(spark, table_path, keys)
-
-
-def versions(spark: SparkSession, table_path: str, keys: Sequence[str]) -> DataFrame:
-    """The interval table that refreshes keep: of each version the row that the last finished one wrote."""
-    done = spark.read.parquet(f"{table_path}/applied").agg(F.max("refresh")).first()[0]
-    rows = spark.read.parquet(f"{table_path}/log").where(F.col("refresh") <= done)
-    return greatest_row(rows, [*keys, "start_date"], ["refresh"]).drop("refresh")
+    """A stored interval table brought up to the change log: the log's batches since the last refresh are applied."""
+    return IntervalTable(table_path, tuple(keys), sequence_by).refresh(spark, log_path)
 
 
 def orders_stream_into(
@@ -142,26 +108,29 @@ def orders_stream_into(
 
 
 def orders_customers_into(
-    orders: DataFrame, customer_changes: DataFrame, known_orders: KeyedLog, joined: KeyedLog, customer_key: str,
-    checkpoint: str, changes_path: str,
+    orders: DataFrame, customer_changes: DataFrame, customers: KeyedLog, known_orders: KeyedLog, joined: KeyedLog,
+    customer_key: str, checkpoint: str,
 ) -> None:
     """Orders joined with the newest image of their customer, as two streams without any join state.
 
-    New orders meet the newest images so far; then new changes meet the stored orders of the customers they touch.
-    Either side may come first. Rows of `joined` are ordered by the commit of the customer's image.
+    New orders meet the newest images so far; then new changes meet the stored orders of the customers they touch. Both
+    lookups open the buckets of the customers in the micro-batch only, so `customers` and `known_orders` are placed by the
+    customer. Either side may come first. Rows of `joined` are ordered by the commit of the customer's image.
     """
+    if {customers.placed_by, known_orders.placed_by} != {(customer_key,)}:
+        raise ValueError("customers and known orders must be placed by the customer key")
 
     def meet(orders: DataFrame, images: DataFrame) -> DataFrame:
         return orders.join(newest_images(images, [customer_key]), customer_key)
 
     def new_orders(batch: DataFrame, number: int) -> None:
         known_orders.append(batch, number)
-        images = found(lambda: read_batches(batch.sparkSession, changes_path).drop("batch_id"))
+        images = customers.changes_for(batch)
         if images is not None:
-            joined.append(meet(batch, images.join(batch.select(customer_key).distinct(), customer_key, "left_semi")), number)
+            joined.append(meet(batch, images.select(*customer_changes.columns)), number)
 
     def new_images(batch: DataFrame, number: int) -> None:
-        joined.append(meet(known_orders.read(batch.sparkSession), batch), number)
+        joined.append(meet(known_orders.read_for(batch), batch), number)
 
     each_batch(orders, new_orders, f"{checkpoint}/orders")
     each_batch(customer_changes, new_images, f"{checkpoint}/customers")

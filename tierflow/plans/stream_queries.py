@@ -26,7 +26,7 @@ from tierflow.plans.inputs import (
 )
 from tierflow.session import new_area
 from tierflow.sources.feed import raw_feed
-from tierflow.sources.tables import read_batches, read_lookup, read_table, stream_batches, stream_table, zoned
+from tierflow.sources.tables import read_batches, read_lookup, read_table, stream_table, zoned
 from tierflow.streaming.operators import TimeBound, dedup_stream, stream_join, tumbling_stats
 from tierflow.streaming.sinks import KeyedLog, append_batches, run_stream
 
@@ -213,7 +213,7 @@ def orders_customers_stream(spark: SparkSession, root: str) -> DataFrame:
     customers = KeyedLog(f"{area}/customers", log.schema, ("o_custkey",), ("load",))
     orders = stream_table(spark, root, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
     fields = "o_orderkey bigint, o_custkey bigint, o_totalprice double"
-    stored = KeyedLog(f"{area}/orders", StructType.fromDDL(fields), ("o_orderkey",))
+    stored = KeyedLog(f"{area}/orders", StructType.fromDDL(fields), ("o_orderkey", "o_custkey"), bucket_by=("o_custkey",))
     joined = KeyedLog(
         f"{area}/joined",
         StructType.fromDDL(
@@ -225,10 +225,8 @@ def orders_customers_stream(spark: SparkSession, root: str) -> DataFrame:
     for _ in arrivals(log, f"{area}/landing", range(2)):
         loaded = spark.readStream.schema(log.schema).parquet(f"{area}/landing")
         layers.scd1_stream_into(loaded, customers, f"{area}/marks-customers", track=True)
-        changes = stream_batches(spark, customers.changes_path).drop("load")
-        layers.orders_customers_into(
-            orders, changes, stored, joined, "o_custkey", f"{area}/marks-joined", customers.changes_path
-        )
+        changes = customers.stream_changes(spark).drop("load")
+        layers.orders_customers_into(orders, changes, customers, stored, joined, "o_custkey", f"{area}/marks-joined")
     return joined.read(spark).drop("processed_version", "processed_timestamp")
 
 

@@ -26,19 +26,16 @@ def no_rows(spark: SparkSession, schema: T.StructType) -> DataFrame:
     return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
-def read_batches(spark: SparkSession, path: str, keep_query: bool = False) -> DataFrame:
-    """A table of numbered batches with the number of each row's batch; `keep_query` also tells which query wrote it."""
-    table = spark.read.option("basePath", path).parquet(f"{path}/query=*")
-    return table.withColumn("query", F.col("query").cast("string")) if keep_query else table.drop("query")
-
+def read_batches(
+    spark: SparkSession, path: str, keep_query: bool = False, schema: T.StructType | None = None
+) -> DataFrame:
+    """A table of numbered batches with the number of each row's batch; `keep_query` also tells which query wrote it.
 
-def stream_batches(spark: SparkSession, path: str) -> DataFrame:
-    """A table of numbered batches as a stream of its rows.
-
-    A batch that was replayed after a failure may appear twice; the merges and interval tables absorb that.
+    With its `schema` (without partition columns) no file is opened to find it out.
     """
-    schema = read_batches(spark, path).drop("batch_id").schema
-    return spark.readStream.schema(schema).parquet(f"{path}/query=*/batch_id=*")
+    reader = spark.read.option("basePath", path)
+    table = (reader.schema(schema) if schema else reader).parquet(f"{path}/query=*")
+    return table.withColumn("query", F.col("query").cast("string")) if keep_query else table.drop("query")
 
 
 def zoned(df: DataFrame, *columns: str) -> DataFrame:
