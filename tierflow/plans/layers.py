@@ -17,6 +17,7 @@ from tierflow.sources.registry import Topic
 from tierflow.sources.tables import read_batches
 from tierflow.streaming.intervals import IntervalTable
 from tierflow.streaming.operators import dedup_stream, tumbling_stats
+from tierflow.streaming.rollups import JoinedStats
 from tierflow.streaming.sinks import KeyedLog, append_batches, each_batch, found, log_stream
 
 # Event-time limits of the order de-duplication and of the author statistics.
@@ -136,6 +137,12 @@ def orders_customers_into(
     each_batch(customer_changes, new_images, f"{checkpoint}/customers")
 
 
+def joined_stats_into(fact_changes: DataFrame, dimension_changes: DataFrame, kept: JoinedStats, checkpoint: str) -> None:
+    """Statistics of a join kept by the change feeds of both sides, one after the other."""
+    each_batch(fact_changes, kept.fact_changes, f"{checkpoint}/facts")
+    each_batch(dimension_changes, kept.dimension_changes, f"{checkpoint}/dimension")
+
+
 def keep_current(scd2: DataFrame, path: str) -> DataFrame:
     """Replace the stored current rows of an interval table: a new version folder, listed when it is whole."""
     spark = scd2.sparkSession

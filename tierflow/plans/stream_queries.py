@@ -5,10 +5,11 @@ Loads land one after the other and each is a run of its own on the same checkpoi
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tierflow.operators.changes import change_feed
 from tierflow.operators.scd import scd2_build
 from tierflow.operators.shape import lookup_join, nest_lines, union_widened
 from tierflow.plans import layers
@@ -28,7 +29,8 @@ from tierflow.session import new_area
 from tierflow.sources.feed import raw_feed
 from tierflow.sources.tables import read_batches, read_lookup, read_table, stream_table, zoned
 from tierflow.streaming.operators import TimeBound, dedup_stream, stream_join, tumbling_stats
-from tierflow.streaming.sinks import KeyedLog, append_batches, run_stream
+from tierflow.streaming.rollups import DeltaStats, JoinedStats, own_copy
+from tierflow.streaming.sinks import KeyedLog, append_batches, changes_stream, run_stream, write_batch
 
 # Partitions among which the copies of one key are spread.
 SALTS = 4
@@ -341,3 +343,63 @@ def author_stats_stream(spark: SparkSession, root: str) -> DataFrame:
     stats = layers.author_stats(lines, "o_orderdate", "o_orderkey", "line_quantity", layers.STATS_DELAY)
     run_stream(stats, f"{area}/table", f"{area}/marks")
     return spark.read.parquet(f"{area}/table").withColumn("avg_quantity", F.round("avg_quantity", 6))
+
+
+LINE = "o_orderkey bigint, line int, book_id bigint, window_start timestamp, line_quantity double"
+BOOK = "book_id bigint, author string"
+LAST_AUTHOR = "CASE WHEN p_size <= 10 THEN 'Revised' ELSE p_brand END"
+
+
+def _line_changes(spark: SparkSession, root: str) -> list[DataFrame]:
+    """All lines but those numbered 7; then these come, quantities and books of others change, and some go."""
+    orders = zoned(read_table(spark, root, "orders"), "o_orderdate").select("o_orderkey", "o_orderdate")
+    lines = read_table(spark, root, "lineitem")
+    # Numbers repeat within an order; the place among its lines does not.
+    place = F.row_number().over(Window.partitionBy("l_orderkey").orderBy(*[c for c in lines.columns if c != "l_orderkey"]))
+    rows = lines.withColumn("line", place).join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
+        "o_orderkey", "line", F.col("l_partkey").alias("book_id"),
+        F.window("o_orderdate", layers.STATS_WIDTH)["start"].alias("window_start"), F.col("l_quantity").alias("line_quantity"),
+        F.col("l_linenumber").alias("number"),
+    )
+    number, quantity = F.col("number"), F.col("line_quantity")
+    first = rows.where("number <> 7").drop("number")
+    last = rows.where("number <> 3").withColumns({
+        "line_quantity": F.when(number == 2, quantity + 10).otherwise(quantity),
+        "book_id": F.when(number == 4, F.lit(1)).otherwise(F.col("book_id")),
+    }).drop("number")
+    keys = ["o_orderkey", "line"]
+    return [change_feed(first.limit(0), first, keys, 0), change_feed(first, last, keys, 1)]
+
+
+@query(f"""
+    SELECT time_bucket(INTERVAL 5 MINUTE, o_orderdate, TIMESTAMP '1970-01-01') AS window_start, {LAST_AUTHOR} AS author,
+           count(*) AS orders_count,
+           round(avg(CASE WHEN l_linenumber = 2 THEN l_quantity + 10 ELSE l_quantity END), 6) AS avg_quantity
+    FROM orders JOIN lineitem ON o_orderkey = l_orderkey
+    JOIN part ON p_partkey = CASE WHEN l_linenumber = 4 THEN 1 ELSE l_partkey END
+    WHERE l_linenumber <> 3 AND p_size <> 50 GROUP BY 1, 2
+""")
+def author_stats_deltas(spark: SparkSession, root: str) -> DataFrame:
+    """Author statistics kept through inserts, updates, moves and deletes on both sides, by reading the changes alone."""
+    area = new_area(spark, "author-deltas")
+    groups = StructType.fromDDL("window_start timestamp, author string")
+    line, book = StructType.fromDDL(LINE), StructType.fromDDL(BOOK)
+    kept = JoinedStats(
+        DeltaStats(f"{area}/stats", groups),
+        own_copy(f"{area}/lines", line, ("o_orderkey", "line", "book_id"), "book_id"),
+        own_copy(f"{area}/books", book, ("book_id",), "book_id"), "book_id", "line_quantity",
+    )
+    parts = read_table(spark, root, "part")
+    books = parts.select(F.col("p_partkey").alias("book_id"), F.col("p_brand").alias("author"))
+    revised = parts.where("p_size <> 50").select(F.col("p_partkey").alias("book_id"), F.expr(LAST_AUTHOR).alias("author"))
+    book_feeds = [change_feed(books.limit(0), books, ["book_id"], 0), change_feed(books, revised, ["book_id"], 1)]
+    for number, (lines, changed_books) in enumerate(zip(_line_changes(spark, root), book_feeds)):
+        write_batch(lines, f"{area}/line-feed", number)
+        write_batch(changed_books, f"{area}/book-feed", number)
+        layers.joined_stats_into(
+            changes_stream(spark, f"{area}/line-feed", line), changes_stream(spark, f"{area}/book-feed", book), kept, f"{area}/marks"
+        )
+        if number == 0:
+            kept.stats.fold(spark)
+    stats = kept.stats.read(spark)
+    return stats.select("window_start", "author", F.col("n_rows").alias("orders_count"), F.round("avg_value", 6).alias("avg_quantity"))

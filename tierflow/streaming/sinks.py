@@ -121,6 +121,17 @@ def outside(ranges: Iterable[Row]) -> Column:
     return ~reduce(or_, within, F.lit(False))
 
 
+def feed_of(schema: T.StructType) -> T.StructType:
+    """The columns of a table's change feed."""
+    kinds = (("_change_type", T.StringType()), ("_commit_version", T.LongType()), ("_commit_timestamp", T.TimestampType()))
+    return T.StructType([*schema.fields, *(T.StructField(*k) for k in kinds)])
+
+
+def changes_stream(spark: SparkSession, path: str, schema: T.StructType, below: str = "") -> DataFrame:
+    """The change feed of a table with `schema`, written in numbered batches, as a stream."""
+    return spark.readStream.schema(feed_of(schema)).parquet(f"{path}/query=*/batch_id=*{below}")
+
+
 @dataclass(frozen=True)
 class KeyedLog:
     """A table with unique keys, kept as an append-only log of reduced batches; the greatest row of a key counts.
@@ -148,9 +159,8 @@ class KeyedLog:
 
     @property
     def feed_schema(self) -> T.StructType:
-        """What `changes_path` holds: the table's columns and those of `change_feed`."""
-        kinds = (("_change_type", T.StringType()), ("_commit_version", T.LongType()), ("_commit_timestamp", T.TimestampType()))
-        return T.StructType([*self.schema.fields, *(T.StructField(*k) for k in kinds)])
+        """What `changes_path` holds."""
+        return feed_of(self.schema)
 
     def _batches(self, spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
         """Batches with stream, number and bucket; None while there are no files."""
@@ -211,7 +221,7 @@ class KeyedLog:
 
     def stream_changes(self, spark: SparkSession) -> DataFrame:
         """The change feed as a stream; a batch replayed after a failure may appear twice."""
-        return spark.readStream.schema(self.feed_schema).parquet(f"{self.changes_path}/query=*/batch_id=*/{BUCKET}=*")
+        return changes_stream(spark, self.changes_path, self.schema, f"/{BUCKET}=*")
 
     def _rows(
         self, spark: SparkSession, of: list[int] | None = None, before: tuple[str, int] | None = None
