@@ -1,10 +1,12 @@
 import base64
 import json
+from dataclasses import replace
 
 import pytest
+from pyspark.sql import functions as F
 
 from tierflow.sources.feed import (
-    land_feed, parse_all, parse_topic, raw_feed, route, scan_envelopes, slice_by_file, sort_out,
+    land_feed, parse_all, parse_topic, raw_feed, rescued_fields, route, scan_envelopes, slice_by_file, sort_out,
 )
 from tierflow.plans.layers import customers_with_country
 from tierflow.sources.registry import RETAIL
@@ -59,6 +61,29 @@ def test_every_message_is_routed_or_quarantined(feed):
     assert sort_out(feed, RETAIL).where("reason IS NULL").count() == 4
 
 
+def test_required_fields_decide_and_what_could_not_be_read_is_kept(spark, area):
+    messages = [
+        {**BOOK, "updated": "yesterday"}, {**BOOK, "book_id": None}, {k: v for k, v in BOOK.items() if k != "updated"},
+        {**BOOK, "price": "dear", "extra": 1}, {"price": "dear"}, {**BOOK, "price": {"amount": 3}}, "[]", BOOK,
+    ]
+    with open(f"{area}/feed_01.json", "w") as f:
+        f.write("\n".join(line("books", m, key=str(n)) for n, m in enumerate(messages)))
+    rows = sort_out(raw_feed(spark, area), RETAIL).orderBy(F.col("key").cast("int")).collect()
+    assert [r.reason for r in rows] == [
+        "unreadable field: updated", "missing field: book_id", "missing field: updated", None, "missing field: book_id,updated",
+        None, "unreadable value", None]
+    assert [r.rescued for r in rows] == [
+        {"updated": "yesterday"}, None, None, {"price": "dear"}, {"price": "dear"}, {"price": '{"amount":3}'}, None, None]
+    assert [r.books.title for r in rows if r.reason is None] == ["t", "t", "t"]
+    assert "_unread" not in rows[3].books.asDict()
+    fields = rescued_fields(sort_out(raw_feed(spark, area), RETAIL)).select("key", "field", "raw", "reason").collect()
+    assert sorted((r.key, r.field, r.raw, r.reason is None) for r in fields) == [
+        ("0", "updated", "yesterday", False), ("3", "price", "dear", True), ("4", "price", "dear", False),
+        ("5", "price", '{"amount":3}', True)]
+    no_requirements = {"books": replace(RETAIL["books"], required=())}
+    assert sort_out(raw_feed(spark, area), no_requirements).where("reason IS NULL").count() == 7
+
+
 def test_all_topics_in_one_pass(feed):
     rows = parse_all(feed, RETAIL).where("topic IN ('books', 'orders')").collect()
     assert all(r.customers is None for r in rows)
@@ -68,7 +93,7 @@ def test_all_topics_in_one_pass(feed):
 def test_a_message_is_parsed_once(feed):
     plan = sort_out(feed, RETAIL).where("reason IS NOT NULL").select("topic", "reason")
     text = plan._jdf.queryExecution().optimizedPlan().toString()
-    assert text.count("from_json(") == len(RETAIL)
+    assert text.count("from_json(StructField(") == len(RETAIL)
 
 
 def test_landed_feed_reads_back(spark, feed, area):

@@ -1,15 +1,19 @@
-"""Statistics kept by deltas: against recomputation, through deletes, moves, replays and folds."""
+"""What is kept beside the data: statistics by deltas, snapshots by digests, sketches and audits of loads."""
 
+import os
 import random
 
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tierflow.operators.changes import change_feed
+from test_streams import rows_of, spoil
+from tierflow.operators.changes import change_feed, differing_buckets
+from tierflow.operators.reduce import key_sketches, keys_of_sketches
+from tierflow.sources.tables import read_batches
 from tierflow.streaming.rollups import DeltaStats, JoinedStats, own_copy
-from tierflow.streaming.sinks import KeyedLog
-from test_streams import rows_of
+from tierflow.streaming.sinks import KeyedLog, touched_buckets, write_audited
+from tierflow.streaming.snapshots import Snapshots
 
 FACT, DIM = "id bigint, book string, at string, n double", "book string, author string"
 
@@ -81,3 +85,41 @@ def test_both_sides_are_placed_by_the_join_column():
         JoinedStats(DeltaStats("s", StructType()), facts, books, "book", "n")
     with pytest.raises(ValueError):
         KeyedLog("f", StructType.fromDDL(FACT), ("id",), bucket_by=("book",))
+
+
+def test_snapshots_are_read_only_where_their_digests_differ(spark, area):
+    fields = "k bigint, t string, v double"
+    rows = [(i, None if i % 7 == 0 else f"t{i}", None if i % 5 == 0 else float(i)) for i in range(300)]
+    changed = [(k, t, -1.0 if k == 10 else v) for k, t, v in rows if k != 11] + [(1000, "new", 1.0)]
+    before, after = (spark.createDataFrame(r, fields) for r in (rows, changed))
+    table = Snapshots(area, ["k"], buckets=16)
+    table.store(before, 0)
+    table.store(after.orderBy(F.rand(1)), 1)
+    table.store(before.orderBy(F.rand(2)), 2)
+    of = differing_buckets(table.digests(spark, 0), table.digests(spark, 1))
+    assert of == touched_buckets(spark.createDataFrame([(10,), (11,), (1000,)], "k bigint"), ["k"], 16)
+    assert differing_buckets(table.digests(spark, 0), table.digests(spark, 2)) == []
+    want = change_feed(before, after, ["k"], 5).select("k", "t", "v", "_change_type").collect()
+    spoil([f"{d}/{f}" for d, _, names in os.walk(f"{area}/rows") for f in names
+           if f.endswith(".parquet") and int(d.rpartition("=")[2]) not in of])
+    table = Snapshots(area, ["k"], buckets=16)
+    got = table.changes(spark, 0, 1, 5).drop("_commit_timestamp")
+    assert sorted(map(repr, got.select("k", "t", "v", "_change_type").collect())) == sorted(map(repr, want)) and len(want) == 4
+
+
+def test_sketches_of_loads_add_up(spark):
+    rows = spark.range(60_000).select((F.col("id") % 5).alias("load"), (F.col("id") % 17_000).alias("k"), F.lit("x").alias("g"))
+    rows = rows.unionByName(spark.createDataFrame([(0, None, "x"), (1, None, "none")], "load bigint, k bigint, g string"))
+    sketches = key_sketches(rows, ["k"], "load", "g")
+    assert sketches.agg(F.max(F.length("keys_sketch"))).first()[0] < 20_000
+    got = {r.g: r.n_keys for r in keys_of_sketches(sketches, "g").collect()}
+    assert abs(got["x"] - 17_000) < 17_000 * 0.04 and got["none"] == 0
+
+
+def test_an_audit_row_is_taken_while_the_batch_is_written(spark, area):
+    rows = spark.createDataFrame([(1, 5), (2, 9)], "id bigint, ts bigint")
+    for number, part in ((0, rows), (1, rows.where("id > 1")), (0, rows), (2, rows.limit(0))):
+        write_audited(part, f"{area}/log", number, "ts", f"{area}/audit")
+    assert rows_of(read_batches(spark, f"{area}/audit").where("n_rows > 0").select("batch_id", "n_rows", "first_ts", "last_ts")) == [
+        (0, 2, 5, 9), (1, 1, 9, 9)]
+    assert read_batches(spark, f"{area}/audit").where("batch_id = 2 AND n_rows = 0 AND first_ts IS NULL").count() == 1

@@ -44,6 +44,25 @@ def change_feed(
     )
 
 
+def bucket_digests(rows: DataFrame, keys: Sequence[str], buckets: int) -> DataFrame:
+    """(bucket, n_rows, d_xor, d_sum): what the rows of each hash bucket of the keys come to, whatever their order.
+
+    Different sets of rows give equal digests only by a chance of about 2^-64 each for the xor and the sum of their hashes.
+    """
+    row = F.xxhash64(*rows.columns)
+    hashed = rows.select(F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int").alias("bucket"), row.alias("_hash"))
+    return hashed.groupBy("bucket").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.bit_xor("_hash").alias("d_xor"), F.sum(F.col("_hash").cast("decimal(20,0)")).alias("d_sum")
+    )
+
+
+def differing_buckets(before: DataFrame, after: DataFrame) -> list[int]:
+    """The buckets whose `bucket_digests` differ or are there once only; a number per bucket comes to the driver."""
+    tagged = before.withColumn("_side", F.lit(1)).unionByName(after.withColumn("_side", F.lit(2)))
+    same = tagged.groupBy("bucket", "n_rows", "d_xor", "d_sum").agg(F.sum("_side").alias("_sides")).where("_sides <> 3")
+    return sorted(r.bucket for r in same.select("bucket").distinct().collect())
+
+
 def replay(before: DataFrame, changes: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The snapshot after the changes of one version."""
     keys = list(keys)

@@ -9,10 +9,11 @@ from tierflow.operators import changes as cdc
 from tierflow.operators import merge, scd
 from tierflow.operators.reduce import latest_per_key as latest
 from tierflow.plans.catalog import query
-from tierflow.plans.inputs import LATE_LOAD_SQL, LATE_TYPE, LOAD_SQL, TOPICS, events, loads
+from tierflow.plans.inputs import LATE_LOAD_SQL, LATE_TYPE, LOAD_SQL, TOPICS, events, load_numbers, loads
 from tierflow.session import new_area
 from tierflow.sources.tables import read_batches, read_table
-from tierflow.streaming.sinks import write_batch
+from tierflow.streaming.sinks import write_audited, write_batch
+from tierflow.streaming.snapshots import Snapshots
 
 USER = ["user_id"]
 PAIR = ["user_id", "event_type"]
@@ -128,6 +129,22 @@ def load_history(spark: SparkSession, root: str) -> DataFrame:
     return cdc.load_history(_loads(spark, root, LATE_LOAD_SQL), "load", "ts")
 
 
+@query(f"""
+    SELECT CAST({LATE_LOAD_SQL} AS BIGINT) AS load, count(*) AS n_rows, min(ts) AS first_ts, max(ts) AS last_ts
+    FROM events GROUP BY 1
+""")
+def load_audit(spark: SparkSession, root: str) -> DataFrame:
+    """The same history from what was noted while the loads were written, one of them twice; no load is read."""
+    area, log = new_area(spark, "audit"), _loads(spark, root, LATE_LOAD_SQL)
+    numbers = load_numbers(log)
+    for number in [*numbers, *numbers[:1]]:
+        write_audited(log.where(F.col("load") == number), f"{area}/log", number, "ts", f"{area}/audit")
+    if not numbers:
+        return cdc.load_history(log, "load", "ts")
+    audit = read_batches(spark, f"{area}/audit")
+    return audit.select(F.col("batch_id").cast("bigint").alias("load"), "n_rows", "first_ts", "last_ts")
+
+
 @query(f"SELECT user_id, event_type, event_id, ts, value FROM events WHERE {LATE_LOAD_SQL} = 2")
 def latest_batch_only(spark: SparkSession, root: str) -> DataFrame:
     return cdc.latest_load(_loads(spark, root, LATE_LOAD_SQL), "load").drop("load")
@@ -175,6 +192,26 @@ def change_feed_between(spark: SparkSession, root: str) -> DataFrame:
     return cdc.change_feed(before, after, PAIR, 1, _at(T1))
 
 
+@query(f"""
+    WITH a AS ({_state_sql(DAYS[2])}), tagged AS (
+        SELECT *, 'delete' AS _change_type FROM a WHERE user_id % 499 = 7
+        UNION ALL SELECT *, 'update_preimage' FROM a WHERE user_id % 499 = 5
+        UNION ALL SELECT * REPLACE (value + 1 AS value), 'update_postimage' FROM a WHERE user_id % 499 = 5
+        UNION ALL SELECT * REPLACE (-user_id AS user_id), 'insert' FROM a WHERE user_id % 499 = 9
+    )
+    SELECT *, CAST(1 AS BIGINT) AS _commit_version, TIMESTAMP '{T1}' AS _commit_timestamp FROM tagged
+""")
+def change_feed_by_digest(spark: SparkSession, root: str) -> DataFrame:
+    """Two stored snapshots of which most buckets are alike; only the others are read to be joined."""
+    before, kind = _state(spark, root, None), F.col("user_id") % 499
+    after = before.where(kind != 7).withColumn("value", F.when(kind == 5, F.col("value") + 1).otherwise(F.col("value")))
+    after = after.unionByName(before.where(kind == 9).withColumn("user_id", -F.col("user_id")))
+    table = Snapshots(new_area(spark, "snapshots"), PAIR, buckets=32)
+    table.store(before, 0)
+    table.store(after, 1)
+    return table.changes(spark, 0, 1, 1, _at(T1))
+
+
 @query(f"""
     WITH a AS ({_state_sql(DAYS[0])}), b AS ({_state_sql(DAYS[1])}), c AS ({_state_sql(DAYS[2])})
     SELECT c.*, CASE WHEN b.event_id IS DISTINCT FROM c.event_id THEN 2

@@ -28,10 +28,12 @@ from tierflow.sources.feed import (
     parse_topic,
     raw_feed,
     rejected_rows,
+    rescued_fields,
     scan_envelopes,
     slice_by_file,
     sort_out,
 )
+from tierflow.sources.registry import registry
 from tierflow.sources.tables import read_batches, read_table
 from tierflow.streaming.sinks import append_batches, run_stream, write_batch
 
@@ -180,6 +182,55 @@ def quarantine(spark: SparkSession, root: str) -> DataFrame:
     return rejected.select("topic", "key", "create_ts", "reason")
 
 
+def _damaged_feed(spark: SparkSession, root: str, label: str) -> DataFrame:
+    """Values whose fields have the wrong type or are left out: required ones of three topics, an optional one of another."""
+    kind, parity = F.col("event_type"), F.col("event_id") % 2
+    rows = events(spark, root).withColumns({
+        "a": F.when((kind == "click") & (parity == 0), "none").otherwise(F.col("event_id").cast("string")),
+        "b": F.when((kind == "purchase") & (parity == 0), "soon").when((kind == "purchase") | (kind == "signup"), None)
+        .otherwise(F.col("ts").cast("string")),
+        "c": F.when((kind == "view") & (parity == 0), "much").otherwise(F.col("value").cast("string")),
+    })
+    # Numbers are written as numbers, words as strings; NULL fields are left out.
+    quoted = {n: F.when(F.col(n).rlike("^[a-z]"), F.concat(F.lit('"'), n, F.lit('"'))).otherwise(F.col(n)) for n in "abc"}
+    fields = [("event_id", quoted["a"]), ("ts", F.concat(F.lit('"'), "b", F.lit('"'))), ("user_id", F.col("user_id").cast("string")),
+              ("value", quoted["c"])]
+    parts = F.concat_ws(",", *[F.concat(F.lit(f'"{n}":'), v) for n, v in fields])
+    landing = land_feed(envelopes(rows, value=F.concat(F.lit("{"), parts, F.lit("}"))), new_area(spark, label) + "/landing")
+    return raw_feed(spark, landing)
+
+
+#: The same topics as a configuration file would have them.
+CONFIGURED = registry(
+    {"name": t.name, "schema": t.schema, "keys": list(t.keys), "sequence_by": t.sequence_by, "required": list(t.required)}
+    for t in EVENT_TOPICS.values()
+)
+
+
+@query("""
+    SELECT event_type AS topic, CAST(user_id AS VARCHAR) AS key, date_trunc('milliseconds', ts) AS create_ts,
+           CASE WHEN event_type = 'click' THEN 'unreadable field: event_id'
+                WHEN event_type = 'purchase' AND event_id % 2 = 0 THEN 'unreadable field: ts' ELSE 'missing field: ts' END AS reason
+    FROM events WHERE event_type IN ('purchase', 'signup') OR (event_type = 'click' AND event_id % 2 = 0)
+""")
+def quarantine_required(spark: SparkSession, root: str) -> DataFrame:
+    """Messages without a readable value for a field that their topic requires."""
+    rejected = rejected_rows(sort_out(_damaged_feed(spark, root, "required"), CONFIGURED))
+    return rejected.select("topic", "key", "create_ts", "reason")
+
+
+@query("""
+    SELECT event_type AS topic, CAST(user_id AS VARCHAR) AS key,
+           CASE event_type WHEN 'click' THEN 'event_id' WHEN 'purchase' THEN 'ts' ELSE 'value' END AS field,
+           CASE event_type WHEN 'click' THEN 'none' WHEN 'purchase' THEN 'soon' ELSE 'much' END AS raw, event_type = 'view' AS good
+    FROM events WHERE event_type IN ('click', 'purchase', 'view') AND event_id % 2 = 0
+""")
+def rescued_values(spark: SparkSession, root: str) -> DataFrame:
+    """Raw values of fields that could not be read, of rows that stay without them and of rows in the quarantine."""
+    found = rescued_fields(sort_out(_damaged_feed(spark, root, "rescued"), CONFIGURED))
+    return found.select("topic", "key", "field", "raw", F.col("reason").isNull().alias("good"))
+
+
 @query(f"""
     SELECT event_id, ts, CASE WHEN {LOAD_SQL} = 0 THEN NULL ELSE props END AS props, CAST({LOAD_SQL} AS BIGINT) AS load
     FROM events

@@ -101,6 +101,30 @@ def refresh_scd2(
     return IntervalTable(table_path, tuple(keys), sequence_by).refresh(spark, log_path)
 
 
+def clean_topics(
+    spark: SparkSession, registry: Mapping[str, Topic], bronze_path: str, path: str, checkpoint: str
+) -> dict[str, DataFrame]:
+    """Every topic of the bronze table brought into the table that its `scd_type` asks for, and those tables as they are.
+
+    2: all versions as intervals; 1: the latest row of a key; none: the first row of a key, whose keys hold its time.
+    """
+    tables = {}
+    for name, topic in registry.items():
+        rows = bronze_topic(spark, bronze_path, topic, streaming=True).select(*topic.struct.names)
+        place, marks = f"{path}/{name}", f"{checkpoint}/{name}"
+        if topic.scd_type == 2:
+            scd2_stream_into(rows, topic.keys, topic.sequence_by, f"{place}/log", marks)
+            tables[name] = refresh_scd2(spark, f"{place}/log", f"{place}/table", topic.keys, topic.sequence_by)
+        else:
+            table = KeyedLog(place, topic.struct, topic.keys, (topic.sequence_by,), first=topic.scd_type is None)
+            if topic.scd_type == 1:
+                scd1_stream_into(rows, table, marks)
+            else:
+                orders_stream_into(rows, table, topic.sequence_by, marks)
+            tables[name] = table.read(spark)
+    return tables
+
+
 def orders_stream_into(
     orders: DataFrame, table: KeyedLog, ts: str, checkpoint: str, delay: str = ORDER_DELAY, salts: int = 1
 ) -> StreamingQuery:

@@ -20,6 +20,7 @@ from tierflow.plans.inputs import (
     LATE_LOAD_SQL,
     LATE_LOADS,
     LATER_LOAD_SQL,
+    PAYLOAD,
     arrivals,
     landed_feed,
     load_numbers,
@@ -27,10 +28,11 @@ from tierflow.plans.inputs import (
 )
 from tierflow.session import new_area
 from tierflow.sources.feed import raw_feed
+from tierflow.sources.registry import registry
 from tierflow.sources.tables import read_batches, read_lookup, read_table, stream_table, zoned
 from tierflow.streaming.operators import TimeBound, dedup_stream, stream_join, tumbling_stats
 from tierflow.streaming.rollups import DeltaStats, JoinedStats, own_copy
-from tierflow.streaming.sinks import KeyedLog, append_batches, changes_stream, run_stream, write_batch
+from tierflow.streaming.sinks import KeyedLog, append_batches, changes_stream, keep_progress, run_stream, write_batch
 
 # Partitions among which the copies of one key are spread.
 SALTS = 4
@@ -155,6 +157,26 @@ def late_rows(spark: SparkSession, root: str) -> DataFrame:
     return _late(spark, root, "late", LATE_LOAD_SQL, layers.ORDER_DELAY, at_once=False)
 
 
+@query(f"""
+    SELECT load, count(late.event_id) AS n_dropped FROM (SELECT DISTINCT CAST({LATE_LOAD_SQL} AS BIGINT) AS load FROM events)
+    LEFT JOIN ({late_sql("30 SECOND", 1)}) late USING (load) GROUP BY load
+""")
+def late_rows_dropped(spark: SparkSession, root: str) -> DataFrame:
+    """How many rows each load's run dropped, as the stream's own metric tells."""
+    area = new_area(spark, "dropped")
+    log = zoned(loads(spark, root, LATE_LOAD_SQL), "ts").select(*FIELDS, "load")
+    told = []
+    for load in arrivals(log, f"{area}/landing", load_numbers(log)):
+        rows = spark.readStream.schema(log.schema).parquet(f"{area}/landing")
+        kept = dedup_stream(rows, ["event_id", "ts"], "ts", layers.ORDER_DELAY)
+        keep_progress(run_stream(kept, f"{area}/table", f"{area}/marks"), f"{area}/progress/load={load}")
+        told.append(load)
+    if not told:
+        return log.groupBy("load").agg(F.count(F.lit(1)).alias("n_dropped"))
+    progress = spark.read.parquet(f"{area}/progress")
+    return progress.groupBy(F.col("load").cast("bigint").alias("load")).agg(F.sum("rows_dropped").alias("n_dropped"))
+
+
 @query(late_sql("10 MINUTE", 2, LATER_LOAD_SQL))
 def late_rows_in_batches(spark: SparkSession, root: str) -> DataFrame:
     """The loads are consecutive micro-batches of one run, where the filter trails one batch."""
@@ -285,6 +307,36 @@ def pipeline_bronze(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+#: One topic of each kind: all versions, the latest row, the first row.
+BY_KIND = registry([
+    {"name": "click", "schema": PAYLOAD, "keys": ["user_id"], "sequence_by": "ts", "scd_type": 2, "required": ["event_id", "ts"]},
+    {"name": "purchase", "schema": PAYLOAD, "keys": ["user_id"], "sequence_by": "ts", "scd_type": 1, "required": ["event_id", "ts"]},
+    {"name": "view", "schema": PAYLOAD, "keys": ["event_id", "ts"], "sequence_by": "ts", "required": ["event_id", "ts"]},
+])
+
+
+@query("""
+    SELECT 'click' AS topic, event_id, user_id, value, ts AS start_date,
+           lead(ts) OVER (PARTITION BY user_id ORDER BY ts) AS end_date FROM events WHERE event_type = 'click'
+    UNION ALL
+    SELECT 'purchase', event_id, user_id, value, ts, NULL FROM (
+        SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC) AS place FROM events WHERE event_type = 'purchase'
+    ) WHERE place = 1
+    UNION ALL
+    SELECT 'view', event_id, user_id, value, ts, NULL FROM events WHERE event_type = 'view'
+""")
+def clean_by_registry(spark: SparkSession, root: str) -> DataFrame:
+    """Feed to bronze to the kind of table that each topic's configuration names."""
+    area = new_area(spark, "by-registry")
+    feed = raw_feed(spark, landed_feed(spark, root, "by-registry"), streaming=True)
+    layers.bronze(feed, BY_KIND, f"{area}/bronze", f"{area}/marks/bronze")
+    tables = layers.clean_topics(spark, BY_KIND, f"{area}/bronze", f"{area}/clean", f"{area}/marks")
+    shown = [
+        df.withColumnRenamed("ts", "start_date").withColumn("topic", F.lit(name)).drop("props", "is_active") for name, df in tables.items()
+    ]
+    return union_widened(*shown)
+
+
 def _order_messages(spark: SparkSession, root: str) -> DataFrame:
     """Orders with nested lines, as order messages carry them."""
     lines = read_table(spark, root, "lineitem").select(

@@ -6,13 +6,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierflow.operators.merge import incremental_slice
-from tierflow.operators.reduce import count_keys, count_rows, in_given_order, latest_per_key, string_agg
+from tierflow.operators.reduce import (
+    SKETCH_BITS,
+    count_keys,
+    count_rows,
+    in_given_order,
+    key_sketches,
+    keys_of_sketches,
+    latest_per_key,
+    string_agg,
+)
 from tierflow.operators.scd import scd1_build
 from tierflow.operators.shape import lookup_join, nest_lines, order_lines, union_widened
 from tierflow.operators.skew import next_sequence
 from tierflow.plans.catalog import query
 from tierflow.plans.inputs import LOAD_SQL, events, loads
 from tierflow.plans.layers import author_stats, reconcile
+from tierflow.session import new_area
 from tierflow.sources.tables import read_table, zoned
 from tierflow.streaming.operators import tumbling_stats
 
@@ -234,6 +244,18 @@ def distinct_keys(spark: SparkSession, root: str) -> DataFrame:
     return count_keys(events(spark, root), ["user_id"], "event_type")
 
 
+@query("SELECT event_type, true AS within, count(DISTINCT user_id) AS exact FROM events GROUP BY event_type")
+def distinct_keys_sketched(spark: SparkSession, root: str) -> DataFrame:
+    """Sketches of the keys of each load, stored and added up; within five standard errors of the exact number."""
+    area, rows = new_area(spark, "sketches"), loads(spark, root)
+    key_sketches(rows, ["user_id"], "load", "event_type").write.parquet(area)
+    estimated = keys_of_sketches(spark.read.parquet(area), "event_type").withColumnRenamed("n_keys", "estimate")
+    both = count_keys(rows, ["user_id"], "event_type").join(estimated, "event_type")
+    error = F.abs(F.col("estimate") - F.col("n_keys"))
+    return both.select("event_type", (error <= 5 * 1.04 / 2 ** (SKETCH_BITS / 2) * F.col("n_keys") + 1).alias("within"),
+                       F.col("n_keys").alias("exact"))
+
+
 @query("SELECT DISTINCT user_id, event_type, date_trunc('day', ts)::TIMESTAMP AS day FROM events")
 def distinct_select(spark: SparkSession, root: str) -> DataFrame:
     day = F.date_trunc("day", "ts").alias("day")

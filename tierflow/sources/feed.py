@@ -63,24 +63,71 @@ def parse_topic(feed: DataFrame, topic: Topic, zone: str = "UTC", lineage: tuple
     )
 
 
-def parse_all(feed: DataFrame, registry: Mapping[str, Topic]) -> DataFrame:
+#: Field of a parsed struct that holds the whole document when some field of it could not be read.
+UNREAD = "_unread"
+
+
+def parse_all(feed: DataFrame, registry: Mapping[str, Topic], rescue: bool = False) -> DataFrame:
     """All topics in one pass: next to the feed columns, one struct per topic, NULL on other topics' rows.
 
-    `inline` keeps what is asked of the structs above the parse: pushed below it, a document would be parsed again.
+    With `rescue` the structs have one more field, `UNREAD`. `inline` keeps what is asked of the structs above the parse:
+    pushed below it, a document would be parsed again.
     """
+    more, options = (f", {UNREAD} STRING", {"columnNameOfCorruptRecord": UNREAD}) if rescue else ("", {})
     payloads = [
-        F.when(F.col("topic") == name, F.from_json("value", topic.schema)).alias(name) for name, topic in registry.items()
+        F.when(F.col("topic") == name, F.from_json("value", topic.schema + more, options)).alias(name)
+        for name, topic in registry.items()
     ]
     return feed.select(*feed.columns, F.inline(F.array(F.struct(*payloads))))
 
 
+def _rescued(topic: Topic) -> Column:
+    """Raw values of the fields that are in the document but could not be read, by name; NULL if all could be.
+
+    A document is looked at a second time only if its parse failed somewhere.
+    """
+    payload = F.col(topic.name)
+    empty = F.array_compact(F.array(*[F.when(payload[f].isNull(), F.lit(f)) for f in topic.struct.names]))
+    document = F.when(payload[UNREAD].isNotNull(), F.from_json(payload[UNREAD], "map<string,string>"))
+    lost = F.map_filter(document, lambda name, value: value.isNotNull() & F.array_contains(empty, name))
+    return F.when(F.size(lost) > 0, lost)
+
+
+def _failed(topic: Topic, unreadable: bool) -> Column:
+    """Names of the required fields that are NULL, because they could not be read or because they are not there."""
+    rescued = F.coalesce(F.map_keys("rescued"), F.array().cast("array<string>"))
+    lost = {f: F.array_contains(rescued, f) for f in topic.required}
+    return F.concat_ws(",", *[
+        F.when(F.col(topic.name)[f].isNull() & (is_lost if unreadable else ~is_lost), f) for f, is_lost in lost.items()
+    ])
+
+
 def sort_out(feed: DataFrame, registry: Mapping[str, Topic]) -> DataFrame:
-    """As `parse_all`, with the `reason` why a row cannot become a topic row; NULL for good rows."""
+    """As `parse_all`, with the `reason` why a row cannot become a topic row (NULL for good rows) and its `rescued` fields.
+
+    A row is good if each field that its topic requires could be read. `rescued` has the raw values of fields that are in the
+    document but could not be read, required or not, so that they differ from fields that are not there.
+    """
+    rescued = F.coalesce(*[F.when(F.col("topic") == name, _rescued(topic)) for name, topic in registry.items()])
+    rows = parse_all(feed, registry, rescue=True).withColumn("rescued", rescued)
     reason = F.when(F.col("topic").isNull(), "no topic").when(~F.col("topic").isin(*registry), "unknown topic")
     for name, topic in registry.items():
-        empty = F.col(name).isNull() | all_null(F.col(name), topic.struct)
-        reason = reason.when((F.col("topic") == name) & empty, "unreadable value")
-    return parse_all(feed, registry).withColumn("reason", reason)
+        mine = F.col("topic") == name
+        empty = F.col(name).isNull() | (all_null(F.col(name), topic.struct) & F.col("rescued").isNull())
+        reason = reason.when(mine & empty, "unreadable value")
+        if topic.required:
+            lost, absent = _failed(topic, True), _failed(topic, False)
+            reason = reason.when(mine & (lost != ""), F.concat(F.lit("unreadable field: "), lost))
+            reason = reason.when(mine & (absent != ""), F.concat(F.lit("missing field: "), absent))
+    plain = {name: F.col(name).dropFields(UNREAD) for name in registry}
+    return rows.withColumn("reason", reason).withColumns(plain)
+
+
+def rescued_fields(sorted_out: DataFrame) -> DataFrame:
+    """One row per field that could not be read: its message's topic, key, time, file and fate, its name and raw value."""
+    return sorted_out.where("rescued IS NOT NULL").select(
+        "topic", "key", "create_ts", "source_file", "reason", F.explode("rescued").alias("field", "raw")
+    )
 
 
 def topic_rows(sorted_out: DataFrame, topic: str, lineage: tuple[str, ...] = ()) -> DataFrame:

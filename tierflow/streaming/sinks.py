@@ -13,7 +13,7 @@ from functools import reduce
 from operator import or_
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -42,6 +42,24 @@ def run_stream(
     return query
 
 
+#: What a run's batches did about late rows.
+PROGRESS = "query string, batch bigint, watermark timestamp, rows_dropped bigint"
+
+
+def keep_progress(query: StreamingQuery, path: str) -> None:
+    """Append to a table what a finished run dropped: per batch, the watermark it ran with and the rows behind it.
+
+    Spark keeps the last `spark.sql.streaming.numRecentProgressUpdates` batches of a run (100 by default).
+    """
+    spark, rows = SparkSession.active(), []
+    for batch in query.recentProgress:
+        mark = (batch["eventTime"] or {}).get("watermark")
+        dropped = sum(o["numRowsDroppedByWatermark"] for o in batch["stateOperators"])
+        rows.append((str(query.id), batch["batchId"], mark, dropped))
+    df = spark.createDataFrame(rows, "query string, batch bigint, watermark string, rows_dropped bigint")
+    df.withColumn("watermark", F.col("watermark").cast("timestamp")).coalesce(1).write.mode("append").parquet(path)
+
+
 def each_batch(df: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
     """Give every micro-batch of the backlog to `write` and stop."""
     writer = df.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
@@ -63,6 +81,16 @@ def write_batch(batch: DataFrame, path: str, number: int, partition_by: Sequence
     writer.parquet(f"{path}/query={writer_id(batch)}/batch_id={number}")
 
 
+def write_audited(batch: DataFrame, path: str, number: int, ts: str, audit_path: str) -> None:
+    """`write_batch`, with the batch's rows, least and greatest `ts` noted in an audit table while they pass to the writer."""
+    kind, noted = batch.schema[ts].dataType, Observation()
+    seen = batch.observe(noted, F.count(F.lit(1)).alias("n_rows"), F.min(ts).alias("first_ts"), F.max(ts).alias("last_ts"))
+    write_batch(seen, path, number)
+    schema = T.StructType().add("n_rows", T.LongType()).add("first_ts", kind).add("last_ts", kind)
+    row = [noted.get[c] for c in schema.names]
+    write_batch(batch.sparkSession.createDataFrame([row], schema).coalesce(1), audit_path, number)
+
+
 def append_batches(
     df: DataFrame,
     path: str,
