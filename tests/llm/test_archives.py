@@ -3,10 +3,11 @@
 import base64
 import gzip
 import hashlib
+from pathlib import Path
 
 import pytest
 
-from tierflow.llm.archives import (arc_record, arc_version_block, archive, digest_of, parse_arc, parse_warc, read_warc,
+from tierflow.llm.archives import (arc_record, arc_version_block, archive, convert, digest_of, parse_arc, parse_warc, read_warc,
                                    warc_date, warc_record)
 
 SCHEMA = "page_id bigint, url string, html string, digest string, length int"
@@ -31,20 +32,51 @@ def test_arc_records_are_read_by_declared_length(version):
 
 
 def test_warc_records_round_trip_and_damage_is_noticed():
-    digest = digest_of(BODY.encode())
+    digest, head = digest_of(BODY.encode()), b"HTTP/1.1 200 OK\r\nX-Page-Id: 5"
     assert digest == base64.b32encode(hashlib.sha1(BODY.encode()).digest()).decode()
-    one = warc_record("http://x/", "20010203040506", "5", digest, len(BODY), BODY.encode(), None)
-    two = warc_record("http://y/", "2001", "6", digest, len(BODY), None, "5")
-    data = (one + "\r\n\r\n" + two + "\r\n\r\n").encode()
+    first = {"page_id": "5", "url": "http://x/", "date": "20010203040506"}
+    one = warc_record("http://x/", "1.2.3.4", "20010203040506", "text/html", "5", digest, len(BODY), head, BODY.encode())
+    two = warc_record("http://y/", "0.0.0.0", "2001", "text/html", "6", digest, len(BODY), head, None, first)
+    data = one + b"\r\n\r\n" + two + b"\r\n\r\n"
     (h1, t1, p1), (h2, t2, p2) = parse_warc(data)
-    assert (h1["warc-type"], p1, h1["warc-date"]) == ("response", BODY.encode(), "2001-02-03T04:05:06Z")
+    assert (h1["warc-type"], p1, h1["warc-date"], t1) == ("response", BODY.encode(), "2001-02-03T04:05:06Z", head)
     assert (h2["warc-type"], p2, h2["x-refers-to-page"], h2["warc-date"]) == ("revisit", b"", "5", "2001-01-01T00:00:00Z")
-    assert h1["warc-record-id"] != h2["warc-record-id"] and t1["content-length"] == t2["content-length"]
+    assert h2["warc-refers-to"] == h1["warc-record-id"] != h2["warc-record-id"]
+    assert (h2["warc-refers-to-target-uri"], h2["warc-refers-to-date"]) == ("http://x/", h1["warc-date"])
+    assert h1["warc-ip-address"] == "1.2.3.4" and "warc-ip-address" not in h2
     with pytest.raises(ValueError):
         list(parse_warc(data.replace(b"zwei", b"drei")))
     assert warc_date("nonsense") == warc_date("20011332") == "1970-01-01T00:00:00Z"
 
 
+def test_captures_keep_what_they_are(spark, area):
+    """Status, headers, type and address of foreign captures, bytes that are no text, and documents that are no responses."""
+    image = bytes(range(256)) * 3
+    missing = b"HTTP/1.0 404 Not Found\r\nContent-Type: image/png\r\nServer: old\r\n\r\n" + image
+    lookup = b"20010203040506\nwww.x.org 10.0.0.1"
+    lines = [("http://x.org/a.png", "10.0.0.1", "20010203040506", "image/png", missing), ("dns:www.x.org", "10.0.0.9", "2001", "text/dns", lookup),
+             ("http://x.org/b.png", "10.0.0.2", "20020203040506", "image/png", missing), ("dns:www.x.org", "10.0.0.9", "2002", "text/dns", lookup)]
+    data = arc_version_block(1, "2001") + b"\n" + b"".join(
+        " ".join([*map(str, line[:4]), str(len(line[4]))]).encode() + b"\n" + line[4] + b"\n" for line in lines)
+    (tmp := Path(area, "arc")).mkdir()
+    (tmp / "part-0.gz").write_bytes(gzip.compress(data))
+    convert(spark, f"{area}/arc", f"{area}/warc")
+    got = sorted(read_warc(spark, f"{area}/warc").collect(), key=lambda r: (r.url, r.date))
+    assert [r.record_type for r in got] == ["resource", "resource", "response", "response"]
+    assert bytes(got[0].payload) == lookup and bytes(got[2].payload) == bytes(got[3].payload) == image
+    assert bytes(got[2].head) == missing.partition(b"\r\n\r\n")[0] and got[2].payload_digest == digest_of(image)
+    files = [bytes(f.content) for f in spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(f"{area}/warc").collect()]
+    heads = {h["warc-target-uri"]: h for f in files for h, *_ in parse_warc(gzip.decompress(f))}
+    assert heads["dns:www.x.org"]["content-type"] == "text/dns" and heads["http://x.org/a.png"]["warc-ip-address"] == "10.0.0.1"
+
+
+def test_binary_pages_and_ids_that_are_no_numbers(spark):
+    pages = [("b", "u", b"\xff\xfe" * 9), ("a", "u", b"\xff\xfe" * 9), ("10", "u", b"\xff\xfe" * 9), ("9", "v", b"\x00"), (None, "v", b"\x00")]
+    got = archive(spark.createDataFrame(pages, "page_id string, url string, html binary")).collect()
+    assert sorted((r.page_id or "", r.refers_to) for r in got) == [("", "9"), ("10", None), ("9", None), ("a", "10"), ("b", "10")]
+    assert {bytes(r.payload) for r in got if r.payload is not None} == {b"\xff\xfe" * 9, b"\x00"}
+
+
 def test_pages_through_both_formats(spark, monkeypatch):
     from tierflow.llm import archives
 

@@ -7,8 +7,12 @@ as a response, the others as revisits that name it.
 
 Archives are written by Spark's text writer where the pages are, with the record end as the line separator, and read whole,
 a file at a time. A file holds a fixed number of records, of `FILE_BYTES` on average; every one begins with its own version
-block. Equal payloads are found by a map-side combined
-aggregate on digest and length, and joined by plain exchanges, so a pile of copies of one page is no hot task.
+block. Equal payloads are found by a map-side combined aggregate on digest and length; what has an equal is joined by plain
+exchanges, whose hot keys adaptive execution splits, and the rest is converted where it is read.
+
+Defined results: payloads are bytes, text or not; a null payload is empty, a null url `-`; blanks and control characters in
+urls are percent-encoded; null page ids have no number and give way to those that have one; repeated rows of one page id
+are all responses; pages of any length are one record each; extra columns are ignored; an empty table gives no records.
 """
 
 from __future__ import annotations
@@ -26,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierflow.llm.shared import quoted
+from tierflow.llm.shared import quoted, sieve, sifted, stored
 from tierflow.session import new_area
 
 FILE_BYTES = 16 << 20
@@ -39,7 +43,7 @@ ARC_FIELDS = {
 ARC_END, WARC_END = "\n", "\r\n\r\n"
 SAME_PAYLOAD = "http://netpreserve.org/warc/1.0/revisit/identical-payload-digest"
 NO_IP, NO_DATE = "0.0.0.0", "19700101000000"
-PAGE_HEADER = "X-Page-Id"
+PAGE_HEADER, LENGTH_HEADER = "X-Page-Id", "X-Payload-Bytes"
 
 
 def digest_of(payload: bytes) -> str:
@@ -80,12 +84,12 @@ def arc_version_block(version: int, date: str) -> bytes:
 def write_arc(pages: DataFrame, path: str, page_id: str = "page_id", url: str = "url", body: str = "html") -> int:
     """ARC files of `pages`, half of them in either version; gives the number of records in each. A null body is empty."""
     rows = pages.select(
-        F.col(quoted(page_id)).cast("string").alias("id"), F.col(quoted(url)).alias("url"), F.col(quoted(body)).alias("body")
+        F.col(quoted(page_id)).cast("string").alias("id"), F.col(quoted(url)).alias("url"), F.col(quoted(body)).cast("binary").alias("body")
     )
 
-    per_file = records_per_file(rows, F.octet_length(F.coalesce("body", F.lit(""))))
+    per_file = records_per_file(rows, F.coalesce(F.octet_length("body"), F.lit(0)))
 
-    def records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[list[bytes]]:
         from pyspark import TaskContext
 
         version = 1 + TaskContext.get().partitionId() % 2
@@ -97,24 +101,29 @@ def write_arc(pages: DataFrame, path: str, page_id: str = "page_id", url: str =
                     if written % per_file == 0:  # the writer is about to begin a file
                         out.append(arc_version_block(version, NO_DATE))
                         written += 1
-                    out.append(arc_record(version, u, (b or "").encode(), NO_DATE, 200, i))
+                    out.append(arc_record(version, u, b or b"", NO_DATE, 200, i))
                     written += 1
-                yield pa.RecordBatch.from_arrays([pa.array([r.decode() for r in out], pa.string())], ["value"])
+                yield out
 
-    rows.mapInArrow(records, "value string").write.option("lineSep", ARC_END).option("compression", "gzip").option(
-        "maxRecordsPerFile", per_file
-    ).text(path)
+    write_records(rows, make, path, ARC_END, per_file)
     return per_file
 
 
 @dataclass(frozen=True)
 class Capture:
+    """What an ARC record holds: `head` is the status line and headers of a response as they came, empty for other documents."""
+
     url: str
+    ip: str
     date: str
     mime: str
-    headers: dict[str, str]
+    head: bytes
     payload: bytes
 
+    @property
+    def headers(self) -> dict[str, str]:
+        return header_fields(self.head)
+
 
 def parse_arc(data: bytes) -> Iterator[Capture]:
     """The captures of an ARC file. The version block says which fields header lines have."""
@@ -144,16 +153,15 @@ def parse_arc(data: bytes) -> Iterator[Capture]:
         if len(document) < length:
             raise ValueError("ARC record ends before its declared length")
         at += length + 1
-        headers, payload = split_http(document)
-        yield Capture(record["URL"], record["Archive-date"], record["Content-type"], headers, payload)
+        yield Capture(record["URL"], record["IP-address"], record["Archive-date"], record["Content-type"], *split_http(document))
 
 
-def split_http(document: bytes) -> tuple[dict[str, str], bytes]:
-    """Header fields and body of a response; a document that is none is all body."""
+def split_http(document: bytes) -> tuple[bytes, bytes]:
+    """Head and body of a response; a document that is none is all body."""
     if not document.startswith(b"HTTP/"):
-        return {}, document
+        return b"", document
     head, _, payload = document.partition(b"\r\n\r\n")
-    return header_fields(head), payload
+    return head, payload
 
 
 def header_fields(head: bytes) -> dict[str, str]:
@@ -163,7 +171,7 @@ def header_fields(head: bytes) -> dict[str, str]:
 
 def read_files(spark: SparkSession, path: str, parse: Callable[[bytes], Iterator[tuple]], schema: str) -> DataFrame:
     """Rows that `parse` makes of each file below `path`, a file at a time."""
-    kinds = {"string": pa.string(), "bigint": pa.int64(), "binary": pa.binary()}
+    kinds = {"string": pa.string(), "bigint": pa.int64(), "binary": pa.binary(), "boolean": pa.bool_()}
     arrow = pa.schema([(name, kinds[kind]) for name, kind in (c.split() for c in schema.split(","))])
 
     def table(rows: list[tuple]) -> pa.RecordBatch:
@@ -203,31 +211,47 @@ def record_id(url: str, date: str, page_id: object, digest: str) -> str:
     return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, ' '.join(map(str, (url, date, page_id, digest))))}>"
 
 
-def warc_record(url: str, date: str, page_id: str | None, digest: str, length: int, payload: bytes | None,
-                refers_to: str | None) -> str:
-    """One record without its closing line ends; `payload` is None for a revisit."""
-    own = "" if page_id is None else f"{PAGE_HEADER}: {page_id}\r\n"
-    block = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {length}\r\n{own}\r\n".encode()
-    block += payload or b""
+def warc_record(
+    url: str, ip: str, date: str, mime: str, page_id: str | None, digest: str, length: int, head: bytes, payload: bytes | None,
+    refers_to: dict | None = None,
+) -> bytes:
+    """One record without its closing line ends.
+
+    A response keeps its status line and headers as they were captured; a document without any, such as a name lookup, is a
+    resource of the type that the ARC line gives. A revisit (`refers_to` is its response's page_id, url and date) has the
+    head alone.
+    """
+    kind = "revisit" if refers_to else "response" if head else "resource"
+    block = (head + b"\r\n\r\n" if head else b"") + (b"" if refers_to else payload or b"")
     when = warc_date(date)
     lines = [
         "WARC/1.0",
-        f"WARC-Type: {'revisit' if payload is None else 'response'}",
+        f"WARC-Type: {kind}",
         f"WARC-Record-ID: {record_id(url, when, page_id, digest)}",
         f"WARC-Date: {when}",
         f"WARC-Target-URI: {url}",
-        "Content-Type: application/http; msgtype=response",
+        f"Content-Type: {'application/http; msgtype=response' if head else mime}",
         f"WARC-Payload-Digest: sha1:{digest}",
         f"WARC-Block-Digest: sha1:{digest_of(block)}",
+        f"{LENGTH_HEADER}: {length}",
     ]
-    if payload is None:
-        lines += [f"WARC-Profile: {SAME_PAYLOAD}", f"X-Refers-To-Page: {refers_to}"]
+    if ip != NO_IP:
+        lines.append(f"WARC-IP-Address: {ip}")
+    if refers_to:
+        then = warc_date(refers_to["date"])
+        lines += [
+            f"WARC-Profile: {SAME_PAYLOAD}",
+            f"WARC-Refers-To: {record_id(refers_to['url'], then, refers_to['page_id'], digest)}",
+            f"WARC-Refers-To-Target-URI: {refers_to['url']}",
+            f"WARC-Refers-To-Date: {then}",
+            f"X-Refers-To-Page: {refers_to['page_id']}",
+        ]
     lines.append(f"Content-Length: {len(block)}")
-    return "\r\n".join(lines) + "\r\n\r\n" + block.decode("utf-8")
+    return ("\r\n".join(lines) + "\r\n\r\n").encode() + block
 
 
-def parse_warc(data: bytes) -> Iterator[tuple[dict[str, str], dict[str, str], bytes]]:
-    """Record headers, HTTP headers and payload of each record, by declared length; block digests are verified."""
+def parse_warc(data: bytes) -> Iterator[tuple[dict[str, str], bytes, bytes]]:
+    """Record headers, head of the captured response and payload of each record, by declared length; block digests are verified."""
     at = 0
     while at < len(data):
         end = data.find(b"\r\n\r\n", at)
@@ -240,70 +264,109 @@ def parse_warc(data: bytes) -> Iterator[tuple[dict[str, str], dict[str, str], by
         yield head, *split_http(block)
 
 
-CAPTURES = "page_id string, url string, date string, digest string, length bigint, payload binary"
+def write_records(rows: DataFrame, make: Callable[[Iterator[pa.RecordBatch]], Iterator[list[bytes]]], path: str, end: str,
+                  per_file: int) -> None:
+    """Lists of records as gzip files of `per_file` of them at most, each closed by `end`; records may hold any bytes.
+
+    Archives are read once or twice and then for good by others: the fastest level of compression serves.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for records in make(batches):
+            # A view: the bytes are written as they are, whether they are text or not.
+            yield pa.RecordBatch.from_arrays([pa.array(records, pa.binary()).view(pa.string())], ["value"])
+
+    writer = rows.mapInArrow(run, "value string").write.option("lineSep", end).option("compression", "gzip")
+    writer.option("zlib.compress.level", "BEST_SPEED").option("maxRecordsPerFile", per_file).text(path)
+
+
+CAPTURES = (
+    "page_id string, url string, ip string, date string, mime string, digest string, length bigint, head binary, payload binary"
+)
+#: What tells a record's place among those of equal payload, and what a revisit says of it.
+RIVALS = "page_id string, url string, date string, digest string, length bigint, is_response boolean"
 
 
-def read_arc(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
-    """Captures in the ARC files below `path`: page_id, url, date, digest, length and, if asked for, payload."""
+def read_arc(spark: SparkSession, path: str) -> DataFrame:
+    """The captures (`CAPTURES`) in the ARC files below `path`."""
 
     def parse(data: bytes) -> Iterator[tuple]:
         for c in parse_arc(data):
-            body = c.payload if payloads else None
-            yield c.headers.get(PAGE_HEADER.lower()), c.url, c.date, digest_of(c.payload), len(c.payload), body
+            own = c.headers.get(PAGE_HEADER.lower())
+            yield own, c.url, c.ip, c.date, c.mime, digest_of(c.payload), len(c.payload), c.head, c.payload
 
     return read_files(spark, path, parse, CAPTURES)
 
 
+def read_digests(spark: SparkSession, path: str) -> DataFrame:
+    """`RIVALS` of the captures in the ARC files below `path`."""
+
+    def parse(data: bytes) -> Iterator[tuple]:
+        for c in parse_arc(data):
+            own = c.headers.get(PAGE_HEADER.lower())
+            yield own, c.url, c.date, digest_of(c.payload), len(c.payload), bool(c.head)
+
+    return read_files(spark, path, parse, RIVALS)
+
+
 def convert(spark: SparkSession, arc: str, warc: str, least: int = 0, per_file: int = 4000) -> None:
     """WARC files of `per_file` records at most for the ARC files below `arc`.
 
-    Of captures with equal payloads of at least `least` bytes, the one with the smallest page number is a response and
-    the others are revisits of it; smaller ones are all responses. A capture without a number comes after all numbers.
+    Of responses with equal payloads of at least `least` bytes, the one with the smallest page number stays a response and
+    the others become revisits of it; smaller ones are all responses. Page numbers that are no numbers come after numbers,
+    missing ones last; rows that share the smallest are all responses. Documents that are no responses are never revisits.
+
+    Digests and lengths are read first. Most payloads have no equal, which a bitmap of fixed size tells; they are converted
+    where they are read, and only records that may have equals meet the table of smallest pages in an exchange.
     """
-    number = F.col("page_id").cast("bigint")
-    firsts = (
-        read_arc(spark, arc, payloads=False).where(F.col("length") >= least)
+    number = F.col("page_id").try_cast("bigint")
+    place = F.struct(F.col("page_id").isNull(), number.isNull(), number, "page_id", "url", "date")
+    firsts = stored(
+        read_digests(spark, arc).where((F.col("length") >= least) & F.col("is_response"))
         .groupBy(F.col("digest").alias("f_digest"), F.col("length").alias("f_length"))
-        .agg(F.min(number).alias("first"), F.count(F.lit(1)).alias("n"))
-        .where("n > 1")
+        .agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
+        .select("f_digest", "f_length", F.struct("first.page_id", "first.url", "first.date").alias("first")),
+        "arc-rivals",
     )
-    rows = read_arc(spark, arc).join(
-        firsts.hint("merge"), (F.col("digest") == F.col("f_digest")) & (F.col("length") == F.col("f_length")), "left"
+    bits = stored(sieve(firsts, F.col("f_digest")), "arc-sieve")
+    rows = sifted(read_arc(spark, arc), F.col("digest"), bits, "rival")
+    met = rows.where("rival").join(
+        firsts.hint("merge"),
+        (F.col("digest") == F.col("f_digest")) & (F.col("length") == F.col("f_length")) & (F.octet_length("head") > 0), "left",
     )
-    again = F.col("first").isNotNull() & ~F.coalesce(number == F.col("first"), F.lit(False))
-    rows = rows.select(
-        "page_id", "url", "date", "digest", "length", F.when(~again, F.col("payload")).alias("payload"),
-        F.when(again, F.col("first").cast("string")).alias("refers_to"),
+    again = F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first.page_id"))
+    names = [c.split()[0] for c in CAPTURES.split(", ")]
+    alone = rows.where("NOT rival").select(*names, F.lit(None).cast(met.schema["first"].dataType).alias("refers_to"))
+    judged = met.select(
+        *names[:-1], F.when(~again, F.col("payload")).alias("payload"), F.when(again, F.col("first")).alias("refers_to")
     )
 
-    def records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ("url", "date", "page_id", "digest", "length", "payload", "refers_to")
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[list[bytes]]:
+        order = ("url", "ip", "date", "mime", "page_id", "digest", "length", "head", "payload", "refers_to")
         for batch in batches:
             for at in range(0, batch.num_rows, 64):
                 part = batch.slice(at, 64)
-                out = [warc_record(*r) for r in zip(*(part.column(n).to_pylist() for n in names))]
-                yield pa.RecordBatch.from_arrays([pa.array(out, pa.string())], ["value"])
+                yield [warc_record(*r) for r in zip(*(part.column(n).to_pylist() for n in order))]
 
-    rows.mapInArrow(records, "value string").write.option("lineSep", WARC_END).option("compression", "gzip").option(
-        "maxRecordsPerFile", per_file
-    ).text(warc)
+    write_records(alone.unionByName(judged), make, warc, WARC_END, per_file)
 
 
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
     """Records below `path`: page_id, record_type, url, date, payload_bytes and payload_digest (of the full payload,
-    also for revisits), refers_to, payload (null for revisits)."""
+    also for revisits), refers_to, head, payload (null for revisits)."""
 
     def parse(data: bytes) -> Iterator[tuple]:
         for head, http, payload in parse_warc(data):
             revisit = head["warc-type"] == "revisit"
             yield (
-                http.get(PAGE_HEADER.lower()), head["warc-type"], head["warc-target-uri"], head["warc-date"],
-                int(http["content-length"]), head["warc-payload-digest"].removeprefix("sha1:") if revisit
-                else digest_of(payload), head.get("x-refers-to-page"), None if revisit else payload,
+                header_fields(http).get(PAGE_HEADER.lower()), head["warc-type"], head["warc-target-uri"], head["warc-date"],
+                int(head[LENGTH_HEADER.lower()]) if revisit else len(payload),
+                head["warc-payload-digest"].removeprefix("sha1:") if revisit else digest_of(payload),
+                head.get("x-refers-to-page"), http, None if revisit else payload,
             )
 
     schema = ("page_id string, record_type string, url string, date string, payload_bytes bigint, payload_digest string,"
-              " refers_to string, payload binary")
+              " refers_to string, head binary, payload binary")
     return read_files(spark, path, parse, schema)
 
 
