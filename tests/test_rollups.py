@@ -92,7 +92,7 @@ def test_snapshots_are_read_only_where_their_digests_differ(spark, area):
     rows = [(i, None if i % 7 == 0 else f"t{i}", None if i % 5 == 0 else float(i)) for i in range(300)]
     changed = [(k, t, -1.0 if k == 10 else v) for k, t, v in rows if k != 11] + [(1000, "new", 1.0)]
     before, after = (spark.createDataFrame(r, fields) for r in (rows, changed))
-    table = Snapshots(area, ["k"], buckets=16)
+    table = Snapshots(area, before.schema, ["k"], buckets=16)
     table.store(before, 0)
     table.store(after.orderBy(F.rand(1)), 1)
     table.store(before.orderBy(F.rand(2)), 2)
@@ -102,7 +102,7 @@ def test_snapshots_are_read_only_where_their_digests_differ(spark, area):
     want = change_feed(before, after, ["k"], 5).select("k", "t", "v", "_change_type").collect()
     spoil([f"{d}/{f}" for d, _, names in os.walk(f"{area}/rows") for f in names
            if f.endswith(".parquet") and int(d.rpartition("=")[2]) not in of])
-    table = Snapshots(area, ["k"], buckets=16)
+    table = Snapshots(area, before.schema, ["k"], buckets=16)
     got = table.changes(spark, 0, 1, 5).drop("_commit_timestamp")
     assert sorted(map(repr, got.select("k", "t", "v", "_change_type").collect())) == sorted(map(repr, want)) and len(want) == 4
 

@@ -206,7 +206,7 @@ def change_feed_by_digest(spark: SparkSession, root: str) -> DataFrame:
     before, kind = _state(spark, root, None), F.col("user_id") % 499
     after = before.where(kind != 7).withColumn("value", F.when(kind == 5, F.col("value") + 1).otherwise(F.col("value")))
     after = after.unionByName(before.where(kind == 9).withColumn("user_id", -F.col("user_id")))
-    table = Snapshots(new_area(spark, "snapshots"), PAIR, buckets=32)
+    table = Snapshots(new_area(spark, "snapshots"), before.schema, PAIR, buckets=32)
     table.store(before, 0)
     table.store(after, 1)
     return table.changes(spark, 0, 1, 1, _at(T1))

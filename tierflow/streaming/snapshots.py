@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tierflow.operators.changes import bucket_digests, change_feed, differing_buckets
 from tierflow.streaming.sinks import BUCKET, bucket_of
@@ -21,21 +22,22 @@ class Snapshots:
     """
 
     path: str
+    schema: T.StructType
     keys: Sequence[str]
     buckets: int = 64
 
     def store(self, rows: DataFrame, number: int) -> None:
         """Write a snapshot and then its digests; doing it again replaces both."""
         spark, place = rows.sparkSession, f"{self.path}/rows/number={number}"
-        placed = rows.withColumn(BUCKET, bucket_of(self.keys, self.buckets)).hint("rebalance", F.col(BUCKET))
+        placed = rows.select(*self.schema.names).withColumn(BUCKET, bucket_of(self.keys, self.buckets)).hint("rebalance", F.col(BUCKET))
         placed.write.mode("overwrite").partitionBy(BUCKET).parquet(place)
-        digests = bucket_digests(spark.read.schema(rows.schema).parquet(place).select(*rows.columns), self.keys, self.buckets)
+        digests = bucket_digests(self.read(spark, number), self.keys, self.buckets)
         digests.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/digests/number={number}")
 
     def read(self, spark: SparkSession, number: int, of: list[int] | None = None) -> DataFrame:
         """A snapshot, or some of its buckets."""
-        rows = spark.read.parquet(f"{self.path}/rows/number={number}")
-        return (rows if of is None else rows.where(F.col(BUCKET).isin(of))).drop(BUCKET)
+        rows = spark.read.schema(self.schema).parquet(f"{self.path}/rows/number={number}")
+        return (rows if of is None else rows.where(F.col(BUCKET).isin(of))).select(*self.schema.names)
 
     def digests(self, spark: SparkSession, number: int) -> DataFrame:
         return spark.read.parquet(f"{self.path}/digests/number={number}")
