@@ -1,8 +1,12 @@
 """URL filter: parts of urls, rules, templates and odd input."""
 
+import random
+
+import duckdb
 from pyspark.sql import functions as F
 
-from tierflow.llm.queries import RULES
+from compare import differences
+from tierflow.llm.queries import QUERIES, RULES, SQL
 from tierflow.llm.url_templates import Rule, host_of, judged, path_of
 
 SCHEMA = "page_id bigint, url string, host string, template int"
@@ -49,6 +53,40 @@ def test_templates_generalise_merge_and_reject(spark):
     assert {r.verdict for r in judged(more, rules).collect()} == {"block"}
 
 
+def test_segments_count_at_any_depth(spark):
+    rules = [Rule("h.org", "/a/b/c/d/bad/", "block")]
+    urls = [f"http://h.org/a/b/c/d/bad/{w}" for w in ("x", "y", "z") for _ in range(10)] + ["http://h.org/a/b/c/d/fine/page"]
+    rows = judged(spark.createDataFrame([(i, u, "h", 1) for i, u in enumerate(urls)], SCHEMA), rules).collect()
+    assert {r.verdict for r in rows if "/bad/" in r.row.url} == {"block"}
+    assert [(r.verdict, r.template) for r in rows if "/fine/" in r.row.url] == [("allow", "/~block/~block/~block/~block/fine/page")]
+
+
+def test_literal_segments_are_no_wildcards_or_labels(spark):
+    rules = [Rule("h.org", "/bad/", "block")]
+    urls = [f"http://h.org/bad/{i}" for i in range(30)] + [
+        "http://h.org/~block/1", "http://h.org/*/x", "http://h.org/7/x", "http://h.org/=*/x", "http://h.org/a//b", "http://h.org/a/b",
+        "http://h.org/a/b/", "http://h.org", "http://h.org/"]
+    rows = judged(spark.createDataFrame([(i, u, "h", 1) for i, u in enumerate(urls)], SCHEMA), rules).collect()
+    found = {r.row.url.removeprefix("http://h.org"): (r.template, r.verdict) for r in rows}
+    assert found["/bad/3"] == ("/~block/*", "block") and found["/~block/1"] == ("/=~block/*", "allow")
+    assert [found[u][0] for u in ("/*/x", "/7/x", "/=*/x", "/a//b", "/a/b", "/a/b/", "", "/")] == [
+        "/=*/x", "/*/x", "/==*/x", "/a/=/b", "/a/b", "/a/b/=", "", ""]
+
+
+def test_deep_and_branching_paths_give_the_stated_result(spark, area):
+    """Random trees of up to nine levels under the registered rules, against the SQL that takes them level by level."""
+    rng = random.Random(11)
+    words = ["en", "es", "fr", "a", "b", "", "~block", "*", "=", "x1", "2", "long"]
+    urls = [None, "no scheme", "http://", "http://m.net"] + [
+        f"http://{rng.choice(['m.net', 'net', 'www.example.com', 'a.org'])}/" + "/".join(
+            rng.choice(words[: rng.choice([3, 12])]) for _ in range(rng.randrange(10))) for _ in range(500)]
+    urls += [f"http://a.net/{rng.choice(['es', 'fr', 'de'])}/{'x/' * 6}{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(120)]
+    spark.createDataFrame([(i, u, "h", 1) for i, u in enumerate(urls)], SCHEMA).repartition(3).write.parquet(f"{area}/pages.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM read_parquet('{area}/pages.parquet/*.parquet')")
+    assert differences(QUERIES["op9_url_templates"](spark, area), SQL["op9_url_templates"], con) == []
+
+
 def test_odd_rows(spark):
     df = spark.createDataFrame([(1, None, "x", 0), (1, None, "x", 0), (None, "", "x", 0), (2, "http://" + "a/" * 20_000, "x", 0)], SCHEMA)
     out = judged(df, RULES)

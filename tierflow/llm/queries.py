@@ -17,7 +17,7 @@ from tierflow.llm.mixing import curriculum
 from tierflow.llm.near_dups import near_duplicates
 from tierflow.llm.shared import remainder
 from tierflow.llm.substrings import passages
-from tierflow.llm.url_templates import ALIKE, LEVELS, MANY, PRIOR, PRIOR_SHARE, REJECT, SELDOM, Rule, judged
+from tierflow.llm.url_templates import ALIKE, MANY, PRIOR, PRIOR_SHARE, REJECT, SELDOM, Rule, judged
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -196,55 +196,53 @@ RULES = [
 
 
 def template_sql() -> str:
-    """The template tree in SQL, a level at a time."""
+    """The template tree in SQL, a level at a time, as deep as the paths go."""
     ranked = sorted(RULES, key=lambda r: (-len(r.text), r.text))
-    fits = {r.text: f"((host = '{r.host}' OR ends_with(host, '.{r.host}')) AND starts_with(path, '{r.path}'))" for r in ranked}
-    rule = "CASE " + " ".join(f"WHEN {fits[r.text]} THEN '{r.text}'" for r in ranked) + " END"
+    rule = "CASE " + " ".join(
+        f"WHEN (host = '{r.host}' OR ends_with(host, '.{r.host}')) AND starts_with(path, '{r.path}') THEN '{r.text}'" for r in ranked
+    ) + " END"
     verdict = "CASE " + " ".join(f"WHEN rule = '{r.text}' THEN '{r.verdict}'" for r in ranked) + " END"
-    shape = ", ".join(
-        f"CASE WHEN len(steps) < {k} THEN '' WHEN regexp_matches(steps[{k}], '[0-9]') THEN '*' ELSE steps[{k}] END AS s{k}"
-        for k in range(1, LEVELS + 1)
-    )
-    levels, last = [], "p0"
-    for k in range(1, LEVELS + 1):
-        levels.append(f"""
-    b{k} AS (
-        SELECT host, template, s{k} AS seg, count(*) AS n, count(decided) AS labelled, count(*) FILTER (decided = 'block')
-            AS blocked FROM {last} GROUP BY ALL
-    ), n{k} AS (
-        SELECT *, count(*) OVER node AS kinds, sum(n) OVER node AS everything,
-            blocked * 2 >= labelled AS mostly, sum(blocked) OVER side / greatest(sum(labelled) OVER side, 1) AS share
-        FROM b{k} WINDOW node AS (PARTITION BY host, template),
-            side AS (PARTITION BY host, template, blocked * 2 >= labelled, labelled > 0)
-    ), m{k} AS (
-        SELECT host, template, seg, CASE WHEN seg = '' THEN ''
-            WHEN seg = '*' OR kinds >= {MANY} AND everything <= {SELDOM}::DOUBLE * kinds THEN '/*'
-            WHEN labelled > 0 AND abs(blocked - labelled * share) <= {ALIKE}::DOUBLE * sqrt(labelled * share * (1 - share)) + 0.5::DOUBLE
-            THEN CASE WHEN mostly THEN '/~block' ELSE '/~allow' END ELSE '/' || seg END AS branch
-        FROM n{k}
-    ), p{k} AS (
-        SELECT p.* REPLACE (p.template || m.branch AS template) FROM {last} p
-        JOIN m{k} m ON p.host = m.host AND p.template = m.template AND p.s{k} = m.seg
-    ),""")
-        last = f"p{k}"
-    return f"""
-    WITH u AS (
+    return rf"""
+    WITH RECURSIVE u AS (
         SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
     ), parts AS (
         SELECT page_id, translate(regexp_extract(coalesce(rest, ''), '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
             'abcdefghijklmnopqrstuvwxyz') AS host, regexp_extract(coalesce(rest, ''), '^[^/?#]*([^?#]*)', 1) AS path
         FROM u
-    ), fitted AS (SELECT *, {rule} AS rule, string_split(regexp_replace(path, '^/', ''), '/') AS steps FROM parts),
-    p0 AS (SELECT page_id, host, path, rule, {verdict} AS decided, '' AS template, {shape} FROM fitted),
-    {"".join(levels)}
-    purity AS (
+    ), fitted AS (SELECT *, {rule} AS rule FROM parts),
+    shaped AS (
+        SELECT row_number() OVER () AS rid, page_id, host, path, rule, {verdict} AS decided,
+            CASE WHEN path IN ('', '/') THEN []::VARCHAR[] ELSE list_transform(
+                string_split(regexp_replace(path, '^/', ''), '/'), lambda s: CASE WHEN regexp_matches(s, '[0-9]') THEN '*'
+                    WHEN s = '' OR left(s, 1) IN ('*', '~', '=') THEN '=' || s ELSE s END) END AS shape
+        FROM fitted
+    ), tree AS (
+        SELECT rid, host, decided, shape, 0 AS depth, '' AS template, false AS ended FROM shaped
+        UNION ALL
+        SELECT rid, host, decided, shape, depth + 1, template || CASE WHEN seg IS NULL THEN ''
+                WHEN seg = '*' OR kinds >= {MANY} AND everything <= {SELDOM}::DOUBLE * kinds THEN '/*'
+                WHEN labelled > 0 AND abs(blocked - labelled * share) <= {ALIKE}::DOUBLE * sqrt(labelled * share * (1 - share)) + 0.5::DOUBLE
+                THEN CASE WHEN blocked * 2 >= labelled THEN '/~block' ELSE '/~allow' END ELSE '/' || seg END, seg IS NULL
+        FROM (
+            SELECT *, sum((place = 1)::INT) OVER node AS kinds, count(*) OVER node AS everything,
+                sum(CASE WHEN place = 1 THEN blocked ELSE 0 END) OVER side
+                    / greatest(sum(CASE WHEN place = 1 THEN labelled ELSE 0 END) OVER side, 1) AS share
+            FROM (
+                SELECT *, count(decided) OVER branch AS labelled, count(*) FILTER (decided = 'block') OVER branch AS blocked,
+                    row_number() OVER (PARTITION BY host, template, seg ORDER BY rid) AS place
+                FROM (SELECT *, shape[depth + 1] AS seg FROM tree WHERE NOT ended)
+                WINDOW branch AS (PARTITION BY host, template, seg)
+            ) WINDOW node AS (PARTITION BY host, template),
+                side AS (PARTITION BY host, template, blocked * 2 >= labelled, labelled > 0)
+        )
+    ), purity AS (
         SELECT host, template, (count(*) FILTER (decided = 'block') + {PRIOR * PRIOR_SHARE}::DOUBLE)
             / (count(decided) + {PRIOR}::DOUBLE) AS purity
-        FROM {last} GROUP BY host, template
+        FROM tree WHERE ended GROUP BY host, template
     )
-    SELECT page_id, host, path, rule, template,
-        coalesce(decided, CASE WHEN purity >= {REJECT} THEN 'block' ELSE 'allow' END) AS verdict
-    FROM {last} JOIN purity USING (host, template)
+    SELECT page_id, s.host, path, rule, t.template,
+        coalesce(s.decided, CASE WHEN purity >= {REJECT} THEN 'block' ELSE 'allow' END) AS verdict
+    FROM shaped s JOIN tree t ON t.rid = s.rid AND t.ended JOIN purity p ON p.host = t.host AND p.template = t.template
     """
 
 

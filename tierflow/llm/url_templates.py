@@ -11,6 +11,11 @@ they fit, and from these labels a tree of path templates is learned for every ho
 * a template's purity is its share of blocked pages among labelled ones, smoothed by `PRIOR` imaginary pages of which
   `PRIOR_SHARE` are blocked. From `REJECT` on its pages are blocked. Without evidence, pages are allowed.
 
+Literal segments that are empty or begin with `*`, `~` or `=` get a `=` in front, so that none is taken for a wildcard or a
+merged branch. All segments of a path count, however many. The tree grows in rounds: a node first takes all segments that
+its paths begin with in common, which is one step however many they are, and then branches; rounds end when no path has
+segments left, so their number follows how often paths part, not how long they are.
+
 Everything is built-in expressions. Pages are first reduced to counts per host and generalised segments, map-side; a host
 with very many pages is a few rows from then on, unless its segments differ, in which case their rows are spread by
 segment. Tables that are joined are stored before, so that both sides are plain exchanges and hot keys can be split.
@@ -25,7 +30,6 @@ from pyspark.sql import functions as F
 
 from tierflow.llm.shared import quoted, row_of, stored
 
-LEVELS = 4
 #: A node is variable from so many different segments on, each seen this often or less on average.
 MANY, SELDOM = 20, 3.0
 #: Branches within so many standard deviations of their siblings' purity are merged.
@@ -75,83 +79,130 @@ def judged(pages: DataFrame, rules: list[Rule], url: str = "url") -> DataFrame:
     """`pages` as a struct `row`, with host, path, rule, template, purity and verdict.
 
     A null url, or one without `://`, has an empty host and path and no rule; equal rows are judged alike; an empty table
-    gives an empty result.
+    gives an empty result. Extra columns are carried in `row` and never clash.
     """
     parts = pages.select(row_of(pages).alias("row"), F.col(quoted(url)).alias("url")).select(
         "row", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path")
     )
     fitted = parts.select("*", rule_for(rules, F.col("host"), F.col("path")).alias("fit"))
-    steps = F.split(F.regexp_replace("path", "^/", ""), "/")
-    shapes = [F.when(F.size(steps) >= k, F.element_at(steps, F.least(F.lit(k), F.size(steps)))) for k in range(1, LEVELS + 1)]
-    shaped = fitted.select(
-        "row", "host", "path", "fit",
-        *[F.coalesce(F.when(s.rlike("[0-9]"), "*").otherwise(s), F.lit("")).alias(f"s{k}") for k, s in enumerate(shapes, 1)],
-    )
-    segments = [f"s{k}" for k in range(1, LEVELS + 1)]
+    shaped = fitted.select("row", "host", "path", "fit", shape_of(F.col("path")).alias("shape"))
     counts = stored(
-        shaped.groupBy("host", *segments).agg(
+        shaped.groupBy("host", "shape").agg(
             F.count(F.lit(1)).alias("n"),
             F.count("fit").alias("labelled"),
             F.count(F.when(F.col("fit.verdict") == "block", 1)).alias("blocked"),
         ),
         "url-counts",
     )
-    tree = template_tree(counts, segments)
-    verdicts = stored(template_purity(tree).select(
-        F.col("host").alias("t_host"), *[F.col(s).alias(f"t_{s}") for s in segments], "template", "purity"
+    verdicts = stored(template_purity(template_tree(counts)).select(
+        F.col("host").alias("t_host"), F.col("shape").alias("t_shape"), "template", "purity"
     ), "url-templates")
-    same = F.col("host") == F.col("t_host")
-    for s in segments:
-        same = same & (F.col(s) == F.col(f"t_{s}"))
+    same = (F.col("host") == F.col("t_host")) & (F.col("shape") == F.col("t_shape"))
     return shaped.join(verdicts.hint("merge"), same).select(
         "row", "host", "path", F.col("fit.text").alias("rule"), "template", "purity",
         F.coalesce(F.col("fit.verdict"), F.when(F.col("purity") >= REJECT, "block").otherwise("allow")).alias("verdict"),
     )
 
 
-def template_tree(counts: DataFrame, segments: list[str]) -> DataFrame:
-    """`counts` with the template of each row, built level by level from the host down."""
-    tree = counts.withColumn("template", F.lit(""))
-    node = ["host", "template"]
-    for segment in segments:
-        branches = stored(
-            tree.groupBy(*node, F.col(segment).alias("seg")).agg(
-                F.sum("n").alias("n"), F.sum("labelled").alias("labelled"), F.sum("blocked").alias("blocked")
-            ),
-            "url-branches",
-        )
-        mostly = F.col("blocked") * 2 >= F.col("labelled")
-
-        def of_side(column: str, side: Column) -> Column:
-            return F.coalesce(F.sum(F.when(side & (F.col("labelled") > 0), F.col(column))), F.lit(0))
-
-        nodes = stored(
-            branches.groupBy(F.col("host").alias("n_host"), F.col("template").alias("n_template")).agg(
-                F.count(F.lit(1)).alias("kinds"), F.sum("n").alias("all"),
-                (of_side("blocked", mostly) / F.greatest(of_side("labelled", mostly), F.lit(1))).alias("share_block"),
-                (of_side("blocked", ~mostly) / F.greatest(of_side("labelled", ~mostly), F.lit(1))).alias("share_allow"),
-            ),
-            "url-nodes",
-        )
-        share = F.when(mostly, F.col("share_block")).otherwise(F.col("share_allow"))
-        gap = F.abs(F.col("blocked") - F.col("labelled") * share)
-        alike = (F.col("labelled") > 0) & (gap <= ALIKE * F.sqrt(F.col("labelled") * share * (1 - share)) + 0.5)
-        variable = (F.col("kinds") >= MANY) & (F.col("all") <= SELDOM * F.col("kinds"))
-        named = branches.join(
-            nodes.hint("merge"), (F.col("host") == F.col("n_host")) & (F.col("template") == F.col("n_template"))
-        ).select(
+def shape_of(path: Column) -> Column:
+    """The segments of a path, variable ones as `*`; a path without any, or of one slash, has none."""
+    steps = F.split(F.regexp_replace(path, "^/", ""), "/")
+    odd = ("", "*", "~", "=")
+    named = F.transform(
+        steps, lambda s: F.when(s.rlike("[0-9]"), "*").when(F.left(s, F.lit(1)).isin(*odd), F.concat(F.lit("="), s)).otherwise(s)
+    )
+    return F.when(path.isin("", "/"), F.array().cast("array<string>")).otherwise(named)
+
+
+def mostly_blocked() -> Column:
+    return F.col("blocked") * 2 >= F.col("labelled")
+
+
+def template_tree(counts: DataFrame) -> DataFrame:
+    """`counts` (host, shape, n, labelled, blocked) with the template of each row, built from the host down."""
+    rows = counts.select("*", F.lit("").alias("template"), F.col("shape").alias("rest"))
+    done = []
+    while True:
+        rows = stored(taken_in_common(rows), "url-chains")
+        rows = stored(branched(rows), "url-tree")
+        done.append(rows.where("rest IS NULL"))
+        rows = rows.where("rest IS NOT NULL")
+        if rows.isEmpty():
+            break
+    found = done[0]
+    for more in done[1:]:
+        found = found.unionAll(more)
+    return found.drop("rest")
+
+
+def taken_in_common(rows: DataFrame) -> DataFrame:
+    """Rows moved down by the segments with which all paths below their node begin.
+
+    These are what the least and the greatest path share. A node with one branch is never variable, and the branch is like
+    its siblings, being all there are; so it is merged if any page below it is labelled, and keeps its name otherwise.
+    """
+    nodes = stored(
+        rows.groupBy(F.col("host").alias("n_host"), F.col("template").alias("n_template")).agg(
+            F.min("rest").alias("least"), F.max("rest").alias("greatest"), F.sum("labelled").alias("labelled"),
+            F.sum("blocked").alias("blocked"),
+        ),
+        "url-spans",
+    )
+    parted = F.array_position(F.zip_with("least", "greatest", lambda a, b: a.eqNullSafe(b)), False)
+    common = F.when(parted > 0, parted - 1).otherwise(F.size("least")).cast("int")
+    label = F.when(F.col("labelled") == 0, None).when(mostly_blocked(), "~block").otherwise("~allow")
+    chain = F.transform(F.slice("least", F.lit(1), common), lambda s: F.when(s == "*", s).otherwise(F.coalesce(label, s)))
+    chains = nodes.select(
+        "n_host", "n_template", common.alias("common"),
+        F.concat_ws("", F.transform(chain, lambda s: F.concat(F.lit("/"), s))).alias("chain"),
+    )
+    joined = rows.join(chains.hint("merge"), (F.col("host") == F.col("n_host")) & (F.col("template") == F.col("n_template")))
+    left = F.slice("rest", F.col("common") + 1, F.greatest(F.size("rest") - F.col("common"), F.lit(0)))
+    return joined.select(
+        "host", "shape", "n", "labelled", "blocked", F.concat("template", "chain").alias("template"), left.alias("rest")
+    )
+
+
+def branched(rows: DataFrame) -> DataFrame:
+    """Rows moved down by one segment, generalised or merged; those whose path ended before have a null `rest`."""
+    rows = rows.withColumn("seg", F.get("rest", F.lit(0)))
+    branches = stored(
+        rows.groupBy("host", "template", "seg").agg(
+            F.sum("n").alias("n"), F.sum("labelled").alias("labelled"), F.sum("blocked").alias("blocked")
+        ),
+        "url-branches",
+    )
+    mostly = mostly_blocked()
+
+    def of_side(column: str, side: Column) -> Column:
+        return F.coalesce(F.sum(F.when(side & (F.col("labelled") > 0), F.col(column))), F.lit(0))
+
+    nodes = stored(
+        branches.groupBy(F.col("host").alias("n_host"), F.col("template").alias("n_template")).agg(
+            F.count(F.lit(1)).alias("kinds"), F.sum("n").alias("all"),
+            (of_side("blocked", mostly) / F.greatest(of_side("labelled", mostly), F.lit(1))).alias("share_block"),
+            (of_side("blocked", ~mostly) / F.greatest(of_side("labelled", ~mostly), F.lit(1))).alias("share_allow"),
+        ),
+        "url-nodes",
+    )
+    share = F.when(mostly, F.col("share_block")).otherwise(F.col("share_allow"))
+    gap = F.abs(F.col("blocked") - F.col("labelled") * share)
+    alike = (F.col("labelled") > 0) & (gap <= ALIKE * F.sqrt(F.col("labelled") * share * (1 - share)) + 0.5)
+    variable = (F.col("kinds") >= MANY) & (F.col("all") <= SELDOM * F.col("kinds"))
+    named = stored(
+        branches.join(nodes.hint("merge"), (F.col("host") == F.col("n_host")) & (F.col("template") == F.col("n_template"))).select(
             F.col("host").alias("b_host"), F.col("template").alias("b_template"), F.col("seg").alias("b_seg"),
-            F.when(F.col("seg") == "", "").when(variable | (F.col("seg") == "*"), "/*")
+            F.when(F.col("seg").isNull(), "").when(variable | (F.col("seg") == "*"), "/*")
             .when(alike, F.when(mostly, "/~block").otherwise("/~allow")).otherwise(F.concat(F.lit("/"), "seg"))
             .alias("branch"),
-        )
-        named = stored(named, "url-named")
-        tree = tree.join(
-            named.hint("merge"),
-            (F.col("host") == F.col("b_host")) & (F.col("template") == F.col("b_template")) & (F.col(segment) == F.col("b_seg")),
-        ).select("host", *segments, "n", "labelled", "blocked", F.concat("template", "branch").alias("template"))
-        tree = stored(tree, "url-tree")
-    return tree
+        ),
+        "url-named",
+    )
+    same = (F.col("host") == F.col("b_host")) & (F.col("template") == F.col("b_template")) & F.col("seg").eqNullSafe(F.col("b_seg"))
+    left = F.when(F.col("seg").isNotNull(), F.slice("rest", F.lit(2), F.size("rest")))
+    return rows.join(named.hint("merge"), same).select(
+        "host", "shape", "n", "labelled", "blocked", F.concat("template", "branch").alias("template"), left.alias("rest")
+    )
 
 
 def template_purity(tree: DataFrame) -> DataFrame:
