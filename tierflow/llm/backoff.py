@@ -1,7 +1,9 @@
 """Stupid-backoff language model scores.
 
 S(w | h) = c(hw) / c(h) where the run hw was seen `least` times or more, else `DISCOUNT` times the score of w after the
-shorter history; at the end c(w) / N. Count tables are partitioned by hash of the run. Every bundle of documents asks for
+shorter history; at the end c(w) / N, where a word that was never seen counts as `DISCOUNT` of one. A document of the corpus
+that is scored by it may be left out (`leave_out`): what it says itself is taken off every count and off N, so that its
+runs are unseen unless another document has them, and scores back off. Count tables are partitioned by hash of the run. Every bundle of documents asks for
 the counts of its distinct runs, of one length after the other so that only one length's questions are on disk at a time;
 a bucket adds up what all bundles say they have and answers with the totals, and scores are summed per document where the
 answers come back (see `bundles`). All counts are over all documents, and what is gathered grows with the text.
@@ -30,13 +32,20 @@ def runs_of(words: Hashed, n: int) -> tuple[np.ndarray, np.ndarray]:
         return at, mixed(run_hashes(words.hashes, at, n) + np.uint64(n))
 
 
+def in_own_document(owner: np.ndarray, run: np.ndarray) -> np.ndarray:
+    """For every occurrence of a run how often its own document has the run."""
+    _, place, counts = np.unique(owner * (int(run.max(initial=0)) + 1) + run, return_inverse=True, return_counts=True)
+    return counts[place]
+
+
 def backoff_scores(
-    docs: DataFrame, text: str = "text", doc_id: str = "doc_id", order: int = ORDER, least: int = LEAST
+    docs: DataFrame, text: str = "text", doc_id: str = "doc_id", order: int = ORDER, least: int = LEAST, leave_out: bool = False
 ) -> DataFrame:
-    """One row per row of `docs`: doc_id, n_words, log_score (sum of natural logs), mean_log_score (per word).
+    """One row per row of `docs`: doc_id, n_words, log_score (sum of natural logs), mean_log_score (per word), n_backed_off
+    (words whose longest history was given up).
 
-    Null and empty texts have no words, a sum of 0 and a null mean. Repeated rows count as often as they occur; null ids
-    are kept. An empty table gives an empty result.
+    Null and empty texts have no words, a sum of 0 and a null mean. Repeated rows count as often as they occur, each a
+    document of its own; null ids are kept. An empty table gives an empty result. Extra columns are ignored.
     """
     bundles = bundled(docs, text, doc_id)
     buckets = buckets_for(docs)
@@ -68,18 +77,26 @@ def backoff_scores(
 
     def use(table: pa.Table, of) -> pa.Table:
         words = Hashed.of(table)
+        owner = words.owner()
+        everything = np.full(len(words.hashes), float(total))
+        if leave_out:
+            everything -= np.diff(words.first)[owner]
         score, history = np.zeros(len(words.hashes)), np.zeros(len(words.hashes))
+        given_up = np.zeros(len(words.hashes), dtype=bool)
         for n in range(1, order + 1):
             at, keys = runs_of(words, n)
             _, place = np.unique(keys, return_inverse=True)
             counts = np.concatenate([np.frombuffer(a, dtype=np.uint32) for a in of(n)])[place].astype(float)
+            if leave_out:
+                counts -= in_own_document(owner[at], place)
             # Of the word that a run of n words ends with: its score by the shorter histories, discounted, or by this one.
             last = at + n - 1
+            seen = counts >= least if n > 1 else np.ones(len(at), dtype=bool)
+            among = everything[at] if n == 1 else history[at]
             score[last] = np.where(
-                (counts >= least) | (n == 1),
-                np.log(np.maximum(counts, 1) / np.maximum(total if n == 1 else history[at], 1)),
-                np.log(DISCOUNT) + score[last],
+                seen, np.log(np.where(counts > 0, counts, DISCOUNT) / np.maximum(among, 1)), np.log(DISCOUNT) + score[last]
             )
+            given_up[last] = ~seen
             history = np.zeros(len(words.hashes))
             history[at] = counts
         size = np.diff(words.first)
@@ -94,8 +111,9 @@ def backoff_scores(
                 "n_words": pa.array(size.astype(np.int64)),
                 "log_score": pa.array(log_score),
                 "mean_log_score": pa.array(log_score / np.maximum(size, 1), mask=~full),
+                "n_backed_off": pa.array(np.bincount(owner[given_up], minlength=len(size)).astype(np.int64)),
             }
         )
 
-    schema = f"doc_id {id_type}, n_words bigint, log_score double, mean_log_score double"
+    schema = f"doc_id {id_type}, n_words bigint, log_score double, mean_log_score double, n_backed_off bigint"
     return met(bundles, answers, use, schema)

@@ -256,8 +256,8 @@ def op9_url_templates(spark: SparkSession, root: str) -> DataFrame:
 
 @query()
 def op6_backoff_score(spark: SparkSession, root: str) -> DataFrame:
-    """Language model score of every document by trigrams, with every count over all documents."""
-    return backoff_scores(table(spark, root, "documents").select("doc_id", "text"), order=3, least=1)
+    """Language model score of every document by trigrams of all the others, with every count over all documents."""
+    return backoff_scores(table(spark, root, "documents").select("doc_id", "text"), order=3, least=1, leave_out=True)
 
 
 def host_rules_sql() -> str:
