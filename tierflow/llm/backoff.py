@@ -23,6 +23,8 @@ from tierflow.llm.bundles import Hashed, answered, asked, bucket_edges, buckets_
 from tierflow.llm.words import mixed, run_hashes
 
 ORDER, LEAST, DISCOUNT = 3, 2, 0.4
+#: Occurrences that are sorted at a time.
+PORTION = 100_000
 
 
 def runs_of(words: Hashed, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -33,9 +35,18 @@ def runs_of(words: Hashed, n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def in_own_document(owner: np.ndarray, run: np.ndarray) -> np.ndarray:
-    """For every occurrence of a run how often its own document has the run."""
-    _, place, counts = np.unique(owner * (int(run.max(initial=0)) + 1) + run, return_inverse=True, return_counts=True)
-    return counts[place]
+    """For every occurrence of a run how often its own document has the run; occurrences stand in the order of documents."""
+    found = np.empty(len(run))
+    at = 0
+    while at < len(run):
+        # Whole documents, a portion at a time, so that sorting needs little memory.
+        to = int(np.searchsorted(owner, owner[min(at + PORTION, len(run)) - 1], side="right"))
+        _, place = np.unique(run[at:to], return_inverse=True)
+        place += (owner[at:to] - owner[at]) * (int(place.max()) + 1)
+        _, place, counts = np.unique(place, return_inverse=True, return_counts=True)
+        found[at:to] = counts[place]
+        at = to
+    return found
 
 
 def backoff_scores(
@@ -78,9 +89,7 @@ def backoff_scores(
     def use(table: pa.Table, of) -> pa.Table:
         words = Hashed.of(table)
         owner = words.owner()
-        everything = np.full(len(words.hashes), float(total))
-        if leave_out:
-            everything -= np.diff(words.first)[owner]
+        others = np.maximum(total - np.diff(words.first) * leave_out, 1)
         score, history = np.zeros(len(words.hashes)), np.zeros(len(words.hashes))
         given_up = np.zeros(len(words.hashes), dtype=bool)
         for n in range(1, order + 1):
@@ -92,12 +101,10 @@ def backoff_scores(
             # Of the word that a run of n words ends with: its score by the shorter histories, discounted, or by this one.
             last = at + n - 1
             seen = counts >= least if n > 1 else np.ones(len(at), dtype=bool)
-            among = everything[at] if n == 1 else history[at]
-            score[last] = np.where(
-                seen, np.log(np.where(counts > 0, counts, DISCOUNT) / np.maximum(among, 1)), np.log(DISCOUNT) + score[last]
-            )
+            among = others[owner] if n == 1 else np.maximum(history[at], 1)
+            score[last] = np.where(seen, np.log(np.where(counts > 0, counts, DISCOUNT) / among), np.log(DISCOUNT) + score[last])
             given_up[last] = ~seen
-            history = np.zeros(len(words.hashes))
+            history[:] = 0
             history[at] = counts
         size = np.diff(words.first)
         full = size > 0
