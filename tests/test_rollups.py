@@ -11,6 +11,7 @@ from test_streams import rows_of, spoil
 from tierflow.operators.changes import change_feed, differing_buckets
 from tierflow.operators.reduce import key_sketches, keys_of_sketches
 from tierflow.sources.tables import read_batches
+from tierflow.streaming.key_filter import KeyFilter, new_rows, slots_for
 from tierflow.streaming.rollups import DeltaStats, JoinedStats, own_copy
 from tierflow.streaming.sinks import KeyedLog, touched_buckets, write_audited
 from tierflow.streaming.snapshots import Snapshots
@@ -123,3 +124,24 @@ def test_an_audit_row_is_taken_while_the_batch_is_written(spark, area):
     assert rows_of(read_batches(spark, f"{area}/audit").where("n_rows > 0").select("batch_id", "n_rows", "first_ts", "last_ts")) == [
         (0, 2, 5, 9), (1, 1, 9, 9)]
     assert read_batches(spark, f"{area}/audit").where("batch_id = 2 AND n_rows = 0 AND first_ts IS NULL").count() == 1
+
+
+@pytest.mark.parametrize("slots", [1, 8])
+def test_a_filtered_merge_is_exact_however_many_false_positives(spark, area, slots):
+    """With one slot for 20,000 keys most bits are set and most new keys look possible; the rows are the same."""
+    target = spark.range(20_000).select((F.col("id") * 3).alias("k"), F.lit("old").alias("v"))
+    known = KeyFilter(area, ["k"], slots)
+    known.add(target.where("k < 30000"), 0)
+    known.add(target.where("k >= 30000"), 1)
+    fields = "k bigint, v string"
+    source = spark.range(0, 70_000, 7).select(F.col("id").alias("k"), F.lit("new").alias("v")).unionByName(
+        spark.createDataFrame([(7, "zzz"), (None, "x"), (None, "y"), (-1, "new")], fields))
+    got = new_rows(target, source, ["k"], known)
+    want = [(k, "zzz" if k == 7 else "new") for k in range(0, 70_000, 7) if k % 3 or k >= 60_000]
+    assert sorted(map(repr, map(tuple, got.collect()))) == sorted(map(repr, [*want, (None, "y"), (-1, "new")]))
+    tested = known.tested(source.where("k IS NOT NULL"), "hit")
+    assert tested.where("NOT hit AND k % 3 = 0 AND k BETWEEN 0 AND 59999").isEmpty()
+    false = tested.where("hit AND (k % 3 <> 0 OR k >= 60000)").count() / len(want)
+    assert (0.6 < false < 0.8) if slots == 1 else false < 0.05
+    assert KeyFilter(f"{area}/none", ["k"], 8).tested(source, "hit").where("hit").isEmpty()
+    assert slots_for(0) == 1 and slots_for(1_000_000) == 367

@@ -12,6 +12,7 @@ from tierflow.plans.catalog import query
 from tierflow.plans.inputs import LATE_LOAD_SQL, LATE_TYPE, LOAD_SQL, TOPICS, events, load_numbers, loads
 from tierflow.session import new_area
 from tierflow.sources.tables import read_batches, read_table
+from tierflow.streaming.key_filter import KeyFilter, new_rows, slots_for
 from tierflow.streaming.sinks import write_audited, write_batch
 from tierflow.streaming.snapshots import Snapshots
 
@@ -298,6 +299,29 @@ def insert_only_merge(spark: SparkSession, root: str) -> DataFrame:
     return merge.merge_insert_only(stored, changed.unionByName(changed), ["o_orderkey", "o_orderdate"])
 
 
+@query("""
+    SELECT o_orderkey, o_orderdate, o_custkey,
+           CASE WHEN o_orderdate < TIMESTAMP '1998-01-01' THEN o_totalprice ELSE -o_totalprice END AS o_totalprice
+    FROM orders
+""")
+def insert_only_filtered(spark: SparkSession, root: str) -> DataFrame:
+    """The same merge into a stored table whose keys are in a Bloom filter: only possible matches are looked up."""
+    area, keys = new_area(spark, "filtered"), ["o_orderkey", "o_orderdate"]
+    orders = read_table(spark, root, "orders").select(*keys, "o_custkey", "o_totalprice")
+    first = orders.where(F.col("o_orderdate") < F.lit("1998-01-01").cast("timestamp_ntz"))
+    offered = orders.where(F.col("o_orderdate") >= F.lit("1997-01-01").cast("timestamp_ntz"))
+    offered = offered.withColumn("o_totalprice", -F.col("o_totalprice"))
+    known = KeyFilter(f"{area}/filter", keys, slots_for(orders.count()))
+    for number, batch in enumerate((first, offered.unionByName(offered))):
+        if number:
+            batch = new_rows(spark.read.schema(orders.schema).parquet(f"{area}/table"), batch, keys, known)
+            batch.write.parquet(f"{area}/new")
+            batch = spark.read.schema(orders.schema).parquet(f"{area}/new")
+        known.add(batch, number)
+        batch.write.mode("append").parquet(f"{area}/table")
+    return spark.read.schema(orders.schema).parquet(f"{area}/table")
+
+
 @query("SELECT event_type AS topic, max(ts) AS last_processed_ts FROM events GROUP BY event_type")
 def watermark_advance(spark: SparkSession, root: str) -> DataFrame:
     """Marks start empty and advance with two overlapping slices, the older one last."""
