@@ -18,7 +18,7 @@ from tierflow.sources.tables import read_batches
 from tierflow.streaming.intervals import IntervalTable
 from tierflow.streaming.operators import dedup_stream, tumbling_stats
 from tierflow.streaming.rollups import JoinedStats
-from tierflow.streaming.sinks import KeyedLog, append_batches, each_batch, found, log_stream
+from tierflow.streaming.sinks import BUCKETS, KeyedLog, append_batches, each_batch, found, log_stream
 
 # Event-time limits of the order de-duplication and of the author statistics.
 ORDER_DELAY = "30 seconds"
@@ -95,14 +95,14 @@ def scd2_table(
 
 
 def refresh_scd2(
-    spark: SparkSession, log_path: str, table_path: str, keys: Sequence[str], sequence_by: str
+    spark: SparkSession, log_path: str, table_path: str, keys: Sequence[str], sequence_by: str, buckets: int = BUCKETS
 ) -> DataFrame:
     """A stored interval table brought up to the change log: the log's batches since the last refresh are applied."""
-    return IntervalTable(table_path, tuple(keys), sequence_by).refresh(spark, log_path)
+    return IntervalTable(table_path, tuple(keys), sequence_by, buckets).refresh(spark, log_path)
 
 
 def clean_topics(
-    spark: SparkSession, registry: Mapping[str, Topic], bronze_path: str, path: str, checkpoint: str
+    spark: SparkSession, registry: Mapping[str, Topic], bronze_path: str, path: str, checkpoint: str, buckets: int = BUCKETS
 ) -> dict[str, DataFrame]:
     """Every topic of the bronze table brought into the table that its `scd_type` asks for, and those tables as they are.
 
@@ -114,9 +114,9 @@ def clean_topics(
         place, marks = f"{path}/{name}", f"{checkpoint}/{name}"
         if topic.scd_type == 2:
             scd2_stream_into(rows, topic.keys, topic.sequence_by, f"{place}/log", marks)
-            tables[name] = refresh_scd2(spark, f"{place}/log", f"{place}/table", topic.keys, topic.sequence_by)
+            tables[name] = refresh_scd2(spark, f"{place}/log", f"{place}/table", topic.keys, topic.sequence_by, buckets)
         else:
-            table = KeyedLog(place, topic.struct, topic.keys, (topic.sequence_by,), first=topic.scd_type is None)
+            table = KeyedLog(place, topic.struct, topic.keys, (topic.sequence_by,), first=topic.scd_type is None, buckets=buckets)
             if topic.scd_type == 1:
                 scd1_stream_into(rows, table, marks)
             else:

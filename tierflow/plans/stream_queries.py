@@ -36,6 +36,8 @@ from tierflow.streaming.sinks import KeyedLog, append_batches, changes_stream, k
 
 # Partitions among which the copies of one key are spread.
 SALTS = 4
+# Buckets of the stored tables, which are small here.
+BUCKETS = 4
 
 
 @query("SELECT event_id, ts, user_id, event_type, value, props FROM events")
@@ -49,7 +51,7 @@ def bronze_stream_events(spark: SparkSession, root: str) -> DataFrame:
 def scd1_stream(spark: SparkSession, root: str) -> DataFrame:
     area = new_area(spark, "scd1")
     log = zoned(loads(spark, root, LATE_LOAD_SQL), "ts").select(*FIELDS, "load")
-    table = KeyedLog(f"{area}/table", log.drop("load").schema, ("user_id",), ("ts",))
+    table = KeyedLog(f"{area}/table", log.drop("load").schema, ("user_id",), ("ts",), buckets=BUCKETS)
     for load in arrivals(log, f"{area}/landing", LATE_LOADS):
         changes = spark.readStream.schema(log.schema).parquet(f"{area}/landing").drop("load")
         layers.scd1_stream_into(changes, table, f"{area}/marks", OPS, "event_type")
@@ -78,7 +80,7 @@ def scd2_refresh(spark: SparkSession, root: str) -> DataFrame:
     for _ in arrivals(log, f"{area}/landing", LATE_LOADS):
         changes = spark.readStream.schema(log.schema).parquet(f"{area}/landing").drop("load")
         layers.scd2_stream_into(changes, ["user_id"], "ts", f"{area}/log", f"{area}/marks")
-        table = layers.refresh_scd2(spark, f"{area}/log", f"{area}/table", ["user_id"], "ts")
+        table = layers.refresh_scd2(spark, f"{area}/log", f"{area}/table", ["user_id"], "ts", BUCKETS)
     return table
 
 
@@ -90,7 +92,7 @@ def orders_insert_only_stream(spark: SparkSession, root: str) -> DataFrame:
     old = orders.where(F.col("o_orderdate") < F.lit("1998-01-01").cast("timestamp_ntz"))
     new = orders.where(F.col("o_orderdate") >= F.lit("1997-01-01").cast("timestamp_ntz"))
     log = zoned(old.withColumn("load", F.lit(0)).unionByName(new.withColumn("load", F.lit(1))), "o_orderdate")
-    table = KeyedLog(f"{area}/table", log.drop("load").schema, ("o_orderkey", "o_orderdate"), first=True)
+    table = KeyedLog(f"{area}/table", log.drop("load").schema, ("o_orderkey", "o_orderdate"), first=True, buckets=BUCKETS)
     for _ in arrivals(log, f"{area}/landing", range(2), copies=2):
         feed = spark.readStream.schema(log.schema).parquet(f"{area}/landing").drop("load")
         layers.orders_stream_into(feed, table, "o_orderdate", f"{area}/marks", salts=SALTS)
@@ -234,17 +236,17 @@ def orders_customers_stream(spark: SparkSession, root: str) -> DataFrame:
                                                        "c_acctbal")
     first = known.withColumn("c_mktsegment", F.lit("UNKNOWN")).withColumn("load", F.lit(0))
     log = first.unionByName(known.where("c_acctbal > 0").withColumn("load", F.lit(1))).drop("c_acctbal")
-    customers = KeyedLog(f"{area}/customers", log.schema, ("o_custkey",), ("load",))
+    customers = KeyedLog(f"{area}/customers", log.schema, ("o_custkey",), ("load",), buckets=BUCKETS)
     orders = stream_table(spark, root, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
     fields = "o_orderkey bigint, o_custkey bigint, o_totalprice double"
-    stored = KeyedLog(f"{area}/orders", StructType.fromDDL(fields), ("o_orderkey", "o_custkey"), bucket_by=("o_custkey",))
+    stored = KeyedLog(f"{area}/orders", StructType.fromDDL(fields), ("o_orderkey", "o_custkey"), bucket_by=("o_custkey",), buckets=BUCKETS)
     joined = KeyedLog(
         f"{area}/joined",
         StructType.fromDDL(
             f"{fields}, c_name string, c_mktsegment string, processed_version bigint, processed_timestamp timestamp"
         ),
         ("o_orderkey", "o_custkey"),
-        ("processed_version", "processed_timestamp"),
+        ("processed_version", "processed_timestamp"), buckets=BUCKETS,
     )
     for _ in arrivals(log, f"{area}/landing", range(2)):
         loaded = spark.readStream.schema(log.schema).parquet(f"{area}/landing")
@@ -330,7 +332,7 @@ def clean_by_registry(spark: SparkSession, root: str) -> DataFrame:
     area = new_area(spark, "by-registry")
     feed = raw_feed(spark, landed_feed(spark, root, "by-registry"), streaming=True)
     layers.bronze(feed, BY_KIND, f"{area}/bronze", f"{area}/marks/bronze")
-    tables = layers.clean_topics(spark, BY_KIND, f"{area}/bronze", f"{area}/clean", f"{area}/marks")
+    tables = layers.clean_topics(spark, BY_KIND, f"{area}/bronze", f"{area}/clean", f"{area}/marks", BUCKETS)
     shown = [
         df.withColumnRenamed("ts", "start_date").withColumn("topic", F.lit(name)).drop("props", "is_active") for name, df in tables.items()
     ]
@@ -438,8 +440,8 @@ def author_stats_deltas(spark: SparkSession, root: str) -> DataFrame:
     line, book = StructType.fromDDL(LINE), StructType.fromDDL(BOOK)
     kept = JoinedStats(
         DeltaStats(f"{area}/stats", groups),
-        own_copy(f"{area}/lines", line, ("o_orderkey", "line", "book_id"), "book_id"),
-        own_copy(f"{area}/books", book, ("book_id",), "book_id"), "book_id", "line_quantity",
+        own_copy(f"{area}/lines", line, ("o_orderkey", "line", "book_id"), "book_id", BUCKETS),
+        own_copy(f"{area}/books", book, ("book_id",), "book_id", BUCKETS), "book_id", "line_quantity",
     )
     parts = read_table(spark, root, "part")
     books = parts.select(F.col("p_partkey").alias("book_id"), F.col("p_brand").alias("author"))

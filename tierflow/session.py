@@ -15,6 +15,8 @@ def build_session(app: str = "tierflow", master: str | None = None, **conf: str)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # Folders by bucket are many and small to list: a job for them costs more than listing a few hundred in place.
+        .config("spark.sql.sources.parallelPartitionDiscovery.threshold", "256")
         .config(
             "spark.sql.streaming.stateStore.providerClass",
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",

@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 from tierflow.operators.scd import scd2_build, split_by_batch
 from tierflow.session import new_area
 from tierflow.sources.tables import no_rows, read_batches
-from tierflow.streaming.sinks import BUCKET, RANGES, bucket_of, found, number_ranges, outside
+from tierflow.streaming.sinks import BUCKET, BUCKETS, RANGES, bucket_of, found, number_ranges, outside
 
 STATE, OPEN, CLOSED = "state", "open", "closed"
 #: What a manifest says of a file; its other rows are ranges of applied batches.
@@ -39,7 +39,7 @@ class IntervalTable:
     path: str
     keys: tuple[str, ...]
     sequence_by: str
-    buckets: int = 16
+    buckets: int = BUCKETS
     file_rows: int = 1_000_000
 
     def refresh(self, spark: SparkSession, log_path: str) -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from tierflow.operators.changes import BEFORE, DELETE, NEW_ROWS
 from tierflow.sources.tables import no_rows, read_batches
-from tierflow.streaming.sinks import KeyedLog, found, number_ranges, outside, write_batch
+from tierflow.streaming.sinks import BUCKETS, KeyedLog, found, number_ranges, outside, write_batch
 
 SIGN = "_sign"
 #: Sums are kept exactly, so that what is added and taken away again leaves nothing.
@@ -137,7 +137,7 @@ class JoinedStats:
         own.append(batch.withColumn("live", F.col("_change_type").isin(*NEW_ROWS)), number)
 
 
-def own_copy(path: str, side: T.StructType, keys: Sequence[str], on: str) -> KeyedLog:
+def own_copy(path: str, side: T.StructType, keys: Sequence[str], on: str, buckets: int = BUCKETS) -> KeyedLog:
     """The copy of one side that `JoinedStats` keeps: of one commit the row that came counts, not the one that went."""
     schema = T.StructType([*side.fields, T.StructField("live", T.BooleanType()), T.StructField("_commit_version", T.LongType())])
-    return KeyedLog(path, schema, tuple(keys), ("_commit_version", "live"), bucket_by=(on,))
+    return KeyedLog(path, schema, tuple(keys), ("_commit_version", "live"), bucket_by=(on,), buckets=buckets)

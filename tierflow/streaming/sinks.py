@@ -28,6 +28,8 @@ BY_HAND = "batch"
 #: Partition column of tables that are laid out by key.
 BUCKET = "key_bucket"
 RANGES = "query string, low int, high int"
+#: Buckets of a stored table unless it says otherwise; few suit small tables, as many as there are large files large ones.
+BUCKETS = 16
 
 
 def run_stream(
@@ -179,7 +181,7 @@ class KeyedLog:
     order_by: tuple[str, ...] = ()
     first: bool = False
     bucket_by: tuple[str, ...] = ()
-    buckets: int = 16
+    buckets: int = BUCKETS
 
     def __post_init__(self) -> None:
         if not set(self.bucket_by) <= set(self.keys):
@@ -233,6 +235,8 @@ class KeyedLog:
         With `before` (a stream and a number) the table as it was before that stream's batch.
         """
         spark, on = some.sparkSession, list(on or self.placed_by)
+        if self._batches(spark, self.log_path, self.schema) is None:
+            return no_rows(spark, self.schema)
         rows = self._rows(spark, touched_buckets(some, self.placed_by, self.buckets), before)
         if rows is None:
             return no_rows(spark, self.schema)
