@@ -67,9 +67,9 @@ def test_classes_and_links_equal_brute_force(spark):
     got, want = result(near_duplicates(df)), brute(rows)
     lost = sum(want[i][1] for i in want) - sum(got[i][1] for i in got)
     assert got.keys() == want.keys()
-    assert lost <= 0.1 * sum(n for _, n in want.values())  # recall of links
+    assert lost == 0
     assert all(got[i][1] <= want[i][1] for i in want)  # verified: no false link
-    assert sum(got[i] == want[i] for i in want) >= 0.95 * len(want)
+    assert got == want
 
 
 def test_blocks_give_the_same_result_as_one_group(spark, monkeypatch):
@@ -98,10 +98,80 @@ def test_empty_table(spark):
 
 
 def test_prefixes_shorten_until_the_target_recall():
-    lengths = depths(0.8, 0.97)
-    assert lengths[0] == near_dups.DEPTH and lengths == sorted(lengths, reverse=True)
-    assert 1 - (1 - 0.8 ** lengths[-1]) ** near_dups.TREES >= 0.97
-    assert depths(0.8, 0.5)[-1] > lengths[-1]
+    lengths = depths(0.8, 0.9999)
+    assert lengths == [11, 9, 7]
+    assert 1 - (1 - 0.8 ** lengths[-1]) ** near_dups.TREES >= 0.9999 > 1 - (1 - 0.8**8) ** near_dups.TREES
+    assert depths(0.8, 0.5) == [near_dups.DEPTH]
+
+
+def test_sorted_neighbours_hold_the_nodes_of_every_length(spark):
+    draw = random.Random(3)
+    paths = [[draw.choice([1, 200]) for _ in range(near_dups.DEPTH)] for _ in range(60)]
+    rows = []
+    for node, path in enumerate(paths):
+        data = bytes([4, *path]) + bytes(15 - near_dups.DEPTH)
+        rows.append((node, *(int.from_bytes(data[k : k + 8], "big", signed=True) for k in (0, 8))))
+    edges = near_dups.trie_edges(spark.createDataFrame(rows, "node bigint, high bigint, low bigint"), 2)
+    for length in (2, 5, 7, 8, near_dups.DEPTH):
+        got = {r.member: r.root for r in components(edges.where(f"levels >= {length}")).collect()}
+        want = {i: min(j for j in range(60) if paths[j][:length] == paths[i][:length]) for i in range(60)}
+        assert {i: got.get(i, i) for i in range(60)} == want
+
+
+def stepped(spark, rows, monkeypatch):
+    """Result, and the texts that each step looks at as (open, all)."""
+    seen, verify = [], near_dups.verify
+
+    def spy(docs, nodes, label, *rest):
+        links = verify(docs, nodes, label, *rest)
+        seen.append((label.where("open").count(), label.count(), links))
+        return links
+
+    monkeypatch.setattr(near_dups, "verify", spy)
+    return result(near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string"))), seen
+
+
+def test_texts_that_reach_the_target_search_no_shorter_prefix(spark, monkeypatch):
+    rows = [(i, " ".join([*(f"w{j}" for j in range(200)), f"x{i}"])) for i in range(180)]
+    rows += [(200 + i, " ".join([*(f"v{j}" for j in range(100)), f"x{i}"])) for i in range(2)]
+    got, seen = stepped(spark, rows, monkeypatch)
+    assert got == {i: (0, 179) for i in range(180)} | {200: (200, 1), 201: (200, 1)}
+    assert seen[0][:2] == (182, 182) and [s[0] for s in seen[1:]] == [2, 2]
+    assert [s[2].where("kind = 'edge'").count() for s in seen] == [180, 0, 0]
+
+
+@pytest.mark.parametrize("rows_in_block", [1024, 8])
+def test_of_a_chain_only_pairs_that_met_are_compared(spark, monkeypatch, rows_in_block):
+    monkeypatch.setattr(near_dups, "BLOCK_ROWS", rows_in_block)
+    step, size = 12, 84  # neighbours share 68 of 92 shingles
+    rows = [(i, " ".join(f"w{j}" for j in range(i * step, i * step + size))) for i in range(300)]
+    rows.append((1000, rows[150][1] + " end"))
+    got, seen = stepped(spark, rows, monkeypatch)
+    assert max(s[1] for s in seen) > 100  # a long chain of candidates
+    assert got == brute(rows)
+
+
+def test_open_texts_find_closed_ones_and_each_pair_is_counted_in_one_tree():
+    draw = random.Random(8)
+    base = [f"w{i}" for i in range(60)]
+    texts = [" ".join(w if draw.random() > 0.01 else f"x{n}y{i}" for i, w in enumerate(base)) for n in range(40)]
+    opened = [n % 3 == 0 for n in range(40)]
+    sets = [shingled(t) for t in texts]
+    alike = {(i, j) for i, j in combinations(range(40), 2) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])}
+    want = sum(opened[i] or opened[j] for i, j in alike)
+
+    def table(tree):
+        n = len(texts)
+        return pa.table({"node": range(n), "copies": [1] * n, "block": [0] * n, "low": [0] * n, "high": [0] * n,
+                         "tree": [tree] * n, "open": opened, "text": texts})
+
+    whole = near_dups.compared(table(-1), 5, 0.8, [7], 0)
+    by_tree = [near_dups.compared(table(k), 5, 0.8, [7], 0) for k in range(near_dups.TREES)]
+
+    def found(t):
+        return sum(x or 0 for x in t.column("found").to_pylist())
+
+    assert found(whole) == sum(map(found, by_tree)) == 2 * want
 
 
 def test_components_of_a_path_and_a_star(spark):

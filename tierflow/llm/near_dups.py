@@ -1,42 +1,57 @@
 """Near duplicates: n-gram Jaccard similarity join over a MinHash LSH forest, verified exactly.
 
-A text is the set of its runs of five words. Every distinct text gets `TREES` MinHash signatures of `DEPTH` values;
-a signature is a path in the prefix trie of its tree, and texts that share a prefix of length d meet in one node.
-Texts at the threshold meet in some tree with probability 1 - (1 - t^d)^TREES, so the forest is searched at the longest
-prefix length d that reaches the target; what meets at a longer prefix meets there as well. The default leaves a pair of
-texts exactly at 0.8 unmet with probability 1.3e-5, and a closer pair more rarely. Then all pairs within a group of texts
-that met are compared on their shingle sets and links below the threshold are discarded; classes are the connected
-components of the links that remain.
-
-Scale: identical texts are one node with a count, so copies are never paired. Nodes of the tries are map-side combined
-aggregates (least and greatest group), never lists. A large group is cut into blocks of bounded rows and bytes, one task
-per pair of blocks; a task returns link counts and a spanning forest of its links, never pairs. Counting links between
+A text is the set of its runs of five words. Every distinct text gets `TREES` MinHash signatures of `DEPTH` values, a byte
+each; a signature is a path in the prefix trie of its tree.
+
+1. All paths are sorted by tree and path. Sorted neighbours carry the trie: texts that share a prefix of length d are a run
+   of rows whose neighbours agree in d values or more, so one edge per neighbour holds the nodes of every length.
+2. Prefixes are shortened step by step. Texts that share a prefix of the length at hand meet, and what meets is compared on
+   its shingle sets, unless it met at a longer prefix before. From the links found so far each text estimates its recall at
+   that length: a link of similarity s meets with p = 1 - (1 - s^d)^TREES and stands for 1 / p links, and one more link at
+   the threshold is supposed. Texts that reach the target search no further (others still find them); the rest go on
+   with shorter prefixes, down to the length that meets a link at the threshold with the target recall.
+3. Classes are the connected components of the links.
+
+The default leaves a pair of texts exactly at 0.8 unmet with probability 1.3e-5 at the last length, and a closer pair more
+rarely.
+
+Scale: identical texts are one node with a count, so copies are never paired. Texts that met, directly or in a chain, are
+brought together; a large group is cut into blocks of bounded rows and bytes, one task per pair of blocks, or, where that
+moves fewer rows (long chains of texts that are alike only to their neighbours), into its nodes of the tries. Only pairs
+that met are compared; a task returns link counts and a spanning forest of its links, never pairs. Counting links between
 m texts that really are all alike takes m^2 / 2 comparisons; nothing else is quadratic.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tierflow.llm.components import components
 from tierflow.llm.shared import quoted, row_of, sieve, sifted, stored
 from tierflow.llm.words import Words, mixed, portions, run_hashes, words_of
 
-TREES, DEPTH, STEP_UP = 48, 12, 3
+TREES, DEPTH, STEP_UP = 48, 11, 2
 BLOCK_ROWS, BLOCK_BYTES = 1024, 8 << 20
+#: A path is two numbers: the tree and the first values, then the others.
+LEADING = 7
 
 
-def depths(threshold: float, recall: float, trees: int = TREES, depth: int = DEPTH, step: int = STEP_UP) -> list[int]:
+def met_at(similarity: float | np.ndarray, length: int) -> float | np.ndarray:
+    """Probability that two texts of this similarity share a prefix of this length in some tree."""
+    return 1 - (1 - similarity**length) ** TREES
+
+
+def depths(threshold: float, recall: float) -> list[int]:
     """Prefix lengths to search, longest first; the last one reaches the target recall at the threshold."""
-    last = depth
-    while last > 1 and 1 - (1 - threshold**last) ** trees < recall:
+    last = DEPTH
+    while last > 1 and met_at(threshold, last) < recall:
         last -= 1
-    return [*range(depth, last, -step), last]
+    return [*range(DEPTH, last, -STEP_UP), last]
 
 
 def shingles(words: Words, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -53,23 +68,86 @@ def shingles(words: Words, n: int) -> tuple[np.ndarray, np.ndarray]:
     return grams, np.searchsorted(at, words.first)
 
 
-def prefix_hashes(grams: np.ndarray, first: np.ndarray, lengths: list[int]) -> np.ndarray:
-    """For each document with shingles: a hash per tree and prefix length, longest first."""
+def signatures(grams: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each document with shingles, a path per tree, as (high, low)."""
     full = np.flatnonzero(np.diff(first))
-    low = (grams ^ (grams >> np.uint64(32))).astype(np.uint32)
+    low32 = (grams ^ (grams >> np.uint64(32))).astype(np.uint32)
     draw = np.random.default_rng(7)
-    out = np.zeros((len(full), TREES, len(lengths)), dtype=np.uint64)
+    high, low = np.zeros((2, len(full), TREES), dtype=np.uint64)
     for tree in range(TREES):
-        path = np.full(len(full), tree + 1, dtype=np.uint64)
-        for level in range(1, lengths[0] + 1):
+        high[:, tree] = tree
+        for level in range(DEPTH):
             a, b = (np.uint32(x) for x in draw.integers(0, 1 << 32, 2))
             with np.errstate(over="ignore"):
-                value = low * (a | np.uint32(1)) + b
+                value = low32 * (a | np.uint32(1)) + b
                 least = np.minimum.reduceat(value ^ (value >> np.uint32(15)), first[full])
-                path = mixed(path + least.astype(np.uint64))
-            if level in lengths:
-                out[:, tree, lengths.index(level)] = path
-    return out.reshape(len(full), TREES * len(lengths))
+                byte = mixed(least.astype(np.uint64)) >> np.uint64(56)
+            half = high if level < LEADING else low
+            half[:, tree] = (half[:, tree] << np.uint64(8)) | byte
+    return high, low << np.uint64(8 * (LEADING + 8 - DEPTH))
+
+
+def masks(length: int) -> tuple[int, int]:
+    """Bits of (high, low) that a prefix of this length covers; the tree is always covered."""
+    covered = (1 + min(length, LEADING), max(0, length - LEADING))
+    return tuple(((1 << 8 * n) - 1) << 8 * (8 - n) for n in covered)
+
+
+def cut(high: np.ndarray, low: np.ndarray, length: int) -> np.ndarray:
+    """A number for the prefix of this length of each path."""
+    a, b = (np.uint64(m) for m in masks(length))
+    with np.errstate(over="ignore"):
+        return mixed(mixed(high & a) + (low & b))
+
+
+def prefix(length: int) -> list[Column]:
+    """The same prefixes as columns p_high and p_low."""
+    return [
+        F.col(half).bitwiseAND(F.lit(mask - (1 << 64) if mask >> 63 else mask).cast("bigint")).alias(f"p_{half}")
+        for half, mask in zip(("high", "low"), masks(length))
+    ]
+
+
+def zero_bytes(x: np.ndarray) -> np.ndarray:
+    """Number of leading bytes that are zero."""
+    return sum((x >> np.uint64(8 * (8 - n)) == 0).astype(np.int32) for n in range(1, 9))
+
+
+def neighbours(least: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Of sorted paths: edges (a, b, levels) of neighbours that agree in `least` values or more, and both end rows.
+
+    End rows have a null `a`; they let the caller join the ends of one partition to those of the next.
+    """
+    names = ["a", "b", "levels", "high", "low"]
+
+    def end(batch: pa.RecordBatch, at: int) -> pa.RecordBatch:
+        high, low, node = (batch.column(c).slice(at, 1) for c in ("high", "low", "node"))
+        return pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), node, pa.nulls(1, pa.int32()), high, low], names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            if last is None:
+                yield end(batch, 0)
+            node, high, low = (batch.column(c).to_numpy() for c in ("node", "high", "low"))
+            if last is not None:
+                node, high, low = (np.append(x, y) for x, y in zip(last, (node, high, low)))
+            same = zero_bytes((high[1:] ^ high[:-1]).view(np.uint64))
+            more = zero_bytes((low[1:] ^ low[:-1]).view(np.uint64))
+            levels = np.where(same < 8, same - 1, np.minimum(LEADING + more, DEPTH))
+            at = np.flatnonzero((levels >= least) & (node[1:] != node[:-1]))
+            none = pa.nulls(len(at), pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(node[at]), pa.array(node[at + 1]), pa.array(levels[at].astype(np.int32)), none, none], names
+            )
+            last = [x[-1:] for x in (node, high, low)]
+            tail = batch
+        if last is not None:
+            yield end(tail, tail.num_rows - 1)
+
+    return run
 
 
 def near_duplicates(
@@ -89,7 +167,7 @@ def near_duplicates(
     """
     rows = docs.select(F.col(quoted(doc_id)).alias("id"), F.col(quoted(text)).alias("text"))
     key = F.md5(F.coalesce("text", F.lit("")).cast("binary"))
-    lengths = depths(threshold, recall)[-1:]  # what a longer prefix joins, this one joins too
+    lengths = depths(threshold, recall)
 
     # One node per distinct text; its number is given when the table is written.
     nodes = stored(
@@ -104,48 +182,31 @@ def near_duplicates(
             for part in portions(batch, "text"):
                 grams, first = shingles(words_of(part.column("text")), shingle)
                 full = np.flatnonzero(np.diff(first))
-                paths = prefix_hashes(grams, first, lengths).astype(np.int64)
-                ends = np.arange(len(full) + 1, dtype=np.int32) * paths.shape[1]
+                high, low = (half.view(np.int64).ravel() for half in signatures(grams, first))
+                ends = np.arange(len(full) + 1, dtype=np.int32) * TREES
+                path = pa.StructArray.from_arrays([pa.array(high), pa.array(low)], ["high", "low"])
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column("key").take(pa.array(full)),
                         part.column("id").take(pa.array(full)),
-                        pa.ListArray.from_arrays(ends, pa.array(paths.ravel())),
+                        pa.ListArray.from_arrays(ends, path),
                     ],
                     ["key", "id", "paths"],
                 )
 
     id_type = rows.schema["id"].dataType.simpleString()
-    paths = rows.select(key.alias("key"), "id", "text").mapInArrow(
-        signed, f"key string, id {id_type}, paths array<bigint>"
-    )
+    keyed = rows.select(key.alias("key"), "id", "text")
+    paths = keyed.mapInArrow(signed, f"key string, id {id_type}, paths array<struct<high:bigint,low:bigint>>")
     # The row with the node's own id speaks for its copies; joining on both spreads a pile of copies over all tasks.
     own = nodes.select(F.col("key").alias("n_key"), F.col("id").alias("n_id"), "node")
-    meets = stored(
+    forest = stored(
         paths.join(own.hint("merge"), (F.col("key") == F.col("n_key")) & F.col("id").eqNullSafe(F.col("n_id")))
         .dropDuplicates(["node"])
-        .select("node", F.posexplode("paths").alias("slot", "path"))
-        .select("node", (F.col("slot") % len(lengths)).alias("step"), "path"),
-        "near-meets",
+        .select("node", F.inline("paths")),
+        "near-forest",
     )
-    label = nodes.select("node", F.col("node").alias("grp"))
-    for step in range(len(lengths)):
-        here = meets.where(F.col("step") == step).join(label.hint("merge"), "node").select("path", "grp").distinct()
-        joint = here.groupBy("path").agg(F.min("grp").alias("low"), F.max("grp").alias("high")).where("low < high")
-        pairs = stored(
-            here.join(joint.select("path", "low").hint("merge"), "path").where("grp > low").select(
-                F.col("grp").alias("a"), F.col("low").alias("b")
-            ).distinct(),
-            "near-pairs",
-        )
-        roots = components(pairs)
-        label = stored(
-            label.join(roots.hint("merge"), label["grp"] == roots["member"], "left").select(
-                "node", F.coalesce("root", "grp").alias("grp")
-            ),
-            "near-groups",
-        )
-    verified = verify(rows.select(key.alias("key"), "id", "text"), nodes, label, shingle, threshold)
+    edges = trie_edges(forest, lengths[-1])
+    verified = search(keyed, nodes, forest, edges, shingle, threshold, recall, lengths)
     linked = components(verified.where("kind = 'edge'").select(F.col("node").alias("a"), F.col("other").alias("b")))
     counts = verified.where("kind = 'links'").groupBy("node").agg(F.sum("n").alias("similar"))
     classed = (
@@ -171,10 +232,79 @@ def near_duplicates(
     )
 
 
-def verify(rows: DataFrame, nodes: DataFrame, label: DataFrame, shingle: int, threshold: float) -> DataFrame:
-    """Links of the texts that share a group: rows (kind 'links': node, n) and (kind 'edge': node, other)."""
-    sizes = label.groupBy("grp").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
-    members = label.join(sizes, "grp").join(nodes, "node").select("key", "id", "node", "copies", "grp", "members")
+def trie_edges(forest: DataFrame, least: int) -> DataFrame:
+    """(a, b, levels) of texts that are neighbours in a sorted tree and agree in `least` values or more.
+
+    Ties are sorted by node, so that equal paths, however many, are spread over tasks.
+    """
+    order = ["high", "low", "node"]
+    schema = "a bigint, b bigint, levels int, high bigint, low bigint"
+    found = stored(
+        forest.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(neighbours(least), schema),
+        "near-neighbours",
+    )
+    # Two rows of each task, which is all that one task has to see of the others.
+    ends = found.where("a IS NULL").select("high", "low", F.col("b").alias("node")).repartition(1)
+    seams = ends.sortWithinPartitions(*order).mapInArrow(neighbours(least), schema)
+    both = found.unionAll(seams).where("a IS NOT NULL")
+    return stored(
+        both.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.max("levels").alias("levels")),
+        "near-edges",
+    )
+
+
+def search(
+    rows: DataFrame,
+    nodes: DataFrame,
+    forest: DataFrame,
+    edges: DataFrame,
+    shingle: int,
+    threshold: float,
+    recall: float,
+    lengths: list[int],
+) -> DataFrame:
+    """Links of all texts: rows (kind 'links': node, n, found, missing) and (kind 'edge': node, other)."""
+    ends = edges.select(F.col("a").alias("n_end"), "levels").unionAll(edges.select("b", "levels"))
+    deepest = ends.groupBy("n_end").agg(F.max("levels").alias("levels"))
+    # Groups by the shortest prefix hold those by longer ones; a text takes part where it shares a prefix with another.
+    groups = stored(
+        components(edges.select("a", "b")).join(deepest, F.col("member") == F.col("n_end"))
+        .select(F.col("member").alias("node"), F.col("root").alias("grp"), "levels"),
+        "near-groups",
+    )
+    done, verified = None, None
+    for step, length in enumerate(lengths):
+        label = groups.where(F.col("levels") >= length).select("node", "grp")
+        if done is None:
+            label = label.withColumn("open", F.lit(True))
+        else:
+            label = label.join(done.withColumn("done", F.lit(True)).hint("merge"), "node", "left").select(
+                "node", "grp", F.col("done").isNull().alias("open")
+            )
+        links = verify(rows, nodes, label, forest, shingle, threshold, lengths, step)
+        verified = links if verified is None else verified.unionAll(links)
+        if length > lengths[-1]:
+            known = verified.where("kind = 'links'").groupBy("node").agg(
+                F.sum("found").alias("found"), F.sum(F.col("missing")[step]).alias("missing")
+            )
+            unmet = F.col("missing") + F.lit(1 - met_at(threshold, length))
+            done = stored(known.where(F.col("found") >= recall * (F.col("found") + unmet)).select("node"), "near-done")
+    return verified
+
+
+def verify(
+    rows: DataFrame,
+    nodes: DataFrame,
+    label: DataFrame,
+    forest: DataFrame,
+    shingle: int,
+    threshold: float,
+    lengths: list[int],
+    step: int,
+) -> DataFrame:
+    """Links of the texts that meet at this step's prefix and not before, one of them at least being open."""
+    open_groups = label.groupBy("grp").agg(F.bool_or("open").alias("any")).where("any").select("grp")
+    members = label.join(open_groups, "grp").join(nodes, "node").select("key", "id", "node", "copies", "grp", "open")
     # One row of each text: the copies have the same node, and the one with the node's id stands for them.
     wanted = stored(sieve(members, F.struct("key", "id")), "near-sieve")
     texts = stored(
@@ -182,109 +312,173 @@ def verify(rows: DataFrame, nodes: DataFrame, label: DataFrame, shingle: int, th
             members.withColumnRenamed("key", "m_key").withColumnRenamed("id", "m_id").hint("merge"),
             (F.col("key") == F.col("m_key")) & F.col("id").eqNullSafe(F.col("m_id")),
         )
-        .select("node", "copies", "grp", "members", "text")
+        .select("node", "copies", "grp", "open", "text")
         .dropDuplicates(["node"]),
         "near-texts",
     )
-    blocks = F.greatest(
-        F.ceil(F.count(F.lit(1)) / BLOCK_ROWS), F.ceil(F.sum(F.octet_length("text")) / BLOCK_BYTES), F.lit(1)
+    size = [F.count(F.lit(1)).alias("members"), F.sum("bytes").alias("bytes")]
+    blocks = F.greatest(F.ceil(F.col("members") / BLOCK_ROWS), F.ceil(F.col("bytes") / BLOCK_BYTES), F.lit(1)).cast("int")
+    lean = texts.select("node", "grp", F.octet_length("text").alias("bytes"))
+    bulk = stored(lean.groupBy("grp").agg(*size).withColumn("blocks", blocks), "near-blocks")
+    whole = texts.join(bulk.select("grp", "blocks").hint("merge"), "grp").withColumn("tree", F.lit(-1)).withColumn(
+        "spot", F.lit(0).cast("bigint")
     )
-    bulk = stored(texts.groupBy("grp").agg(blocks.cast("int").alias("blocks")), "near-blocks")
+    large = bulk.where("blocks > 1")
+    if not large.isEmpty():
+        # A group goes by nodes of the tries where that moves fewer rows than all pairs of its blocks.
+        seats = forest.join(lean.join(large.select("grp"), "grp"), "node").select("node", "grp", "bytes", *prefix(lengths[step]))
+        places = stored(
+            seats.groupBy("grp", "p_high", "p_low").agg(*size).where("members > 1").withColumn("blocks", blocks),
+            "near-places",
+        )
+        moved = places.groupBy("grp").agg(F.sum(F.col("members") * F.col("blocks")).alias("moved"))
+        chained = stored(
+            large.join(moved, "grp").where("moved < members * blocks").select("grp"), "near-chained"
+        )
+        at = ["grp", "p_high", "p_low"]
+        seated = (
+            seats.join(places.join(chained, "grp").select(*at, "blocks"), at)
+            .select("node", "blocks", F.shiftrightunsigned("p_high", 56).cast("int").alias("tree"),
+                    F.xxhash64("p_high", "p_low").alias("spot"))
+        )
+        whole = whole.join(chained, "grp", "left_anti").unionByName(texts.join(seated.hint("merge"), "node"))
     own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     placed = (
-        texts.join(bulk.hint("merge"), "grp")
-        .withColumn("block", own)
+        whole.withColumn("block", own)
         .withColumn("peer", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .select(
-            "grp",
+            "grp", "tree", "spot",
             F.least("block", "peer").alias("low"),
             F.greatest("block", "peer").alias("high"),
-            "block", "node", "copies", "text",
+            "block", "node", "copies", "open", "text",
         )
     )
-    schema = "kind string, node bigint, other bigint, n bigint"
+    schema = "kind string, node bigint, other bigint, n bigint, found bigint, missing array<double>"
 
     def compare(group: pa.Table) -> pa.Table:
-        return compared(group, shingle, threshold)
+        return compared(group, shingle, threshold, lengths, step)
 
-    return stored(placed.groupBy("grp", "low", "high").applyInArrow(compare, schema), "near-links")
+    return stored(placed.groupBy("grp", "tree", "spot", "low", "high").applyInArrow(compare, schema), "near-links")
 
 
-def compared(group: pa.Table, shingle: int, threshold: float) -> pa.Table:
-    """Similar pairs of one group (or between its two blocks) as link counts and a spanning forest."""
-    group = group.combine_chunks()
-    node = group.column("node").to_numpy()
-    copies = group.column("copies").to_numpy()
-    block = group.column("block").to_numpy()
-    links = np.zeros(len(node), dtype=np.int64)
-    root = list(range(len(node)))
-    edges: list[tuple[int, int]] = []
-
-    def find(i: int) -> int:
-        while root[i] != i:
-            root[i] = root[root[i]]
-            i = root[i]
-        return i
+def compared(group: pa.Table, shingle: int, threshold: float, lengths: list[int], step: int) -> pa.Table:
+    """Similar pairs of one group, node of a trie, or pair of blocks, as link counts and a spanning forest.
 
+    A pair that meets in several trees is counted in the first one when the table is one node of a trie.
+    """
+    group = group.combine_chunks()
+    node, copies, block, opened = (
+        group.column(c).to_numpy(zero_copy_only=False) for c in ("node", "copies", "block", "open")
+    )
+    tree = group.column("tree")[0].as_py()
     cross = group.column("low")[0] != group.column("high")[0]
-    for i, j in similar_pairs(group.column("text").chunk(0), shingle, threshold):
-        if cross and block[i] == block[j]:
-            continue
-        links[i] += copies[j]
-        links[j] += copies[i]
-        a, b = find(i), find(j)
-        if a != b:
-            root[max(a, b)] = min(a, b)
-            edges.append((i, j))
+    grams, first = shingles(words_of(group.column("text").chunk(0)), shingle)
+    paths = signatures(grams, first)
+    here = cut(*paths, lengths[step])
+    before = cut(*paths, lengths[step - 1]) if step else None
+
+    def meet(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Which of these pairs are to be compared here."""
+        same = here[a, None, :] == here[None, b, :]
+        met = same.any(2) if tree < 0 else same[:, :, tree] & ~same[:, :, :tree].any(2)
+        if before is not None:
+            met &= ~(before[a, None, :] == before[None, b, :]).any(2)
+        met &= (opened[a, None] | opened[None, b]) & (a[:, None] < b[None, :])
+        return met & (block[a, None] != block[None, b]) if cross else met
+
+    links, found = np.zeros((2, len(node)), dtype=np.int64)
+    missing = np.zeros((len(lengths), len(node)))
+    root = np.arange(len(node))
+    edges = []
+    for i, j, similarity in similar_pairs(grams, first, threshold, meet):
+        for one, other in ((i, j), (j, i)):
+            np.add.at(links, one, copies[other])
+            np.add.at(found, one, 1)
+            for at, length in enumerate(lengths):
+                np.add.at(missing[at], one, 1 / met_at(similarity, length) - 1)
+        while True:
+            high, low = np.maximum(root[i], root[j]), np.minimum(root[i], root[j])
+            apart = np.flatnonzero(high != low)
+            if not len(apart):
+                break
+            tops, pick = np.unique(high[apart], return_index=True)  # each root joins one smaller root
+            root[tops] = low[apart[pick]]
+            edges += zip(i[apart[pick]].tolist(), j[apart[pick]].tolist())
+            while (root[root] != root).any():
+                root = root[root]
     has = np.flatnonzero(links)
-    none = [None] * len(has)
+    some, none = len(has), [None] * len(edges)
     return pa.table(
         {
-            "kind": pa.array(["links"] * len(has) + ["edge"] * len(edges), pa.string()),
+            "kind": pa.array(["links"] * some + ["edge"] * len(edges), pa.string()),
             "node": pa.array([*node[has], *(node[i] for i, _ in edges)], pa.int64()),
-            "other": pa.array([*none, *(node[j] for _, j in edges)], pa.int64()),
-            "n": pa.array([*links[has], *([None] * len(edges))], pa.int64()),
+            "other": pa.array([*[None] * some, *(node[j] for _, j in edges)], pa.int64()),
+            "n": pa.array([*links[has], *none], pa.int64()),
+            "found": pa.array([*found[has], *none], pa.int64()),
+            "missing": pa.array([*missing.T[has].tolist(), *none], pa.list_(pa.float64())),
         }
     )
 
 
-def similar_pairs(texts: pa.Array, shingle: int, threshold: float, strip: int = 512, width: int = 8192) -> Iterator:
-    """Pairs i < j of texts whose shingle sets have a Jaccard similarity of `threshold` or more.
+def similar_pairs(
+    grams: np.ndarray,
+    first: np.ndarray,
+    threshold: float,
+    meet: Callable[[np.ndarray, np.ndarray], np.ndarray],
+    strip: int = 512,
+    width: int = 8192,
+) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Pairs of texts that meet and whose shingle sets have a Jaccard similarity of `threshold` or more, with it.
 
-    Overlaps are counted as products of 0/1 matrices, a strip of documents by a run of shingles at a time.
+    Few pairs of two strips are intersected one by one; overlaps of many are counted as products of 0/1 matrices, a strip
+    of documents by a run of shingles at a time.
     """
-    grams, first = shingles(words_of(texts), shingle)
-    owner = np.repeat(np.arange(len(first) - 1), np.diff(first))
+    total = len(first) - 1
+    owner = np.repeat(np.arange(total), np.diff(first))
     values, column = np.unique(grams, return_inverse=True)
     cell = np.unique(owner * max(1, len(values)) + column)
     owner, column = np.divmod(cell, max(1, len(values)))
-    size = np.bincount(owner, minlength=len(first) - 1)
+    size = np.bincount(owner, minlength=total)
     shared = np.bincount(column, minlength=len(values)) > 1  # the others count in sizes alone
     rank = np.cumsum(shared) - 1
     owner, column = owner[shared[column]], rank[column[shared[column]]]
-    total, width = len(size), max(1, min(width, int(shared.sum())))
+    edge = np.searchsorted(owner, np.arange(total + 1))
+    width = max(1, min(width, int(shared.sum())))
+
+    def product(low: int, high: int, low2: int, high2: int) -> np.ndarray:
+        overlap = np.zeros((high - low, high2 - low2), dtype=np.float32)
+        for at in range(0, int(shared.sum()), width):
+            run = (column >= at) & (column < at + width)
+
+            def matrix(a: int, b: int) -> np.ndarray:
+                out = np.zeros((b - a, width), dtype=np.float32)
+                mine = run & (owner >= a) & (owner < b)
+                out[owner[mine] - a, column[mine] - at] = 1
+                return out
+
+            left = matrix(low, high)
+            overlap += left @ (left if low2 == low else matrix(low2, high2)).T
+        return overlap
+
     for low in range(0, total, strip):
         high = min(total, low + strip)
         for low2 in range(low, total, strip):
             high2 = min(total, low2 + strip)
-            overlap = np.zeros((high - low, high2 - low2), dtype=np.float32)
-            for at in range(0, int(shared.sum()), width):
-                run = (column >= at) & (column < at + width)
-
-                def matrix(a: int, b: int) -> np.ndarray:
-                    out = np.zeros((b - a, width), dtype=np.float32)
-                    mine = run & (owner >= a) & (owner < b)
-                    out[owner[mine] - a, column[mine] - at] = 1
-                    return out
-
-                left = matrix(low, high)
-                overlap += left @ (left if low2 == low else matrix(low2, high2)).T
-            union = size[low:high, None] + size[None, low2:high2] - overlap
-            with np.errstate(divide="ignore", invalid="ignore"):
-                hit = (overlap > 0) & (overlap >= threshold * union - 1e-6)
-            for i, j in zip(*np.nonzero(hit)):
-                if low + i < low2 + j:
-                    yield low + int(i), low2 + int(j)
+            b = np.arange(low2, high2)
+            met = np.concatenate([meet(np.arange(k, min(high, k + 32)), b) for k in range(low, high, 32)])
+            i, j = np.nonzero(met)
+            if not len(i):
+                continue
+            if len(i) <= strip:
+                pairs = zip((low + i).tolist(), (low2 + j).tolist())
+                sets = [(column[edge[x] : edge[x + 1]], column[edge[y] : edge[y + 1]]) for x, y in pairs]
+                overlap = np.array([len(np.intersect1d(x, y, assume_unique=True)) for x, y in sets])
+            else:
+                overlap = product(low, high, low2, high2)[i, j]
+            union = size[low + i] + size[low2 + j] - overlap
+            hit = (overlap > 0) & (overlap >= threshold * union - 1e-6)
+            if hit.any():
+                yield low + i[hit], low2 + j[hit], np.minimum(1.0, overlap[hit] / union[hit])
 
 
 def drop_near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", **how: float) -> DataFrame:
