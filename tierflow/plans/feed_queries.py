@@ -35,8 +35,12 @@ from tierflow.sources.feed import (
 )
 from tierflow.sources.registry import registry
 from tierflow.sources.tables import read_batches, read_table
+from tierflow.streaming.admission import Landing, SchemaLog, run_growing
 from tierflow.streaming.sinks import append_batches, run_stream, write_batch
 
+# Files of a landed load.
+FILES = 4
+
 ENVELOPE_SQL = """
     SELECT event_type AS topic, CAST(user_id AS VARCHAR) AS key, user_id % 8 AS feed_partition,
            event_id AS feed_offset, epoch_us(ts) // 1000 AS feed_millis
@@ -82,13 +86,16 @@ def feed_incremental_files(spark: SparkSession, root: str) -> DataFrame:
 
 @query(f"SELECT CAST({LOAD_SQL} AS BIGINT) AS batch_id, event_type AS topic, event_id FROM events")
 def feed_file_replay(spark: SparkSession, root: str) -> DataFrame:
-    """Files that all wait already, taken in one per micro-batch in the order in which they came."""
+    """Loads of several files that all wait already, taken in one per micro-batch in the order in which they came."""
     area = new_area(spark, "replay")
-    rows = loads(spark, root)
+    landing, rows = Landing(f"{area}/landing", "json"), loads(spark, root)
     for number in range(3):
-        land_feed(envelopes(rows.where(F.col("load") == number)).coalesce(1), f"{area}/landing")
-    feed = scan_envelopes(spark, f"{area}/landing", streaming=True, files_per_batch=1)
-    append_batches(feed.select("topic", F.col("offset").alias("event_id")), f"{area}/table", f"{area}/marks")
+        landing.land(envelopes(rows.where(F.col("load") == number)).repartition(FILES), number)
+
+    def take(feed: DataFrame, number: int) -> None:
+        write_batch(feed.select("topic", F.col("offset").alias("event_id")), f"{area}/table", number)
+
+    landing.admit(spark, scan_envelopes, take, f"{area}/marks")
     table = read_batches(spark, f"{area}/table")
     return table.select(F.col("batch_id").cast("bigint").alias("batch_id"), "topic", "event_id")
 
@@ -245,6 +252,24 @@ def schema_evolution_union(spark: SparkSession, root: str) -> DataFrame:
     return table.select("event_id", "ts", "props", "load")
 
 
+@query(f"""
+    SELECT event_id, CASE WHEN {LOAD_SQL} = 0 THEN CAST(user_id AS DOUBLE) ELSE value END AS score,
+           CASE WHEN {LOAD_SQL} > 0 THEN user_id END AS user_id, CASE WHEN {LOAD_SQL} = 2 THEN props END AS props
+    FROM events
+""")
+def schema_evolution_stream(spark: SparkSession, root: str) -> DataFrame:
+    """Three runs on one checkpoint; later loads bring new columns, and an integer column becomes a fractional one."""
+    area = new_area(spark, "growing")
+    landing, schemas = Landing(f"{area}/landing"), SchemaLog(f"{area}/schemas")
+    whole = F.col("user_id").cast("int")
+    columns = [["event_id", whole.alias("score")], ["event_id", F.col("value").alias("score"), whole.alias("user_id")],
+               ["event_id", F.col("value").alias("score"), "user_id", "props"]]
+    for number, load in enumerate(columns):
+        landing.land(loads(spark, root).where(F.col("load") == number).select(*load), number)
+        run_growing(spark, landing, schemas, lambda rows: run_stream(rows, f"{area}/table", f"{area}/marks"))
+    return schemas.read(spark, f"{area}/table")
+
+
 @query(f"SELECT CAST({LOAD_SQL} AS BIGINT) AS batch_id, event_id, value FROM events")
 def append_idempotent(spark: SparkSession, root: str) -> DataFrame:
     """Every load is appended, one of them twice."""

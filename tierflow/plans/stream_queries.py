@@ -30,12 +30,15 @@ from tierflow.session import new_area
 from tierflow.sources.feed import raw_feed
 from tierflow.sources.registry import registry
 from tierflow.sources.tables import read_batches, read_lookup, read_table, stream_table, zoned
+from tierflow.streaming.admission import Landing
 from tierflow.streaming.operators import TimeBound, dedup_stream, stream_join, tumbling_stats
 from tierflow.streaming.rollups import DeltaStats, JoinedStats, own_copy
 from tierflow.streaming.sinks import KeyedLog, append_batches, changes_stream, keep_progress, run_stream, write_batch
 
 # Partitions among which the copies of one key are spread.
 SALTS = 4
+# Files of a landed load.
+FILES = 4
 # Buckets of the stored tables, which are small here.
 BUCKETS = 4
 
@@ -139,17 +142,18 @@ def _late(spark: SparkSession, root: str, label: str, schedule: str, delay: str,
     """The rows that a stream's own watermark drops, found by what its output lacks."""
     area = new_area(spark, label)
     log = zoned(loads(spark, root, schedule), "ts").select(*FIELDS, "load")
-    numbers = load_numbers(log)
-    for load in arrivals(log.coalesce(1) if at_once else log, f"{area}/landing", numbers):
+    numbers, landing = load_numbers(log), Landing(f"{area}/landing")
+    for load in numbers:
+        landing.land(log.where(F.col("load") == load), load, FILES)
         if at_once and load < numbers[-1]:
             continue
         source = spark.readStream.schema(log.schema)
-        source = source.option("maxFilesPerTrigger", 1) if at_once else source
-        kept = dedup_stream(source.parquet(f"{area}/landing"), ["event_id", "ts"], "ts", delay)
+        source = source.option("maxFilesPerTrigger", FILES) if at_once else source
+        kept = dedup_stream(source.parquet(landing.files), ["event_id", "ts"], "ts", delay)
         run_stream(kept, f"{area}/table", f"{area}/marks")
     if not numbers:
         return log
-    landed = spark.read.schema(log.schema).parquet(f"{area}/landing")
+    landed = spark.read.schema(log.schema).parquet(landing.files)
     return landed.join(spark.read.parquet(f"{area}/table").select("event_id"), "event_id", "left_anti").select(*FIELDS, "load")
 
 
