@@ -2,8 +2,10 @@
 
 import random
 import re
+import unicodedata
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tierflow.llm import decontaminate
@@ -60,7 +62,8 @@ def test_pairs_and_coverage_equal_brute_force(spark, monkeypatch, block_bytes):
     want = {}
     for d, text in enumerate(docs):
         for i, item in enumerate(items):
-            share = plain_tiles(tokens(item), tokens(text)) / len(tokens(item))
+            least = min(5, len(tokens(item)))
+            share = plain_tiles(tokens(item), tokens(text), least) / len(tokens(item))
             if share >= 0.5:
                 want[d, i] = share
     got = {(r.doc_id, r.item_id): r.coverage for r in contaminated(df, bench).collect()}
@@ -96,3 +99,31 @@ def test_tiles_never_overlap():
                 spots = [t[k] + n for t in found for n in range(t[2])]
                 assert len(spots) == len(set(spots))
             assert sum(t[2] for t in found) == plain_tiles(list(a), list(b))
+
+
+def test_short_items_are_found_whole_or_not_at_all(spark):
+    texts = ["Well: the capital is \u201cParis\u201d, they say.", "the capital is the city of Paris", "capital is Paris the",
+             "The CAPITAL is Paris. the capital is Paris", "is Paris"]
+    df = spark.createDataFrame([(i, t, "", 0) for i, t in enumerate(texts)], DOCS)
+    bench = spark.createDataFrame([(1, "the capital is Paris", 0), (2, "the capital is Paris", 0), (3, "is Paris", 0),
+                                   (4, "city of Paris", 0)], ITEMS)
+    got = sorted((r.doc_id, r.item_id, r.coverage, [tuple(t) for t in r.tiles]) for r in contaminated(df, bench).collect())
+    assert got == [(0, 1, 1.0, [(0, 1, 4)]), (0, 2, 1.0, [(0, 1, 4)]), (1, 4, 1.0, [(0, 4, 3)]),
+                   (3, 1, 1.0, [(0, 0, 4)]), (3, 2, 1.0, [(0, 0, 4)])]
+    assert sorted(r.doc_id for r in drop_contaminated(df, bench).collect()) == [2, 4]
+
+
+def test_case_forms_and_punctuation_of_any_script(spark):
+    items = ["\u00e9t\u00e9 \u00e0 la mer avec toi", "\u041c\u043e\u0441\u043a\u0432\u0430 \u0433\u043e\u0440\u043e\u0434 \u043d\u0430 \u0440\u0435\u043a\u0435 \u0438 \u0445\u043e\u043b\u043c\u0430\u0445", "one two three four five six seven"]
+    texts = [items[0].upper(), unicodedata.normalize("NFD", items[0]), items[1].upper(), "\u201c" + items[2] + "\u201d\u2014and",
+             items[0].replace(" ", "\u2014"), "\uff4f\uff4e\uff45 two three four five six seven", "\u00e9t\u00e9 \u00e0 la plage"]
+    df = spark.createDataFrame([(i, t, "", 0) for i, t in enumerate(texts)], DOCS)
+    bench = spark.createDataFrame([(i, t, 0) for i, t in enumerate(items)], ITEMS)
+    got = sorted((r.doc_id, r.item_id, r.coverage) for r in contaminated(df, bench).collect())
+    assert got == [(0, 0, 1.0), (1, 0, 1.0), (2, 1, 1.0), (3, 2, 1.0), (4, 0, 1.0), (5, 2, 1.0)]
+
+
+def test_ascii_texts_have_the_same_tokens_either_way():
+    texts = ["A b_C d-9 \x00 e\tF", "", None, "x" * 50 + " Y?z"]
+    short, long = decontaminate.tokens(pa.array(texts)), decontaminate.tokens(pa.array([*texts, "\u00e9"]))
+    assert (short.hashes == long.hashes[: len(short.hashes)]).all() and list(short.counts) == list(long.counts[:4])

@@ -5,8 +5,9 @@ a match; the longest match is marked as a tile in both texts, then the next long
 left of an overlapped match competes again), until none of `MIN_TILE` tokens is left. The share of the item's tokens
 under tiles is its coverage. Since tiles may stand in any order, an item is found when its passages were moved about.
 
-Tokens are runs of letters and digits, ASCII case folded. An item of fewer than `MIN_TILE` tokens has no tile and is
-never found. The benchmark is the query set: it is looked up in blocks of at most `BLOCK_BYTES` of text (or one item),
+Tokens are runs of letters, digits and combining marks of any script in Unicode form NFKC, lower case; punctuation of any
+kind separates. An item of fewer than `MIN_TILE` tokens but at least `SHORT` is one tile or none: it is found where all of
+it stands in one run. An item of one or two tokens is a phrase of plain language and is never found. The benchmark is the query set: it is looked up in blocks of at most `BLOCK_BYTES` of text (or one item),
 each with one pass over all documents that shuffles nothing, so no token or document can become a hot key.
 """
 
@@ -19,20 +20,32 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tierflow.llm.shared import quoted
-from tierflow.llm.words import LOWER, MARKS, portions, words_of
+from tierflow.llm.words import LOWER, MARKS, Words, portions, words_of
 
 MIN_TILE, COVERAGE = 5, 0.5
+#: Items of so many tokens at least are looked for.
+SHORT = 3
 BLOCK_BYTES = 16 << 20
 SIEVE_BITS = 20
 
 
+def tokens(texts: pa.Array) -> Words:
+    """The tokens of each text; a null text has none. Texts in ASCII take the short way to the same tokens."""
+    if not pc.all(pc.string_is_ascii(texts)).as_py():
+        plain = pc.utf8_lower(pc.utf8_normalize(texts, form="NFKC"))
+        texts = pc.replace_substring_regex(plain, pattern=r"[^\p{L}\p{N}\p{M}]+", replacement=" ")
+        return words_of(texts)
+    return words_of(texts, MARKS, LOWER)
+
+
 @dataclass
 class Items:
-    """A block of the benchmark: hashes of its tokens, and of its seeds in order, each with item and place."""
+    """A block of the benchmark: hashes of its seeds in order, each with item and place; short items by length, hashed whole."""
 
     ids: list
     size: np.ndarray
@@ -40,16 +53,25 @@ class Items:
     item: np.ndarray
     place: np.ndarray
     sieve: np.ndarray
+    short: dict[int, tuple[np.ndarray, np.ndarray]]
 
     @classmethod
     def of(cls, ids: list, texts: list) -> Items:
-        words = words_of(pa.array(texts, pa.string()), MARKS, LOWER)
+        words = tokens(pa.array(texts, pa.string()))
         at, seed = words.grams(MIN_TILE)
         owner = words.owner()[at] if len(at) else at
         order = np.argsort(seed, kind="stable")
         sieve = np.zeros(1 << SIEVE_BITS, dtype=bool)
         sieve[(seed >> np.uint64(64 - SIEVE_BITS)).astype(np.int64)] = True
-        return cls(ids, words.counts, seed[order], owner[order], (at - words.first[owner])[order], sieve)
+        short = {}
+        for n in range(SHORT, MIN_TILE):
+            start, whole = words.grams(n)
+            item = words.owner()[start] if len(start) else start
+            mine = words.counts[item] == n
+            rank = np.argsort(whole[mine], kind="stable")
+            if len(rank):
+                short[n] = whole[mine][rank], item[mine][rank]
+        return cls(ids, words.counts, seed[order], owner[order], (at - words.first[owner])[order], sieve, short)
 
 
 def item_blocks(benchmark: DataFrame, text: str, item_id: str) -> Iterator[Items]:
@@ -99,9 +121,26 @@ def runs(numbers: list[int]) -> Iterator[tuple[int, int]]:
             start = None
 
 
+def whole_in(words: Words, items: Items) -> Iterator[tuple[int, int, float, list]]:
+    """Short items that stand in a document as one run; the first of its places is told."""
+    for n, (known, item) in items.short.items():
+        at, seed = words.grams(n)
+        near = np.flatnonzero(np.isin(seed, known))
+        if not len(near):
+            continue
+        doc = words.owner()[at[near]]
+        _, firsts = np.unique(np.stack([doc.astype(np.uint64), seed[near]]), axis=1, return_index=True)
+        for k in firsts:
+            d, h = int(doc[k]), seed[near[k]]
+            spot = int(at[near[k]] - words.first[d])
+            for i in item[np.searchsorted(known, h, "left") : np.searchsorted(known, h, "right")]:
+                yield d, int(i), 1.0, [(0, spot, n)]
+
+
 def found_in(texts: pa.Array, items: Items, coverage: float) -> Iterator[tuple[int, int, float, list]]:
     """(document, item, coverage, tiles) of each pair with enough of the item's tokens under tiles."""
-    words = words_of(texts, MARKS, LOWER)
+    words = tokens(texts)
+    yield from whole_in(words, items)
     at, seed = words.grams(MIN_TILE)
     near = np.flatnonzero(items.sieve[(seed >> np.uint64(64 - SIEVE_BITS)).astype(np.int64)])
     at, seed = at[near], seed[near]
