@@ -87,6 +87,8 @@ def test_mixing_reads_each_source_to_its_target(stages):
     for r in readings.collect():
         taken[r.source] += r.words
     assert all(abs(taken[s] - t) <= 1 for s, t in filled(sizes).items())
+    known = {r.doc_id: r.text for r in docs.collect()}
+    assert all(r.text == known[r.doc_id] for r in readings.collect())
 
 
 def test_odd_documents_pass_through_every_stage(spark, tmp_path):
@@ -105,4 +107,4 @@ def test_odd_documents_pass_through_every_stage(spark, tmp_path):
 
 def test_every_operator_has_its_query(spark):
     numbers = sorted(int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
