@@ -6,6 +6,7 @@ import numpy as np
 import regex
 from pyspark.sql import functions as F
 
+from tierflow.llm.quality import MEASURES, neighbours
 from tierflow.llm.quality import RIVALS, Ranking, fit, keep_good, measures, rank, scored
 from tierflow.llm.queries import QUERIES
 from tierflow.llm.words import mixed
@@ -101,3 +102,36 @@ def test_scores_equal_a_restatement_in_python(spark):
         ]
         want = 1 / (1 + np.exp(-(np.dot(values, ranking.weights) - ranking.cut + np.log(0.7 / 0.3))))
         assert abs(r.score - want) < 1e-6, (r.row.doc_id, r.score, want)
+
+
+def test_weights_equal_those_of_all_pairs():
+    draw = np.random.default_rng(5)
+    x = np.concatenate([draw.normal(0, 1, (150, 3)), draw.normal((0.8, 0.2, -0.4), 1, (90, 3))])
+    y = np.array([1] * 150 + [0] * 90)
+    got, want = np.array(rank(x, y).weights), plain_fit(x, y)
+    want *= 4 / (x @ want).std()
+    assert np.abs(got - want).max() < 1e-3
+
+
+def test_every_labelled_row_teaches(spark):
+    """More labelled rows than the 20,000 that used to be drawn: weights and cut are those of all of them."""
+    texts = F.concat(
+        F.expr("repeat('plain words. ', int(1 + pmod(xxhash64(id), 5)))"),
+        F.when(F.expr("pmod(xxhash64(id, 1), 10) < 4"), F.expr("repeat('!%', int(1 + pmod(xxhash64(id, 2), 7)))")).otherwise(""),
+    )
+    docs = spark.range(30_000, numPartitions=4).select(F.col("id").alias("doc_id"), texts.alias("text"))
+    labels = docs.select("doc_id", F.expr("int(pmod(xxhash64(doc_id, 1), 10) >= 4 OR pmod(xxhash64(doc_id, 3), 9) = 0)").alias("quality"))
+    rows = docs.join(labels, "doc_id").select("quality", measures(F.col("text")).alias("m")).select("quality", "m.*").toPandas()
+    x, y = rows[list(MEASURES)].to_numpy(), rows["quality"].to_numpy()
+    got, want = fit(docs, labels), rank(x, y)
+    assert np.abs(np.array(got.weights) - want.weights).max() < 1e-6 * np.abs(want.weights).max()
+    assert abs(got.cut - want.cut) < 1e-6 and got.cut == fit(docs.repartition(3), labels.repartition(5)).cut
+
+
+def test_neighbours_are_the_values_at_their_places(spark):
+    draw = np.random.default_rng(2)
+    values = np.concatenate([draw.normal(0, 1, 3_000), [0.25] * 700, [1e9, -1e-300, 5e-324]]).tolist()
+    df = spark.createDataFrame([(v,) for v in values], "s double").repartition(3).cache()
+    values.sort()
+    for place in (1, 2, 1_500, 1_900, 2_100, len(values) - 1):
+        assert neighbours(df, place) == (values[place - 1], values[place])
