@@ -1,6 +1,10 @@
 """Curriculum mixing against a plain restatement."""
 
+from pyspark.sql import functions as F
+
+from tierflow.llm import mixing
 from tierflow.llm.mixing import curriculum, training_order
+from tierflow.llm.queries import QUERIES
 
 SCHEMA = "doc_id bigint, text string, source string, size string, block int"
 
@@ -67,3 +71,23 @@ def test_readings_carry_their_own_text_where_ids_repeat(spark):
 def test_empty_table(spark):
     df = spark.createDataFrame([], SCHEMA)
     assert curriculum(df).collect() == [] and training_order(df).collect() == []
+
+
+def test_taken_words_are_those_of_the_readings(spark):
+    df = spark.createDataFrame(rows(), SCHEMA)
+    got, want = mixing.taken_in_order(df), curriculum(df)
+    assert sorted(map(repr, got.select(want.columns).collect())) == sorted(map(repr, want.collect()))
+    assert mixing.taken_in_order(df.limit(0)).collect() == []
+
+
+def test_query_counts_what_the_training_order_reads(spark, monkeypatch):
+    seen = []
+
+    def first_readings(mix, whole=mixing.readings):
+        seen.append([r.position for r in whole(mix).collect()])
+        return whole(mix).where("repeat = 0")
+
+    monkeypatch.setattr(mixing, "readings", first_readings)
+    got = QUERIES["op5_curriculum_mix"](spark, "/root/testdata/sf0.001")
+    assert got.where("taken > size").count() == 0 and got.where("target > source_size AND taken = size").count() > 0
+    assert seen == [sorted(seen[0])] and got.agg(F.count("position")).first()[0] <= len(seen[0])

@@ -134,14 +134,37 @@ def training_order(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     The text is whole; a reading covers its first `words` words, which is all of them but for the last document that a
     source's target reaches.
     """
-    mix = curriculum(docs, text, doc_id, source, carry=True).where("taken > 0")
+    return readings(curriculum(docs, text, doc_id, source, carry=True)).drop("begin")
+
+
+def readings(mix: DataFrame) -> DataFrame:
+    """The rows of `curriculum` that are read, once per reading, in training order; `begin` tells them apart in a source."""
     again = F.explode(F.sequence(F.lit(0), F.ceil(F.col("taken") / F.col("size")).cast("int") - 1))
     return (
-        mix.withColumn("repeat", again)
+        mix.where("taken > 0").withColumn("repeat", again)
         .select(
-            "doc_id", "text", "source", "size", "repeat",
+            "doc_id", *(["text"] if "text" in mix.columns else []), "source", "begin", "size", "repeat",
             F.least("size", F.col("taken") - F.col("repeat") * F.col("size")).alias("words"),
             time_of(F.col("begin") + F.col("repeat") * F.col("source_size")).alias("position"),
         )
         .orderBy("position", "source", "doc_id", "repeat")
     )
+
+
+def taken_in_order(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", source: str = "source") -> DataFrame:
+    """The columns of `curriculum`, with `taken` and `position` as the training order has them.
+
+    The order is written reading by reading, without texts; words are added up over a document's readings, and its
+    position is that of the first. Rows of a source that have words begin at different places, which tells readings apart.
+    """
+    mix = stored(curriculum(docs, text, doc_id, source), "mix")
+    order = stored(readings(mix), "mix-order")
+    name = F.coalesce(F.concat(F.lit("="), "source"), F.lit(""))
+    read = order.groupBy(name.alias("r_key"), F.col("begin").alias("r_begin")).agg(
+        F.sum("words").alias("words"), F.min("position").alias("first")
+    )
+    worded = mix.where("size > 0").join(read, (name == F.col("r_key")) & (F.col("begin") == F.col("r_begin")), "left")
+    return worded.select(
+        *[c for c in mix.columns if c not in ("taken", "position")],
+        F.coalesce("words", F.lit(0)).cast("bigint").alias("taken"), F.col("first").alias("position"),
+    ).unionByName(mix.where("size = 0"))
