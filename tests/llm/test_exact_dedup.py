@@ -59,3 +59,23 @@ def test_a_sieve_lets_every_key_through_and_little_else(spark):
     assert sifted(keys, F.col("k"), bits, "hit").where("NOT hit").isEmpty()
     assert sifted(others, F.col("k"), bits, "hit").where("hit").count() < 50
     assert sifted(others, F.col("k"), bits.limit(0), "hit").where("hit").isEmpty()
+
+
+def test_rows_that_bring_their_text_store_it_once(spark, monkeypatch):
+    import tierflow.llm.exact_dedup as module
+
+    tables = []
+
+    def split_table(df, path, whole=module.split_table):
+        tables.append(df.columns)
+        return whole(df, path)
+
+    monkeypatch.setattr(module, "split_table", split_table)
+    body = "the same first words for all of them, and then "
+    rows = [(i, body * 3 + "ab"[i % 2] + " " * i, "x") for i in range(6)] + [(9, None, "x"), (8, " ", "y")]
+    df = spark.createDataFrame(rows, "doc_id bigint, body string, text string")
+    kept = module.drop_exact_duplicates(df, text="body")
+    assert kept.columns == df.columns and sorted(r.doc_id for r in kept.collect()) == [4, 5, 8]
+    assert tables and all("text" not in columns for columns in tables)
+    slim = module.exact_duplicates(df, text="body", columns=["doc_id"])
+    assert sorted(r.row.doc_id for r in slim.where("kept").collect()) == [4, 5, 8]

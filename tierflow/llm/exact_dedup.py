@@ -51,22 +51,29 @@ def exact_duplicates(
         F.col(quoted(text)).alias("text"),
     )
 
+    # Rows that bring their text along need it once only.
+    own = text in wanted
+    body = F.col("row")[text] if own else F.col("text")
+    apart = [] if own else ["text"]
+
+    def unfinished(going_on: Column) -> list[Column]:
+        return [F.when(going_on, F.col(c)).alias(c) for c in apart]
+
     def kept_columns(row: Column) -> Column:
         return F.struct(*[row[c].alias(c) for c in wanted])
 
     def with_run(df: DataFrame, offset: int, size: int) -> DataFrame:
-        body = normalised(F.col("text")).cast("binary")
-        return df.withColumn("run", F.substring(body, offset + 1, size))
+        return df.withColumn("run", F.substring(normalised(body).cast("binary"), offset + 1, size))
 
     # Round one: the first bytes alone. Texts with no rival there are finished.
-    first = with_run(source.select(kept_columns(F.col("row")).alias("row"), "id", "text"), 0, FIRST_RUN)
+    first = with_run(source.select(kept_columns(F.col("row")).alias("row"), "id", *apart), 0, FIRST_RUN)
     rivals = stored(
         first.groupBy("run").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(
             F.col("run").alias("g_run"), F.monotonically_increasing_id().alias("gid")
         ),
         "radix-groups",
     )
-    sha = F.sha2(normalised(F.col("text")).cast("binary"), 256) if digest else F.lit(None).cast("string")
+    sha = F.sha2(normalised(body).cast("binary"), 256) if digest else F.lit(None).cast("string")
     # Most documents differ from all others in their first bytes and need not move: a bitmap tells which surely do.
     marked = sifted(first, F.col("run"), stored(sieve(rivals, F.col("g_run")), "radix-sieve"), "rival")
     alone = marked.where("NOT rival").select(
@@ -79,7 +86,7 @@ def exact_duplicates(
         "id",
         sha.alias("sha"),
         F.col("gid").isNull().alias("done"),
-        F.when(F.col("gid").isNotNull(), F.col("text")).alias("text"),
+        *unfinished(F.col("gid").isNotNull()),
         "gid",
         F.monotonically_increasing_id().alias("nr"),
         F.when(F.col("gid").isNull(), F.col("id")).alias("keep_id"),
@@ -93,7 +100,7 @@ def exact_duplicates(
         if rounds[-1].where("NOT done").isEmpty():
             break
         rank = F.struct(
-            (-F.char_length(F.coalesce("text", F.lit("")))).alias("shortness"),
+            (-F.char_length(F.coalesce(body, F.lit("")))).alias("shortness"),
             F.col("id").isNull().alias("unnamed"),
             F.col("id").alias("id"),
             F.col("nr").alias("nr"),
@@ -114,7 +121,7 @@ def exact_duplicates(
             "id",
             "sha",
             done.alias("done"),
-            F.when(~done, F.col("text")).alias("text"),
+            *unfinished(~done),
             F.col("next").alias("gid"),
             "nr",
             F.when(done, F.col("best.id")).alias("keep_id"),
